@@ -1,0 +1 @@
+"""No streaming operators: the flow that this library covers is a finite batch."""
