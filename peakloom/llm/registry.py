@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, url_filter
+from . import bpe, mixing, token_files, url_filter
 
 
 def queries() -> dict:
     return {
         "op2_mixing": mixing.op2_mixing,
+        "op5_bpe": bpe.op5_bpe,
+        "op6_token_files": token_files.op6_token_files,
         "op10_url_filter": url_filter.op10_url_filter,
     }
 
