@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, token_files, url_filter
+from . import bpe, mixing, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
@@ -10,9 +10,11 @@ def queries() -> dict:
         "op2_mixing": mixing.op2_mixing,
         "op5_bpe": bpe.op5_bpe,
         "op6_token_files": token_files.op6_token_files,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op8_warc": warc.op8_warc,
         "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "op10_url_filter": url_filter.SQL}
+    return {"op2_mixing": mixing.SQL, "op8_warc": warc.SQL, "op10_url_filter": url_filter.SQL}
