@@ -28,7 +28,7 @@ class PieceCache:
     generations of parts bound the memory: when the younger is full it becomes the older, and that one goes.
     """
 
-    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], encode_texts: Callable[[list[str]], list[bytes]], most: int = 200_000):
+    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], encode_texts: Callable[[list[str]], list[bytes]], most: int = 400_000):
         self.encode_parts, self.encode_texts, self.most = encode_parts, encode_texts, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -78,7 +78,7 @@ class PieceCache:
         return out
 
 
-def by_bytes(batch, column: str, most: int = 1 << 20):
+def by_bytes(batch, column: str, most: int = 4 << 20):
     """Cuts an Arrow batch so that the texts of a part take about `most` bytes."""
     import pyarrow.compute as pc
 
