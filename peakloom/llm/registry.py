@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, token_files, toxicity, url_filter, warc
+from . import bpe, embedding_dedup, mixing, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
@@ -12,9 +12,10 @@ def queries() -> dict:
         "op6_token_files": token_files.op6_token_files,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_warc": warc.op8_warc,
+        "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "op8_warc": warc.SQL, "op10_url_filter": url_filter.SQL}
+    return {"op2_mixing": mixing.SQL, "op8_warc": warc.SQL, "op9_embedding_dedup": embedding_dedup.SQL, "op10_url_filter": url_filter.SQL}
