@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, mixing, neighbours, token_files, toxicity, url_filter, warc
+from . import bpe, embedding_dedup, mixing, neighbours, ngram_join, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
     return {
         "op2_mixing": mixing.op2_mixing,
         "op3_neighbours": neighbours.op3_neighbours,
+        "op4_ngram_join": ngram_join.op4_ngram_join,
         "op5_bpe": bpe.op5_bpe,
         "op6_token_files": token_files.op6_token_files,
         "op7_toxicity": toxicity.op7_toxicity,
