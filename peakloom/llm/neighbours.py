@@ -9,7 +9,7 @@ Queries meet the rows of their leaves in blocks: a leaf's rows and its queries a
 chunk of rows with one chunk of queries and keeps k for each query, with exact cosines in double precision; the best of all
 blocks are the result.  A leaf that a third of all rows fall into is many chunks.
 
-Scale: a row is sent once for each chunk of its leaf's queries, a query once for each chunk of rows in the leaves it opens.
+Scale: leaves hold at most about 4 * sqrt(rows) rows, so a query's k results of each leaf it opens grow slower than the rows; a row is sent once for each chunk of its leaf's queries, a query once for each chunk of rows in the leaves it opens.
 
 Cases: vectors that are null, zero or hold null or non-finite components, vectors of another length than most of the sample,
 and rows with a null id take no part, as candidates or queries.  Ties go to the smaller id; repeated ids are candidates each,
@@ -154,7 +154,7 @@ def block(k: int):
     return run
 
 
-def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97, sample: int = 20_000, leaf_rows: int = 512, chunk: int = 2048, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97, sample: int = 20_000, leaf_rows: int | None = None, chunk: int = 2048, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for each row that is_query picks."""
     spark = df.sparkSession
     scratch = common.Scratch(spark)
@@ -164,7 +164,8 @@ def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97,
     dim = int(sizes.mode()[0]) if len(sizes) else 1
     unit = vectors.unit(np.stack(drawn["vector"][sizes == dim].to_numpy())) if len(sizes) else np.zeros((0, dim))
     rows = rows.filter(F.size("vector") == dim)
-    tree = Tree(unit, rows.count(), leaf_rows=leaf_rows)
+    n = rows.count()
+    tree = Tree(unit, n, leaf_rows=leaf_rows or max(512, round(4 * n**0.5)))
     visits, _ = calibrate(tree, unit, k, recall)
     sent = spark.sparkContext.broadcast(tree)
 
