@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, mixing, neighbours, ngram_join, token_files, toxicity, url_filter, warc
+from . import bpe, embedding_dedup, mixing, neighbours, ngram_join, suffix_dedup, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_mixing": mixing.op2_mixing,
         "op3_neighbours": neighbours.op3_neighbours,
         "op4_ngram_join": ngram_join.op4_ngram_join,
