@@ -1,8 +1,83 @@
-"""Corpus pipeline; the stages follow below as they are built."""
+"""Corpus pipeline: toxic documents go, one document of each near-duplicate group stays, repeated passages go, sources are
+mixed to target weights, and what is left becomes token ids.
 
-STAGES = []
+Each stage takes the rows its predecessor kept and all but the last return the columns of documents (extra columns stay).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from peakloom.llm import bpe, common, mixing, ngram_join, suffix_dedup, toxicity
+
+#: Near duplicates: words in a shingle and the least Jaccard similarity in percent.  Repeats: bytes.
+SHINGLE_WORDS, SIMILARITY, REPEAT_BYTES = 5, 80, 100
+
+
+def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose score is below the threshold.  The model learns from the labelled rows outside the held-out third."""
+    scored = toxicity.score(docs, toxicity.fit(spark, sf_dir), keep=tuple(c for c in docs.columns if c != "doc_id"))
+    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each component of the n-gram Jaccard join, and one row of each id.
+
+    Rows without an id are in no group and stay.  Of rows that repeat an id, the first in the order of their texts' digests stays.
+    """
+    groups = ngram_join.join(docs, SHINGLE_WORDS, SIMILARITY)
+    gone = common.Scratch(spark).table(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id").orderBy(F.sha2(F.coalesce("text", F.lit("")), 256), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    return kept.withColumn("_row", F.row_number().over(order)).filter("doc_id is null or _row = 1").drop("_row")
+
+
+def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts every byte that a string of REPEAT_BYTES covers which also starts earlier; parts of characters at the cuts go as well.
+
+    Documents of which nothing but white space is left go.  n_chars follows the text.  Rows without an id stay as they are.
+    """
+    cut = suffix_dedup.dedup(docs, REPEAT_BYTES, with_text=True).filter("n_removed > 0 and doc_id is not null").select("doc_id", "kept_text")
+    changed = F.col("kept_text").isNotNull()
+    out = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("kept_text", "text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.filter(~changed | (F.regexp_count("text", F.lit(mixing.WORD)) > 0)).select(*docs.columns)
+
+
+def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: rows as often as they are taken."""
+    keyed = docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    mixed = mixing.mix(keyed, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS)
+    times = common.Scratch(spark).table(mixing.epochs(mixed.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_key")).agg(F.max("size").alias("size"), F.max("taken").alias("taken"))).select("_id", "_key"), "times")
+    return keyed.join(times, keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))).select(*docs.columns)
+
+
+def texts_become_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the text decoded from them, a row for each row of the mix."""
+    import public_tokenizers as P
+
+    return bpe.digests(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+
+
+STAGES = [
+    ("toxicity", toxic_documents_go),
+    ("n-gram Jaccard join", one_of_each_group_stays),
+    ("suffix-array dedup", repeated_passages_go),
+    ("mixing", sources_are_mixed),
+    ("byte-level BPE", texts_become_tokens),
+]
+
+#: SQL can't express the training, so run() is tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    scratch = common.Scratch(spark)
+    for name, stage in STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -326,7 +326,7 @@ def cut(length: int, with_text: bool):
         np.add.at(step, at, 1)
         np.add.at(step, np.minimum(at + length, len(data)), -1)
         gone = np.cumsum(step[:-1]) > 0
-        out: dict[str, list] = {c: [] for c in ("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans")}
+        out: dict[str, list] = {c: [] for c in ("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans")}
         ends = bounds(r["sizes"], r["copies"]).tolist()
         text = np.frombuffer(data, np.uint8)
         for i, n, copy, end in zip(r["ids"], r["sizes"], r["copies"], ends, strict=True):
@@ -338,16 +338,17 @@ def cut(length: int, with_text: bool):
                 spans = np.stack([edge[::2], edge[1::2]], 1).tolist()
                 removed = int(g.sum())
                 kept = data[end - n : end] if not removed else text[end - n : end][~g].tobytes()
-            for c, x in zip(out, (i, n, removed, len(spans), hashlib.sha256(kept).hexdigest(), kept, spans), strict=True):
+            for c, x in zip(out, (i, n, removed, len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None, spans), strict=True):
                 out[c].append(x)
-        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary(), pa.list_(pa.list_(pa.int64()))] * with_text
+        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.string(), pa.list_(pa.list_(pa.int64()))] * with_text
         yield pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in zip(out, kinds, strict=False)], list(out)[: len(kinds)])
 
     return run
 
 
 def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: bool = False, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256), a row a document; with_text adds kept (bytes) and spans ([from, to) pairs)."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256), a row a document; with_text adds kept_text (parts of
+    characters at the cuts left out) and spans ([from, to) pairs in bytes)."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
     packed = blocks(docs, length, scratch, id_column, text)
@@ -366,7 +367,7 @@ def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: boo
         now = scratch.table(suffixes(left, length, buckets, rounds, turn).groupBy("bucket").applyInArrow(settle("<u8", False), "block long, places binary"), "repeats")
         found = now if found is None else found.unionByName(now)
     scratch.drop(left)
-    schema = OUT + (", kept binary, spans array<array<long>>" if with_text else "")
+    schema = OUT + (", kept_text string, spans array<array<long>>" if with_text else "")
     return meet(packed, found, cut(length, with_text), schema).withColumnRenamed("id", id_column)
 
 
