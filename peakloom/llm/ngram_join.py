@@ -292,7 +292,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, id_column: str, text: s
                 yield pa.RecordBatch.from_arrays([b.column("_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64)))], ["id", "set"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), common.text_bytes(text).alias("_text"))
-    return rows.join(ids.withColumnRenamed("id", "_id"), "_id", "left_semi").mapInArrow(run, "id long, set array<long>")
+    return rows.join(ids.withColumnRenamed("id", "_id").hint("merge"), "_id", "left_semi").mapInArrow(run, "id long, set array<long>")
 
 
 def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,7 +319,7 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-        both = pairs.join(b, "b").join(a, "a")
+        both = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a")
         shared = F.size(F.array_intersect("sa", "sb"))
         linked = shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent
         return both.select("a", "b", linked.alias("linked"))
@@ -342,7 +342,7 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     crowd = crowd.join(cells, "cluster").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
     crowd = crowd.select("cluster", "id", "cell", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
-    blocks = crowd.join(sets, "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
+    blocks = crowd.join(sets.hint("merge"), "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
     linked = scratch.table(linked.union(blocks.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), "a long, b long")), "linked")
     comp = scratch.table(common.components(linked, scratch), "components")
     scratch.drop(sets)
