@@ -107,7 +107,10 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("ch
         return F.sequence(F.floor(F.col(s) / width), F.greatest(F.floor((F.col(e) - 1) / width), F.floor(F.col(s) / width)))
 
     def spread(df: DataFrame, s: str, e: str, short: list[tuple[int, int]], long: list[tuple[int, int]]) -> DataFrame:
-        pick = lambda levels: F.flatten(F.array(*[F.transform(bins(s, e, w), lambda b, n=n: F.struct(F.lit(n).alias("_level"), b.alias("_bin"))) for n, w in levels]))
+        def at(level: int, width: int) -> Column:
+            return F.transform(bins(s, e, width), lambda b: F.struct(F.lit(level).alias("_level"), b.alias("_bin")))
+
+        pick = lambda levels: F.flatten(F.array(*[at(*x) for x in levels]))
         return df.withColumn("_x", F.explode(F.when(F.col(e) - F.col(s) <= 8 * bin_width, pick(short)).otherwise(pick(long)))).select(*df.columns, "_x._level", "_x._bin")
 
     right = right.withColumnsRenamed({S: "r_start", E: "r_end"})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 def sample_pairs(values: DataFrame, row: str = "region_id", value: str = "n") -> DataFrame:
     """For each pair of samples (a < b) the sums over rows that correlations and distances need; rows hold every sample."""
     lists = values.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("sample_key", F.col(value).cast("double").alias("x")))).alias("v"))  # a sample each
-    a = lists.select(F.posexplode("v").alias("i", "p"), "v").select("p", F.explode(F.slice(F.col("v"), F.col("i") + 1, F.size("v"))).alias("q"))
+    a = lists.select(F.posexplode("v").alias("i", "p"), "v").select("p", F.explode(F.slice(F.col("v"), F.col("i") + 2, F.size("v"))).alias("q"))
     x, y = F.col("p.x"), F.col("q.x")
     return a.groupBy(F.col("p.sample_key").alias("a"), F.col("q.sample_key").alias("b")).agg(F.count("*").alias("m"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd"))
 
@@ -46,7 +46,9 @@ def pca(values: DataFrame, row: str = "region_id", value: str = "value", top: in
     most = values.groupBy(row).agg(F.var_samp(value).alias("_v"), F.avg(value).alias("_m")).orderBy(F.col("_v").desc(), row).limit(top)
     centred = values.join(F.broadcast(most), row).withColumn("_c", F.col(value) - F.col("_m"))  # at most `top` rows
     gram = sample_pairs(centred, row, "_c").select("a", "b", "sxy").collect()  # samples squared
-    names = sorted({r.a for r in gram} | {r.b for r in gram})
+    own = centred.groupBy(F.col("sample_key").alias("a")).agg(F.sum(F.col("_c") * F.col("_c")).alias("sxy")).select("a", F.col("a").alias("b"), "sxy").collect()  # a row a sample
+    gram += own
+    names = sorted({r.a for r in own})
     at = {k: i for i, k in enumerate(names)}
     g = np.zeros((len(names), len(names)))
     for r in gram:

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def entry(spark, sf_dir):
-    raise NotImplementedError
+from ..operators import counting
+from . import queries as q
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments of each sample in each replicate-supported region, with the sample's factor and robust CPM scale."""
+    counts = q.matrix(spark, sf_dir)
+    return counts.join(F.broadcast(counting.scales(counts).select("sample_key", "size_factor", "robust_cpm_scale")), "sample_key")  # a row a sample
 
 
 def queries() -> dict:
-    return {}
+    return dict(q.QUERIES) | {"flagship": entry}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(q.SQL)
