@@ -17,8 +17,8 @@ SHINGLE_WORDS, SIMILARITY, REPEAT_BYTES = 5, 80, 100
 
 def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose score is below the threshold.  The model learns from the labelled rows outside the held-out third."""
-    scored = toxicity.score(docs, toxicity.fit(spark, sf_dir), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.score(docs, toxicity.fit(spark, sf_dir), keep=tuple(docs.columns))
+    return scored.filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
     order = Window.partitionBy("doc_id").orderBy(F.sha2(F.coalesce("text", F.lit("")), 256), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return kept.withColumn("_row", F.row_number().over(order)).filter("doc_id is null or _row = 1").drop("_row")
+    return kept.withColumn("__row", F.row_number().over(order)).filter("doc_id is null or __row = 1").drop("__row")
 
 
 def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +40,9 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents of which nothing but white space is left go.  n_chars follows the text.  Rows without an id stay as they are.
     """
-    cut = suffix_dedup.dedup(docs, REPEAT_BYTES, with_text=True).filter("n_removed > 0 and doc_id is not null").select("doc_id", "kept_text")
-    changed = F.col("kept_text").isNotNull()
-    out = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("kept_text", "text"))
+    cut = suffix_dedup.dedup(docs, REPEAT_BYTES, with_text=True).filter("n_removed > 0 and doc_id is not null").select("doc_id", F.col("kept_text").alias("__kept"))
+    changed = F.col("__kept").isNotNull()
+    out = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("__kept", "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.filter(~changed | (F.regexp_count("text", F.lit(mixing.WORD)) > 0)).select(*docs.columns)
@@ -50,10 +50,10 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: rows as often as they are taken."""
-    keyed = docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = docs.withColumn("__text", F.sha2(F.coalesce("text", F.lit("")), 256))
     mixed = mixing.mix(keyed, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS)
-    times = common.Scratch(spark).table(mixing.epochs(mixed.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_key")).agg(F.max("size").alias("size"), F.max("taken").alias("taken"))).select("_id", "_key"), "times")
-    return keyed.join(times, keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))).select(*docs.columns)
+    times = common.Scratch(spark).table(mixing.epochs(mixed.groupBy(F.col("doc_id").alias("__id"), F.col("__text").alias("__key")).agg(F.max("size").alias("size"), F.max("taken").alias("taken"))).select("__id", "__key"), "times")
+    return keyed.join(times, keyed.doc_id.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))).select(*docs.columns)
 
 
 def texts_become_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,7 +69,8 @@ def mix(df: DataFrame, weights: list[int], share: float = 1.5, most_epochs: int
     w = F.lit(1.0) if quality is None else quality.cast("double")
     key = F.when((w > 0) & ~F.isnan(w), -F.log(uniform(id_column, text, seed=seed)) / w).otherwise(F.lit(float("inf")))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    docs = scratch.table(df.select(*rest, size.alias("size"), key.alias("_key"), F.col(source).alias("_source")), "sized")
+    # the rows' own columns travel in one struct, so none of their names can clash
+    docs = scratch.table(df.select(F.struct(*rest).alias("_rest"), F.col(id_column).alias("_id"), size.alias("size"), key.alias("_key"), F.col(source).alias("_source")), "sized")
     sizes = docs.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = target_table(sizes, weights, share, most_epochs, scratch).withColumnRenamed("source", "_s")
     spread = docs.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(64)))
@@ -80,14 +81,14 @@ def mix(df: DataFrame, weights: list[int], share: float = 1.5, most_epochs: int
     docs = scratch.table(docs, "ranges")
     sums = docs.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
     before = sums.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"), (F.sum("_sum").over(Window.partitionBy("_source").orderBy("_range")) - F.col("_sum")).alias("_before"))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", id_column, "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     docs = docs.withColumn("_inside", F.sum("size").over(inside) - F.col("size"))
     docs = docs.join(before, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     missing = F.col("target") - whole * F.col("source_size")
     once_more = (F.col("_before") + F.col("_inside") + F.col("size") / 2 <= missing).cast("long")
     taken = F.when(F.col("size") > 0, (whole + once_more) * F.col("size")).otherwise(0).cast("long")
-    return docs.withColumn("taken", taken).select(*rest, "size", "source_size", "target", "taken")
+    return docs.withColumn("taken", taken).select("_rest.*", "size", "source_size", "target", "taken")
 
 
 def epochs(mixed: DataFrame) -> DataFrame:

@@ -211,6 +211,32 @@ def groups(table):
     return pa.table({"gid": pa.array(np.repeat(gid[some], size[some]), pa.int64()), "id": pa.array(who[at], pa.int64())})
 
 
+def compare(percent: int):
+    """Compares each centre's set, which comes first of its chunk, with the sets that follow."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        centre, mine = None, np.zeros(0, np.int64)
+        for whole in batches:
+            for t in common.batches(iter([whole]), 512):
+                flat, offsets = t.column("set").flatten().to_numpy(), t.column("set").offsets.to_numpy()
+                offsets = offsets - offsets[0]
+                out: list[tuple[int, int, bool]] = []
+                for i, (a, b) in enumerate(zip(t.column("a").to_pylist(), t.column("id").to_pylist(), strict=True)):
+                    s = flat[offsets[i] : offsets[i + 1]]
+                    if a == b:
+                        centre, mine = a, np.sort(s)
+                    elif a == centre and len(mine):
+                        at = np.minimum(np.searchsorted(mine, s), len(mine) - 1)
+                        n = int((mine[at] == s).sum())
+                        out.append((a, b, n * 100 >= (len(mine) + len(s) - n) * percent))
+                a, b, linked = zip(*out, strict=True) if out else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+
+    return run
+
+
 def block_links(percent: int):
     """A spanning forest (a, b) of the links between two cells of a cluster, or within one."""
 
@@ -310,19 +336,25 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     classes = scratch.table(sized.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     # members by their class, as several blocks may have signed an equal set
     who = sized.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").filter("digest is not null").join(classes.select("digest", "rep", F.col("n").alias("size")), "digest").select(F.col("doc_id").alias("id"), "rep", "size").distinct()
-    member = scratch.table(found.join(who, "id").select("gid", F.col("rep").alias("id"), "size").distinct(), "members")
+    member = scratch.table(found.join(who, "id").select("gid", F.col("rep").alias("id"), "size").distinct(), "all-members")
     scratch.drop(found)
+    # groups of one set, or of two whose sizes alone rule a link out, have nothing to verify
+    shape = member.groupBy("gid").agg(F.count("*").alias("_n"), F.min("size").alias("_s"), F.max("size").alias("_l")).filter((F.col("_n") > 2) | ((F.col("_n") == 2) & (F.col("_s") * 100 >= F.col("_l") * percent))).select("gid")
+    every, member = member, scratch.table(member.join(shape, "gid"), "members")
+    scratch.drop(every)
     sets = scratch.table(sets_of(docs, member.select("id").distinct(), width, id_column, text), "sets")
 
     def close(a: str, b: str) -> F.Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a, b = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-        both = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        linked = shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent
-        return both.select("a", "b", linked.alias("linked"))
+        """(a, b, linked).  Sets travel twice: to their pairs by b, then to a's task; a centre with many pairs is several chunks."""
+        load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 512).alias("chunks"))
+        spread = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+        own = load.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+        rows = spread.unionByName(own).withColumnRenamed("b", "id").join(sets.hint("merge"), "id").select("a", "id", "chunk", "set")
+        rows = rows.repartition(common.shuffle_partitions(spark), "a", "chunk").sortWithinPartitions("a", "chunk", F.col("id") != F.col("a"), "id")
+        return rows.mapInArrow(compare(percent), "a long, b long, linked boolean")
 
     # every set against the smallest set of its groups
     lowest = member.groupBy("gid").agg(F.min(F.struct("id", "size")).alias("c"), F.max("id").alias("_max")).filter("c.id < _max").select("gid", "c")
@@ -334,7 +366,7 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     open_ = scratch.table(placed.join(state, "gid"), "open")
     few = open_.filter(F.col("_n") <= SMALL)
     rest = few.alias("x").join(few.alias("y"), "gid").filter("x.id < y.id and x.comp <> y.comp").filter(close("x.size", "y.size")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    linked = tested.filter("linked").select("a", "b").union(verify(rest.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")).filter("linked").select("a", "b"))
+    rest = scratch.table(verify(rest.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")).filter("linked").select("a", "b"), "rest")
     large = open_.filter(F.col("_n") > SMALL)
     crowd = common.components(large.select(F.col("_low").alias("a"), F.col("id").alias("b")), scratch).withColumnRenamed("component", "cluster")
     crowd = scratch.table(crowd.join(large.select("id", "size").distinct(), "id"), "clusters")
@@ -343,9 +375,10 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
     crowd = crowd.select("cluster", "id", "cell", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
     blocks = crowd.join(sets.hint("merge"), "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
-    linked = scratch.table(linked.union(blocks.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), "a long, b long")), "linked")
-    comp = scratch.table(common.components(linked, scratch), "components")
+    blocked = scratch.table(blocks.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), "a long, b long"), "blocked")
     scratch.drop(sets)
+    linked = tested.filter("linked").select("a", "b").union(rest).union(blocked)
+    comp = scratch.table(common.components(linked, scratch), "components")
     known = scratch.table(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "known")
     out = sized.join(known, "digest", "left")
     return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

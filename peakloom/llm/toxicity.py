@@ -103,13 +103,10 @@ def train(docs: DataFrame, labels: DataFrame, scratch: common.Scratch, label: st
     return {"at": found["at"].to_numpy(np.int64), "weight": found["weight"].to_numpy(np.float64)}
 
 
-_dense: tuple = (None, None)
-
-
-def score(docs: DataFrame, weights: dict[str, np.ndarray], id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score, and the columns in `keep`), a row a document."""
+def score(docs: DataFrame, weights: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """(row, score) for each document: row is a struct of the columns in `keep`."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
-    kind = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_column, *keep))
+    rows = docs.select(F.struct(*keep).alias("row"), common.text_bytes(text).alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -122,13 +119,13 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray], id_column: str = "doc
         for whole in batches:
             for b in common.batches(iter([whole]), 256):
                 out = []
-                for t in b.column("_text").to_pylist():
+                for t in b.column("text").to_pylist():
                     at = features(t, hashes)
                     at = np.unique(at[some[at]])
                     out.append(0.0 if none else logistic(bias + dense[at].sum()))
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in (id_column, *keep)], pa.array(out, pa.float64())], [id_column, *keep, "score"])
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.float64())], ["row", "score"])
 
-    return docs.select(id_column, *keep, common.text_bytes(text).alias("_text")).mapInArrow(run, f"{kind}, score double")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:
@@ -144,5 +141,5 @@ def fit(spark: SparkSession, sf_dir: str) -> dict[str, np.ndarray]:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = score(common.documents(spark, sf_dir), fit(spark, sf_dir))
+    out = score(common.documents(spark, sf_dir), fit(spark, sf_dir)).select("row.doc_id", "score")
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -123,8 +123,8 @@ def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", de
         cascades = {v: Cascade.build(listed.filter(F.col("verdict") == v), universe, max_filter_bytes) for v in verdicts}
     except OverflowError:
         return _by_join(out, listed, keys, default)
-    hit = F.get(F.filter(F.col("_keys"), lambda k: _any([c.has(k) for c in cascades.values()])), F.lit(0))
-    out = out.withColumn("_keys", keys).withColumn("rule", hit).drop("_keys")
+    hit = F.get(F.filter(F.col("__keys"), lambda k: _any([c.has(k) for c in cascades.values()])), F.lit(0))
+    out = out.withColumn("__keys", keys).withColumn("rule", hit).drop("__keys")
     verdict = F.lit(default)
     for v in verdicts:
         verdict = F.when(F.col("rule").isNotNull() & cascades[v].has(F.col("rule")), F.lit(v)).otherwise(verdict)
@@ -141,8 +141,8 @@ def _any(xs: list[F.Column]) -> F.Column:
 def _by_join(df: DataFrame, listed: DataFrame, keys: F.Column, default: str) -> DataFrame:
     """For lists too long for the plan: the distinct keys of the corpus are joined with the list, then back."""
     spots = df.select("host", "path").distinct()
-    best = spots.select("host", "path", F.explode(keys).alias("key")).join(listed, "key").groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), F.length("key")).alias("_hit"))
-    return df.join(best, ["host", "path"], "left").withColumns({"rule": F.col("_hit.key"), "verdict": F.coalesce("_hit.verdict", F.lit(default))}).drop("_hit")
+    best = spots.select("host", "path", F.explode(keys).alias("key")).join(listed, "key").groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), F.length("key")).alias("__hit"))
+    return df.join(best, ["host", "path"], "left").withColumns({"rule": F.col("__hit.key"), "verdict": F.coalesce("__hit.verdict", F.lit(default))}).drop("__hit")
 
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
