@@ -136,7 +136,7 @@ def keyed_value(spark: SparkSession, path: str, column: str) -> DataFrame:
 
 def duplication_metrics(spark: SparkSession, path: str) -> DataFrame:
     """PERCENT_DUPLICATION by header name, in percent, from whole metric files (some lines each)."""
-    f = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\r?\n").alias("l"))
+    f = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\r?\n").alias("l"))
     at = F.array_position(F.transform("l", lambda x: x.startswith("LIBRARY\t")), F.lit(True))
     head, row = F.split(F.get("l", (at - 1).cast("int")), "\t"), F.split(F.get("l", at.cast("int")), "\t")
     i = F.array_position(head, F.lit("PERCENT_DUPLICATION"))
@@ -166,7 +166,7 @@ def metrics_json(spark: SparkSession, path: str) -> DataFrame:
             rows = [(p, k, v) for p, t in zip(f["file"], f["value"], strict=True) for k, v in flatten(json.loads(t))]
             yield pd.DataFrame(rows, columns=["file", "path", "value"])
 
-    out = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value").mapInPandas(run, "file string, path string, value string")
+    out = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value").mapInPandas(run, "file string, path string, value string")
     return out.filter(F.regexp_replace(F.lower("path"), "[^a-z0-9]+", "_").rlike("|".join(METRIC_TOKENS)))
 
 
