@@ -5,9 +5,9 @@ broadcast; every row is then indexed: it goes down to the nearest centre of each
 priority queue over the distances to centres met so far.  How many leaves it opens is calibrated: on queries drawn from the
 sample, against brute force over the sample, leaf visits are widened until the recall of the k nearest reaches `recall`.
 
-Queries meet the rows of their leaves in blocks: a leaf's rows and its queries are dealt into chunks, a task multiplies one
-chunk of rows with one chunk of queries and keeps k for each query, with exact cosines in double precision; the best of all
-blocks are the result.  A leaf that a third of all rows fall into is many chunks.
+Queries meet the rows of their leaves in blocks: neighbouring leaves form groups, a group's rows and queries are dealt into
+chunks, a task multiplies, leaf by leaf, one chunk of rows with one chunk of queries and keeps k for each query, with exact
+cosines in double precision; the best of all blocks are the result.  A leaf that a third of all rows fall into is many chunks.
 
 Scale: leaves hold at most about 4 * sqrt(rows) rows, so a query's k results of each leaf it opens grow slower than the rows; a row is sent once for each chunk of its leaf's queries, a query once for each chunk of rows in the leaves it opens.
 
@@ -124,7 +124,7 @@ def calibrate(tree: Tree, unit: np.ndarray, k: int, recall: float, queries: int
 
 
 def block(k: int):
-    """The k nearest of one chunk's rows for each of one chunk's queries."""
+    """For each query of a chunk the k nearest among a chunk's rows that lie in the leaves it opens."""
 
     def run(table):
         import pyarrow as pa
@@ -136,25 +136,31 @@ def block(k: int):
         m = m / np.abs(m).max(1, keepdims=True)
         size = np.sqrt((m * m).sum(1))
         at, rows = np.flatnonzero(query), np.flatnonzero(~query)
-        out: list[tuple[int, int, float]] = []
-        base = m[rows] / size[rows, None]
-        for a in range(0, len(at) if len(rows) else 0, 256):
-            some = at[a : a + 256]
-            near = (m[some] / size[some, None]) @ base.T
-            near[ids[some][:, None] == ids[rows][None, :]] = -2
-            kth = np.partition(near, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(some), -1.5)
-            for i, q in enumerate(some.tolist()):
-                c = rows[near[i] >= max(kth[i] - 1e-9, -1.5)]
-                score = (m[c] * m[q]).sum(1) / (size[c] * size[q])  # row by row, so equal vectors get equal scores
-                best = np.lexsort((ids[c], -score))[:k]
-                out += zip([int(ids[q])] * len(best), ids[c][best].tolist(), score[best].tolist(), strict=True)
+        leaf = table.column("leaf").to_numpy()
+        rows = rows[np.argsort(leaf[rows], kind="stable")]
+        base, own = m[rows] / size[rows, None], leaf[rows]
+        best: dict[int, list[tuple[float, int]]] = {}
+        for n in np.unique(leaf[at]).tolist():
+            lo, hi = np.searchsorted(own, n), np.searchsorted(own, n, side="right")
+            asked = at[leaf[at] == n]
+            for a in range(0, len(asked) if hi > lo else 0, 256):
+                some = asked[a : a + 256]
+                near = (m[some] / size[some, None]) @ base[lo:hi].T
+                near[ids[some][:, None] == ids[rows[lo:hi]][None, :]] = -2
+                kth = np.partition(near, -k, axis=1)[:, -k] if hi - lo > k else np.full(len(some), -1.5)
+                for i, q in enumerate(some.tolist()):
+                    c = rows[lo:hi][near[i] >= max(kth[i] - 1e-9, -1.5)]
+                    score = (m[c] * m[q]).sum(1) / (size[c] * size[q])  # row by row, so equal vectors get equal scores
+                    top = np.lexsort((ids[c], -score))[:k]
+                    best.setdefault(int(ids[q]), []).extend(zip((-score[top]).tolist(), ids[c][top].tolist(), strict=True))
+        out = [(q, i, -s) for q, found in best.items() for s, i in sorted(found)[:k]]
         a, b, s = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
 
     return run
 
 
-def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97, sample: int = 20_000, leaf_rows: int | None = None, chunk: int = 2048, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97, sample: int = 20_000, leaf_rows: int | None = None, chunk: int = 4096, groups: int = 32, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for each row that is_query picks."""
     spark = df.sparkSession
     scratch = common.Scratch(spark)
@@ -178,6 +184,7 @@ def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97,
 
     placed = scratch.table(rows.mapInArrow(place, "id long, vector array<double>, asks boolean, leaf long"), "placed")
     held = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf of the tree
+    group = F.floor(F.col("leaf") * min(groups, tree.leaves) / F.lit(tree.leaves))  # neighbouring leaves of the tree
 
     def opened(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -197,14 +204,14 @@ def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97,
                 yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(ids, pa.int64())), b.column("vector").take(pa.array(ids, pa.int64())), pa.array(leaves, pa.int64())], ["id", "vector", "leaf"])
 
     asked = scratch.table(placed.filter("asks").select("id", "vector").mapInArrow(opened, "id long, vector array<double>, leaf long"), "asked")
-    asks = {r["leaf"]: r["n"] for r in asked.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    parts = spark.createDataFrame([(leaf, -(-n // chunk), -(-asks.get(leaf, 0) // chunk)) for leaf, n in held.items()], "leaf long, row_chunks long, query_chunks long")
+    chunks = lambda df, name: df.groupBy(group.alias("g")).agg(F.ceil(F.count("*") / chunk).alias(name))
+    parts = scratch.table(chunks(placed, "row_chunks").join(chunks(asked, "query_chunks"), "g"), "chunks")
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    known = F.broadcast(parts.filter("query_chunks > 0"))  # a row a leaf of the tree
-    left = placed.join(known, "leaf").select("leaf", "id", "vector", F.lit(False).alias("query"), mine("row_chunks").alias("r"), each("query_chunks").alias("q"))
-    right = asked.join(known, "leaf").select("leaf", "id", "vector", F.lit(True).alias("query"), each("row_chunks").alias("r"), mine("query_chunks").alias("q"))
-    found = left.unionByName(right).groupBy("leaf", "r", "q").applyInArrow(block(k), "query_id long, vec_id long, score double")
+    known = F.broadcast(parts)  # at most `groups` rows
+    left = placed.withColumn("g", group).join(known, "g").select("g", "leaf", "id", "vector", F.lit(False).alias("query"), mine("row_chunks").alias("r"), each("query_chunks").alias("q"))
+    right = asked.withColumn("g", group).join(known, "g").select("g", "leaf", "id", "vector", F.lit(True).alias("query"), each("row_chunks").alias("r"), mine("query_chunks").alias("q"))
+    found = left.unionByName(right).groupBy("g", "r", "q").applyInArrow(block(k), "query_id long, vec_id long, score double")
     found = scratch.table(found, "found")
     scratch.drop(placed, asked)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
