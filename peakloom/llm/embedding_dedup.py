@@ -130,13 +130,14 @@ def links(df: DataFrame, cosine: float = 0.93, miss: float = 1e-4, cell: int = 2
     planes = planes_for(reps.count())
     tables = tables_for(planes, cosine, miss)
     signed = scratch.table(signatures(reps.select("rep", "label", "embedding", "copies"), tables, planes, seed), "signed")
+    signed = signed.withColumn("dim", F.size("embedding"))
     member = signed.select("*", F.posexplode("sigs").alias("t", "sig"))
-    key = ["t", "label", "sig"]
-    sizes = signed.select("label", F.posexplode("sigs").alias("t", "sig")).groupBy(*key).agg(F.ceil(F.count("*") / cell).alias("cells"))
+    key = ["t", "label", "dim", "sig"]
+    sizes = signed.select("label", "dim", F.posexplode("sigs").alias("t", "sig")).groupBy(*key).agg(F.ceil(F.count("*") / cell).alias("cells"))
     # buckets of one cell need no table of sizes; larger ones get theirs by an equi-join (AQE splits a hot bucket)
     member = member.join(sizes, key).withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))
-    member = member.select("rep", "label", "embedding", "copies", "sigs", "t", "sig", "cell", other.alias("other"))
+    member = member.select("rep", "label", "dim", "embedding", "copies", "sigs", "t", "sig", "cell", other.alias("other"))
     member = member.select("*", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
     # dealt by block, or all blocks of a hot bucket would stay in the task that the join left them in
     member = member.repartition(common.shuffle_partitions(spark), *key, "i", "j")

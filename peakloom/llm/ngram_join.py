@@ -380,8 +380,10 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     linked = tested.filter("linked").select("a", "b").union(rest).union(blocked)
     comp = scratch.table(common.components(linked, scratch), "components")
     known = scratch.table(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "known")
-    out = sized.join(known, "digest", "left")
-    return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # documents without words look up a key of their own, so they don't meet in one task
+    out = sized.withColumn("digest", F.coalesce("digest", F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))).join(known, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
