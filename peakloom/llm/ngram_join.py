@@ -14,8 +14,9 @@ So any two linked sets share a signature, and sharing one proves nothing: every
 
 No group's pairs are emitted.  Each set is first verified against the smallest set of any of its groups, and the links become
 components; a group inside one component needs no more.  In other groups of at most SMALL sets, the pairs between components are
-verified one by one.  Larger ones (a crowd of near copies that are not near enough, say) are gathered into clusters by common
-members, a cluster is cut into cells of bounded size, and each pair of cells is one block: a task counts all its intersections
+verified one by one.  From larger ones (documents that share a passage, or a
+crowd of near copies that are not near enough) go the members whose shingle counts over PARTS parts of the domain differ too
+much from all others'; what stays is gathered into clusters by common members, a cluster is cut into cells of bounded size, and each pair of cells is one block: a task counts all its intersections
 as a product of incidence matrices, and a spanning forest of the block's links is all that leaves it.  So no link between
 components is lost; links inside a component need not be tested to know it.
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from . import common, pieces
 from .common import U64, mix
 
-FEW, SMALL, CELL = 3, 6, 1_000_000
+FEW, SMALL, CELL, PARTS = 3, 6, 1_000_000, 256
 GOLD = U64(0x9E3779B97F4A7C15)
 
 
@@ -211,6 +212,36 @@ def groups(table):
     return pa.table({"gid": pa.array(np.repeat(gid[some], size[some]), pa.int64()), "id": pa.array(who[at], pa.int64())})
 
 
+def plausible(percent: int):
+    """The members of a group (or of two of its cells) that may link with another one.
+
+    Two sets differ in at least as many shingles as their counts over PARTS parts of the domain do, so a member whose counts are
+    further from all others than the threshold allows has no link here.
+    """
+
+    def run(table):
+        import pyarrow as pa
+
+        table = table.combine_chunks()
+        ids, size = table.column("id").to_numpy(), table.column("size").to_numpy()
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).astype(np.int16).reshape(len(ids), PARTS)
+        keep = np.zeros(len(ids), bool)
+
+        def near(i: int) -> np.ndarray:
+            out = np.abs(counts - counts[i]).sum(1, dtype=np.int64) * (100 + percent) <= (size + size[i]) * (100 - percent)
+            return out & (ids != ids[i])
+
+        for i in range(len(ids)):  # in a crowd the first few settle nearly all
+            if not keep[i]:
+                found = near(i)
+                if found.any():
+                    keep |= found
+                    keep[i] = True
+        return pa.table({"gid": table.column("gid").filter(pa.array(keep)), "id": pa.array(ids[keep], pa.int64())})
+
+    return run
+
+
 def compare(percent: int):
     """Compares each centre's set, which comes first of its chunk, with the sets that follow."""
 
@@ -315,10 +346,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, id_column: str, text: s
             for b in pieces.by_bytes(whole, "_text", 4 << 20):
                 doc, s = shingles(b.column("_text").to_pylist(), width, hashes)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b.num_rows))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column("_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64)))], ["id", "set"])
+                place = doc * PARTS + (mix(s ^ GOLD) % U64(PARTS)).astype(np.int64)
+                counts = np.minimum(np.bincount(place, minlength=b.num_rows * PARTS), 255).astype(np.uint8).reshape(-1, PARTS)
+                yield pa.RecordBatch.from_arrays([b.column("_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64))), pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "set", "counts"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), common.text_bytes(text).alias("_text"))
-    return rows.join(ids.withColumnRenamed("id", "_id").hint("merge"), "_id", "left_semi").mapInArrow(run, "id long, set array<long>")
+    return rows.join(ids.withColumnRenamed("id", "_id").hint("merge"), "_id", "left_semi").mapInArrow(run, "id long, set array<long>, counts binary")
 
 
 def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -352,7 +385,7 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
         load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 512).alias("chunks"))
         spread = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
         own = load.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-        rows = spread.unionByName(own).withColumnRenamed("b", "id").join(sets.hint("merge"), "id").select("a", "id", "chunk", "set")
+        rows = spread.unionByName(own).withColumnRenamed("b", "id").join(sets.select("id", "set").hint("merge"), "id").select("a", "id", "chunk", "set")
         rows = rows.repartition(common.shuffle_partitions(spark), "a", "chunk").sortWithinPartitions("a", "chunk", F.col("id") != F.col("a"), "id")
         return rows.mapInArrow(compare(percent), "a long, b long, linked boolean")
 
@@ -367,14 +400,19 @@ def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", t
     few = open_.filter(F.col("_n") <= SMALL)
     rest = few.alias("x").join(few.alias("y"), "gid").filter("x.id < y.id and x.comp <> y.comp").filter(close("x.size", "y.size")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     rest = scratch.table(verify(rest.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")).filter("linked").select("a", "b"), "rest")
-    large = open_.filter(F.col("_n") > SMALL)
-    crowd = common.components(large.select(F.col("_low").alias("a"), F.col("id").alias("b")), scratch).withColumnRenamed("component", "cluster")
-    crowd = scratch.table(crowd.join(large.select("id", "size").distinct(), "id"), "clusters")
+    large = open_.filter(F.col("_n") > SMALL).withColumn("_cells", F.ceil(F.col("_n") / 4096)).withColumn("_cell", F.pmod(F.xxhash64("id"), F.col("_cells")))
+    large = large.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1))).select("gid", "id", "size", F.least("_cell", "_other").alias("i"), F.greatest("_cell", "_other").alias("j"))
+    large = large.join(sets.select("id", "counts").hint("merge"), "id").repartition(common.shuffle_partitions(spark), "gid", "i", "j")
+    large = scratch.table(large.groupBy("gid", "i", "j").applyInArrow(plausible(percent), "gid long, id long").distinct(), "plausible")
+    low = large.groupBy("gid").agg(F.min("id").alias("low"))
+    crowd = common.components(large.join(low, "gid").select(F.col("low").alias("a"), F.col("id").alias("b")), scratch).withColumnRenamed("component", "cluster")
+    sizes = member.select("id", "size").distinct()
+    crowd = scratch.table(crowd.join(sizes, "id"), "clusters")
     cells = crowd.groupBy("cluster").agg(F.ceil(F.sum("size") / CELL).alias("cells"))
     crowd = crowd.join(cells, "cluster").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
     crowd = crowd.select("cluster", "id", "cell", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
-    blocks = crowd.join(sets.hint("merge"), "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
+    blocks = crowd.join(sets.select("id", "set").hint("merge"), "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
     blocked = scratch.table(blocks.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), "a long, b long"), "blocked")
     scratch.drop(sets)
     linked = tested.filter("linked").select("a", "b").union(rest).union(blocked)
