@@ -49,7 +49,8 @@ def regions(spark: SparkSession, d: str) -> DataFrame:
 
 def matrix(spark: SparkSession, d: str) -> DataFrame:
     r = regions(spark, d)
-    return counting.complete(counting.overlap_counts(units(spark, d), r), r, fx.samples(spark))
+    # read several times by factors and scales, so kept; blocks that are lost are made again
+    return counting.complete(counting.overlap_counts(units(spark, d), r), r, fx.samples(spark)).persist()
 
 
 def merged_sql(source: str, keys: str) -> str:
@@ -286,7 +287,7 @@ def fitted(spark, d):
     order = ["stem", "prolif", "Day4"]
     used = {k: c for k, c in zip(fx.KEYS, fx.CONDITIONS, strict=True) if c in order}
     r = regions(spark, d)
-    c = counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used))
+    c = counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used)).persist()
     factors = {x.sample_key: x.size_factor for x in counting.poscounts_factors(c).collect()}  # a row a sample
     return stats.nb_fit(c, factors, used, order)
 
