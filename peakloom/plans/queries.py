@@ -239,7 +239,7 @@ query("n2_cpm_track", f"{fx.cte('frag')}, {UNITS}, {COVER}, c AS (SELECT sample_
 query("n2b_cpm_metadata", f"{fx.cte('frag')}, {UNITS} SELECT sample_key, count(*) AS normalisation_count, array_to_string(list_sort(list(DISTINCT chrom)), ',') AS contigs, 10::BIGINT AS bin_size FROM units GROUP BY 1")(lambda spark, d: units(spark, d).groupBy("sample_key").agg(F.count("*").alias("normalisation_count"), F.array_join(F.array_sort(F.collect_set("chrom")), ",").alias("contigs"), F.lit(10).cast("long").alias("bin_size")))
 RPKM = "tot AS (SELECT sample_key, count(*) AS total FROM units GROUP BY 1), rp AS (SELECT sample_key, chrom, bin, count(*) AS n, count(*) * 1e9 / (any_value(total) * 100000) AS score FROM (SELECT sample_key, chrom, unnest(range(CAST(floor(start_pos / 100000) AS BIGINT), CAST(floor((end_pos - 1) / 100000) AS BIGINT) + 1)) AS bin FROM units) JOIN tot USING (sample_key) GROUP BY 1, 2, 3)"
 query("n3_rpkm_bins", f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, n, round(score, 6) AS score FROM rp")(lambda spark, d: counting.rpkm(units(spark, d)).withColumn("score", F.round("score", 6)))
-query("q16_karyogram", f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, round(score / max(score) OVER (PARTITION BY sample_key), 6) AS own_share, round(score / max(score) OVER (), 6) AS global_share FROM rp")(lambda spark, d: counting.karyogram(counting.rpkm(units(spark, d))).select("sample_key", "chrom", "bin", F.round("own_share", 6).alias("own_share"), F.round("global_share", 6).alias("global_share")))
+query("q16_karyogram", f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, round(score / max(score) OVER (PARTITION BY sample_key), 9) AS own_share, round(score / max(score) OVER (), 9) AS global_share FROM rp")(lambda spark, d: counting.karyogram(counting.rpkm(units(spark, d))).select("sample_key", "chrom", "bin", F.round("own_share", 9).alias("own_share"), F.round("global_share", 9).alias("global_share")))
 query("n4_size_factors", f"{BASE}, {FACTORS} SELECT sample_key, round(size_factor, 9) AS size_factor FROM sf")(lambda spark, d: counting.poscounts_factors(matrix(spark, d)).withColumn("size_factor", F.round("size_factor", 9)))
 
 
