@@ -171,9 +171,29 @@ def metrics_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
-    """(read_id, mate, seq, qual): records of four lines, which begin with '@'; lineSep keeps records whole across splits."""
-    rows = spark.read.option("lineSep", "\n@").text(path).select(F.split(F.regexp_replace("value", "^@", ""), "\r?\n").alias("l")).filter(F.size("l") >= 4)
-    return rows.select(F.regexp_extract(F.col("l")[0], r"^(\S+)", 1).alias("read_id"), F.lit(mate).alias("mate"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"))
+    """(read_id, mate, seq, qual) from records of four lines.
+
+    Parallelism is by file: a gzip file is one split.  A plain file that Spark would split inside a record is an error, not a loss;
+    compress it or raise spark.sql.files.maxPartitionBytes.
+    """
+
+    def run(frames: Iterator) -> Iterator:
+        import pandas as pd
+
+        held: list[str] = []
+        for f in frames:
+            held += f["value"].tolist()
+            n = len(held) // 4 * 4
+            head, seq, plus, qual = held[:n:4], held[1:n:4], held[2:n:4], held[3:n:4]
+            held = held[n:]
+            if any(not h.startswith("@") or not p.startswith("+") or len(s) != len(q) for h, s, p, q in zip(head, seq, plus, qual, strict=True)):
+                raise ValueError("not a whole FASTQ record at a split's start: compress the file or use larger splits")
+            yield pd.DataFrame({"read_id": [h[1:].split()[0] if h[1:].split() else "" for h in head], "seq": seq, "qual": qual})
+        if held:
+            raise ValueError("a FASTQ record is cut off at a split's end: compress the file or use larger splits")
+
+    rows = _lines(spark, path).mapInPandas(run, "read_id string, seq string, qual string")
+    return rows.select("read_id", F.lit(mate).alias("mate"), "seq", "qual")
 
 
 def discover(spark: SparkSession, folders: list[str], pattern: str = "differential_accessibility_comparisons.tsv") -> DataFrame:
