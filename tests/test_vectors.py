@@ -251,3 +251,19 @@ def test_funnel_and_policies_are_ordered(spark):
     f = reads.mark_duplicates(fixture.table(spark, "/root/testdata/sf0.001", "frag"))
     n = {r.policy: r["count"] for r in reads.filtering_policies(f, reads.is_canonical(), F.col("is_dup")).groupBy("policy").count().collect()}
     assert n["permissive"] >= n["intermediate"] >= n["stringent"] > 0
+
+
+def test_zero_peaks_and_blacklist_over_whole_tables(spark):
+    from conftest import TEST_DATA
+    from peakloom.plans import fixture, queries
+
+    n = {r.sample_key: r.n_peaks for r in queries.QUERIES["x14_sample_peak_counts"](spark, TEST_DATA).collect()}
+    assert set(n) == set(fixture.KEYS) and sum(n.values()) == spark.read.parquet(f"{TEST_DATA}/orders.parquet").count()
+    known = {r.chrom for r in fixture.table(spark, TEST_DATA, "blacklist").collect()}
+    read = {r.chrom for r in fixture.table(spark, TEST_DATA, "frag").select("chrom").distinct().collect()}
+    assert {r.chrom for r in queries.QUERIES["u5_contigs_outside_blacklist"](spark, TEST_DATA).collect()} == read - known
+    sheet = frame(spark, [("a",), ("b",)], "sample_key string")
+    some = frame(spark, [("a", "chr2", 900_000, 900_100)], "sample_key string, chrom string, start_pos long, end_pos long")
+    assert sorted(map(tuple, peaks.with_zero_peaks(sheet, some).collect())) == [("a", 1), ("b", 0)]
+    with pytest.raises(PySparkException):
+        peaks.with_zero_peaks(sheet, some, allow_zero=False).collect()
