@@ -49,9 +49,9 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: rows as often as they are taken."""
+    """The mix of the sources: rows as often as they are taken, those of better texts first."""
     keyed = docs.withColumn("__text", F.sha2(F.coalesce("text", F.lit("")), 256))
-    mixed = mixing.mix(keyed, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS)
+    mixed = mixing.mix(keyed, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS, quality=mixing.quality())
     times = common.Scratch(spark).table(mixing.epochs(mixed.groupBy(F.col("doc_id").alias("__id"), F.col("__text").alias("__key")).agg(F.max("size").alias("size"), F.max("taken").alias("taken"))).select("__id", "__key"), "times")
     return keyed.join(times, keyed.doc_id.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))).select(*docs.columns)
 

@@ -8,13 +8,14 @@ sum is nearest to what is missing.
 Targets: the total times `share`, split by the sources' weights; a target stops at `most_epochs` times its source's size
 and the excess is shared again by weight among the others, until none is above.
 
-Scale: sorting a source in one task would not do when one source holds a third of all rows.  Keys are cut into about
-sqrt(n) ranges a source; prefix sums run inside a range, then over a source's ranges.  No task gets more than a range or
-a source's list of ranges.  Sums are of integers, so results don't depend on the order in which tasks end.
+Scale: sorting a source in one task would not do when one source holds a third of all rows.  Rows are range-partitioned by
+source and key, at sampled quantiles, so ranges are even whatever the weights are; prefix sums run inside a range, then
+over a source's ranges.  No task gets more than a range or a source's list of ranges.  Sums are of integers, so results
+depend neither on where ranges are cut nor on the order in which tasks end.
 
 Cases: a null or empty text has size 0 and is never taken.  A null source is a source of its own, last in the order.  A
-null weight, or one not above 0, sends a document to the end of its source's order.  Repeated rows (same id, same text) are
-documents each; their keys tie and they share ranges, ties being broken by size, and rows equal in all of these are
+null weight, or one not above 0, sends a document to the end of its source's order; there -ln(u) orders.  Repeated rows
+(same id, same text) are documents each; their keys tie, ties are broken by size, and rows equal in all of these are
 interchangeable.  An empty table gives an empty result.  Other columns pass through; the added ones replace like-named ones.
 """
 
@@ -26,6 +27,20 @@ from pyspark.sql import functions as F
 from . import common
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: What quality() does not count: all but letters that are not upper case, marks and white space.
+OTHER = r"[^\p{Ll}\p{Lo}\p{Lm}\p{M}\x20\x09-\x0D]+"
+
+
+def quality(text: str = "text") -> F.Column:
+    """A text's weight: the share of its characters that are letters (not upper case), marks or white space, to the power 8.
+
+    Prose has about 0.7, shouting or words with symbols 0 to 0.1.  Null for an empty or null text.
+    """
+    return F.pow(F.try_divide(F.length(F.regexp_replace(text, F.lit(OTHER), F.lit(""))), F.length(text)), F.lit(8.0))
+
+
+#: The same in DuckDB SQL.
+QUALITY_SQL = f"pow(length(regexp_replace(text, '{OTHER}', '', 'g')) / nullif(length(text), 0), 8)"
 
 
 def uniform(*columns: str, seed: int = 0) -> F.Column:
@@ -58,6 +73,11 @@ def target_table(sizes: DataFrame, weights: list[int], share: float, most_epochs
     return scratch.table(out.select("source", "source_size", "n_docs", "weight", target.alias("target")), "targets")
 
 
+def in_ranges(docs: DataFrame, n: int) -> DataFrame:
+    """Adds _range, growing with source, key, id and size; rows equal in all of these are dealt by their number."""
+    return docs.repartitionByRange(n, "_source", "_last", "_key", "_id", "size", "_row").withColumn("_range", F.spark_partition_id())
+
+
 def mix(df: DataFrame, weights: list[int], share: float = 1.5, most_epochs: int = 2, id_column: str = "doc_id", text: str = "text", source: str = "source", quality: F.Column | None = None, seed: int = 0) -> DataFrame:
     """One row per row of df with its columns and size, source_size, target and taken (words, repeats counted); see epochs().
 
@@ -67,21 +87,20 @@ def mix(df: DataFrame, weights: list[int], share: float = 1.5, most_epochs: int
     scratch = common.Scratch(spark)
     rest = [c for c in df.columns if c not in (text, "size", "source_size", "target", "taken")]
     w = F.lit(1.0) if quality is None else quality.cast("double")
-    key = F.when((w > 0) & ~F.isnan(w), -F.log(uniform(id_column, text, seed=seed)) / w).otherwise(F.lit(float("inf")))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     # the rows' own columns travel in one struct, so none of their names can clash
-    docs = scratch.table(df.select(F.struct(*rest).alias("_rest"), F.col(id_column).alias("_id"), size.alias("size"), key.alias("_key"), F.col(source).alias("_source")), "sized")
+    docs = df.select(F.struct(*rest).alias("_rest"), F.col(id_column).alias("_id"), size.alias("size"), (-F.log(uniform(id_column, text, seed=seed))).alias("_key"), w.alias("_w"), F.col(source).alias("_source"), F.monotonically_increasing_id().alias("_row"))
+    docs = docs.withColumn("_last", ~F.coalesce((F.col("_w") > 0) & ~F.isnan("_w"), F.lit(False)))
+    docs = scratch.table(docs.withColumn("_key", F.when(F.col("_last"), F.col("_key")).otherwise(F.try_divide("_key", "_w"))).drop("_w"), "sized")
     sizes = docs.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = target_table(sizes, weights, share, most_epochs, scratch).withColumnRenamed("source", "_s")
-    spread = docs.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(64)))
+    ranged = scratch.table(in_ranges(docs, common.shuffle_partitions(spark)), "ranges")
+    spread = ranged.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(64)))
     copies = targets.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
     docs = spread.join(copies, F.col("_source").eqNullSafe(F.col("_s")) & (spread._salt == copies._salt)).drop("_s", "_salt")
-    ranges = F.ceil(F.sqrt("n_docs"))
-    docs = docs.withColumn("_range", F.least(ranges - 1, F.floor((1 - F.exp(-F.col("_key"))) * ranges)).cast("long"))
-    docs = scratch.table(docs, "ranges")
-    sums = docs.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
+    sums = ranged.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
     before = sums.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"), (F.sum("_sum").over(Window.partitionBy("_source").orderBy("_range")) - F.col("_sum")).alias("_before"))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_source", "_range").orderBy("_last", "_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     docs = docs.withColumn("_inside", F.sum("size").over(inside) - F.col("size"))
     docs = docs.join(before, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -104,8 +123,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mix_sql(docs: str, columns: str) -> str:
+def op2_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2_mixing with better documents more likely to be taken."""
+    return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS, quality=quality()).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix_sql(docs: str, columns: str, quality: str | None = None) -> str:
     """DuckDB SQL for mix() over a table or subquery of documents."""
+    if quality is not None:
+        weighted = f"(SELECT *, {quality} AS w FROM {docs})"
+        plain = mix_sql(weighted, columns)
+        return plain.replace("ORDER BY k, doc_id", "ORDER BY coalesce(w > 0, false) DESC, CASE WHEN w > 0 THEN k / w ELSE k END, doc_id")
     caps = f"cap = 0 OR cap <= level * weight"
     return f"""
 WITH RECURSIVE d AS (SELECT *, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
@@ -124,3 +152,4 @@ SELECT {columns} FROM y"""
 
 
 SQL = mix_sql("documents", "doc_id, size, source_size, target, taken")
+WEIGHTED_SQL = mix_sql("documents", "doc_id, size, source_size, target, taken", QUALITY_SQL)

@@ -102,6 +102,31 @@ def test_mixing_weights_change_the_order(spark):
     assert out.filter("taken > 0 and doc_id < 150").count() > 2 * out.filter("taken > 0 and doc_id >= 150").count()
 
 
+def test_weighted_mixing_matches_duckdb(spark, duck):
+    assert same(registry.queries()["op2_weighted_mixing"](spark, TEST_DATA), duck.execute(registry.oracle_sql()["op2_weighted_mixing"]))
+
+
+def test_pipeline_takes_better_texts_more_often(spark):
+    import corpus_pipeline
+
+    good, bad = "the cat sat on a mat " * 3, "BUY!! NOW$$ 100%% OFF&& " * 3
+    docs = spark.createDataFrame([(i, good if i % 2 else bad, "b") for i in range(400)] + [(i, good, "a") for i in range(400, 800)], "doc_id long, text string, source string")
+    taken = {r.doc_id for r in corpus_pipeline.sources_are_mixed(spark, docs, TEST_DATA).collect()}
+    left = set(range(400)) - taken
+    assert left and all(i % 2 == 0 for i in left)
+
+
+def test_mixing_ranges_are_even_for_any_weight(spark):
+    for w in ("1e-6", "-1.0", "null", "1.0"):
+        docs = spark.range(4000).selectExpr("id AS _id", "'s' AS _source", f"coalesce(cast({w} as double) <= 0, true) AS _last", f"-ln((id + 0.5) / 4000) / abs(coalesce(cast({w} as double), 1.0)) AS _key", "1L AS size", "id AS _row")
+        most = mixing.in_ranges(docs, 16).groupBy("_range").count().agg(F.max("count")).first()[0]
+        assert most < 4000 / 16 * 3
+    rows = [(i, "a b c", "s") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = [r.doc_id for r in mixing.mix(df, [1], 0.25, 2, quality=F.lit(0.0)).filter("taken > 0").collect()]
+    assert len(taken) == 50 and max(taken) > 100  # not the smallest ids
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = rng.standard_normal((600, 16))
