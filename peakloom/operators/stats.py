@@ -135,13 +135,12 @@ def _likelihood(k: np.ndarray, mu: np.ndarray, alpha: np.ndarray, x: np.ndarray)
 GRID = np.exp(np.linspace(math.log(1e-6), math.log(20.0), 60))
 
 
-def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> DataFrame:
-    """One model `~ condition` over the samples of `conditions`; a row a region and contrast.
+def _rows(b, names: list[str]) -> np.ndarray:
+    return b.column("k").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(names))
 
-    Counts (region_id, sample_key, n) become one array a region (samples are few), regions are fitted in Arrow batches.  Gene-wise
-    dispersions maximise the Cox-Reid likelihood on a grid; their trend a1 / mean + a0 comes from two Spark aggregates; the final
-    dispersion shrinks to the trend by a log-normal prior.  Wald tests for every pair (later condition over earlier one).
-    """
+
+def _gene_dispersions(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> tuple[DataFrame, list[str], np.ndarray, np.ndarray]:
+    """(region_id, k, base_mean, disp), kept, with the samples, the design and the offsets that were used."""
     names = sorted(conditions, key=lambda s: (order.index(conditions[s]), s))
     x = np.zeros((len(names), len(order)))
     x[:, 0] = 1
@@ -154,27 +153,51 @@ def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, s
     wide = counts.filter(F.col("sample_key").isin(names)).groupBy("region_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_key", "n"))).alias("m"))
     wide = wide.select("region_id", F.array(*[F.coalesce(F.col("m")[s], F.lit(0)).cast("double") for s in names]).alias("k")).filter(F.exists("k", lambda v: v > 0))
 
-    def matrix(b) -> np.ndarray:
-        return b.column("k").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(names))
-
     def genewise(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                k = matrix(b)
+                k = _rows(b, names)
                 base = (k / np.exp(offset)).mean(1)
                 _, _, mu = _irls(k, x, offset, np.full(len(k), 0.1))
                 best = GRID[_likelihood(k, mu, GRID, x).argmax(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base), pa.array(best)], ["region_id", "k", "base_mean", "disp"])
 
     gene = wide.mapInArrow(genewise, f"region_id {counts.schema['region_id'].dataType.simpleString()}, k array<double>, base_mean double, disp double").persist()
-    # least squares of dispersion on 1 / mean over regions whose estimate left the grid's floor
+    return gene, names, x, offset
+
+
+def _trend(gene: DataFrame) -> tuple[float, float, DataFrame]:
+    """(a0, a1) of the dispersion a1 / mean + a0 and the regions it comes from.
+
+    Least squares of dispersion on 1 / mean over regions whose estimate left the grid's floor.
+    """
     t = gene.filter(F.col("disp") > 1e-5).withColumn("u", 1 / F.col("base_mean")).filter("base_mean > 0")
     r = t.agg(F.count("*").alias("n"), F.avg("u").alias("u"), F.avg("disp").alias("d"), F.covar_pop("u", "disp").alias("c"), F.var_pop("u").alias("v")).first()
     slope = max(0.0, r.c / r.v) if r.n and r.v else 0.0
     a0 = max(1e-4, (r.d - slope * r.u) if r.n else 0.05)
+    return a0, slope, t
+
+
+def dispersion_trend(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> tuple[float, float]:
+    """(a0, a1) of the dispersion trend a1 / mean + a0 that nb_fit() takes for the same arguments."""
+    gene, *_ = _gene_dispersions(counts, factors, conditions, order)
+    a0, slope, _ = _trend(gene)
+    gene.unpersist()
+    return a0, slope
+
+
+def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> DataFrame:
+    """One model `~ condition` over the samples of `conditions`; a row a region and contrast.
+
+    Counts (region_id, sample_key, n) become one array a region (samples are few), regions are fitted in Arrow batches.  Gene-wise
+    dispersions maximise the Cox-Reid likelihood on a grid; their trend a1 / mean + a0 comes from two Spark aggregates; the final
+    dispersion shrinks to the trend by a log-normal prior.  Wald tests for every pair (later condition over earlier one).
+    """
+    gene, names, x, offset = _gene_dispersions(counts, factors, conditions, order)
+    a0, slope, t = _trend(gene)
     spread = t.agg(F.percentile(F.abs(F.ln("disp") - F.ln(F.lit(a0) + F.lit(slope) * F.col("u"))), F.lit(0.5)).alias("s")).first().s
     prior = max(0.25, (1.4826 * (spread or 1.0)) ** 2 - 2.0 / max(1, len(names) - len(order)))
     pairs = [(i, j) for i in range(len(order)) for j in range(i + 1, len(order))]
@@ -185,7 +208,7 @@ def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, s
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                k, base = matrix(b), b.column("base_mean").to_numpy()
+                k, base = _rows(b, names), b.column("base_mean").to_numpy()
                 trend = a0 + slope / np.maximum(base, 1e-8)
                 _, _, mu = _irls(k, x, offset, trend)
                 post = _likelihood(k, mu, GRID, x) - (np.log(GRID)[None, :] - np.log(trend)[:, None]) ** 2 / (2 * prior)

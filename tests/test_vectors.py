@@ -267,3 +267,61 @@ def test_zero_peaks_and_blacklist_over_whole_tables(spark):
     assert sorted(map(tuple, peaks.with_zero_peaks(sheet, some).collect())) == [("a", 1), ("b", 0)]
     with pytest.raises(PySparkException):
         peaks.with_zero_peaks(sheet, some, allow_zero=False).collect()
+
+
+def brute_trend(k, groups):
+    """Dispersion trend of counts with equal size factors: means of a group are fitted means then."""
+    from math import lgamma, log
+
+    u, disp = [], []
+    for row in k:
+        mu = np.zeros(len(row))
+        for g in set(groups):
+            at = [i for i, x in enumerate(groups) if x == g]
+            mu[at] = row[at].mean()
+        best = None
+        for a in stats.GRID:
+            ll = sum(lgamma(y + 1 / a) - lgamma(1 / a) - (y + 1 / a) * log(1 + a * m) + y * log(a * m) for y, m in zip(row, mu, strict=True))
+            ll -= 0.5 * sum(log(sum(mu[i] / (1 + a * mu[i]) for i, x in enumerate(groups) if x == g)) for g in set(groups))
+            best = max(best or (ll, a), (ll, a))
+        u.append(1 / row.mean())
+        disp.append(best[1])
+    u, disp = (np.array(x)[np.array(disp) > 1e-5] for x in (u, disp))
+    slope = max(0.0, np.cov(u, disp, bias=True)[0, 1] / u.var())
+    return max(1e-4, disp.mean() - slope * u.mean()), slope
+
+
+def test_vst_follows_the_fitted_trend(spark):
+    rng = np.random.default_rng(7)
+    mu = np.geomspace(8, 800, 150)[:, None]
+    size = 1 / (0.04 + 4 / mu)
+    k = np.maximum(rng.negative_binomial(size, size / (size + mu), (150, 8)), 1)
+    names = [f"{g}{i}" for g in "ab" for i in range(4)]
+    cond = {n: n[0] for n in names}
+    counts = frame(spark, [(f"r{i:03d}", n, int(v)) for i, r in enumerate(k) for n, v in zip(names, r, strict=True)], "region_id string, sample_key string, n long")
+    a0, a1 = stats.dispersion_trend(counts, dict.fromkeys(names, 1.0), cond, ["a", "b"])
+    assert (a0, a1) == pytest.approx(brute_trend(k.astype(float), [n[0] for n in names]), rel=1e-4)
+    assert 0.01 < a0 < 0.1 and 1 < a1 < 8
+
+
+def test_vst_queries_take_the_trend_of_the_counts(spark):
+    from conftest import TEST_DATA
+    from peakloom.plans import queries
+
+    c = queries.matrix(spark, TEST_DATA)
+    sizes = {r.sample_key: r.size_factor for r in counting.poscounts_factors(c).collect()}
+    a, b = stats.dispersion_trend(c, sizes, *queries.model_conditions())
+    rows, names = c.collect(), sorted(sizes)
+    ids = sorted({r.region_id for r in rows})
+    n = {(r.region_id, r.sample_key): r.n / sizes[r.sample_key] for r in rows}
+    x = np.array([[n[i, s] for s in names] for i in ids])
+    v = np.log2((1 + b + 2 * a * x + 2 * np.sqrt(a * x * (1 + b + a * x))) / (4 * a))
+    got = {r.sample_key: (r.mean_vst, r.max_vst) for r in queries.QUERIES["x6_vst_fitted"](spark, TEST_DATA).collect()}
+    for j, s in enumerate(names):
+        assert got[s] == pytest.approx((v[:, j].mean(), v[:, j].max()), abs=2e-6)
+    for r in queries.QUERIES["x9_sample_distance_fitted"](spark, TEST_DATA).collect():
+        assert r.distance == pytest.approx(np.linalg.norm(v[:, names.index(r.a)] - v[:, names.index(r.b)]), abs=2e-6)
+    top = v[np.argsort(-v.var(1, ddof=1), kind="stable")[:500]]
+    w = np.linalg.svd(top - top.mean(1, keepdims=True), compute_uv=False)
+    share = {r.component: r.percent_variance for r in queries.QUERIES["x10_pca"](spark, TEST_DATA).collect()}
+    assert [share[1], share[2]] == pytest.approx(list(100 * w[:2] ** 2 / (w**2).sum()), rel=1e-6)
