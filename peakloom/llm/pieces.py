@@ -2,7 +2,8 @@
 
 The tokenizers' word pattern never joins what lies on both sides of a single blank between two characters that are not white
 space (a match holds white space only at its start, or is all white space).  So a text is cut there, and each part, with its
-blank put back, is encoded on its own and remembered.  Texts with other white space at such a cut are encoded whole.
+blank put back, is encoded on its own and remembered.  Texts with other white space at such a cut, or with the spelling of
+an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ class PieceCache:
     """Text -> its ids as little-endian uint32 bytes.
 
     encode_parts takes plain parts, each to be encoded with a blank before it; encode_texts takes whole texts.  Two
-    generations of parts bound the memory: when the younger is full it becomes the older, and that one goes.
+    generations of parts bound the memory: when the younger is full it becomes the older, and that one goes.  Texts that
+    hold a string of `added` are encoded whole.
     """
 
-    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], encode_texts: Callable[[list[str]], list[bytes]], most: int = 400_000):
-        self.encode_parts, self.encode_texts, self.most = encode_parts, encode_texts, most
+    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], encode_texts: Callable[[list[str]], list[bytes]], most: int = 400_000, added: tuple[str, ...] = ()):
+        self.encode_parts, self.encode_texts, self.most, self.added = encode_parts, encode_texts, most, added
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -42,7 +44,7 @@ class PieceCache:
             parts = text.split(" ")
             found = list(map(get, parts))
             found[0] = None
-            gaps, odd = [], not plain(parts[0])
+            gaps, odd = [], not plain(parts[0]) or any(a in text for a in self.added)
             at = 0
             while not odd:
                 try:

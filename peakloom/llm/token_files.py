@@ -126,7 +126,6 @@ def tokenizer_cache(path: str) -> pieces.PieceCache:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # a special token's spelling in a text is ordinary text
         t.no_padding()
         t.no_truncation()
         if t.normalizer is not None or "ByteLevel" not in type(t.pre_tokenizer).__name__:
@@ -144,7 +143,7 @@ def tokenizer_cache(path: str) -> pieces.PieceCache:
         def texts(some: list[str]) -> list[bytes]:
             return [np.array(e.ids, np.uint32).tobytes() for e in t.encode_batch_fast(some, add_special_tokens=False)]
 
-        _ready[path] = pieces.PieceCache(parts, texts)
+        _ready[path] = pieces.PieceCache(parts, texts, added=tuple(x.content for x in t.get_added_tokens_decoder().values()))
     return _ready[path]
 
 

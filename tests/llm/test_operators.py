@@ -232,6 +232,18 @@ def test_token_files(spark, docs, tmp_path):
     assert token_files.write(docs.limit(0), f"file://{tmp_path}/e", P.path("byte_bpe_50k.json"), 2).count() == 0
 
 
+def test_special_tokens_in_texts_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    some = [x.content for x in t.get_added_tokens_decoder().values() if x.special]
+    assert some
+    odd = [f"one two{s}three four" for s in some] + [f"one two {s} three four" for s in some] + ["one two three four"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in token_files.tokenizer_cache(path).ids(odd)]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in odd]
+
+
 def test_addressable_codes():
     ids = np.random.default_rng(1).integers(0, 2**32, 5000, dtype=np.uint32) >> np.random.default_rng(2).integers(0, 32, 5000).astype(np.uint32)
     f = token_files.TokenFile(token_files.to_bytes([5, None], np.array([1000, 4000]), ids))
