@@ -43,6 +43,12 @@ def called(spark: SparkSession, d: str) -> DataFrame:
     return fx.table(spark, d, "peaks").filter(reads.is_canonical())
 
 
+def sheet(spark: SparkSession, d: str) -> DataFrame:
+    """The sample sheet of the samples that peaks name, in the order of their numbers."""
+    p = fx.table(spark, d, "peaks").groupBy("sample_key").agg(F.min(F.col("peak_no") % 7).cast("int").alias("sheet_order"))
+    return p.select("sheet_order", "sample_key", F.regexp_extract("sample_key", "^(.*)_bioR[0-9]+$", 1).alias("condition"), F.regexp_extract("sample_key", "([0-9]+)$", 1).cast("int").alias("replicate"))
+
+
 def regions(spark: SparkSession, d: str) -> DataFrame:
     return iv.region_ids(iv.consensus(called(spark, d), ["chrom"], "sample_key"))
 
@@ -168,7 +174,7 @@ def scaled(spark, d):
 
 @query("j11_comparison_plan", f"{fx.cte('samples')}, e AS (SELECT condition, min(sheet_order) AS o FROM samples GROUP BY 1 HAVING count(DISTINCT sample_key) >= 2) SELECT printf('%03d', row_number() OVER (ORDER BY a.o, b.o)) || '_' || b.condition || '_vs_' || a.condition AS comparison_id, b.condition AS numerator, a.condition AS reference FROM e a JOIN e b ON a.o < b.o")
 def plan(spark, d):
-    return design.comparison_plan(design.condition_order(design.eligibility(fx.samples(spark))))
+    return design.comparison_plan(design.condition_order(design.eligibility(sheet(spark, d))))
 
 
 query("j12_complete_matrix", f"{BASE} SELECT * FROM counts")(matrix)
@@ -198,7 +204,7 @@ def library(spark, d):
 
 
 query("a9_condition_eligibility", f"{fx.cte('samples')} SELECT condition, count(DISTINCT sample_key) AS replicates, min(sheet_order) AS first_seen, count(DISTINCT sample_key) >= 2 AS eligible, CASE WHEN count(DISTINCT sample_key) >= 2 THEN 'eligible' ELSE 'fewer than 2 replicates' END AS reason FROM samples JOIN (SELECT DISTINCT CAST(o_orderkey % 7 AS INT) AS sheet_order FROM orders) USING (sheet_order) GROUP BY 1")(
-    lambda spark, d: design.eligibility(fx.samples(spark).join(spark.read.parquet(f"{d}/orders.parquet").select((F.col("o_orderkey") % 7).cast("int").alias("sheet_order")).distinct(), "sheet_order")))
+    lambda spark, d: design.eligibility(sheet(spark, d)))
 query("a13_merge_groups", f"{fx.cte('frag', 'samples')} SELECT condition, count(*) AS n, count(DISTINCT sample_key) AS n_samples FROM frag JOIN samples USING (sample_key) GROUP BY 1 HAVING count(DISTINCT sample_key) >= 2")(
     lambda spark, d: frag(spark, d).join(F.broadcast(fx.samples(spark)), "sample_key").groupBy("condition").agg(F.count("*").alias("n"), F.count_distinct("sample_key").alias("n_samples")).filter("n_samples >= 2"))
 query("a17_genome_bins", f"{fx.cte('frag')}, {UNITS} SELECT sample_key, chrom, bin, count(*) AS n FROM (SELECT sample_key, chrom, unnest(range(CAST(floor(start_pos / 10000) AS BIGINT), CAST(floor((end_pos - 1) / 10000) AS BIGINT) + 1)) AS bin FROM units) GROUP BY 1, 2, 3")(lambda spark, d: counting.bin_counts(units(spark, d), 10_000))

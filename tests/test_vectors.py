@@ -325,3 +325,14 @@ def test_vst_queries_take_the_trend_of_the_counts(spark):
     w = np.linalg.svd(top - top.mean(1, keepdims=True), compute_uv=False)
     share = {r.component: r.percent_variance for r in queries.QUERIES["x10_pca"](spark, TEST_DATA).collect()}
     assert [share[1], share[2]] == pytest.approx(list(100 * w[:2] ** 2 / (w**2).sum()), rel=1e-6)
+
+
+def test_plan_follows_the_samples_of_the_tables(spark, tmp_path):
+    from conftest import TEST_DATA
+    from peakloom.plans import queries
+
+    assert sorted(map(tuple, queries.sheet(spark, TEST_DATA).collect())) == sorted(map(tuple, queries.fx.samples(spark).collect()))
+    spark.read.parquet(f"{TEST_DATA}/orders.parquet").filter("o_orderkey % 7 in (0, 1, 4, 5, 2)").write.parquet(str(tmp_path / "orders.parquet"))
+    plan = queries.QUERIES["j11_comparison_plan"](spark, str(tmp_path)).collect()
+    assert [(r.numerator, r.reference) for r in plan] == [("Day4", "stem")]
+    assert {r.condition: r.replicates for r in queries.QUERIES["a9_condition_eligibility"](spark, str(tmp_path)).collect()} == {"stem": 2, "prolif": 1, "Day4": 2}
