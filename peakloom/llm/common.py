@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Spark removes an execution's shuffle files when it ends; every execution here ends in a written table.
-CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CLEAN_SHUFFLES = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+#: Batches that go to Python hold at most so many bytes (or a single row), so that long rows don't add up.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 _local_dir: str | None = None
 
 
@@ -37,7 +39,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder.  They cut lineage and outlive lost executors; drop() frees one early."""
+    """Tables written to the shared folder.  They cut lineage and outlive lost executors; drop() frees one early, and the
+    end of a releasing() block frees those made inside."""
+
+    #: For each releasing() block that is open, the paths written inside.
+    inside: list[list[str]] = []
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -45,26 +51,35 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
-        was = self.spark.conf.get(CLEAN_SHUFFLES, None)
-        self.spark.conf.set(CLEAN_SHUFFLES, "true")
-        try:
+        with settings(self.spark, CLEAN_SHUFFLES, ARROW_BYTES):
             df.write.option("compression", "zstd").parquet(path)
-        finally:
-            if was is None:
-                self.spark.conf.unset(CLEAN_SHUFFLES)
-            else:
-                self.spark.conf.set(CLEAN_SHUFFLES, was)
+        if self.inside:
+            self.inside[-1].append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch = path  # keeps the id from being reused while the table is known
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for t in tables:
             if path := self.paths.pop(id(t), None):
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                delete(self.spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextlib.contextmanager
+def releasing(spark: SparkSession):
+    """Deletes the scratch tables made inside at its end; what was made of them has to be written by then, outside Scratch."""
+    Scratch.inside.append([])
+    try:
+        yield
+    finally:
+        for path in Scratch.inside.pop():
+            delete(spark, path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -72,16 +87,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 @contextlib.contextmanager
-def settings(spark: SparkSession, **conf: str):
-    """Session settings (dots written as double underscores) that hold inside the block."""
-    keys = {k.replace("__", "."): v for k, v in conf.items()}
-    was = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
+def settings(spark: SparkSession, *conf: tuple[str, str]):
+    """Session settings that hold inside the block."""
+    was = [(k, spark.conf.get(k, None)) for k, _ in conf]
+    for k, v in conf:
         spark.conf.set(k, v)
     try:
         yield
     finally:
-        for k, v in was.items():
+        for k, v in was:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 

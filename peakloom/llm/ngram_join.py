@@ -1,36 +1,32 @@
 """N-gram Jaccard join by PartEnum signatures.
 
 A document's set holds its distinct w-word shingles (with fewer words, the whole sequence).  Sets are joined when 100 *
-intersection >= percent * union, exactly; documents get the components of these links.
-
-PartEnum: sizes are cut into bands so narrow that linked sets lie in one band or neighbouring ones; a set takes part in its own
-band and the next.  In a band, sets at the threshold differ in at most k shingles.  The domain of shingles (their hashes) is
-partitioned into n parts, and a signature is the content of a chosen subset of parts:
- - k up to FEW: n = k + 2 parts and every subset of two, since at least two parts are untouched by k differences;
- - larger k: n = k + 1 + m parts and every single one.  At least m + 1 parts agree, so a set with at most m empty parts shares
-   the signature of one that is not empty; only sets with more than m empty parts (their partners have as many) sign empty
-   parts too.  m is chosen so that hardly any set does.
-So any two linked sets share a signature, and sharing one proves nothing: every link is verified on the whole sets.
-
-No group's pairs are emitted.  Each set is first verified against the smallest set of any of its groups, and the links become
-components; a group inside one component needs no more.  In other groups of at most SMALL sets, the pairs between components are
-verified one by one.  From larger ones (documents that share a passage, or a
-crowd of near copies that are not near enough) go the members whose shingle counts over PARTS parts of the domain differ too
-much from all others'; what stays is gathered into clusters by common members, a cluster is cut into cells of bounded size, and each pair of cells is one block: a task counts all its intersections
-as a product of incidence matrices, and a spanning forest of the block's links is all that leaves it.  So no link between
-components is lost; links inside a component need not be tested to know it.
-
-Scale: signatures travel as arrays, one row for each block of documents and bucket, 6 bytes a signature; equal sets of a block
-sign once.  The bucket count follows the bytes of text, so a bucket's arrays stay near a million entries.  Sets are rebuilt
-from the text for the candidates alone.  A cluster of m sets sends each set once for each of its cells (a million shingles).  Equal sets, however many, are one vertex from the start.
+intersection >= percent * union, exactly; documents get the number of their links and the components that these form.
+
+ 1. Equal sets, however many, are one class from the start.
+ 2. A set of which more than 100 - percent % of the shingles are found in no other set can't link; such sets are left out.
+    Shingles of a part of the hash domain are looked at, so that sets go of which more than two fifths is their own.
+ 3. The sets that stay sign (see partenum); sets with a common signature form a group.  Sharing one proves nothing.
+ 4. Sketches (how many shingles fall into each of PARTS parts of the domain) bound the difference of two sets from below.  Each
+    set is held against the smallest member of each of its groups, then the members of a group that are still apart against each
+    other.  Pairs that the bound lets pass put their sets into one cluster, so every linked pair lies inside a cluster.
+ 5. A cluster is cut into cells of bounded size, and each pair of cells is one block: a task counts all its intersections as
+    a product of incidence matrices and gives each set's number of links and a spanning forest of the links.
+
+No pairs of a group or cluster are emitted: what leaves a task is a pair a member and centre, a forest, or a count a set.
+
+Scale: the look for lonely shingles sends 6 bytes for each of them looked at.  Signatures travel as arrays, 6 bytes each, one
+row for each block of documents and bucket; buckets hold about a million entries at every size.  A group or cluster of any
+size is cut into blocks, and a block's rows are dealt to tasks by the pair of cells; a cluster of m sets sends each
+set once for each of its cells.  Work inside a cluster is quadratic in its different sets, as counting their links is.
 
 Cases: a null or empty text has size 0 and links with nothing, its component is its own id.  A null id takes no part: its
-component is null.  Repeated ids are one vertex.  An empty table gives an empty result.  Other columns are ignored.
+component is null, its links are 0.  Rows that repeat an id are one vertex for the components; each has the
+links of its own text.  An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -41,9 +37,9 @@ from pyspark.sql import functions as F
 
 from . import common, pieces
 from .common import U64, mix
+from .partenum import GOLD, Bands, ranges, signatures
 
-FEW, SMALL, CELL, PARTS = 3, 6, 1_000_000, 256
-GOLD = U64(0x9E3779B97F4A7C15)
+CELL, CROWD, PARTS, SEVERAL, SALTS = 1_000_000, 4096, 256, 0xFFFF, 8
 
 
 def shingles(texts: list[bytes], width: int, hashes: common.WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -69,73 +65,10 @@ def shingles(texts: list[bytes], width: int, hashes: common.WordHashes) -> tuple
     return d[new].astype(np.int64), s[new]
 
 
-class Bands:
-    """Size bands for a threshold in percent, with the differences and parts of each; grows as larger sizes are met."""
-
-    def __init__(self, percent: int):
-        if not 0 < percent <= 100:
-            raise ValueError("percent must lie in 1..100")
-        self.percent, self.low, self.k, self.parts, self.spare = percent, [1], [], [], []
-        self._add()
-
-    def _add(self) -> None:
-        low = self.low[-1]
-        high = low * 100 // self.percent
-        k = 2 * high * (100 - self.percent) // (100 + self.percent)
-        n, m = k + 2, 0
-        if k > FEW:
-            least = self.low[-2] if len(self.low) > 1 else 1
-            n = k + 1
-            for _ in range(40):
-                empty = n * math.exp(-least / n)
-                m = math.ceil(empty + 3 * math.sqrt(empty))
-                if k + 1 + m <= n:
-                    break
-                n = k + 1 + m
-            m = n - k - 1
-        self.k.append(k)
-        self.parts.append(n)
-        self.spare.append(m)
-        self.low.append(high + 1)
-
-    def of(self, sizes: np.ndarray) -> np.ndarray:
-        while len(sizes) and self.low[-2] <= sizes.max():  # the next band is needed as well
-            self._add()
-        return np.searchsorted(np.array(self.low), sizes, side="right") - 1
-
-
-def signatures(doc: np.ndarray, s: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(document number, signature) for sets given as sorted (document number, hash) pairs."""
-    out_d, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    own = bands.of(sizes)
-    for step in (0, 1):
-        band = own + step
-        k, parts, spare = (np.array(x)[band] for x in (bands.k, bands.parts, bands.spare))
-        used = np.where((sizes > 0) & (k > 0), parts, 0)
-        start = np.concatenate([[0], np.cumsum(used)])
-        at = used[doc] > 0
-        d, x = doc[at], s[at]
-        x = mix(x ^ (band[d].astype(np.uint64) * GOLD))
-        slot = start[d] + (x % used[d].astype(np.uint64)).astype(np.int64)
-        content = np.zeros(start[-1], np.uint64)
-        np.add.at(content, slot, mix(x + GOLD))
-        filled = np.bincount(slot, minlength=start[-1]) > 0
-        of = np.repeat(np.arange(len(sizes)), used)
-        part = np.arange(start[-1]) - start[of]
-        tag = mix((band[of].astype(np.uint64) << U64(40)) + part.astype(np.uint64))
-        empty = np.bincount(of[~filled], minlength=len(sizes))
-        single = (k > FEW)[of] & (filled | (empty > spare)[of])
-        out_d.append(of[single])
-        out_s.append(mix(content[single] + tag[single]))
-        for few in range(1, FEW + 1):
-            docs = np.flatnonzero((used > 0) & (k == few))
-            if not len(docs):
-                continue
-            c = (mix(content + tag))[start[docs][:, None] + np.arange(few + 2)]
-            for i, j in itertools.combinations(range(few + 2), 2):
-                out_d.append(docs)
-                out_s.append(mix(c[:, i] * GOLD + c[:, j]))
-    return np.concatenate(out_d), np.concatenate(out_s)
+def digests(s: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    from xxhash import xxh3_128_digest
+
+    return [xxh3_128_digest(s[e - n : e].tobytes()) if n else None for e, n in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)]
 
 
 def small_ints(x: np.ndarray) -> bytes:
@@ -146,48 +79,159 @@ def from_small_ints(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), np.int64))
 
 
-def sign(docs: DataFrame, width: int, percent: int, buckets: int, id_column: str, text: str) -> DataFrame:
-    """Rows of two kinds: a document's (doc_id, n, digest), and a block's signatures for a bucket (bucket, ids, sigs, places)."""
+def stretches(key: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of equal keys."""
+    cuts = np.flatnonzero(np.diff(key)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True)) if len(key) else []
+
+
+def scan(docs: DataFrame, width: int, share: float, buckets: int, id_column: str, text: str, block: int = 8 << 20) -> DataFrame:
+    """Rows of three kinds: a document's (doc_id, n, digest); a block's ids (block, ids); its shingles of a bucket (bucket, block,
+    marks, places), of the part `share` of the domain: places are those in ids, or SEVERAL for a shingle of several sets of the block."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        from xxhash import xxh3_128_digest
+        from pyspark import TaskContext
+
+        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary()), ("places", pa.binary())])
+
+        def rows(**columns) -> pa.RecordBatch:
+            n = max(map(len, columns.values()))
+            return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+        hashes, limit = common.WordHashes(), U64(min(2**64 - 1, int(share * 2.0**64)))
+        number, bytes_, ids, marks = TaskContext.get().partitionId() << 32, 0, [], []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator:
+            nonlocal number, bytes_, ids, marks, held
+            first: dict = {}
+            for k, (i, x) in enumerate(zip(ids, marks, strict=True)):
+                if i is not None and x is not None and (x not in first or i < ids[first[x]]):
+                    first[x] = k
+            keep = np.zeros(len(ids) + 1, bool)
+            keep[list(first.values())] = True
+            d, s = np.concatenate([np.zeros(0, np.int64), *[a for a, _ in held]]), np.concatenate([np.zeros(0, np.uint64), *[b for _, b in held]])
+            d, s = d[keep[d]], s[keep[d]]
+            order = np.argsort(s, kind="stable")
+            d, s = d[order], s[order]
+            new = np.ones(len(s), bool)
+            new[1:] = s[1:] != s[:-1]
+            alone = new.copy()
+            alone[:-1] &= new[1:]
+            s, place = s[new], np.where(alone, d, SEVERAL)[new].astype(np.uint16)
+            bucket = (mix(s) % U64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            s, place, bucket = s[order].astype(np.uint32), place[order], bucket[order]
+            cuts = stretches(bucket)
+            if cuts:
+                yield rows(block=[number], ids=[small_ints(np.array([i or 0 for i in ids], np.int64))])
+                yield rows(bucket=[int(bucket[a]) for a, _ in cuts], block=[number] * len(cuts), marks=[s[a:z].tobytes() for a, z in cuts], places=[place[a:z].tobytes() for a, z in cuts])
+            number, bytes_, ids, marks, held = number + 1, 0, [], [], []
 
-        schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("ids", pa.binary()), ("sigs", pa.binary()), ("places", pa.binary())])
-        hashes, bands = common.WordHashes(), Bands(percent)
         for whole in batches:
-            for b in pieces.by_bytes(whole, "_text", 8 << 20):
-                ids = b.column("_id").to_pylist()
+            for b in pieces.by_bytes(whole, "_text", 2 << 20):
+                for part in common.batches(iter([b]), 8192):
+                    texts, own = part.column("_text").to_pylist(), part.column("_id").to_pylist()
+                    doc, s = shingles(texts, width, hashes)
+                    sizes = np.bincount(doc, minlength=len(own))
+                    found = digests(s, sizes)
+                    yield rows(doc_id=own, n=sizes, digest=found)
+                    seen = mix(s ^ GOLD) <= limit
+                    held.append((doc[seen] + len(ids), s[seen]))
+                    ids, marks, bytes_ = ids + own, marks + found, bytes_ + sum(map(len, texts))
+                    if bytes_ >= block or len(ids) > 50_000:
+                        yield from flush()
+        yield from flush()
+
+    rows = docs.select(F.col(id_column).cast("long").alias("_id"), common.text_bytes(text).alias("_text"))
+    return rows.mapInArrow(run, "bucket int, block long, doc_id long, n long, digest binary, ids binary, marks binary, places binary")
+
+
+def lonely(table):
+    """(block, places) of a bucket's shingles that no other set holds."""
+    import pyarrow as pa
+
+    marks = [np.frombuffer(m, np.uint32) for m in table.column("marks").to_pylist()]
+    place = np.concatenate([np.frombuffer(p, np.uint16) for p in table.column("places").to_pylist()])
+    mark = np.concatenate(marks)
+    order = np.argsort(mark, kind="stable")
+    new = np.ones(len(mark), bool)
+    new[1:] = mark[order[1:]] != mark[order[:-1]]
+    new[:-1] &= new[1:]
+    alone = np.zeros(len(mark), bool)
+    alone[order[new]] = True
+    alone &= place != SEVERAL
+    at, out = 0, []
+    for m in marks:
+        out.append(place[at : at + len(m)][alone[at : at + len(m)]].tobytes())
+        at += len(m)
+    return pa.table({"block": table.column("block"), "places": pa.array(out, pa.binary())})
+
+
+def counted(table):
+    """(doc_id, lonely) of a block from its ids and its lonely shingles."""
+    import pyarrow as pa
+
+    ids = np.concatenate([from_small_ints(i) for i in table.column("ids").to_pylist() if i is not None])
+    n = np.zeros(len(ids), np.int64)
+    for p in table.column("places").to_pylist():
+        if p is not None:
+            n += np.bincount(np.frombuffer(p, np.uint16), minlength=len(ids))
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lonely": pa.array(n, pa.int64())})
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, width: int, id_column: str, text: str) -> DataFrame:
+    """(id, size, weight, set, counts) of the classes of `wanted` (id, rep, digest, weight): shingle hashes and the sketch."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        hashes = common.WordHashes()
+        for whole in batches:
+            for b in pieces.by_bytes(whole, "_text", 2 << 20):
                 doc, s = shingles(b.column("_text").to_pylist(), width, hashes)
-                sizes = np.bincount(doc, minlength=len(ids))
-                ends = np.cumsum(sizes)
-                digests = [xxh3_128_digest(s[e - n : e].tobytes()) if n else None for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int32()), b.column("_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *[pa.nulls(len(ids), pa.binary())] * 3], schema=schema)
-                first: dict = {}
-                keep = np.array([i is not None and x is not None and first.setdefault(x, k) == k for k, (i, x) in enumerate(zip(ids, digests, strict=True))], bool)
-                d, g = signatures(doc[keep[doc]], s[keep[doc]], np.where(keep, sizes, 0), bands)
+                sizes = np.bincount(doc, minlength=b.num_rows)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                place = doc * PARTS + (mix(s ^ GOLD) % U64(PARTS)).astype(np.int64)
+                counts = np.minimum(np.bincount(place, minlength=b.num_rows * PARTS), 255).astype(np.uint8).reshape(-1, PARTS)
+                columns = [b.column("id"), pa.array(sizes, pa.int64()), b.column("weight"), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64))), pa.array([x.tobytes() for x in counts], pa.binary())]
+                same = [x == y for x, y in zip(digests(s, sizes), b.column("digest").to_pylist(), strict=True)]  # repeated ids have several
+                yield pa.RecordBatch.from_arrays(columns, ["id", "size", "weight", "set", "counts"]).filter(pa.array(same, pa.bool_()))
+
+    rows = docs.select(F.col(id_column).cast("long").alias("rep"), common.text_bytes(text).alias("_text"))
+    return rows.join(wanted.select("id", "rep", "digest", "weight").hint("merge"), "rep").select("id", "weight", "digest", "_text").mapInArrow(run, "id long, size long, weight long, set array<long>, counts binary")
+
+
+def sign(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """The signatures of the sets of a batch that fall into a bucket: (bucket, ids, sigs, places)."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        bands = Bands(percent)
+        for whole in batches:
+            for b in common.batches(iter([whole]), 60_000):
+                lists = b.column("set")
+                d, g = signatures(lists.flatten().to_numpy().astype(np.uint64), lists.value_lengths().to_numpy().astype(np.int64), bands)
+                ids = b.column("id").to_numpy()
                 bucket = ((g >> U64(32)) % U64(buckets)).astype(np.int64)
                 order = np.lexsort((d, bucket))
                 d, g, bucket = d[order], g[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                named = np.array([i or 0 for i in ids], np.int64)
-                rows: dict[str, list] = {"bucket": [], "ids": [], "sigs": [], "places": []}
-                for a, z in zip([0, *cuts], [*cuts, len(d)], strict=True) if len(d) else ():
+                out: dict[str, list] = {"bucket": [], "ids": [], "sigs": [], "places": []}
+                for a, z in stretches(bucket):
                     who, place = np.unique(d[a:z], return_inverse=True)
-                    rows["bucket"].append(int(bucket[a]))
-                    rows["ids"].append(small_ints(named[who]))
-                    rows["sigs"].append(g[a:z].astype(np.uint32).tobytes())
-                    rows["places"].append(place.astype(np.uint16).tobytes())
-                if rows["bucket"]:
-                    n = len(rows["bucket"])
-                    yield pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), *[pa.array(rows[c], pa.binary()) for c in ("ids", "sigs", "places")]], schema=schema)
+                    out["bucket"].append(int(bucket[a]))
+                    out["ids"].append(small_ints(ids[who]))
+                    out["sigs"].append(g[a:z].astype(np.uint32).tobytes())
+                    out["places"].append(place.astype(np.uint16).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[c], pa.binary()) for c in ("ids", "sigs", "places")]], ["bucket", "ids", "sigs", "places"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), common.text_bytes(text).alias("_text"))
-    return rows.mapInArrow(run, "bucket int, doc_id long, n long, digest binary, ids binary, sigs binary, places binary")
+    return sets.select("id", "set").mapInArrow(run, "bucket int, ids binary, sigs binary, places binary")
 
 
 def groups(table):
-    """The groups of documents that share a signature of the bucket, each distinct group once: (gid, id)."""
+    """The groups of sets that share a signature of the bucket, each distinct group once: (gid, id, centre, n), centre the smallest id."""
     import pyarrow as pa
 
     sig, who = [], []
@@ -208,220 +252,233 @@ def groups(table):
     gid = mix(gid + size.astype(np.uint64)).astype(np.int64)
     some = np.flatnonzero(size > 1)
     some = some[np.unique(gid[some], return_index=True)[1]]
-    at = np.concatenate([np.zeros(0, np.int64), *[np.arange(start[i], start[i] + size[i]) for i in some]]).astype(np.int64)
-    return pa.table({"gid": pa.array(np.repeat(gid[some], size[some]), pa.int64()), "id": pa.array(who[at], pa.int64())})
+    of = lambda x: pa.array(np.repeat(x[some], size[some]), pa.int64())
+    return pa.table({"gid": of(gid), "id": pa.array(who[ranges(start[some], size[some])], pa.int64()), "centre": of(who[start]), "n": of(size)})
 
 
-def plausible(percent: int):
-    """The members of a group (or of two of its cells) that may link with another one.
+def near_centre(percent: int):
+    """The pairs (a, b) of each centre, whose sketch comes first of its chunk, with the sets that follow, as far as the bound lets them pass."""
 
-    Two sets differ in at least as many shingles as their counts over PARTS parts of the domain do, so a member whose counts are
-    further from all others than the threshold allows has no link here.
-    """
-
-    def run(table):
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        table = table.combine_chunks()
-        ids, size = table.column("id").to_numpy(), table.column("size").to_numpy()
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).astype(np.int16).reshape(len(ids), PARTS)
-        keep = np.zeros(len(ids), bool)
+        centre, mine, own = None, None, 0
+        for whole in batches:
+            for t in common.batches(iter([whole]), 4096):
+                a, b, size = (t.column(c).to_numpy() for c in ("a", "id", "size"))
+                counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, PARTS)
+                out: list[tuple[np.ndarray, np.ndarray]] = []
+                for start, stop in stretches(np.cumsum(a == b)):
+                    if a[start] == b[start]:
+                        centre, mine, own, start = a[start], counts[start].astype(np.int16), size[start], start + 1
+                    if stop > start and a[start] == centre:
+                        apart = np.abs(counts[start:stop] - mine).sum(1, dtype=np.int64)
+                        passes = apart * (100 + percent) <= (size[start:stop] + own) * (100 - percent)
+                        out.append((a[start:stop][passes], b[start:stop][passes]))
+                a, b = (np.concatenate([np.zeros(0, np.int64), *[x[k] for x in out]]) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        def near(i: int) -> np.ndarray:
-            out = np.abs(counts - counts[i]).sum(1, dtype=np.int64) * (100 + percent) <= (size + size[i]) * (100 - percent)
-            return out & (ids != ids[i])
+    return run
 
-        for i in range(len(ids)):  # in a crowd the first few settle nearly all
-            if not keep[i]:
-                found = near(i)
-                if found.any():
-                    keep |= found
-                    keep[i] = True
-        return pa.table({"gid": table.column("gid").filter(pa.array(keep)), "id": pa.array(ids[keep], pa.int64())})
 
-    return run
+def merged(label: np.ndarray, x: int, others: np.ndarray) -> list[int]:
+    """Gives the trees of `others` the label of x; one member of each tree that was another (a link to it joins the trees)."""
+    known, first = np.unique(label[others], return_index=True)
+    new = known != label[x]
+    if new.any():
+        label[np.isin(label, known[new])] = label[x]
+    return others[first[new]].tolist()
 
 
-def compare(percent: int):
-    """Compares each centre's set, which comes first of its chunk, with the sets that follow."""
+def near_members(percent: int):
+    """For the members of groups (or of two cells of one) that lie in different components: a forest (a, b) of the pairs that the bound lets pass."""
 
-    def run(batches: Iterator) -> Iterator:
+    def run(table):
         import pyarrow as pa
 
-        centre, mine = None, np.zeros(0, np.int64)
-        for whole in batches:
-            for t in common.batches(iter([whole]), 512):
-                flat, offsets = t.column("set").flatten().to_numpy(), t.column("set").offsets.to_numpy()
-                offsets = offsets - offsets[0]
-                out: list[tuple[int, int, bool]] = []
-                for i, (a, b) in enumerate(zip(t.column("a").to_pylist(), t.column("id").to_pylist(), strict=True)):
-                    s = flat[offsets[i] : offsets[i + 1]]
-                    if a == b:
-                        centre, mine = a, np.sort(s)
-                    elif a == centre and len(mine):
-                        at = np.minimum(np.searchsorted(mine, s), len(mine) - 1)
-                        n = int((mine[at] == s).sum())
-                        out.append((a, b, n * 100 >= (len(mine) + len(s) - n) * percent))
-                a, b, linked = zip(*out, strict=True) if out else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+        table = table.combine_chunks().sort_by([("gid", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        key = np.stack([table.column(c).to_numpy() for c in ("gid", "i", "j")])
+        ids, comp, size = (table.column(c).to_numpy() for c in ("id", "comp", "size"))
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, PARTS)
+        edges = np.flatnonzero((np.diff(key, axis=1) != 0).any(0)) + 1
+        out: list[tuple[int, int]] = []
+        for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(ids)], strict=True):
+            label = np.unique(comp[a:z], return_inverse=True)[1]
+            own, mine = size[a:z], counts[a:z].astype(np.int16)
+            # the pairs inside the largest component are settled; all others have a member among the rest
+            for x in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+                apart = np.abs(mine - mine[x]).sum(1, dtype=np.int64)
+                near = np.flatnonzero((apart * (100 + percent) <= (own + own[x]) * (100 - percent)) & (label != label[x]))
+                out += [(int(ids[a + x]), int(ids[a + y])) for y in merged(label, x, near)]
+        x, y = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 
     return run
 
 
-def block_links(percent: int):
-    """A spanning forest (a, b) of the links between two cells of a cluster, or within one."""
+def block_links(ids: np.ndarray, weight: np.ndarray, flat: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(weights of the sets linked with each, a spanning forest of the links) between the sets `left` and `right`, or within one list."""
+    within = len(left) == len(right) and bool((left == right).all())
+    word = np.unique(flat, return_inverse=True)[1]
+    often = np.bincount(word)
+    doc = np.repeat(np.arange(len(ids)), sizes)
+    doc, word = doc[often[word] > 1], word[often[word] > 1]
+    dense = often[word] >= max(8, len(ids) // 64)  # by matrix products; the rest by postings
+    name = np.full(len(often), -1)
+    every = np.unique(word[dense])
+    name[every] = np.arange(len(every))
+    place = np.full(len(ids), -1)
+    place[right] = np.arange(len(right))
+    rare_d, rare_w, dense_d, dense_w = doc[~dense], word[~dense], doc[dense], name[word[dense]]
+    order = np.argsort(rare_w, kind="stable")
+    order = order[place[rare_d[order]] >= 0]
+    post_w, post = rare_w[order], place[rare_d[order]]
+    begin = np.searchsorted(post_w, rare_w)
+    n = np.searchsorted(post_w, rare_w, side="right") - begin
+    load = np.bincount(rare_d, weights=n, minlength=len(ids))[left]  # postings that a set meets
+    steps = np.maximum(np.cumsum(load) // 1_000_000, np.arange(len(left)) // 512)
+    label, links, forest = np.arange(len(ids)), np.zeros(len(ids), np.int64), []
+    for some in np.split(left, np.flatnonzero(np.diff(steps)) + 1):
+        mine = np.full(len(ids), -1)
+        mine[some] = np.arange(len(some))
+        shared = np.zeros((len(some), len(right)), np.float32)
+        for c in range(0, len(every), 2048):
+            of = (dense_w >= c) & (dense_w < c + 2048)
+            wide = min(2048, len(every) - c)
+            x, y = np.zeros((len(some), wide), np.float32), np.zeros((len(right), wide), np.float32)
+            m, r = of & (mine[dense_d] >= 0), of & (place[dense_d] >= 0)
+            x[mine[dense_d[m]], dense_w[m] - c] = 1
+            y[place[dense_d[r]], dense_w[r] - c] = 1
+            shared += x @ y.T
+        m = mine[rare_d] >= 0
+        at = np.repeat(mine[rare_d[m]], n[m]) * len(right) + post[ranges(begin[m], n[m])]
+        shared += np.bincount(at, minlength=shared.size).reshape(shared.shape).astype(np.float32)
+        shared = shared.astype(np.int64)
+        link = shared * 100 >= (sizes[some][:, None] + sizes[right][None, :] - shared) * percent
+        link &= some[:, None] != right[None, :]
+        links[some] += link @ weight[right]
+        if not within:
+            links[right] += weight[some] @ link
+        for k in np.flatnonzero(link.any(1)).tolist():
+            x = int(some[k])
+            forest += [(int(ids[x]), int(ids[y])) for y in merged(label, x, right[link[k]])]
+    return links, forest
+
+
+def links_of(percent: int):
+    """The blocks of a task: (a, b, links) with a link of a spanning forest, or with a set's number of links and b null."""
 
     def run(table):
         import pyarrow as pa
 
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        table = table.combine_chunks()
-        ids, cell = table.column("id").to_numpy(), table.column("cell").to_numpy()
-        lists = table.column("set").combine_chunks() if isinstance(table.column("set"), pa.ChunkedArray) else table.column("set")
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        _, word, often = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        doc = np.repeat(np.arange(len(ids)), sizes)
-        doc, word = doc[often[word] > 1], word[often[word] > 1]
-        common_ = often[word] >= max(8, len(ids) // 64)  # by matrix products; the rest by postings
-        name = np.full(len(often), -1)
-        every = np.unique(word[common_])
-        name[every] = np.arange(len(every))
-        left = np.flatnonzero(cell == i)
-        right = left if i == j else np.flatnonzero(cell == j)
-        place = np.full(len(ids), -1)
-        place[right] = np.arange(len(right))
-        rare_d, rare_w = doc[~common_], word[~common_]
-        at_right = place[rare_d] >= 0
-        order = np.argsort(rare_w[at_right], kind="stable")
-        post_w, post = rare_w[at_right][order], place[rare_d[at_right]][order]
-        parent = list(range(len(ids)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        edges: list[tuple[int, int]] = []
-        dense_d, dense_w = doc[common_], name[word[common_]]
-        for a in range(0, len(left), 512):
-            some = left[a : a + 512]
-            mine = np.full(len(ids), -1)
-            mine[some] = np.arange(len(some))
-            shared = np.zeros((len(some), len(right)), np.float32)
-            for c in range(0, len(every), 2048):
-                of = (dense_w >= c) & (dense_w < c + 2048)
-                x, y = np.zeros((len(some), 2048), np.float32), np.zeros((len(right), 2048), np.float32)
-                m, r = of & (mine[dense_d] >= 0), of & (place[dense_d] >= 0)
-                x[mine[dense_d[m]], dense_w[m] - c] = 1
-                y[place[dense_d[r]], dense_w[r] - c] = 1
-                shared += x @ y.T
-            m = mine[rare_d] >= 0
-            begin, end = np.searchsorted(post_w, rare_w[m]), np.searchsorted(post_w, rare_w[m], side="right")
-            n = end - begin
-            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            shared += np.bincount(np.repeat(mine[rare_d[m]], n) * len(right) + post[at], minlength=shared.size).reshape(shared.shape).astype(np.float32)
-            shared = shared.astype(np.int64)
-            link = shared * 100 >= (sizes[some][:, None] + sizes[right][None, :] - shared) * percent
-            link &= some[:, None] != right[None, :]
-            for x in np.flatnonzero(link.any(1)).tolist():
-                for y in right[link[x]].tolist():
-                    p, q = root(int(some[x])), root(y)
-                    if p != q:
-                        parent[max(p, q)] = min(p, q)
-                        edges.append((int(ids[some[x]]), int(ids[y])))
-        return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
+        table = table.combine_chunks().sort_by([("cluster", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        key = np.stack([table.column(c).to_numpy() for c in ("cluster", "i", "j")])
+        ids, weight, cell = (table.column(c).to_numpy() for c in ("id", "weight", "cell"))
+        lists = table.column("set").combine_chunks()
+        sizes, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        edges = np.flatnonzero((np.diff(key, axis=1) != 0).any(0)) + 1
+        out_a, out_b, out_n = [], [], []
+        for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(ids)], strict=True):
+            i, j = key[1, a], key[2, a]
+            left, right = np.flatnonzero(cell[a:z] == i), np.flatnonzero(cell[a:z] == j)
+            if not len(left) or not len(right):
+                continue
+            n, forest = block_links(ids[a:z], weight[a:z], flat[ends[a] : ends[z]], sizes[a:z], left, right, percent)
+            some = np.flatnonzero(n)
+            out_a += [x for x, _ in forest] + ids[a:z][some].tolist()
+            out_b += [y for _, y in forest] + [None] * len(some)
+            out_n += [None] * len(forest) + n[some].tolist()
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64()), "links": pa.array(out_n, pa.int64())})
 
     return run
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, width: int, id_column: str, text: str) -> DataFrame:
-    """(id, shingles as an array of hashes) of the documents whose id is listed."""
+def in_cells(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows with a number of cells, once for each pair (i, j) of cells that holds their own."""
+    df = df.withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
+    df = df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    return df.select(*keep, "cell", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        hashes = common.WordHashes()
-        for whole in batches:
-            for b in pieces.by_bytes(whole, "_text", 4 << 20):
-                doc, s = shingles(b.column("_text").to_pylist(), width, hashes)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b.num_rows))]).astype(np.int32)
-                place = doc * PARTS + (mix(s ^ GOLD) % U64(PARTS)).astype(np.int64)
-                counts = np.minimum(np.bincount(place, minlength=b.num_rows * PARTS), 255).astype(np.uint8).reshape(-1, PARTS)
-                yield pa.RecordBatch.from_arrays([b.column("_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64))), pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "set", "counts"])
+def salted(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left join right by a key that may be hot on the left; right has a row a key."""
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    return left.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).join(right.withColumn("_salt", salts), [key, "_salt"]).drop("_salt")
 
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), common.text_bytes(text).alias("_text"))
-    return rows.join(ids.withColumnRenamed("id", "_id").hint("merge"), "_id", "left_semi").mapInArrow(run, "id long, set array<long>, counts binary")
+
+def near_pairs(member: DataFrame, sketches: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """(a, b): sets and the centres of their groups, as far as the bound lets them pass.  A centre with many pairs is several chunks."""
+    pairs = member.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 2048).alias("chunks"))
+    spread = salted(pairs.withColumnRenamed("b", "id"), load, "a").select("a", "id", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk"))
+    own = load.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+    rows = spread.unionByName(own).join(sketches.select("id", "size", "counts").hint("merge"), "id").select("a", "id", "chunk", "size", "counts")
+    rows = rows.repartition(partitions, "a", "chunk").sortWithinPartitions("a", "chunk", F.col("id") != F.col("a"), "id")
+    return rows.mapInArrow(near_centre(percent), "a long, b long")
 
 
 def join(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id), a row a document."""
+    """(id, n_shingles, component_id, n_links), a row a document; n_links counts the other documents linked with it directly."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
+    partitions = common.shuffle_partitions(spark)
     total = docs.agg(F.sum(F.length(common.text_bytes(text)))).first()[0] or 0
-    rate = 3 * (100 - percent) / (100 + percent)  # signatures for each shingle, about
-    buckets = max(common.shuffle_partitions(spark), math.ceil(total / 6 * rate / 1e6))
-    signed = scratch.table(sign(docs, width, percent, buckets, id_column, text), "signed")
-    sized = scratch.table(signed.filter("bucket is null").select("doc_id", "n", "digest"), "sized")
-    blobs = signed.filter("bucket is not null").select("bucket", "ids", "sigs", "places")
-    found = scratch.table(blobs.groupBy("bucket").applyInArrow(groups, "gid long, id long"), "groups")
-    scratch.drop(signed)
-    classes = scratch.table(sized.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
-    # members by their class, as several blocks may have signed an equal set
-    who = sized.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").filter("digest is not null").join(classes.select("digest", "rep", F.col("n").alias("size")), "digest").select(F.col("doc_id").alias("id"), "rep", "size").distinct()
-    member = scratch.table(found.join(who, "id").select("gid", F.col("rep").alias("id"), "size").distinct(), "all-members")
-    scratch.drop(found)
-    # groups of one set, or of two whose sizes alone rule a link out, have nothing to verify
-    shape = member.groupBy("gid").agg(F.count("*").alias("_n"), F.min("size").alias("_s"), F.max("size").alias("_l")).filter((F.col("_n") > 2) | ((F.col("_n") == 2) & (F.col("_s") * 100 >= F.col("_l") * percent))).select("gid")
-    every, member = member, scratch.table(member.join(shape, "gid"), "members")
-    scratch.drop(every)
-    sets = scratch.table(sets_of(docs, member.select("id").distinct(), width, id_column, text), "sets")
-
-    def close(a: str, b: str) -> F.Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        """(a, b, linked).  Sets travel twice: to their pairs by b, then to a's task; a centre with many pairs is several chunks."""
-        load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 512).alias("chunks"))
-        spread = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
-        own = load.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-        rows = spread.unionByName(own).withColumnRenamed("b", "id").join(sets.select("id", "set").hint("merge"), "id").select("a", "id", "chunk", "set")
-        rows = rows.repartition(common.shuffle_partitions(spark), "a", "chunk").sortWithinPartitions("a", "chunk", F.col("id") != F.col("a"), "id")
-        return rows.mapInArrow(compare(percent), "a long, b long, linked boolean")
-
-    # every set against the smallest set of its groups
-    lowest = member.groupBy("gid").agg(F.min(F.struct("id", "size")).alias("c"), F.max("id").alias("_max")).filter("c.id < _max").select("gid", "c")
-    first = member.join(lowest, "gid").filter("id > c.id").filter(close("size", "c.size")).groupBy("id").agg(F.min("c.id").alias("a")).select("a", F.col("id").alias("b"))
-    tested = scratch.table(verify(first), "tested")
-    comp = scratch.table(common.components(tested.filter("linked").select("a", "b"), scratch), "components")
-    placed = member.join(comp, "id", "left").select("gid", "id", "size", F.coalesce("component", "id").alias("comp"))
-    state = placed.groupBy("gid").agg(F.min("id").alias("_low"), F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n")).filter("_a < _b").select("gid", "_low", "_n")
-    open_ = scratch.table(placed.join(state, "gid"), "open")
-    few = open_.filter(F.col("_n") <= SMALL)
-    rest = few.alias("x").join(few.alias("y"), "gid").filter("x.id < y.id and x.comp <> y.comp").filter(close("x.size", "y.size")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    rest = scratch.table(verify(rest.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")).filter("linked").select("a", "b"), "rest")
-    large = open_.filter(F.col("_n") > SMALL).withColumn("_cells", F.ceil(F.col("_n") / 4096)).withColumn("_cell", F.pmod(F.xxhash64("id"), F.col("_cells")))
-    large = large.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cells") - 1))).select("gid", "id", "size", F.least("_cell", "_other").alias("i"), F.greatest("_cell", "_other").alias("j"))
-    large = large.join(sets.select("id", "counts").hint("merge"), "id").repartition(common.shuffle_partitions(spark), "gid", "i", "j")
-    large = scratch.table(large.groupBy("gid", "i", "j").applyInArrow(plausible(percent), "gid long, id long").distinct(), "plausible")
-    low = large.groupBy("gid").agg(F.min("id").alias("low"))
-    crowd = common.components(large.join(low, "gid").select(F.col("low").alias("a"), F.col("id").alias("b")), scratch).withColumnRenamed("component", "cluster")
-    sizes = member.select("id", "size").distinct()
-    crowd = scratch.table(crowd.join(sizes, "id"), "clusters")
+    share = min(1.0, (100 - percent) / 40)
+    buckets = max(partitions, math.ceil(total / 6 * share / 1e6))
+    scanned = scratch.table(scan(docs, width, share, buckets, id_column, text), "scanned")
+    sized = scratch.table(scanned.filter("n is not null").select("doc_id", "n", "digest"), "sized")
+    alone = scanned.filter("bucket is not null").select("bucket", "block", "marks", "places").groupBy("bucket").applyInArrow(lonely, "block long, places binary")
+    names = scanned.filter("ids is not null").select("block", F.lit(None).cast("binary").alias("places"), "ids")
+    own = alone.withColumn("ids", F.lit(None).cast("binary")).unionByName(names).groupBy("block").applyInArrow(counted, "doc_id long, lonely long")
+    own = scratch.table(own.groupBy("doc_id").agg(F.min("lonely").alias("lonely")), "lonely")
+    scratch.drop(scanned)
+    # a row a class of equal sets, numbered; the document with the smallest id stands for it
+    classes = sized.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("weight"))
+    classes = scratch.table(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    may = classes.join(own, classes.rep == own.doc_id, "left").filter((F.col("n") - F.coalesce("lonely", F.lit(0))) * 100 >= F.col("n") * percent)
+    may = scratch.table(may.select("id", "rep", "digest", "n", "weight"), "may-link")
+    sets = sets_of(docs, may, width, id_column, text)
+    if not sized.groupBy("doc_id", "digest").count().filter("count > 1 and doc_id is not null").isEmpty():
+        sets = sets.dropDuplicates(["id"])  # repeated rows give the set of their class once
+    sets = scratch.table(sets, "sets")
+    buckets = max(partitions, math.ceil((may.agg(F.sum("n")).first()[0] or 0) * 3 / 1e6))
+    member = sign(sets, percent, buckets).groupBy("bucket").applyInArrow(groups, "gid long, id long, centre long, n long")
+    member = scratch.table(member.distinct(), "members")
+    near = scratch.table(near_pairs(member, sets, percent, partitions), "near-centres")
+    comp = scratch.table(common.components(near, scratch), "components")
+    placed = member.join(comp, "id", "left").select("gid", "id", "n", F.coalesce("component", "id").alias("comp"))
+    state = placed.groupBy("gid").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a < _b").select("gid")
+    apart = scratch.table(in_cells(salted(placed, state, "gid").withColumn("cells", F.ceil(F.col("n") / CROWD)), ["gid", "id", "comp"]), "apart")
+    scratch.drop(member)
+    tasks = max(partitions, math.ceil(apart.count() / 20_000))
+    apart_sketches = apart.join(sets.select("id", "size", "counts").hint("merge"), "id").withColumn("task", F.pmod(F.xxhash64("gid", "i", "j"), F.lit(tasks)))
+    more = scratch.table(apart_sketches.groupBy("task").applyInArrow(near_members(percent), "a long, b long").distinct(), "near-members")
+    comp = scratch.table(common.components(near.union(more), scratch).withColumnRenamed("component", "cluster"), "clusters")
+    crowd = comp.join(sets.select("id", "size", "weight"), "id")
     cells = crowd.groupBy("cluster").agg(F.ceil(F.sum("size") / CELL).alias("cells"))
-    crowd = crowd.join(cells, "cluster").withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")))
-    crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
-    crowd = crowd.select("cluster", "id", "cell", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
-    blocks = crowd.join(sets.select("id", "set").hint("merge"), "id").repartition(common.shuffle_partitions(spark), "cluster", "i", "j")
-    blocked = scratch.table(blocks.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), "a long, b long"), "blocked")
-    scratch.drop(sets)
-    linked = tested.filter("linked").select("a", "b").union(rest).union(blocked)
-    comp = scratch.table(common.components(linked, scratch), "components")
-    known = scratch.table(classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "known")
+    crowd = scratch.table(in_cells(salted(crowd, cells, "cluster"), ["cluster", "id", "weight", "size"]), "cells")
+    tasks = max(partitions, math.ceil((crowd.agg(F.sum("size")).first()[0] or 0) / CELL))
+    blocks = crowd.drop("size").join(sets.select("id", "set").hint("merge"), "id").withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
+    found = scratch.table(blocks.groupBy("task").applyInArrow(links_of(percent), "a long, b long, links long"), "links")
+    scratch.drop(sets, crowd, near, more, apart)
+    linked = found.filter("b is not null").select("a", "b")
+    several = sized.filter("doc_id is not null and digest is not null").groupBy("doc_id").agg(F.min("digest").alias("_a"), F.max("digest").alias("_b")).filter("_a <> _b").select("doc_id")
+    several = scratch.table(several.join(sized, "doc_id").join(classes.select("digest", "id"), "digest").select("doc_id", "id"), "several-texts")
+    linked = linked.union(several.join(several.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b")))
+    comp = scratch.table(common.components(linked, scratch), "linked")
+    first = comp.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = salted(comp, first, "component").select("id", "component_id")
+    counts = found.filter("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
+    known = classes.join(named, "id", "left").join(counts, "id", "left")
+    known = scratch.table(known.select("digest", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "known")
+    scratch.drop(found, classes, comp)
     # documents without words look up a key of their own, so they don't meet in one task
     out = sized.withColumn("digest", F.coalesce("digest", F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))).join(known, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    has_id = F.col("doc_id").isNotNull()
+    component = F.when(has_id, F.coalesce("component_id", "doc_id"))
+    links = F.when(has_id, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long")
+    return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), links.alias("n_links"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

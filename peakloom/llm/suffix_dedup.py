@@ -106,40 +106,41 @@ def get_places(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64))
 
 
-def blocks(docs: DataFrame, length: int, scratch: common.Scratch, id_column: str, text: str) -> DataFrame:
-    """(block, ids, sizes, copies, text): packed documents in order; a copy's text is left out."""
+def blocks(docs: DataFrame, length: int, scratch: common.Scratch, id_column: str, text: str, row: str | None) -> DataFrame:
+    """(block, ids, rows, sizes, copies, text): packed documents in order; a copy's text is left out."""
     spark = docs.sparkSession
     body = common.text_bytes(text)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.unhex(F.sha2(body, 256)).alias("digest"), body.alias("text"))
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.unhex(F.sha2(body, 256)).alias("digest"), body.alias("text"), (F.lit(None) if row is None else F.col(row)).cast("long").alias("row"))
     same = rows.filter(F.length("text") >= length).groupBy("digest").agg(F.min(F.coalesce("id", F.lit(-(2**63)))).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
     later = rows.filter(F.length("text") >= length).select("id", "digest").join(scratch.table(same, "same"), "digest").filter("id > first").select("id", "digest").distinct()
     later = scratch.table(later, "copies")
     null = F.lit(None).cast("binary")
-    both = rows.select("id", "digest", F.lit(1).alias("kind"), "text").unionByName(later.select("id", "digest", F.lit(0).alias("kind"), null.alias("text")))
-    both = both.repartitionByRange(common.shuffle_partitions(spark), "id", "digest").sortWithinPartitions("id", "digest", "kind")
+    both = rows.select("id", "digest", F.lit(1).alias("kind"), "text", "row").unionByName(later.select("id", "digest", F.lit(0).alias("kind"), null.alias("text"), F.lit(None).cast("long").alias("row")))
+    both = both.repartitionByRange(common.shuffle_partitions(spark), "id", "digest").sortWithinPartitions("id", "digest", "kind", "row")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
         part, number, copy, last = TaskContext.get().partitionId(), 0, None, None
-        ids, sizes, copies, held, size = [], [], [], [], 0
+        ids, own, sizes, copies, held, size = [], [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal ids, sizes, copies, held, size, number
-            row = {"block": (part << 32) + number, "ids": ids, "sizes": sizes, "copies": copies, "text": b"".join(held)}
-            ids, sizes, copies, held, size, number = [], [], [], [], 0, number + 1
-            return pa.RecordBatch.from_pylist([row], pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("copies", pa.list_(pa.bool_())), ("text", pa.binary())]))
+            nonlocal ids, own, sizes, copies, held, size, number
+            row = {"block": (part << 32) + number, "ids": ids, "rows": own, "sizes": sizes, "copies": copies, "text": b"".join(held)}
+            ids, own, sizes, copies, held, size, number = [], [], [], [], [], 0, number + 1
+            return pa.RecordBatch.from_pylist([row], pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("copies", pa.list_(pa.bool_())), ("text", pa.binary())]))
 
         for whole in batches:
             for b in common.batches(iter([whole]), 64):
-                for i, digest, kind, t in zip(*[b.column(c).to_pylist() for c in ("id", "digest", "kind", "text")], strict=True):
+                for i, digest, kind, t, number_ in zip(*[b.column(c).to_pylist() for c in ("id", "digest", "kind", "text", "row")], strict=True):
                     if kind == 0:
                         copy = (i, digest)
                         continue
                     again = len(t) >= length and (copy == (i, digest) or last == (i, digest))
                     last = (i, digest)
                     ids.append(i)
+                    own.append(number_)
                     sizes.append(len(t))
                     copies.append(again)
                     if not again:
@@ -150,7 +151,7 @@ def blocks(docs: DataFrame, length: int, scratch: common.Scratch, id_column: str
         if ids:
             yield flush()
 
-    out = scratch.table(both.mapInArrow(run, "block long, ids array<long>, sizes array<long>, copies array<boolean>, text binary"), "blocks")
+    out = scratch.table(both.mapInArrow(run, "block long, ids array<long>, rows array<long>, sizes array<long>, copies array<boolean>, text binary"), "blocks")
     scratch.drop(later)
     return out
 
@@ -244,8 +245,8 @@ def settle(dtype: str, first_too: bool):
 def meet(rows: DataFrame, places: DataFrame, run, schema: str) -> DataFrame:
     """Blocks with the places found for them: run(block row, sorted places) yields Arrow batches."""
     null = lambda kind: F.lit(None).cast(kind)
-    said = places.select("block", F.lit(0).alias("kind"), "places", null("array<long>").alias("ids"), null("array<long>").alias("sizes"), null("array<boolean>").alias("copies"), null("binary").alias("text"))
-    own = rows.select("block", F.lit(1).alias("kind"), null("binary").alias("places"), "ids", "sizes", "copies", "text")
+    said = places.select("block", F.lit(0).alias("kind"), "places", null("array<long>").alias("ids"), null("array<long>").alias("rows"), null("array<long>").alias("sizes"), null("array<boolean>").alias("copies"), null("binary").alias("text"))
+    own = rows.select("block", F.lit(1).alias("kind"), null("binary").alias("places"), "ids", "rows", "sizes", "copies", "text")
     both = said.unionByName(own).repartition(common.shuffle_partitions(rows.sparkSession), "block").sortWithinPartitions("block", "kind")
 
     def stream(batches: Iterator) -> Iterator:
@@ -312,7 +313,7 @@ def suffixes(rows: DataFrame, length: int, buckets: int, rounds: int, turn: int)
     return rows.mapInArrow(run, ROW)
 
 
-OUT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+OUT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, row long"
 
 
 def cut(length: int, with_text: bool):
@@ -326,10 +327,10 @@ def cut(length: int, with_text: bool):
         np.add.at(step, at, 1)
         np.add.at(step, np.minimum(at + length, len(data)), -1)
         gone = np.cumsum(step[:-1]) > 0
-        out: dict[str, list] = {c: [] for c in ("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans")}
+        out: dict[str, list] = {c: [] for c in ("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "row", "kept_text", "spans")}
         ends = bounds(r["sizes"], r["copies"]).tolist()
         text = np.frombuffer(data, np.uint8)
-        for i, n, copy, end in zip(r["ids"], r["sizes"], r["copies"], ends, strict=True):
+        for i, number, n, copy, end in zip(r["ids"], r["rows"], r["sizes"], r["copies"], ends, strict=True):
             if copy:
                 spans, kept, removed = [[0, n]], b"", n
             else:
@@ -338,20 +339,20 @@ def cut(length: int, with_text: bool):
                 spans = np.stack([edge[::2], edge[1::2]], 1).tolist()
                 removed = int(g.sum())
                 kept = data[end - n : end] if not removed else text[end - n : end][~g].tobytes()
-            for c, x in zip(out, (i, n, removed, len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None, spans), strict=True):
+            for c, x in zip(out, (i, n, removed, len(spans), hashlib.sha256(kept).hexdigest(), number, kept.decode(errors="ignore") if with_text else None, spans), strict=True):
                 out[c].append(x)
-        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.string(), pa.list_(pa.list_(pa.int64()))] * with_text
+        kinds = [pa.int64()] * 4 + [pa.string(), pa.int64()] + [pa.string(), pa.list_(pa.list_(pa.int64()))] * with_text
         yield pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in zip(out, kinds, strict=False)], list(out)[: len(kinds)])
 
     return run
 
 
-def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: bool = False, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: bool = False, id_column: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256), a row a document; with_text adds kept_text (parts of
-    characters at the cuts left out) and spans ([from, to) pairs in bytes)."""
+    characters at the cuts left out) and spans ([from, to) pairs in bytes), row a column of integers that names rows."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
-    packed = blocks(docs, length, scratch, id_column, text)
+    packed = blocks(docs, length, scratch, id_column, text, row)
     total = packed.agg(F.sum(F.length("text"))).first()[0] or 0
     v = modulus(length)
     near = total * len(difference_cover(v)) / v
@@ -368,7 +369,8 @@ def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: boo
         found = now if found is None else found.unionByName(now)
     scratch.drop(left)
     schema = OUT + (", kept_text string, spans array<array<long>>" if with_text else "")
-    return meet(packed, found, cut(length, with_text), schema).withColumnRenamed("id", id_column)
+    out = meet(packed, found, cut(length, with_text), schema).withColumnRenamed("id", id_column)
+    return out.drop("row") if row is None else out.withColumnRenamed("row", row)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

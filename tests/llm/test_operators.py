@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import TEST_DATA, same
-from peakloom.llm import bpe, common, embedding_dedup, mixing, neighbours, ngram_join, pieces, registry, suffix_dedup, token_files, toxicity, url_filter, warc
+from peakloom.llm import bpe, common, embedding_dedup, mixing, neighbours, ngram_join, partenum, pieces, registry, suffix_dedup, token_files, toxicity, url_filter, warc
 
 P = pytest.importorskip("public_tokenizers")
 DOC = "doc_id long, text string, source string, size long, digest string"
@@ -200,6 +200,54 @@ def test_ngram_join_crowd(spark):
     assert ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").limit(0), 3, 90).count() == 0
 
 
+def brute_links(rows, width, percent):
+    sets = []
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append((i, {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())))
+    return sorted((i, sum(bool(x and y and k != j and b is not None and 100 * len(x & y) >= percent * len(x | y)) for j, (b, y) in enumerate(sets))) for k, (i, x) in enumerate(sets) if i is not None)
+
+
+@pytest.mark.parametrize(("width", "percent", "lengths"), [(1, 80, (10, 100)), (1, 50, (10, 40)), (1, 90, (10, 100)), (5, 80, (300, 900))])
+def test_ngram_join_counts_every_link(spark, monkeypatch, width, percent, lengths):
+    """Families of copies with few and many changes, in small cells, so that clusters are several blocks."""
+    monkeypatch.setattr(ngram_join, "CELL", 700)
+    monkeypatch.setattr(ngram_join, "CROWD", 5)
+    rng = random.Random(percent)
+    rows, at = [], 0
+    for f in range(12):
+        base = [f"f{f}w{k}" for k in range(rng.randrange(*lengths))]
+        for _ in range(rng.randrange(1, 14)):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) * (100 - percent) // 70 // width))):
+                w[rng.randrange(len(w))] = f"n{rng.random()}"
+            rows.append((at, " ".join(w)))
+            at += 1
+    rows += [(None, rows[0][1]), (500, rows[0][1]), (501, rows[0][1].upper()), (502, ""), (503, None)]
+    out = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), width, percent).collect()
+    assert sorted((r.doc_id, r.n_links) for r in out if r.doc_id is not None) == brute_links(rows, width, percent)
+    comp = brute_components(rows, width, percent)[0]
+    assert {r.doc_id: r.component_id for r in out if r.doc_id is not None} == comp
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_partenum_bounds(percent):
+    """Parts, signatures and slots stay in proportion to a set, and linked sets share a signature."""
+    bands = partenum.Bands(percent)
+    bands.of(np.array([30_000]))
+    for low, before in zip(bands.all[1:], bands.all, strict=False):
+        assert low.signatures() <= max(1.5 * before.low + 10, low.k + 1) and low.groups * low.parts <= max(3 * before.low + 20, low.k + 1)
+    rng = np.random.default_rng(percent)
+    for n in [*range(10, 101, 3), 400, 2000]:
+        x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        most = n * (100 - percent) // 100
+        y = np.concatenate([x[most // 2 :], rng.integers(0, 1 << 63, most // 2, dtype=np.uint64)])
+        shared = len(np.intersect1d(x, y))
+        if 100 * shared >= percent * (len(x) + len(y) - shared):
+            d, g = partenum.signatures(np.concatenate([x, y]), np.array([len(x), len(y)]), bands)
+            assert len(x) == len(y) == shared or set(g[d == 0].tolist()) & set(g[d == 1].tolist())
+
+
 def test_bpe_like_tiktoken(spark, docs):
     import tiktoken
 
