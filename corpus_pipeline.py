@@ -6,7 +6,7 @@ Each stage takes the rows its predecessor kept and all but the last return the c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakloom.llm import bpe, common, mixing, ngram_join, suffix_dedup, toxicity
@@ -21,28 +21,35 @@ def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
-def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component of the n-gram Jaccard join, and one row of each id.
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own (__row), written, so that ids may be null or repeated in what follows."""
+    return common.Scratch(spark).table(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
 
-    Rows without an id are in no group and stay.  Of rows that repeat an id, the first in the order of their texts' digests stays.
+def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each component of the n-gram Jaccard join: the one with the smallest id (null ids last; rows of one
+    id by their texts' digests).  Rows without words are in no group and stay.
     """
-    groups = ngram_join.join(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = common.Scratch(spark).table(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    order = Window.partitionBy("doc_id").orderBy(F.sha2(F.coalesce("text", F.lit("")), 256), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return kept.withColumn("__row", F.row_number().over(order)).filter("doc_id is null or __row = 1").drop("__row")
+    rows = numbered(spark, docs)
+    groups = common.Scratch(spark).table(ngram_join.join(rows, SHINGLE_WORDS, SIMILARITY, id_column="__row").filter("n_links > 0"), "groups")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "__row")
+    members = rows.select("__row", key.alias("key")).join(groups.select("__row", "component_id"), "__row")
+    best = members.groupBy("component_id").agg(F.min("key").alias("best"))
+    stay = common.Scratch(spark).table(best.select(F.col("best.__row").alias("__row")), "stay")
+    gone = groups.select("__row").join(stay, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every byte that a string of REPEAT_BYTES covers which also starts earlier; parts of characters at the cuts go as well.
 
-    Documents of which nothing but white space is left go.  n_chars follows the text.  Rows without an id stay as they are.
+    Rows count in the order of their ids, null ids first, then of their texts' digests.  Documents of which nothing but white
+    space is left go.  n_chars follows the text.
     """
-    cut = suffix_dedup.dedup(docs, REPEAT_BYTES, with_text=True).filter("n_removed > 0 and doc_id is not null").select("doc_id", F.col("kept_text").alias("__kept"))
+    rows = numbered(spark, docs)
+    cut = suffix_dedup.dedup(rows, REPEAT_BYTES, with_text=True, row="__row").filter("n_removed > 0").select("__row", F.col("kept_text").alias("__kept"))
     changed = F.col("__kept").isNotNull()
-    out = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("__kept", "text"))
+    out = rows.join(cut, "__row", "left").withColumn("text", F.coalesce("__kept", "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.filter(~changed | (F.regexp_count("text", F.lit(mixing.WORD)) > 0)).select(*docs.columns)
@@ -50,10 +57,10 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: rows as often as they are taken, those of better texts first."""
-    keyed = docs.withColumn("__text", F.sha2(F.coalesce("text", F.lit("")), 256))
-    mixed = mixing.mix(keyed, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS, quality=mixing.quality())
-    times = common.Scratch(spark).table(mixing.epochs(mixed.groupBy(F.col("doc_id").alias("__id"), F.col("__text").alias("__key")).agg(F.max("size").alias("size"), F.max("taken").alias("taken"))).select("__id", "__key"), "times")
-    return keyed.join(times, keyed.doc_id.eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))).select(*docs.columns)
+    rows = numbered(spark, docs)
+    mixed = mixing.mix(rows, mixing.WEIGHTS, mixing.SHARE, mixing.MOST_EPOCHS, quality=mixing.quality())
+    times = common.Scratch(spark).table(mixing.epochs(mixed).select("__row"), "times")
+    return rows.join(times, "__row").select(*docs.columns)
 
 
 def texts_become_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,8 +83,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage; the others' rows are written to the shared folder, and what they needed for it goes after each."""
     docs = common.documents(spark, sf_dir)
-    scratch = common.Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = common.scratch_path(spark, name.replace(" ", "-"))
+        with common.releasing(spark):
+            rows = stage(spark, docs, sf_dir)
+            with common.settings(spark, common.CLEAN_SHUFFLES, common.ARROW_BYTES):
+                rows.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
