@@ -54,7 +54,11 @@ def scales(counts: DataFrame) -> DataFrame:
 
 
 def normalised(counts: DataFrame, factors: DataFrame) -> DataFrame:
-    return counts.join(F.broadcast(factors.select("sample_key", "size_factor")), "sample_key").withColumn("value", F.col("n") / F.col("size_factor"))
+    """Adds size_factor and value = n / size_factor.  A sample without a factor is an error when read, not a loss of rows."""
+    factors = F.broadcast(factors.select("sample_key", F.col("size_factor").alias("_factor")))  # a row a sample
+    missing = F.raise_error(F.concat(F.lit("no size factor for sample "), F.coalesce("sample_key", F.lit("null")))).cast("double")
+    out = counts.join(factors, "sample_key", "left").withColumn("size_factor", F.coalesce("_factor", missing)).drop("_factor")
+    return out.withColumn("value", F.col("n") / F.col("size_factor"))
 
 
 def spike_scale(target: Column, ratio: Column, count: Column) -> Column:
@@ -89,7 +93,7 @@ def coverage(units: DataFrame, width: int = 10, tile: int = iv.TILE, sizes: Data
     out = iv.same_depth(iv.depth_segments(snapped(units, width).select(*keys, S, E), keys, tile), keys, "depth", tile)
     if sizes is None:
         return out
-    return out.join(F.broadcast(sizes), "chrom").withColumn(E, F.least(E, "size")).filter(f"{S} < {E}").drop("size")
+    return out.join(sizes, "chrom").withColumn(E, F.least(E, "size")).filter(f"{S} < {E}").drop("size")
 
 
 def bin_counts(units: DataFrame, width: int, keys: tuple[str, ...] = ("sample_key", "chrom")) -> DataFrame:
@@ -120,6 +124,47 @@ def karyogram(scores: DataFrame) -> DataFrame:
 
 
 def checksum(regions: DataFrame) -> DataFrame:
-    """One order-free checksum of a region set, in one row: equal sets, equal sums."""
-    row = F.xxhash64("chrom", F.col(S).cast("long"), F.col(E).cast("long")).cast("decimal(38,0)")
-    return regions.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.sum(row).cast("string")), 256).alias("checksum"))
+    """One order-free checksum of a region set, in one row: equal sets, equal sums.  Rows are summed as the first 60 bits of their MD5."""
+    row = F.conv(F.substring(F.md5(F.concat_ws(":", "chrom", F.col(S).cast("string"), F.col(E).cast("string"))), 1, 15), 16, 10).cast("decimal(38,0)")
+    return regions.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(row), F.lit(0)).cast("string")), 256).alias("checksum"))
+
+
+#: Columns of the normalisation record, in order.  Fixed values.
+RECORD = ["key", "policy", "source_bam_stage", "duplicate_policy", "bowtie2_reporting", "minimum_mapq", "secondary_alignments", "supplementary_alignments", "genome", "layout", "signal_unit", "signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus", "consensus_sha256", "consensus_count_sum", "cohort_geometric_mean_column_sum", "deseq2_size_factor", "deseq2_consensus_scale", "deseq2_robust_cpm_scale"]
+
+
+def normalisation_record(kept: DataFrame, scale_table: DataFrame, regions: DataFrame, sheet: DataFrame, policy: str, min_mapq: int, drops_duplicates: bool, layout: str = "PE", genome: str = "hg38") -> DataFrame:
+    """A row a sample of the sheet (sample_key, sheet_order) with the columns of RECORD: how a policy's tracks were made.
+
+    kept are the policy's signal units with mapq; scale_table is scales() of their counts; the checksum is that of the regions,
+    which all policies share.  A sample without units has zeros and null scales.
+    """
+    q = F.col("mapq")
+    bins = kept.groupBy("sample_key").agg(F.count("*").alias("signal_count"), F.count_if(q == 0).alias("mapq_0"), F.count_if((q >= 1) & (q <= 9)).alias("mapq_1_9"), F.count_if((q >= 10) & (q <= 29)).alias("mapq_10_29"), F.count_if(q >= 30).alias("mapq_30_plus"))
+    scale = scale_table.select("sample_key", F.col("column_sum").alias("consensus_count_sum"), F.col("geometric_mean_sum").alias("cohort_geometric_mean_column_sum"), F.col("size_factor").alias("deseq2_size_factor"), "deseq2_consensus_scale", F.col("robust_cpm_scale").alias("deseq2_robust_cpm_scale"))
+    out = sheet.select("sample_key", "sheet_order").join(bins, "sample_key", "left").join(scale, "sample_key", "left").crossJoin(F.broadcast(checksum(regions).withColumnRenamed("checksum", "consensus_sha256")))  # one row
+    fixed = {"policy": policy, "source_bam_stage": "dedup" if drops_duplicates else "aligned", "duplicate_policy": "removed" if drops_duplicates else "retained", "bowtie2_reporting": "one_primary_default", "minimum_mapq": min_mapq, "secondary_alignments": "excluded", "supplementary_alignments": "excluded", "genome": genome, "layout": layout, "signal_unit": "fragments" if layout == "PE" else "reads"}
+    out = out.withColumns({k: F.lit(v) for k, v in fixed.items()} | {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus")})
+    return out.withColumnRenamed("sample_key", "key").select(*RECORD, "sheet_order")
+
+
+def in_sheet_order(*tables: DataFrame) -> DataFrame:
+    """Union of per-sample tables (one a policy), by sheet_order and then in the order given; a table lacking a column is an error."""
+    out = None
+    for i, t in enumerate(tables):
+        t = t.withColumn("_table", F.lit(i))
+        out = t if out is None else out.unionByName(t)
+    return out.orderBy("_table", "sheet_order").drop("_table", "sheet_order")
+
+
+def guarded(df: DataFrame, what: str) -> DataFrame:
+    """df, or an error if it has no rows (no fragments, no canonical contigs, all peaks filtered)."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df
+
+
+def empty_samples(counts: DataFrame, samples: DataFrame) -> DataFrame:
+    """Samples of the sheet without any count: (sample_key, total) with total 0."""
+    total = counts.groupBy("sample_key").agg(F.sum("n").alias("total"))
+    return samples.select("sample_key").join(total, "sample_key", "left").withColumn("total", F.coalesce("total", F.lit(0)).cast("long")).filter("total = 0")

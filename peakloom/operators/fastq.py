@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,28 +34,39 @@ def duplication_levels(reads: DataFrame) -> DataFrame:
     return per.groupBy("level").agg(F.count("*").alias("sequences"))
 
 
-def trim_quality(qual: str, cutoff: int) -> int:
-    """Length to keep: cut where the sum of (cutoff - quality) from the 3' end is greatest, until it falls below 0."""
-    total = best = 0
-    keep = len(qual)
-    for i in range(len(qual) - 1, -1, -1):
-        total += cutoff - (ord(qual[i]) - 33)
-        if total < 0:
-            break
-        if total > best:
-            best, keep = total, i
-    return keep
-
-
-def trim_adapter(seq: str, adapter: str, overlap: int) -> int:
-    """Where the adapter, or a beginning of it of at least `overlap` bases at the read's end, starts."""
-    at = seq.find(adapter)
-    if at >= 0:
-        return at
-    for n in range(min(len(adapter) - 1, len(seq)), overlap - 1, -1):
-        if seq.endswith(adapter[:n]):
-            return len(seq) - n
-    return len(seq)
+def padded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes by read and position, 0 after the end; lengths) of a batch of reads."""
+    raw = [t.encode() for t in texts]
+    sizes = np.array([len(t) for t in raw], np.int64)
+    wide = max(1, int(sizes.max(initial=0)))
+    return np.frombuffer(b"".join(t.ljust(wide, b"\0") for t in raw), np.uint8).reshape(len(raw), wide), sizes
+
+
+def quality_cut(quals: np.ndarray, sizes: np.ndarray, cutoff: int) -> np.ndarray:
+    """Lengths to keep: cut where the sum of (cutoff - quality) from the 3' end is greatest (first met from there), as far as it
+    has not fallen below 0."""
+    width = quals.shape[1]
+    at = np.arange(width)
+    gain = np.where(at < sizes[:, None], cutoff - (quals.astype(np.int64) - 33), 0)[:, ::-1]
+    total = np.cumsum(gain, 1)
+    alive = np.cumsum(total < 0, 1) == 0
+    best = np.where(alive, total, 0)
+    top = best.max(1, initial=0)
+    return np.where(top > 0, width - 1 - best.argmax(1), sizes)
+
+
+def adapter_cut(seqs: np.ndarray, sizes: np.ndarray, adapter: str, overlap: int) -> np.ndarray:
+    """Where the adapter, or a beginning of it of at least `overlap` bases at the read's end, starts: the first such place."""
+    pattern, width = np.frombuffer(adapter.encode(), np.uint8), seqs.shape[1]
+    at = np.arange(width)
+    inside = at < sizes[:, None]
+    fits = inside & (sizes[:, None] - at >= overlap)
+    for i, base in enumerate(pattern.tolist()):
+        shifted = np.zeros_like(seqs)
+        if i < width:
+            shifted[:, : width - i] = seqs[:, i:]
+        fits &= (shifted == base) | (at + i >= sizes[:, None])
+    return np.where(fits.any(1), fits.argmax(1), sizes)
 
 
 def detect_adapter(reads: DataFrame) -> str:
@@ -68,7 +80,9 @@ def trim(reads: DataFrame, adapter: str, cutoff: int = 20, overlap: int = 1, lea
 
     def run(frames: Iterator) -> Iterator:
         for f in frames:
-            keep = [trim_adapter(s[: trim_quality(q, cutoff)], adapter, overlap) for s, q in zip(f["seq"], f["qual"], strict=True)]
+            quals, sizes = padded(f["qual"].tolist())
+            keep = quality_cut(quals, sizes, cutoff)
+            keep = adapter_cut(padded(f["seq"].tolist())[0], keep, adapter, overlap).tolist()
             yield f.assign(seq=[s[:k] for s, k in zip(f["seq"], keep, strict=True)], qual=[q[:k] for q, k in zip(f["qual"], keep, strict=True)])
 
     out = reads.mapInPandas(run, kind)

@@ -59,23 +59,22 @@ def same_depth(df: DataFrame, keys: list[str], value: str, tile: int = TILE) ->
     return within.filter(~at_border).unionByName(runs(within.filter(at_border), keys)).select(*keys, S, E, value)
 
 
-def disjoin(df: DataFrame, keys: list[str], sample: str, tile: int = TILE) -> DataFrame:
-    """Atomic segments with `support`, the number of distinct samples over each.
-
-    Boundaries are those of the samples' merged intervals; a segment that a tile border cuts where no interval begins or ends is
-    joined again.
-    """
-    merged = merge(df, [*keys, sample], tile)
-    segments = depth_segments(merged, keys, tile).withColumnRenamed("depth", "support")
-    real = merged.select(*keys, F.explode(F.array(S, E)).alias("_at")).filter(F.col("_at") % tile == 0).distinct()
-    at_border = segments.filter((F.col(S) % tile == 0) | (F.col(E) % tile == 0))
-    inner = segments.filter(~((F.col(S) % tile == 0) | (F.col(E) % tile == 0)))
-    marked = at_border.join(real.withColumn("_real", F.lit(True)).withColumnRenamed("_at", S), [*keys, S], "left")
-    w = Window.partitionBy(*keys).orderBy(S)
-    new = F.when((F.lag(E).over(w) == F.col(S)) & F.col("_real").isNull() & (F.lag("support").over(w) == F.col("support")), 0).otherwise(1)
+def whole_segments(df: DataFrame, keys: list[str], tile: int = TILE) -> DataFrame:
+    """depth_segments without the cuts that tile borders make where no interval begins or ends."""
+    segments = depth_segments(df, keys, tile)
+    real = df.select(*keys, F.explode(F.array(S, E)).alias("_at")).filter(F.col("_at") % tile == 0).distinct()
+    border = (F.col(S) % tile == 0) | (F.col(E) % tile == 0)
+    marked = segments.filter(border).join(real.withColumn("_real", F.lit(True)).withColumnRenamed("_at", S), [*keys, S], "left")
+    w = Window.partitionBy(*keys).orderBy(S)  # two segments a tile at most
+    new = F.when((F.lag(E).over(w) == F.col(S)) & F.col("_real").isNull() & (F.lag("depth").over(w) == F.col("depth")), 0).otherwise(1)
     run = marked.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = run.groupBy(*keys, "_run").agg(F.min(S).alias(S), F.max(E).alias(E), F.first("support").alias("support")).drop("_run")
-    return inner.unionByName(joined)
+    joined = run.groupBy(*keys, "_run").agg(F.min(S).alias(S), F.max(E).alias(E), F.first("depth").alias("depth")).drop("_run")
+    return segments.filter(~border).unionByName(joined)
+
+
+def disjoin(df: DataFrame, keys: list[str], sample: str, tile: int = TILE) -> DataFrame:
+    """Atomic segments with `support`, the number of distinct samples over each; boundaries are those of the samples' merged intervals."""
+    return whole_segments(merge(df, [*keys, sample], tile), keys, tile).withColumnRenamed("depth", "support")
 
 
 def consensus(df: DataFrame, keys: list[str], sample: str, least: int = 2, tile: int = TILE) -> DataFrame:
@@ -122,29 +121,63 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("ch
     return both.filter((F.col(S) < F.col("r_end")) & (F.col("r_start") < F.col(E)) & (F.col("_bin") == meet)).drop("_level", "_bin")
 
 
+def with_flag(left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys: tuple[str, ...] = ("chrom",), width: int = 2000, coarse: int = 64) -> DataFrame:
+    """Adds whether a row of left overlaps any interval of right; ids tell left's rows apart.
+
+    Right is merged, and each bin lists the merged intervals that reach it or the bin after it: a row no longer than a bin finds
+    all it needs in the bin of its start, so left is neither exploded nor joined back, and a small right side is broadcast by its
+    size.  Longer rows use bins `coarse` times wider; those longer still (rare) take the join on bins.
+    """
+    merged = merge(right.select(*keys, S, E), list(keys))
+    levels = [(0, width), (1, width * coarse)]
+
+    def bins(number: int, w: int) -> Column:
+        near = F.sequence(F.floor(F.col(S) / w) - 1, F.floor((F.col(E) - 1) / w))
+        return F.transform(near, lambda b: F.struct(F.lit(number).alias("_level"), b.alias("_bin")))
+
+    spread = F.flatten(F.array(*[bins(*x) for x in levels]))
+    lists = merged.select(*keys, F.explode(spread).alias("_x"), F.struct(F.col(S).alias("s"), F.col(E).alias("e")).alias("_i"))
+    lists = lists.groupBy(*keys, F.col("_x._level").alias("_level"), F.col("_x._bin").alias("_bin")).agg(F.collect_list("_i").alias("_list"))
+    span = F.col(E) - F.col(S)
+    level = F.when(span <= width, 0).when(span <= width * coarse, 1)
+    short = left.withColumns({"_level": level, "_bin": F.when(level == 0, F.floor(F.col(S) / width)).otherwise(F.floor(F.col(S) / (width * coarse)))})
+    found = short.filter(F.col("_level").isNotNull()).join(lists, [*keys, "_level", "_bin"], "left")
+    found = found.withColumn(flag, F.coalesce(F.exists("_list", lambda i: (i["s"] < F.col(E)) & (i["e"] > F.col(S))), F.lit(False)))
+    long = left.filter(span > width * coarse)
+    hit = overlap_join(long.select(*dict.fromkeys([*ids, *keys, S, E])), merged, keys, width).select(*ids).distinct().withColumn(flag, F.lit(True))
+    rest = long.join(hit, ids, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return found.select(*left.columns, flag).unionByName(rest.select(*left.columns, flag))
+
+
 def with_any(left: DataFrame, right: DataFrame, ids: list[str], keys: tuple[str, ...] = ("chrom",), anti: bool = False, bin_width: int = 2000) -> DataFrame:
     """Rows of left that overlap (or, anti, don't overlap) any of right.  ids tell left's rows apart."""
-    hit = overlap_join(left.select(*dict.fromkeys([*ids, *keys, S, E])), right.select(*keys, S, E), keys, bin_width).select(*ids).distinct()
-    return left.join(hit, ids, "left_anti" if anti else "left_semi")
+    marked = with_flag(left, right, ids, "_any", keys, bin_width)
+    return marked.filter(~F.col("_any") if anti else F.col("_any")).drop("_any")
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_id: str, position: str, name: str, key: str = "chrom") -> DataFrame:
+def nearest(points: DataFrame, targets: DataFrame, point_id: str, position: str, name: str, key: str = "chrom", tile: int = TILE) -> DataFrame:
     """For each interval the nearest target point (distance 0 if the point lies in it), ties to the smallest (position, name).
 
-    One window per key over targets and interval ends together: last target at or before the start, first target from the
-    start on; the nearer of the two, where an inner target has distance 0.
+    Windows run inside tiles over targets and interval starts together: the last target at or before the start, the first one
+    after it; where a tile has none, that of the nearest tile which has, from a table of a row a tile.
     """
-    t = targets.groupBy(key, position).agg(F.min(name).alias(name)).select(key, F.col(position).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(position), F.col(name)).alias("_t"), F.lit(None).cast(points.schema[point_id].dataType).alias(point_id), F.lit(None).cast("long").alias(S), F.lit(None).cast("long").alias(E))
-    p = points.select(key, F.col(S).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(t.schema["_t"].dataType).alias("_t"), point_id, F.col(S).cast("long").alias(S), F.col(E).cast("long").alias(E))
-    both = t.unionByName(p)
-    before = Window.partitionBy(key).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    kind = targets.select(F.struct(F.col(position), F.col(name)).alias("_t")).schema["_t"].dataType
+    t = targets.groupBy(key, position).agg(F.min(name).alias(name)).select(key, F.col(position).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(position), F.col(name)).alias("_t"))
+    t = t.withColumns({point_id: F.lit(None).cast(points.schema[point_id].dataType), S: F.lit(None).cast("long"), E: F.lit(None).cast("long")})
+    p = points.select(key, F.col(S).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_t"), point_id, F.col(S).cast("long").alias(S), F.col(E).cast("long").alias(E))
+    both = t.unionByName(p).withColumn("_tile", F.floor(F.col("_at") / tile))
+    tiles = both.groupBy(key, "_tile").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    over = Window.partitionBy(key).orderBy("_tile")  # a row a tile
+    carried = tiles.select(key, "_tile", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    inside = Window.partitionBy(key, "_tile").orderBy("_at", "_kind")
     # targets at the start itself count as before, so what follows lies strictly after it
-    after = Window.partitionBy(key).orderBy("_at", "_kind").rowsBetween(0, Window.unboundedFollowing)
-    x = both.withColumns({"_b": F.last("_t", ignorenulls=True).over(before), "_a": F.first("_t", ignorenulls=True).over(after)}).filter("_kind = 1")
+    x = both.withColumns({"_b": F.last("_t", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_t", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))}).filter("_kind = 1")
+    x = x.join(carried, [key, "_tile"]).withColumns({"_b": F.coalesce("_b", "_before"), "_a": F.coalesce("_a", "_after")})
     gap_b = F.when(F.col("_b").isNotNull(), F.col(S) - F.col(f"_b.{position}"))
     gap_a = F.when(F.col("_a").isNotNull(), F.greatest(F.lit(0), F.col(f"_a.{position}") - (F.col(E) - 1)))
     take_b = F.col("_b").isNotNull() & (F.col("_a").isNull() | (gap_b <= gap_a))
-    return x.select(key, point_id, S, E, F.when(take_b, F.col("_b")).otherwise(F.col("_a")).alias("_n"), F.when(take_b, gap_b).otherwise(gap_a).alias("distance")).select(key, point_id, S, E, F.col(f"_n.{position}").alias(position), F.col(f"_n.{name}").alias(name), "distance")
+    best = x.select(key, point_id, S, E, F.when(take_b, F.col("_b")).otherwise(F.col("_a")).alias("_n"), F.when(take_b, gap_b).otherwise(gap_a).alias("distance"))
+    return best.select(key, point_id, S, E, F.col(f"_n.{position}").alias(position), F.col(f"_n.{name}").alias(name), "distance")
 
 
 def chrom_rank(column: str = "chrom", autosomes: int = 22) -> Column:
@@ -153,28 +186,26 @@ def chrom_rank(column: str = "chrom", autosomes: int = 22) -> Column:
     return F.when(core.rlike("^[0-9]+$"), core.try_cast("int") if hasattr(core, "try_cast") else core.cast("int")).when(core == "X", 1001).when(core == "Y", 1002).when(core.isin("M", "MT"), 1003).otherwise(2000)
 
 
-def number(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """A global rank from 1 without a window over all rows: ranges of the order, ranked inside, then shifted by the counts before.
+def number(df: DataFrame, order: list[Column], bucket: list[Column]) -> DataFrame:
+    """A global rank from 1 without a window over all rows: ranked inside buckets, then shifted by the counts of the buckets before.
 
-    The ranges come from Spark's range partitioning, fixed by a checkpoint where a checkpoint folder is set.
+    bucket must rise with order; being a function of the row alone, it is the same whenever a partition is made again.  Only the
+    table of a row a bucket is sorted in one task.
     """
-    cols = {f"_o{i}": c for i, c in enumerate(order)}
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumns(cols).repartitionByRange(n, *cols).withColumn("_part", F.spark_partition_id())
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        ranged = ranged.checkpoint()
-    else:
-        ranged = ranged.persist()
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*cols))
-    return ranged.join(F.broadcast(before), "_part").withColumn("rank", F.col("_before") + inside).drop("_part", "_before", *cols)
-
-
-def region_ids(regions: DataFrame, prefix: str = "peak", autosomes: int = 22) -> DataFrame:
+    cols, by = {f"_o{i}": c for i, c in enumerate(order)}, {f"_k{i}": c for i, c in enumerate(bucket)}
+    dealt = df.withColumns(cols | by)
+    counts = dealt.groupBy(*by).agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy(*by)) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*by).orderBy(*cols))
+    return dealt.join(before, list(by)).withColumn("rank", F.col("_before") + inside).drop("_before", *by, *cols)
+
+
+def region_ids(regions: DataFrame, prefix: str = "peak", autosomes: int = 22, tile: int = TILE) -> DataFrame:
     """Adds region_id `<prefix>_000001` in canonical chromosome order, then start."""
-    ranked = number(regions, [chrom_rank("chrom", autosomes), F.col("chrom"), F.col(S), F.col(E)])
-    return ranked.withColumn("region_id", F.concat(F.lit(f"{prefix}_"), F.when(F.length(F.col("rank").cast("string")) >= 6, F.col("rank").cast("string")).otherwise(F.lpad(F.col("rank").cast("string"), 6, "0")))).drop("rank")
+    rank = chrom_rank("chrom", autosomes)
+    ranked = number(regions, [rank, F.col("chrom"), F.col(S), F.col(E)], [rank, F.col("chrom"), F.floor(F.col(S) / tile)])
+    text = F.col("rank").cast("string")
+    return ranked.withColumn("region_id", F.concat(F.lit(f"{prefix}_"), F.when(F.length(text) >= 6, text).otherwise(F.lpad(text, 6, "0")))).drop("rank")
 
 
 def tss(genes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,32 +22,29 @@ def shifted(reads_: DataFrame, shift: int = -75, size: int = 150) -> DataFrame:
     return reads_.withColumn("_s", F.greatest(F.lit(0), s)).withColumns({E: F.greatest(F.col("_s") + 1, s + size), S: F.col("_s")}).drop("_s")
 
 
+def upper_tail(k: np.ndarray, lam: np.ndarray) -> np.ndarray:
+    """-log10 P(X >= k) for Poisson variables of mean lam, all at once: the tail's terms relative to its first one are summed."""
+    distinct, at = np.unique(np.maximum(k, 0), return_inverse=True)
+    log_factorial = np.array([math.lgamma(x + 1) for x in distinct.tolist()])[at]
+    log_first = k * np.log(lam) - lam - log_factorial
+    total, term, j = np.ones(len(k)), np.ones(len(k)), k.astype(float)
+    open_ = np.flatnonzero(k > 0)
+    while len(open_):
+        j[open_] += 1
+        term[open_] *= lam[open_] / j[open_]
+        total[open_] += term[open_]
+        open_ = open_[(term[open_] >= 1e-12 * total[open_]) | (j[open_] <= lam[open_])]
+    return np.where(k > 0, np.maximum(0.0, -(log_first + np.log(total)) / math.log(10)), 0.0)
+
+
 def poisson_tail(df: DataFrame, n: str = "depth", rate: str = "lam") -> DataFrame:
-    """score = -log10 P(X >= n), computed once for each distinct (n, rate rounded to 3 digits)."""
-    df = df.withColumn("_r", F.round(rate, 3))
-
-    def run(batches):
-        import pandas as pd
-
-        for f in batches:
-            k, lam = f["_k"].to_numpy(np.int64), np.maximum(f["_r"].to_numpy(float), 1e-9)
-            out = np.zeros(len(k))
-            for i, (a, x) in enumerate(zip(k.tolist(), lam.tolist(), strict=True)):
-                if a <= 0:
-                    continue
-                log_term = a * math.log(x) - x - math.lgamma(a + 1)
-                total, term, j = 1.0, 1.0, a
-                while True:  # the upper tail's terms relative to the first
-                    j += 1
-                    term *= x / j
-                    total += term
-                    if term < 1e-12 * total and j > x:
-                        break
-                out[i] = max(0.0, -(log_term + math.log(total)) / math.log(10))
-            yield pd.DataFrame({"_k": k, "_r": f["_r"], "score": out})
-
-    table = df.select(F.col(n).cast("long").alias("_k"), "_r").distinct().mapInPandas(run, "_k long, _r double, score double")
-    return df.join(table, (F.col(n).cast("long") == F.col("_k")) & df._r.eqNullSafe(table._r)).drop("_k", "_r")
+    """Adds score = -log10 P(X >= n) at the rate rounded to 3 digits, by Arrow batches beside the other columns."""
+
+    @F.pandas_udf("double")
+    def score(k: pd.Series, lam: pd.Series) -> pd.Series:
+        return pd.Series(upper_tail(k.to_numpy(np.int64), np.maximum(lam.to_numpy(float), 1e-9)))
+
+    return df.withColumn("score", score(F.col(n).cast("long"), F.round(rate, 3)))
 
 
 def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None) -> DataFrame:
@@ -72,13 +70,23 @@ def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, c
     return scored.withColumn("_sc", F.round("score", 3)).join(q, ["sample_key", "_sc"]).select("sample_key", "chrom", S, E, "depth", "lam", "score", "q")
 
 
-def call(segments: DataFrame, cutoff: float = 0.05, gap: int = 150, least: int = 150) -> DataFrame:
-    """Narrow peaks: segments with q at least the cutoff, gaps up to `gap` closed, shorter ones dropped; summit of the deepest segment."""
-    good = segments.filter(F.col("q") >= -math.log10(cutoff))
-    w = Window.partitionBy("sample_key", "chrom").orderBy(S)
-    x = good.withColumn("_new", F.when(F.col(S) - F.lag(E).over(w) <= gap, 0).otherwise(1)).withColumn("_p", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = x.groupBy("sample_key", "chrom", "_p").agg(F.min(S).alias(S), F.max(E).alias(E), F.max("depth").alias("signal"), F.max("score").alias("pvalue"), F.max("q").alias("qvalue"), F.max_by(F.floor((F.col(S) + F.col(E)) / 2), F.struct("depth", -F.col(S))).alias("summit"))
-    return out.drop("_p").filter(F.col(E) - F.col(S) >= least)
+def call(segments: DataFrame, cutoff: float = 0.05, gap: int = 150, least: int = 150, tile: int = iv.TILE) -> DataFrame:
+    """Narrow peaks: segments with q at least the cutoff, gaps up to `gap` closed, shorter ones dropped; summit of the deepest segment.
+
+    Segments are gathered inside tiles; what lies within `gap` of a tile's border is gathered once more over the borders.
+    """
+    by, best = ["sample_key", "chrom"], ["signal", "pvalue", "qvalue"]
+
+    def gathered(x: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(S)
+        x = x.withColumn("_new", F.when(F.col(S) - F.lag(E).over(w) <= gap, 0).otherwise(1)).withColumn("_p", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return x.groupBy(*keys, "_p").agg(F.min(S).alias(S), F.max(E).alias(E), *[F.max(c).alias(c) for c in best], F.max("top").alias("top")).drop("_p")
+
+    good = segments.filter(F.col("q") >= -math.log10(cutoff)).select(*by, S, E, F.col("depth").alias("signal"), F.col("score").alias("pvalue"), F.col("q").alias("qvalue"), F.struct("depth", (-F.col(S)).alias("at"), F.floor((F.col(S) + F.col(E)) / 2).alias("mid")).alias("top"))
+    pieces = gathered(good.withColumn("_tile", F.floor(F.col(S) / tile)), [*by, "_tile"]).drop("_tile")
+    near = (F.col(S) % tile <= gap) | (F.pmod(-F.col(E), F.lit(tile)) <= gap) | (F.floor(F.col(S) / tile) != F.floor((F.col(E) - 1) / tile))
+    out = pieces.filter(~near).unionByName(gathered(pieces.filter(near), by))
+    return out.select(*by, S, E, *best, F.col("top.mid").alias("summit")).filter(F.col(E) - F.col(S) >= least)
 
 
 def call_broad(segments: DataFrame, cutoff: float = 0.05, broad_cutoff: float = 0.1, gap: int = 600, least: int = 150) -> DataFrame:

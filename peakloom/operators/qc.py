@@ -37,10 +37,26 @@ def peak_stats(peaks: DataFrame) -> DataFrame:
 
 def frip(records: DataFrame, peaks: DataFrame, ids: list[str]) -> DataFrame:
     """Reads in a sample's merged peaks as a share of its mapped reads, 4 digits, null without reads."""
-    merged = iv.merge(peaks, ["sample_key", "chrom"])
-    hit = iv.overlap_join(records.select(*dict.fromkeys([*ids, "sample_key", "chrom", S, E])), merged, ("sample_key", "chrom")).select(*ids, "sample_key").distinct().groupBy("sample_key").agg(F.count("*").alias("in_peaks"))
-    total = records.groupBy("sample_key").agg(F.count("*").alias("mapped"))
-    return total.join(hit, "sample_key", "left").select("sample_key", "mapped", F.coalesce("in_peaks", F.lit(0)).cast("long").alias("in_peaks"), F.round(share(F.coalesce("in_peaks", F.lit(0)), F.col("mapped")), 4).alias("frip"))
+    marked = iv.with_flag(records, peaks, ids, "_hit", ("sample_key", "chrom"))
+    out = marked.groupBy("sample_key").agg(F.count("*").alias("mapped"), F.count_if("_hit").alias("in_peaks"))
+    return out.withColumn("frip", F.round(share(F.col("in_peaks"), F.col("mapped")), 4))
+
+
+def frip_by_peak_set(records: DataFrame, sets: dict[str, DataFrame], ids: list[str]) -> DataFrame:
+    """sample_key, mapped and frip_<name> for each peak set (narrow, broad, consensus), in one pass over the records.
+
+    A set without sample_key, such as a consensus, holds for every sample.  A sample without any peak of a set of its own has null.
+    """
+    marked, own = records, records.select("sample_key").distinct()
+    for name, peaks in sets.items():
+        keys = ("sample_key", "chrom") if "sample_key" in peaks.columns else ("chrom",)
+        marked = iv.with_flag(marked, peaks, ids, f"_{name}", keys)
+        if len(keys) == 2:
+            own = own.join(peaks.groupBy("sample_key").agg(F.lit(True).alias(f"_has_{name}")), "sample_key", "left")
+        else:
+            own = own.withColumn(f"_has_{name}", F.lit(True))
+    out = marked.groupBy("sample_key").agg(F.count("*").alias("mapped"), *[F.count_if(f"_{n}").alias(f"_{n}") for n in sets]).join(own, "sample_key")
+    return out.select("sample_key", "mapped", *[F.when(F.col(f"_has_{n}"), F.round(share(F.col(f"_{n}"), F.col("mapped")), 4)).alias(f"frip_{n}") for n in sets])
 
 
 def duplication(df: DataFrame) -> DataFrame:
@@ -83,23 +99,30 @@ def short_mono_ratio(df: DataFrame) -> DataFrame:
 
 
 def tss_profile(units: DataFrame, genes: DataFrame, blacklist: DataFrame, reach: int = 1000) -> DataFrame:
-    """Coverage of unit ends by strand-oriented position around autosomal TSSs outside the blacklist: (sample_key, position, n)."""
+    """Coverage by units at each strand-oriented position around autosomal TSSs outside the blacklist: (sample_key, position, n).
+
+    A unit adds one at its first position in the window and takes it back after its last; running sums over the 2 * reach + 1
+    positions of a sample give the coverage, so no base is exploded.
+    """
     t = iv.tss(genes).filter(F.col("chrom").rlike("^chr[0-9]+$")).select("gene_id", "chrom", "tss", "strand")
     spot = t.withColumns({S: F.col("tss"), E: F.col("tss") + 1})
     t = iv.with_any(spot, blacklist, ["gene_id"], anti=True)
     window = t.withColumns({S: F.col("tss") - reach, E: F.col("tss") + reach + 1})
-    ends = units.select("sample_key", "chrom", F.explode(F.array(F.col(S), F.col(E) - 1)).alias("at")).withColumns({S: F.col("at"), E: F.col("at") + 1})
-    pairs = iv.overlap_join(ends, window.select("chrom", S, E, "tss", "strand"))
-    rel = (F.col("at") - F.col("tss")) * F.when(F.col("strand") == "-", -1).otherwise(1)
-    return pairs.groupBy("sample_key", rel.alias("position")).agg(F.count("*").alias("n"))
-
-
-def tss_enrichment(profile: DataFrame, reach: int = 1000, flank: int = 100, core: int = 50) -> DataFrame:
-    """Mean coverage within `core` bp of the TSS over the mean of the outer flanks."""
+    pairs = iv.overlap_join(units.select("sample_key", "chrom", S, E), window.select("chrom", S, E, "tss", "strand"))
+    first, last = F.greatest(S, "r_start") - F.col("tss"), F.least(E, "r_end") - 1 - F.col("tss")
+    minus = F.col("strand") == "-"
+    events = F.array(F.struct(F.when(minus, -last).otherwise(first).alias("position"), F.lit(1).alias("d")), F.struct((F.when(minus, -first).otherwise(last) + 1).alias("position"), F.lit(-1).alias("d")))
+    steps = pairs.select("sample_key", F.explode(events).alias("x")).groupBy("sample_key", F.col("x.position").alias("position")).agg(F.sum("x.d").alias("d"))
+    every = steps.select("sample_key").distinct().withColumn("position", F.explode(F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))))
+    run = Window.partitionBy("sample_key").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    return every.join(steps, ["sample_key", "position"], "left").select("sample_key", "position", F.sum(F.coalesce("d", F.lit(0))).over(run).alias("n"))
+
+
+def tss_enrichment(profile: DataFrame, reach: int = 1000, flank: int = 100) -> DataFrame:
+    """Coverage at the TSS over the mean coverage of the outer flanks on both sides."""
     p = F.col("position")
     back = F.sum(F.when(F.abs(p) > reach - flank, F.col("n"))) / (2 * flank)
-    mid = F.sum(F.when(F.abs(p) <= core, F.col("n"))) / (2 * core + 1)
-    return profile.groupBy("sample_key").agg(F.round(F.when(back > 0, mid / back), 6).alias("tss_enrichment"))
+    return profile.groupBy("sample_key").agg(F.round(F.when(back > 0, F.sum(F.when(p == 0, F.col("n"))) / back), 6).alias("tss_enrichment"))
 
 
 def fingerprint(bins: DataFrame) -> DataFrame:
@@ -139,7 +162,8 @@ def profile(matrix: DataFrame) -> DataFrame:
 def heatmap_order(matrix: DataFrame) -> DataFrame:
     """Regions by mean signal, strongest first, with their global rank."""
     means = matrix.groupBy("region_id").agg(F.round(F.avg("value"), 9).alias("mean_signal"))
-    return iv.number(means, [-F.col("mean_signal"), F.col("region_id")])
+    # regions of one power of two of signal (cut finer by 16) are ranked together
+    return iv.number(means, [-F.col("mean_signal"), F.col("region_id")], [-F.floor(16 * F.log2(F.col("mean_signal") + 1e-9))])
 
 
 def summary(stats: DataFrame) -> DataFrame:
@@ -148,6 +172,30 @@ def summary(stats: DataFrame) -> DataFrame:
     return stats.withColumn("qc_status", F.when((F.col("n_narrow") == 0) & (F.col("n_broad") == 0), "NO_PEAKS").when(few, "POOR").otherwise("PASS"))
 
 
+#: Columns of the summary row, in order.  Fixed values.
+SUMMARY = ["sample_id", "assay", "bam_file", "total_reads", "duplication_pct", "bl_filtered_reads", "mito_reads", "mito_pct", "n_narrow_peaks", "n_broad_peaks", "peak_width_median", "peak_max_signal", "frip_narrow", "frip_broad", "qc_status", "notes"]
+
+
+def summary_rows(records: DataFrame, peaks: DataFrame, sheet: DataFrame, ids: list[str], folder: str = "filtered") -> DataFrame:
+    """The 16 columns of SUMMARY, a row a sample of the sheet (sample_key, assay).
+
+    records carry is_dup; mapped ones count.  Median width and greatest signal are those of the sample's narrow peaks.  A sample
+    without records has 0 reads, without peaks 0 peaks, and null where there is nothing to divide or measure.
+    """
+    mapped = F.col("flag").bitwiseAND(F.lit(4)) == 0
+    reads_ = records.groupBy("sample_key").agg(F.count_if(mapped).alias("total_reads"), F.round(100 * F.count_if("is_dup") / F.count("*"), 2).alias("duplication_pct"), F.count_if(mapped & reads.is_mito()).alias("mito_reads"))
+    narrow, broad = (peaks.filter(F.col("peak_type") == k) for k in ("narrow", "broad"))
+    n = peak_stats(narrow).select("sample_key", F.col("n_peaks").alias("n_narrow"), F.col("median_width").alias("peak_width_median"), F.col("max_signal").alias("peak_max_signal"))
+    b = broad.groupBy("sample_key").agg(F.count("*").alias("n_broad"))
+    shares = frip_by_peak_set(records.filter(mapped), {"narrow": narrow, "broad": broad}, ids).drop("mapped")
+    out = sheet.select("sample_key", "assay")
+    for part in (reads_, n, b, shares):
+        out = out.join(part, "sample_key", "left")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("total_reads", "mito_reads", "n_narrow", "n_broad")}
+    out = summary(out.withColumns(zero)).withColumns({"mito_pct": F.round(100 * share(F.col("mito_reads"), F.col("total_reads")), 2), "bl_filtered_reads": F.col("total_reads"), "bam_file": F.concat(F.lit(f"{folder}/"), "sample_key", F.lit(".sam")), "notes": F.lit("")})
+    return out.withColumnsRenamed({"sample_key": "sample_id", "n_narrow": "n_narrow_peaks", "n_broad": "n_broad_peaks"}).select(*SUMMARY)
+
+
 def warnings(stats: DataFrame) -> DataFrame:
     """(sample_key, warning, value, threshold) for every rule that a sample breaks."""
     atac = reads.is_atac()
@@ -166,7 +214,8 @@ def contig_report(df: DataFrame, genome: str = "hg38") -> DataFrame:
 def library_summary(units: DataFrame, counts: DataFrame, factors: DataFrame) -> DataFrame:
     total = units.groupBy("sample_key").agg(F.count("*").alias("canonical_signal"))
     assigned = counts.groupBy("sample_key").agg(F.sum("n").alias("assigned"))
-    return total.join(assigned, "sample_key", "left").join(factors.select("sample_key", "size_factor"), "sample_key", "left").withColumn("assigned_fraction", F.col("assigned") / F.col("canonical_signal"))
+    out = total.join(assigned, "sample_key", "left").join(factors.select("sample_key", "size_factor"), "sample_key", "left")
+    return out.withColumn("assigned_fraction", F.col("assigned") / F.col("canonical_signal"))
 
 
 def wide(metrics: DataFrame, names: list[str]) -> DataFrame:

@@ -41,6 +41,25 @@ TABLES: dict[str, tuple[str, list[str]]] = {
     "ccre": ("customer", [
         "concat('cc', CAST(c_custkey AS STRING)) AS ccre_id", f"{chrom('(c_custkey * 7)')} AS chrom", "(c_custkey * 911) % 200000 AS start_pos", "(c_custkey * 911) % 200000 + 150 + c_custkey % 200 AS end_pos",
         "CASE c_mktsegment WHEN 'BUILDING' THEN 'PLS' WHEN 'AUTOMOBILE' THEN 'pELS' WHEN 'MACHINERY' THEN 'dELS' WHEN 'HOUSEHOLD' THEN 'CA-CTCF' ELSE 'CA' END AS ccre_class"]),
+    # a sheet of runs: mostly in order, with rows that break each rule
+    "sheet": ("customer", [
+        "CAST(c_custkey AS BIGINT) AS row", "concat(' S', CAST(c_custkey % 997 AS STRING)) AS sample_id", "CAST(c_custkey % 3 + 1 AS STRING) AS replicate",
+        "CASE WHEN c_custkey % 103 = 0 THEN 'one' ELSE CAST(c_custkey % 2 + 1 AS STRING) END AS tech_replicate",
+        "CASE WHEN c_custkey % 113 = 0 THEN '' ELSE 'a.fq' END AS fastq_1", "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'b.fq' END AS fastq_2",
+        "CASE WHEN c_custkey % 101 = 0 THEN 'XX' WHEN c_nationkey % 7 = 0 THEN 'se' ELSE 'PE' END AS layout",
+        "CASE WHEN c_custkey % 89 = 0 THEN 'hg19' ELSE 'hg38' END AS genome", "CASE WHEN c_mktsegment = 'BUILDING' THEN 'ATAC-seq' ELSE 'ChIP-seq' END AS assay",
+        "lower(c_mktsegment) AS factor", "concat('c', CAST(c_nationkey AS STRING)) AS condition", "'none' AS treatment", "concat('k', CAST(c_custkey % 4 AS STRING)) AS cell_type",
+        "CASE WHEN c_custkey % 11 = 0 THEN 'TRUE' WHEN c_custkey % 211 = 0 THEN 'maybe' ELSE 'no' END AS is_control",
+        "CASE WHEN c_custkey % 4 = 0 THEN concat('S', CAST((c_custkey * 7) % 997 AS STRING)) ELSE '' END AS control_id",
+        "CASE c_custkey % 4 WHEN 0 THEN 'narrow' WHEN 1 THEN 'Broad' WHEN 2 THEN 'both' ELSE 'none' END AS macs2_mode",
+        "'x.bed' AS blacklist", "concat('p', CAST(c_custkey AS STRING)) AS output_prefix",
+        "CASE WHEN c_custkey % 6 = 0 THEN 'dm6' WHEN c_custkey % 307 = 0 THEN 'dm3' ELSE NULL END AS spikein_genome",
+        "CASE WHEN c_custkey % 30 = 0 THEN 'nan' WHEN c_custkey % 6 = 0 THEN '0.5' WHEN c_custkey % 311 = 0 THEN '1' ELSE '' END AS spikein_to_host_ratio",
+        "CASE WHEN c_custkey % 42 = 0 THEN 'pre_tagmentation' WHEN c_custkey % 6 = 0 THEN ' Pre_tagmentation_nuclei' ELSE '' END AS spikein_stage"]),
+    "reads": ("lineitem", [
+        f"{sample_key('l_orderkey')} AS sample_key", "CAST(l_orderkey AS STRING) AS read_id", "CAST(l_linenumber AS INT) AS mate",
+        f"substr('{'ACGTTGCAAGCTTACGNACGGATCGGCATTAGCCATCTGTCTCTTATACACATCTGGATTACA' * 2}', CAST(1 + l_orderkey % 55 AS INT), CAST(16 + l_linenumber * 5 AS INT)) AS seq",
+        "concat(repeat('I', CAST(11 + l_linenumber * 5 AS INT)), CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 2 = 1 THEN '#####' ELSE 'IIIII' END) AS qual"]),
     "blacklist": ("supplier", [f"{chrom('(s_suppkey * 3)')} AS chrom", "(s_suppkey * 1777) % 200000 AS start_pos", "(s_suppkey * 1777) % 200000 + 500 AS end_pos"]),
 }
 

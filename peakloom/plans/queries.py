@@ -106,10 +106,8 @@ query("d2_retained_records", f"{fx.cte('frag')}, {DUP} SELECT sample_key, qname
 
 @query("d4_filter_funnel", f"{fx.cte('frag', 'blacklist')}, b AS (SELECT f.*, EXISTS (SELECT 1 FROM blacklist k WHERE k.chrom = f.chrom AND k.start_pos < f.end_pos AND f.start_pos < k.end_pos) AS hit FROM frag f) SELECT sample_key, count(*) AS total, count(*) FILTER ((flag & 2) = 2 AND (flag & 3852) = 0 AND mapq >= 30) AS after_flags, count(*) FILTER ({STRINGENT}) AS after_contigs, count(*) FILTER ({STRINGENT} AND NOT hit) AS after_blacklist FROM b GROUP BY 1")
 def funnel(spark, d):
-    f = frag(spark, d)
-    hit = iv.overlap_join(f.select("qname", "chrom", S, E), fx.table(spark, d, "blacklist")).select("qname").distinct().withColumn("hit", F.lit(True))
-    f = f.join(hit, "qname", "left")
-    return reads.funnel(f, [("after_flags", reads.policy("stringent", "PE")), ("after_contigs", reads.is_canonical()), ("after_blacklist", F.col("hit").isNull())])
+    f = iv.with_flag(frag(spark, d), fx.table(spark, d, "blacklist"), ["qname"], "hit")
+    return reads.funnel(f, [("after_flags", reads.policy("stringent", "PE")), ("after_contigs", reads.is_canonical()), ("after_blacklist", ~F.col("hit"))])
 
 
 @query("d5_pair_repair", f"{fx.cte('frag', 'blacklist')}, m AS (SELECT sample_key, qname, chrom, start_pos, start_pos + least(50, tlen) AS end_pos FROM frag UNION ALL SELECT sample_key, qname, chrom, end_pos - least(50, tlen), end_pos FROM frag), k AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = m.chrom AND b.start_pos < m.end_pos AND m.start_pos < b.end_pos)), p AS (SELECT sample_key, qname FROM k GROUP BY 1, 2 HAVING count(*) = 2) SELECT sample_key, count(*) AS pairs FROM p GROUP BY 1")
@@ -141,7 +139,7 @@ query("i9_unique_tss", f"{fx.cte('genes')} SELECT chrom, CASE WHEN strand = '-'
 
 @query("i10_summit_windows", f"{fx.cte('frag', 'peaks')}, {CONSENSUS}, {UNITS}, pile AS {segments_sql('units', 'chrom')}, x AS (SELECT r.chrom, r.start_pos, r.end_pos, depth, greatest(r.start_pos, p.start_pos) AS s, least(r.end_pos, p.end_pos) AS e FROM cons r JOIN pile p ON p.chrom = r.chrom AND p.start_pos < r.end_pos AND r.start_pos < p.end_pos), t AS (SELECT *, row_number() OVER (PARTITION BY chrom, start_pos, end_pos ORDER BY depth DESC, s) AS k FROM x) SELECT chrom, greatest(0, CAST(floor((s + e - 1) / 2) AS BIGINT) - 100) AS start_pos, CAST(floor((s + e - 1) / 2) AS BIGINT) + 101 AS end_pos, CAST(floor((s + e - 1) / 2) AS BIGINT) AS summit FROM t WHERE k = 1")
 def summits(spark, d):
-    return iv.recentre(iv.consensus(called(spark, d), ["chrom"], "sample_key"), iv.depth_segments(units(spark, d), ["chrom"], 1 << 40)).select("chrom", S, E, "summit")
+    return iv.recentre(iv.consensus(called(spark, d), ["chrom"], "sample_key"), iv.whole_segments(units(spark, d), ["chrom"])).select("chrom", S, E, "summit")
 
 
 query("i11_narrow_broad_union", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('peaks', 'chrom')}")(lambda spark, d: iv.merge(fx.table(spark, d, "peaks").filter("peak_type = 'narrow'").unionByName(fx.table(spark, d, "peaks").filter("peak_type = 'broad'")), ["chrom"]))
@@ -149,10 +147,9 @@ query("i11_narrow_broad_union", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('p
 
 @query("i12_prefilter_manifest", f"{fx.cte('peaks', 'blacklist')}, x AS (SELECT *, {CANON} AS canon, EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = p.chrom AND b.start_pos < p.end_pos AND p.start_pos < b.end_pos) AS hit FROM peaks p) SELECT sample_key, peak_type, count(*) AS input, count(*) FILTER (canon AND NOT hit) AS retained, count(*) FILTER (NOT canon) AS noncanonical, count(*) FILTER (canon AND hit) AS blacklisted FROM x GROUP BY 1, 2")
 def prefilter(spark, d):
-    p = fx.table(spark, d, "peaks")
-    hit = iv.overlap_join(p.select("peak_no", "chrom", S, E), fx.table(spark, d, "blacklist")).select("peak_no").distinct().withColumn("hit", F.lit(True))
-    x = p.join(hit, "peak_no", "left").withColumns({"canon": reads.is_canonical(), "hit": F.coalesce("hit", F.lit(False))})
-    return x.groupBy("sample_key", "peak_type").agg(F.count("*").alias("input"), F.count_if(F.col("canon") & ~F.col("hit")).alias("retained"), F.count_if(~F.col("canon")).alias("noncanonical"), F.count_if(F.col("canon") & F.col("hit")).alias("blacklisted"))
+    x = iv.with_flag(fx.table(spark, d, "peaks"), fx.table(spark, d, "blacklist"), ["peak_no"], "hit").withColumn("canon", reads.is_canonical())
+    kept, lost = F.count_if(F.col("canon") & ~F.col("hit")), F.count_if(F.col("canon") & F.col("hit"))
+    return x.groupBy("sample_key", "peak_type").agg(F.count("*").alias("input"), kept.alias("retained"), F.count_if(~F.col("canon")).alias("noncanonical"), lost.alias("blacklisted"))
 
 
 # --- joins
@@ -265,7 +262,7 @@ def families(spark, d):
     return t.groupBy("family", "sample_key").agg(F.count("*").alias("segments"), F.round(F.sum((F.col(E) - F.col(S)) * F.col("score")), 3).alias("area"))
 
 
-query("n11_consensus_checksum")(lambda spark, d: counting.checksum(regions(spark, d)))
+query("n11_consensus_checksum", f"{fx.cte('peaks')}, {CONSENSUS} SELECT sha256(concat_ws(':', count(*)::VARCHAR, coalesce(sum(('0x' || substr(md5(concat_ws(':', chrom, start_pos::VARCHAR, end_pos::VARCHAR)), 1, 15))::BIGINT::HUGEINT), 0)::VARCHAR)) AS checksum FROM regions")(lambda spark, d: counting.checksum(regions(spark, d)))
 
 # --- statistics
 
@@ -353,7 +350,14 @@ _C = "count(*) FILTER (length BETWEEN {} AND {})"
 _N, _M, _D, _T = (_C.format(*x) for x in qc.CLASSES.values())
 query("q4_periodicity", f"{fx.cte('frag')}, {HIST}, h AS (SELECT sample_key, length, count(*) AS n FROM l GROUP BY 1, 2), mo AS (SELECT sample_key, arg_max(length, n * 10000 - length) AS mono FROM h WHERE length BETWEEN 150 AND 260 GROUP BY 1), di AS (SELECT sample_key, arg_max(length, n * 10000 - length) AS di FROM h WHERE length BETWEEN 300 AND 500 GROUP BY 1), c AS (SELECT sample_key, count(*) AS total, count(*) FILTER (length > 1000) AS over, {_N} AS n, {_M} AS m, {_D} AS d, {_T} AS t FROM l GROUP BY 1), x AS (SELECT * FROM c LEFT JOIN mo USING (sample_key) LEFT JOIN di USING (sample_key)) SELECT sample_key, unnest(['proper_pair_fragments', 'fragments_above_plot_max', 'nucleosome_free_1_100_count', 'nucleosome_free_1_100_fraction', 'mononucleosome_180_247_count', 'mononucleosome_180_247_fraction', 'dinucleosome_315_473_count', 'dinucleosome_315_473_fraction', 'trinucleosome_558_615_count', 'trinucleosome_558_615_fraction', 'nfr_to_mononucleosome_ratio', 'periodic_fragment_fraction', 'mononucleosome_local_peak_bp', 'dinucleosome_local_peak_bp', 'mono_to_di_peak_spacing_bp', 'mono_to_di_spacing_deviation_from_200_bp']) AS metric, round(unnest([total::DOUBLE, over, n, n / total, m, m / total, d, d / total, t, t / total, CASE WHEN m > 0 THEN n / m END, (m + d + t) / total, mono, di, di - mono, abs(di - mono - 200)]), 6) AS value FROM x")(
     lambda spark, d: qc.periodicity(qc.length_histogram(units(spark, d))).withColumn("value", F.round("value", 6)))
-TSSP = f"{TSS}, tt AS (SELECT * FROM t WHERE regexp_matches(chrom, '^chr[0-9]+$') AND NOT EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = t.chrom AND b.start_pos <= tss AND tss < b.end_pos)), en AS (SELECT sample_key, chrom, start_pos AS pt FROM units UNION ALL SELECT sample_key, chrom, end_pos - 1 FROM units), pf AS (SELECT sample_key, (pt - tss) * CASE WHEN strand = '-' THEN -1 ELSE 1 END AS position, count(*) AS n FROM en JOIN tt ON tt.chrom = en.chrom AND pt BETWEEN tss - 1000 AND tss + 1000 GROUP BY 1, 2)"
+TSSP = (
+    f"{TSS}, tt AS (SELECT * FROM t WHERE regexp_matches(chrom, '^chr[0-9]+$') AND NOT EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = t.chrom"
+    " AND b.start_pos <= tss AND tss < b.end_pos)), pr AS (SELECT sample_key, tt.strand, greatest(u.start_pos, tss - 1000) - tss AS a, least(u.end_pos, tss + 1001) - 1 - tss AS z"
+    " FROM units u JOIN tt ON tt.chrom = u.chrom AND u.start_pos <= tss + 1000 AND u.end_pos > tss - 1000), ev AS (SELECT sample_key, position, sum(d) AS d FROM ("
+    "SELECT sample_key, CASE WHEN strand = '-' THEN -z ELSE a END AS position, 1 AS d FROM pr UNION ALL SELECT sample_key, CASE WHEN strand = '-' THEN -a ELSE z END + 1, -1 FROM pr) GROUP BY 1, 2),"
+    " ps AS (SELECT sample_key, unnest(range(-1000, 1001)) AS position FROM (SELECT DISTINCT sample_key FROM ev)), pf AS (SELECT sample_key, position,"
+    " sum(coalesce(d, 0)) OVER (PARTITION BY sample_key ORDER BY position)::BIGINT AS n FROM ps LEFT JOIN ev USING (sample_key, position))"
+)
 
 
 def tss_profile(spark, d):
@@ -361,7 +365,7 @@ def tss_profile(spark, d):
 
 
 query("q5_tss_profile", f"{fx.cte('frag', 'genes', 'blacklist')}, {UNITS}, {TSSP} SELECT sample_key, position, n FROM pf")(tss_profile)
-query("q5_tss_enrichment", f"{fx.cte('frag', 'genes', 'blacklist')}, {UNITS}, {TSSP}, z AS (SELECT sample_key, sum(n) FILTER (abs(position) > 900) / 200 AS back, sum(n) FILTER (abs(position) <= 50) / 101 AS mid FROM pf GROUP BY 1) SELECT sample_key, round(CASE WHEN back > 0 THEN mid / back END, 6) AS tss_enrichment FROM z")(lambda spark, d: qc.tss_enrichment(tss_profile(spark, d)))
+query("q5_tss_enrichment", f"{fx.cte('frag', 'genes', 'blacklist')}, {UNITS}, {TSSP}, z AS (SELECT sample_key, sum(n) FILTER (abs(position) > 900) / 200 AS back, sum(n) FILTER (position = 0) AS mid FROM pf GROUP BY 1) SELECT sample_key, round(CASE WHEN back > 0 THEN mid / back END, 6) AS tss_enrichment FROM z")(lambda spark, d: qc.tss_enrichment(tss_profile(spark, d)))
 query("q6_short_mono_ratio", f"{fx.cte('frag')} SELECT sample_key, round(count(*) FILTER (tlen BETWEEN 50 AND 100) / nullif(count(*) FILTER (tlen BETWEEN 150 AND 200), 0), 6) AS short_mononucleosomal_ratio FROM frag WHERE {STRINGENT} GROUP BY 1")(lambda spark, d: qc.short_mono_ratio(units(spark, d)).withColumn("short_mononucleosomal_ratio", F.round("short_mononucleosomal_ratio", 6)))
 QC = f"{fx.cte('frag', 'peaks')}, {DUP}, f AS (SELECT sample_key, count(*) AS total_reads, round(100.0 * count(*) FILTER (is_dup) / count(*), 2)::DOUBLE AS dup_percent, round(100 * count(*) FILTER (chrom = 'chrM') / count(*), 2) AS mito_percent FROM dup GROUP BY 1), p AS (SELECT sample_key, count(*) FILTER (peak_type = 'narrow') AS n_narrow, count(*) FILTER (peak_type = 'broad') AS n_broad FROM peaks GROUP BY 1), fr AS (SELECT sample_key, round(count(*) FILTER (hit) / count(*), 4) AS frip_narrow FROM (SELECT x.sample_key, EXISTS (SELECT 1 FROM peaks q WHERE q.peak_type = 'narrow' AND q.sample_key = x.sample_key AND q.chrom = x.chrom AND q.start_pos < x.end_pos AND x.start_pos < q.end_pos) AS hit FROM frag x) GROUP BY 1), st AS (SELECT * FROM f LEFT JOIN p USING (sample_key) LEFT JOIN fr USING (sample_key))"
 

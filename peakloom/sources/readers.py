@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Regulatory class names in the order they are tried.  Fixed values.
@@ -22,9 +22,13 @@ def _fields(df: DataFrame, sep: str = "\t") -> DataFrame:
 
 
 def samplesheet(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, blanks and quotes stripped; columns as the header names them, all strings, and row from 1 by file order."""
+    """Header CSV, blanks and quotes stripped: columns as the header names them, all strings (null for an empty cell), and row.
+
+    row counts the file's lines from 2, the first after the header.  A sheet has a row a sequencing run, so one task numbers it.
+    """
     df = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
-    return df.select(*[F.trim(F.regexp_replace(F.col(f"`{c}`"), '^"|"$', "")).alias(c.strip().strip('"')) for c in df.columns])
+    row = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) + 1
+    return df.select(row.cast("long").alias("row"), *[F.trim(F.regexp_replace(F.col(f"`{c}`"), '^"|"$', "")).alias(c.strip().strip('"')) for c in df.columns])
 
 
 def alignments(spark: SparkSession, path: str) -> DataFrame:
@@ -56,10 +60,10 @@ def bed(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
 
 
 def peaks(spark: SparkSession, path: str) -> DataFrame:
-    """narrowPeak and broadPeak files; sample_key and peak_type come from `<sample_key>_peaks.<type>Peak` file names."""
+    """narrowPeak and broadPeak files; sample_key and peak_type come from file (or folder) names `<sample_key>_peaks.<type>Peak`."""
     f = _fields(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("p")).filter(~F.col("value").rlike("^(#|track)") & (F.trim("value") != "")))
     g = lambda i: F.get("f", F.lit(i))
-    return f.select(F.regexp_extract("p", r"([^/]+?)(_peaks)?\.(narrow|broad)Peak", 1).alias("sample_key"), F.regexp_extract("p", r"\.(narrow|broad)Peak", 1).alias("peak_type"), g(0).alias("chrom"), g(1).cast("long").alias("start_pos"), g(2).cast("long").alias("end_pos"), g(3).alias("name"), g(4).cast("int").alias("score"), g(5).alias("strand"), g(6).cast("double").alias("signal"), g(7).cast("double").alias("pvalue"), g(8).cast("double").alias("qvalue"), g(9).cast("int").alias("summit"))
+    return f.select(F.regexp_extract("p", r"([^/=]+?)(_peaks)?\.(narrow|broad)Peak", 1).alias("sample_key"), F.regexp_extract("p", r"\.(narrow|broad)Peak", 1).alias("peak_type"), g(0).alias("chrom"), g(1).cast("long").alias("start_pos"), g(2).cast("long").alias("end_pos"), g(3).alias("name"), g(4).cast("int").alias("score"), g(5).alias("strand"), g(6).cast("double").alias("signal"), g(7).cast("double").alias("pvalue"), g(8).cast("double").alias("qvalue"), g(9).cast("int").alias("summit"))
 
 
 def bedgraph(spark: SparkSession, path: str) -> DataFrame:
@@ -90,24 +94,39 @@ def tss_bed(features: DataFrame) -> DataFrame:
     return x.groupBy("chrom", "tss", "strand").agg(F.min(F.regexp_replace(name, r"\s+", "_")).alias("name"))
 
 
+def class_tokens(raw: Column) -> Column:
+    """The class names that a cell holds, each once, in the cell's order; names are cut at anything but letters, digits and hyphens."""
+    words = F.split(F.coalesce(raw, F.lit("")), "[^A-Za-z0-9-]+")
+    return F.array_distinct(F.filter(words, lambda w: w.isin(*CLASSES)))
+
+
 def normal_class(raw: Column) -> Column:
-    hits = F.array_distinct(F.regexp_extract_all(raw, F.lit("(" + "|".join(CLASSES) + ")"), F.lit(1)))
-    return F.when(F.coalesce(raw, F.lit("")) == "", "unclassified").when(F.size(hits) > 0, F.array_join(hits, ";")).otherwise(F.trim(raw))
+    """Known class names joined by `;`, else the trimmed cell, `unclassified` for a blank one."""
+    text = F.trim(F.coalesce(raw, F.lit("")))
+    names = class_tokens(raw)
+    return F.when(text == "", "unclassified").when(F.size(names) > 0, F.array_join(names, ";")).otherwise(text)
 
 
-def ccre(spark: SparkSession, path: str) -> DataFrame:
-    """Lenient: invalid rows go, a missing id becomes ccre_<chrom>_<start>_<end>, the class column (4th or later) is the first with
-    most rows that hold a known class name."""
+def ccre(spark: SparkSession, path: str, canonical: Column | None = None) -> DataFrame:
+    """Lenient: rows with bad coordinates (or, given a test, off the canonical contigs) go; a missing id becomes ccre_<n>, n the
+    number of the kept row by file order; the class column is the one, from the fourth on, in which most rows hold a class name
+    (the first of several)."""
     f = _fields(_lines(spark, path))
     s, e = F.get("f", F.lit(1)).try_cast("long"), F.get("f", F.lit(2)).try_cast("long")
-    f = f.withColumns({"s": s, "e": e}).filter("s >= 0 and e > s")
-    columns = range(3, f.agg(F.max(F.size("f"))).first()[0] or 3)
-    known = "(^|[^A-Za-z0-9])(" + "|".join(CLASSES) + ")([^A-Za-z0-9]|$)"
-    scores = f.agg(*[F.count_if(F.get("f", F.lit(i)).rlike(known)).alias(f"c{i}") for i in columns]).first() if columns else []  # one row
-    best = max(zip(scores, [-i for i in columns], strict=True), default=(0, 0))
-    raw = F.get("f", F.lit(-best[1])) if best[0] else F.lit("unclassified")
-    name = F.coalesce(F.nullif(F.get("f", F.lit(3)), F.lit("")), F.concat_ws("_", F.lit("ccre"), F.col("f")[0], "s", "e"))
-    return f.select(F.col("f")[0].alias("chrom"), F.col("s").alias("start_pos"), F.col("e").alias("end_pos"), name.alias("ccre_id"), normal_class(raw).alias("ccre_class"))
+    f = f.withColumns({"chrom": F.col("f")[0], "start_pos": s, "end_pos": e}).filter("start_pos >= 0 and end_pos > start_pos")
+    if canonical is not None:
+        f = f.filter(canonical)
+    hits = f.select(F.posexplode("f").alias("at", "cell")).filter((F.col("at") >= 3) & (F.size(class_tokens(F.col("cell"))) > 0))
+    best = hits.groupBy("at").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "at").first()  # a row a column of the file
+    raw = F.lit(None).cast("string") if best is None else F.get("f", F.lit(best["at"]))
+    # the place of a kept row is its place in its partition and the kept rows of the partitions before
+    f = f.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    counts = f.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")  # a row a split of the file
+    n = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_before")
+    f = f.join(F.broadcast(before), "_part").withColumn("_no", n)
+    name = F.coalesce(F.nullif(F.trim(F.get("f", F.lit(3))), F.lit("")), F.concat(F.lit("ccre_"), F.col("_no").cast("string")))
+    return f.select("chrom", "start_pos", "end_pos", name.alias("ccre_id"), normal_class(raw).alias("ccre_class"))
 
 
 def chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -130,6 +149,8 @@ def count_matrix(spark: SparkSession, path: str, samples: list[str]) -> DataFram
 def keyed_value(spark: SparkSession, path: str, column: str) -> DataFrame:
     """(key, value) from a header TSV; a value that is not a positive number is an error when read."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)
+    if missing := [c for c in ("key", column) if c not in df.columns]:
+        raise ValueError(f"columns not in the table: {missing}")
     v = F.col(column).try_cast("double")
     return df.select("key", F.when(v > 0, v).otherwise(F.raise_error(F.concat(F.lit("not a positive number for "), "key")).cast("double")).alias("value"))
 
@@ -196,7 +217,9 @@ def fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
     return rows.select("read_id", F.lit(mate).alias("mate"), "seq", "qual")
 
 
-def discover(spark: SparkSession, folders: list[str], pattern: str = "differential_accessibility_comparisons.tsv") -> DataFrame:
-    """All tables of that name under the folders, with source_table; blanks are NA."""
+def discover(spark: SparkSession, folders: list[str], pattern: str = "differential_accessibility_comparisons.tsv", required: tuple[str, ...] = ()) -> DataFrame:
+    """All tables of that name under the folders, with source_table; blanks are NA.  A required column that is missing is an error."""
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("sep", "\t").option("header", True).csv(folders)
-    return df.select(*[F.coalesce(F.nullif(F.col(f"`{c}`"), F.lit("")), F.lit("NA")).alias(c) for c in df.columns], F.col("_metadata.file_path").alias("source_table"))
+    if missing := [c for c in required if c not in df.columns]:
+        raise ValueError(f"columns not in the tables: {missing}")
+    return df.select(*[F.coalesce(F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")), F.lit("NA")).alias(c) for c in df.columns], F.col("_metadata.file_path").alias("source_table"))

@@ -172,7 +172,7 @@ def test_planted_peak_is_called(spark):
 
 
 def test_sheet_rules(spark):
-    base = dict.fromkeys(design.CORE, "") | {"layout": "PE", "genome": "hg38", "assay": "ATAC", "macs2_mode": "both", "is_control": "FALSE", "replicate": "1", "tech_replicate": "1", "fastq_2": "x"}
+    base = dict.fromkeys(design.CORE, "") | {"layout": "PE", "genome": "hg38", "assay": "ATAC", "macs2_mode": "both", "is_control": "FALSE", "replicate": "1", "tech_replicate": "1", "fastq_1": "w", "fastq_2": "x"}
     bad = [base | {"row": 1}, base | {"row": 2, "layout": "XX"}, base | {"row": 3, "fastq_2": ""}, base | {"row": 4, "replicate": "one"}]
     got = {(r.row, r.message) for r in design.violations(spark.createDataFrame(bad)).collect()}
     assert got == {(2, "invalid layout"), (3, "paired-end row without fastq_2"), (4, "replicate is not an integer")}
@@ -181,6 +181,78 @@ def test_sheet_rules(spark):
     assert tuple(design.uniform_cohort(mixed).first()) == (2, 1)
 
 
+def test_read_sheets_pass_the_rules(spark, tmp_path):
+    """Sheets of each shape, read from text and checked: the old annotation column, the core, and a spike-in declaration."""
+    cells = {"sample_id": "A", "fastq_1": "a_1.fq.gz", "fastq_2": "a_2.fq.gz", "layout": "PE", "genome": "hg38", "assay": "ATAC-seq", "factor": "ATAC", "condition": "stem", "treatment": "none", "cell_type": "k", "replicate": "1", "tech_replicate": "1", "is_control": "FALSE", "control_id": "", "macs2_mode": "both", "blacklist": "b.bed", "output_prefix": "A"}
+    spike = {"spikein_genome": "dm6", "spikein_to_host_ratio": "0.5", "spikein_stage": "pre_tagmentation_nuclei"}
+
+    def read(name, *rows):
+        text = [",".join(rows[0]), *[",".join(f'"{v}"' if v else v for v in r.values()) for r in rows]]
+        (tmp_path / name).write_text("\n".join(text) + "\n")
+        return readers.samplesheet(spark, str(tmp_path / name))
+
+    old, core = read("old.csv", cells | {"chipqc_annotation": "x"}), read("core.csv", cells)
+    calibrated = read("spike.csv", cells | spike, cells | {"replicate": "2"} | {k: "" for k in spike}, cells | {"replicate": "3"} | spike | {"spikein_stage": "pre_tagmentation"}, cells | {"replicate": "4"} | spike | {"spikein_to_host_ratio": "inf"}, cells | {"replicate": "5", "spikein_genome": "", "spikein_to_host_ratio": "1", "spikein_stage": ""})
+    assert [design.variant(x.columns) for x in (old, core, calibrated)] == ["18", "17", "17+3"]
+    assert all(design.check_columns(x.columns) == [] for x in (old, core, calibrated))
+    assert design.violations(old).count() == design.violations(core).count() == 0 and core.first().row == 2
+    got = {(r.row, r.message) for r in design.violations(calibrated).collect()}
+    assert got == {(4, "unknown spike-in stage"), (4, "spike-in stage must be pre_tagmentation_nuclei"), (5, "spike-in ratio must be finite and above 0"), (6, "spike-in fields without a genome")}
+    assert [(r.key, r.spikein_to_host_ratio) for r in design.spikein_samples(calibrated.filter("row < 4")).collect()] == [("A_bioR1", 0.5)]
+    for row in (4, 5):
+        with pytest.raises(PySparkException):
+            design.spikein_samples(calibrated.filter(f"row = {row}")).collect()
+    with pytest.raises(PySparkException):
+        design.spikein_samples(calibrated.filter("row < 4").withColumn("replicate", F.lit("1"))).collect()
+    assert [tuple(r) for r in design.repeated_keys(core.unionByName(core.withColumn("row", F.lit(9)))).collect()] == [(9, 2)]
+    assert design.too_few_samples(core).first().samples == 1 and design.too_few_samples(calibrated).count() == 0
+    assert tuple(design.pooled_groups(core.unionByName(core.withColumns({"replicate": F.lit("2"), "macs2_mode": F.lit("narrow")}))).first()) == ("ATAC__stem__none__k__hg38__PE", "A_bioR1,A_bioR2", 2, "both")
+
+
+def test_comparisons_have_a_status_each(spark):
+    plan = frame(spark, [("001", "b", "a"), ("002", "c", "a"), ("003", "c", "b")], "comparison_id string, numerator string, reference string")
+    conditions = frame(spark, [("a", 2), ("b", 3), ("c", 2)], "condition string, replicates int")
+    results = frame(spark, [("001", 2.0, 0.01), ("001", -2.0, 0.01), ("001", 3.0, None), ("002", 1.0, 0.01)], "comparison_id string, log2_fc double, padj double")
+    failures = frame(spark, [("002", "did not converge")], "comparison_id string, message string")
+    out = {r.comparison_id: r for r in design.comparison_status(plan, conditions, results, failures, "M", "narrow", 9, 0.05, 1.0).collect()}
+    assert {k: (r.status, r.tested_sites, r.higher_in_numerator, r.message) for k, r in out.items()} == {"001": ("SUCCESS", 2, 1, ""), "002": ("FAILED", None, None, "did not converge"), "003": ("FAILED", None, None, "no results")}
+    none = design.comparison_status(plan.limit(0), conditions, results, failures, "M", "narrow", 9, 0.05, 1.0).collect()
+    assert [(r.status, r.module, r.consensus_regions) for r in none] == [("SKIPPED", "M", 9)] and len(none[0]) == 19
+
+
+def test_missing_factors_and_inputs_are_errors(spark):
+    counts, factors = frame(spark, [("r", "a", 4), ("r", "b", 4)], "region_id string, sample_key string, n long"), frame(spark, [("a", 2.0)], "sample_key string, size_factor double")
+    assert counting.normalised(counts.filter("sample_key = 'a'"), factors).first().value == 2.0
+    with pytest.raises(PySparkException):
+        counting.normalised(counts, factors).collect()
+    samples = counts.select("sample_key")
+    kept, dropped = design.with_inputs(samples, factors)
+    assert [r[0] for r in kept.collect()] == ["a"] and [r[0] for r in dropped.collect()] == ["b"]
+    with pytest.raises(PySparkException):
+        design.with_inputs(samples, factors, strict=True)[0].collect()
+    with pytest.raises(ValueError, match="no fragments"):
+        counting.guarded(counts.limit(0), "fragments")
+    assert [tuple(r) for r in counting.empty_samples(counts.filter("sample_key = 'a'"), samples).collect()] == [("b", 0)]
+
+
+def test_existence_and_ranks_in_small_tiles(spark):
+    import random
+
+    rng = random.Random(3)
+    spans = [(rng.randrange(3000), rng.choice([5, 60, 900, 5000])) for _ in range(150)]
+    left = frame(spark, [(i, "c", s, s + n) for i, (s, n) in enumerate(spans)], "id int, chrom string, start_pos long, end_pos long")
+    holes = [(rng.randrange(9000), rng.randrange(1, 40)) for _ in range(20)]
+    right = frame(spark, [("c", s, s + n) for s, n in holes], "chrom string, start_pos long, end_pos long")
+    got = {r.id: r.hit for r in iv.with_flag(left, right, ["id"], "hit", width=16, coarse=8).collect()}
+    assert got == {i: any(s < a + k and a < s + n for a, k in holes) for i, (s, n) in enumerate(spans)}
+    ranks = {r.id: r["rank"] for r in iv.number(left, [F.col("start_pos"), F.col("id")], [F.floor(F.col("start_pos") / 100)]).collect()}
+    assert [i for i, _ in sorted(ranks.items(), key=lambda x: x[1])] == sorted(range(150), key=lambda i: (spans[i][0], i))
+    segments = [("s", "c", 90, 99, 5, 1.0, 3.0), ("s", "c", 105, 130, 9, 2.0, 3.0), ("s", "c", 300, 420, 7, 2.0, 3.0), ("s", "c", 425, 520, 8, 2.5, 3.0)]
+    df = frame(spark, segments, "sample_key string, chrom string, start_pos long, end_pos long, depth long, score double, q double")
+    called = [tuple(r)[2:] for r in peaks.call(df, gap=10, least=20, tile=100).orderBy("start_pos").collect()]
+    assert called == [tuple(r)[2:] for r in peaks.call(df, gap=10, least=20).orderBy("start_pos").collect()] == [(90, 130, 9, 2.0, 3.0, 117), (300, 520, 8, 2.5, 3.0, 472)]
+
+
 def test_ccre_checks(spark):
     rows = [("chr1", 0, 10, "PLS"), ("chr1", 0, 10, "unknown-class"), ("chrM", 5, 2, "pELS;dELS")]
     r = design.check_ccre(frame(spark, rows, "chrom string, start_pos long, end_pos long, ccre_class string"), 3).first()
@@ -206,7 +278,7 @@ def test_readers(spark, tmp_path):
     g = readers.gtf(spark, put("g.gtf", '#h\nchr1\tx\tgene\t11\t20\t.\t-\t.\tgene_id "G1"; gene_name "N 1"; tag "a"; tag "b";\n'))
     assert (g.first().attributes["tag"], readers.tss_bed(g).first().tss, readers.tss_bed(g).first().name) == ("a", 19, "N_1")
     c = readers.ccre(spark, put("c.bed", "chr1\t1\t9\tid1\tx\tPLS,CTCF-bound\nchr1\tbad\t9\nchr2\t3\t9\t\ty\t\n")).orderBy("chrom").collect()
-    assert [(r.ccre_id, r.ccre_class) for r in c] == [("id1", "PLS;CTCF-bound"), ("ccre_chr2_3_9", "unclassified")]
+    assert [(r.ccre_id, r.ccre_class) for r in c] == [("id1", "PLS;CTCF-bound"), ("ccre_2", "unclassified")]
     m = readers.count_matrix(spark, put("m.tsv", "#'chr'\t'start'\t'end'\t's1'\t's2'\nchr1\t0\t9\t3\t4.0\n"), ["s1", "s2"])
     assert sorted((r.sample_key, r.n) for r in m.collect()) == [("s1", 3), ("s2", 4)]
     assert readers.duplication_metrics(spark, put("d.txt", "## x\nLIBRARY\tA\tPERCENT_DUPLICATION\nlib\t1\t0.2375\n")).first().percent_duplication == 23.75
