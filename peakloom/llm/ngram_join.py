@@ -410,7 +410,7 @@ def salted(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def near_pairs(member: DataFrame, sketches: DataFrame, percent: int, partitions: int) -> DataFrame:
     """(a, b): sets and the centres of their groups, as far as the bound lets them pass.  A centre with many pairs is several chunks."""
     pairs = member.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 2048).alias("chunks"))
+    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).alias("chunks"))
     spread = salted(pairs.withColumnRenamed("b", "id"), load, "a").select("a", "id", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk"))
     own = load.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
     rows = spread.unionByName(own).join(sketches.select("id", "size", "counts").hint("merge"), "id").select("a", "id", "chunk", "size", "counts")
