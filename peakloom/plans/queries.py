@@ -59,6 +59,11 @@ def matrix(spark: SparkSession, d: str) -> DataFrame:
     return counting.complete(counting.overlap_counts(units(spark, d), r), r, fx.samples(spark)).persist()
 
 
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    counts = matrix(spark, d)
+    return counts.join(F.broadcast(counting.scales(counts).select("sample_key", "size_factor", "robust_cpm_scale")), "sample_key")  # a row a sample
+
+
 def merged_sql(source: str, keys: str) -> str:
     w = f"PARTITION BY {keys} ORDER BY start_pos, end_pos"
     return f"(SELECT {keys}, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM (SELECT *, sum(fresh) OVER ({w} ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT {keys}, start_pos, end_pos, CASE WHEN start_pos <= max(end_pos) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM {source})) GROUP BY {keys}, island)"

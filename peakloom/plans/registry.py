@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators import counting
 from . import queries as q
+from . import sheet_queries  # its queries join those of q
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments of each sample in each replicate-supported region, with the sample's factor and robust CPM scale."""
-    counts = q.matrix(spark, sf_dir)
-    return counts.join(F.broadcast(counting.scales(counts).select("sample_key", "size_factor", "robust_cpm_scale")), "sample_key")  # a row a sample
+    return q.QUERIES["flagship"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return dict(q.QUERIES) | {"flagship": entry}
+    return dict(q.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(q.SQL)
+
+
+__all__ = ["entry", "oracle_sql", "queries", "sheet_queries"]
