@@ -24,11 +24,13 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where that is unset) a local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master that has none, a local one."""
     global _local_dir
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="peakloom-")
     return f"file://{_local_dir}"
@@ -177,8 +179,15 @@ def components(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) -> Dat
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).union(lone).groupBy("id").agg(F.min("component").alias("component"))
 
 
+#: Hadoop's names of file systems that pyarrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "viewfs": "hdfs"}
+
+
 def local_path(uri: str) -> tuple[object, str]:
-    """A pyarrow file system and path for a URI of the shared folder (a file: URI, or one that pyarrow has a driver for)."""
+    """A pyarrow file system and path for a URI of the shared folder: file:, or a scheme of pyarrow or of SCHEMES."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
+    if "://" not in uri:
+        return fs.FileSystem.from_uri("file://" + os.path.abspath(uri.removeprefix("file:")))
+    scheme, rest = uri.split("://", 1)
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")

@@ -120,12 +120,13 @@ WEIGHTS, SHARE, MOST_EPOCHS = [5, 2, 1], 1.5, 2
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
+    """Keys scaled by quality(), so better documents are taken before others."""
+    return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS, quality=quality()).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def op2_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op2_mixing with better documents more likely to be taken."""
-    return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS, quality=quality()).select("doc_id", "size", "source_size", "target", "taken")
+def mixing_unweighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every weight 1."""
+    return mix(common.documents(spark, sf_dir), WEIGHTS, SHARE, MOST_EPOCHS).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_sql(docs: str, columns: str, quality: str | None = None) -> str:
@@ -151,5 +152,5 @@ y AS (SELECT *, (CASE WHEN size > 0 THEN (whole + CASE WHEN prefix + size / 2.0
 SELECT {columns} FROM y"""
 
 
-SQL = mix_sql("documents", "doc_id, size, source_size, target, taken")
-WEIGHTED_SQL = mix_sql("documents", "doc_id, size, source_size, target, taken", QUALITY_SQL)
+SQL = mix_sql("documents", "doc_id, size, source_size, target, taken", QUALITY_SQL)
+UNWEIGHTED_SQL = mix_sql("documents", "doc_id, size, source_size, target, taken")

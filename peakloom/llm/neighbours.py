@@ -5,11 +5,17 @@ broadcast; every row is then indexed: it goes down to the nearest centre of each
 priority queue over the distances to centres met so far.  How many leaves it opens is calibrated: on queries drawn from the
 sample, against brute force over the sample, leaf visits are widened until the recall of the k nearest reaches `recall`.
 
-Queries meet the rows of their leaves in blocks: neighbouring leaves form groups, a group's rows and queries are dealt into
-chunks, a task multiplies, leaf by leaf, one chunk of rows with one chunk of queries and keeps k for each query, with exact
-cosines in double precision; the best of all blocks are the result.  A leaf that a third of all rows fall into is many chunks.
+A sample can't split leaves that hold few of its vectors, so leaves that turn out too large once all rows are placed are split
+again: each by k-means over a bounded draw of its own rows, in one task a leaf, until none is (or its vectors are all alike).
 
-Scale: leaves hold at most about 4 * sqrt(rows) rows, so a query's k results of each leaf it opens grow slower than the rows; a row is sent once for each chunk of its leaf's queries, a query once for each chunk of rows in the leaves it opens.
+Queries meet the rows of their leaves in blocks: neighbouring leaves form groups (four leaves each, once there are over 128
+leaves), a group's rows and queries are dealt into chunks, a task multiplies, leaf by leaf, one chunk of rows with one chunk of
+queries and keeps k for each query, with exact cosines in double precision; the best of all blocks are the result.  A leaf that a
+third of all rows fall into is many chunks.
+
+Scale: leaves hold at most about 8 * sqrt(rows) rows and the broadcast tree about sqrt(rows) centres, so a query's k results of
+each leaf it opens grow slower than the rows; a row is sent once for each chunk of its group's queries, a query once for each
+chunk of rows in the groups it opens.
 
 Cases: vectors that are null, zero or hold null or non-finite components, vectors of another length than most of the sample,
 and rows with a null id take no part, as candidates or queries.  Ties go to the smaller id; repeated ids are candidates each,
@@ -68,6 +74,30 @@ class Tree:
             c = np.array([m[group == g].mean(0) if (group == g).any() else m[self.rng.integers(len(m))] for g in range(len(c))])
         return c, self._nearest(m, c)
 
+    def split(self, centres: dict[int, np.ndarray]) -> None:
+        """Gives the leaves named the centres as children."""
+        node_of = {int(n): i for i, n in enumerate(self.leaf.tolist()) if n >= 0}
+        new, at = [self.centres], len(self.first)
+        for leaf, c in sorted(centres.items()):
+            node = node_of[leaf]
+            self.first[node], self.many[node], self.leaf[node] = at, len(c), -1
+            numbers = [leaf, *range(self.leaves, self.leaves + len(c) - 1)]
+            new.append(c)
+            self.first = np.append(self.first, np.zeros(len(c), np.int64))
+            self.many = np.append(self.many, np.zeros(len(c), np.int64))
+            self.leaf = np.append(self.leaf, numbers)
+            self.leaves, at = self.leaves + len(c) - 1, at + len(c)
+        self.centres = np.concatenate(new)
+        # leaves are numbered anew in the order of the tree, so that neighbours have neighbouring numbers
+        order, stack = [], [0]
+        while stack:
+            n = stack.pop()
+            if self.many[n]:
+                stack += range(int(self.first[n] + self.many[n]) - 1, int(self.first[n]) - 1, -1)
+            else:
+                order.append(n)
+        self.leaf[np.array(order)] = np.arange(len(order))
+
     @staticmethod
     def _nearest(m: np.ndarray, c: np.ndarray) -> np.ndarray:
         return ((c * c).sum(1)[None, :] - 2 * (m @ c.T)).argmin(1)
@@ -123,6 +153,20 @@ def calibrate(tree: Tree, unit: np.ndarray, k: int, recall: float, queries: int
     return visits, float(reached)
 
 
+def sub_centres(branch: int):
+    """(leaf, centres) of a leaf's drawn rows: k-means as in the tree; none if they can't be told apart."""
+
+    def run(table):
+        import pyarrow as pa
+
+        unit = vectors.unit(vectors.matrix(table.column("vector").combine_chunks()))
+        tree = Tree(unit, len(unit), branch, max(1, len(unit) // 2))
+        kids = tree.centres[tree.first[0] : tree.first[0] + tree.many[0]]
+        return pa.table({"leaf": pa.array([table.column("leaf")[0].as_py()] * len(kids), pa.int64()), "centre": pa.array(kids.tolist(), pa.list_(pa.float64()))})
+
+    return run
+
+
 def block(k: int):
     """For each query of a chunk the k nearest among a chunk's rows that lie in the leaves it opens."""
 
@@ -161,7 +205,8 @@ def block(k: int):
 
 
 def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97, sample: int = 20_000, leaf_rows: int | None = None, chunk: int = 4096, groups: int = 32, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k nearest found for each row that is_query picks."""
+    """(query_id, rank, vec_id, score, sample_recall) of the k nearest found for each row that is_query picks; sample_recall is
+    what the calibration reached over its sample."""
     spark = df.sparkSession
     scratch = common.Scratch(spark)
     rows = df.filter(vectors.usable(vector) & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -171,20 +216,44 @@ def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97,
     unit = vectors.unit(np.stack(drawn["vector"][sizes == dim].to_numpy())) if len(sizes) else np.zeros((0, dim))
     rows = rows.filter(F.size("vector") == dim)
     n = rows.count()
-    tree = Tree(unit, n, leaf_rows=leaf_rows or max(512, round(4 * n**0.5)))
-    visits, _ = calibrate(tree, unit, k, recall)
-    sent = spark.sparkContext.broadcast(tree)
-
-    def place(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for whole in batches:
-            for b in common.batches(iter([whole]), 4096):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sent.value.place(vectors.unit(vectors.matrix(b.column("vector")))), pa.int64())], [*b.schema.names, "leaf"])
-
-    placed = scratch.table(rows.mapInArrow(place, "id long, vector array<double>, asks boolean, leaf long"), "placed")
-    held = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf of the tree
-    group = F.floor(F.col("leaf") * min(groups, tree.leaves) / F.lit(tree.leaves))  # neighbouring leaves of the tree
+    most = leaf_rows or max(512, round(4 * n**0.5))
+    tree = Tree(unit, n, leaf_rows=most)
+
+    def placing(sent):
+        def place(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for whole in batches:
+                for b in common.batches(iter([whole]), 4096):
+                    leaf = pa.array(sent.value.place(vectors.unit(vectors.matrix(b.column("vector")))), pa.int64())
+                    yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vector"), b.column("asks"), leaf], ["id", "vector", "asks", "leaf"])
+
+        return place
+
+    while True:
+        sent = spark.sparkContext.broadcast(tree)
+        placed = scratch.table(rows.mapInArrow(placing(sent), "id long, vector array<double>, asks boolean, leaf long"), "placed")
+        held = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf of the tree
+        over = {leaf: c for leaf, c in held.items() if c > 2 * most}
+        if not over:
+            break
+        share = F.create_map(*[F.lit(x) for leaf, c in over.items() for x in (leaf, int(2**30 * min(1.0, 1024 / c)))])
+        drawn_here = placed.filter(F.col("leaf").isin(*over)).filter(F.pmod(F.xxhash64("id", F.lit(31)), F.lit(2**30)) < share[F.col("leaf")])
+        found = drawn_here.select("leaf", "vector").groupBy("leaf").applyInArrow(sub_centres(8), "leaf long, centre array<double>")
+        kids: dict[int, list] = {}
+        for r in found.collect():  # at most 8 rows a leaf
+            kids.setdefault(r["leaf"], []).append(r["centre"])
+        kids = {leaf: np.array(c) for leaf, c in kids.items() if len(c) > 1}
+        if not kids:
+            break
+        before = tree.leaves
+        tree.split(kids)
+        scratch.drop(placed)
+        if tree.leaves == before:
+            break
+    visits, reached = calibrate(tree, unit, k, recall)
+    groups = min(tree.leaves, max(groups, tree.leaves // 4))
+    group = F.floor(F.col("leaf") * groups / F.lit(tree.leaves))  # neighbouring leaves of the tree
 
     def opened(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -208,14 +277,14 @@ def search(df: DataFrame, is_query: F.Column, k: int = 5, recall: float = 0.97,
     parts = scratch.table(chunks(placed, "row_chunks").join(chunks(asked, "query_chunks"), "g"), "chunks")
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    known = F.broadcast(parts)  # at most `groups` rows
+    known = F.broadcast(parts)  # a row a group
     left = placed.withColumn("g", group).join(known, "g").select("g", "leaf", "id", "vector", F.lit(False).alias("query"), mine("row_chunks").alias("r"), each("query_chunks").alias("q"))
     right = asked.withColumn("g", group).join(known, "g").select("g", "leaf", "id", "vector", F.lit(True).alias("query"), each("row_chunks").alias("r"), mine("query_chunks").alias("q"))
     found = left.unionByName(right).groupBy("g", "r", "q").applyInArrow(block(k), "query_id long, vec_id long, score double")
     found = scratch.table(found, "found")
     scratch.drop(placed, asked)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", F.lit(reached).alias("sample_recall"))
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,9 @@ def queries() -> dict:
         "op8_warc": warc.op8_warc,
         "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_url_filter": url_filter.op10_url_filter,
-        "op2_weighted_mixing": mixing.op2_weighted_mixing,
+        "mixing_unweighted": mixing.mixing_unweighted,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "op2_weighted_mixing": mixing.WEIGHTED_SQL, "op8_warc": warc.SQL, "op9_embedding_dedup": embedding_dedup.SQL, "op10_url_filter": url_filter.SQL}
+    return {"op2_mixing": mixing.SQL, "mixing_unweighted": mixing.UNWEIGHTED_SQL, "op8_warc": warc.SQL, "op9_embedding_dedup": embedding_dedup.SQL, "op10_url_filter": url_filter.SQL}

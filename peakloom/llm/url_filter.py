@@ -7,9 +7,10 @@ listed keys, level 2 the universe's keys that level 1 passes wrongly, level 3 th
 on until a level passes nothing wrongly.  A key is listed exactly if the first level that rejects it is an even one (or the
 last level passes it and is odd).  So membership over the universe is exact, and the test needs no join.
 
-Scale: a level is an array of 64-bit words in the plan.  Level 1 takes log2(universe / listed) * 1.44 bits a listed key and
-the later ones hold about as many keys as are listed, so the size follows the list and the logarithm of the corpus.  It is
-checked against `max_filter_bytes`; a longer list is matched by a shuffled equi-join on the keys instead.
+Scale: a level is one binary literal in the plan.  Level 1 takes log2(universe / listed) * 1.44 bits a listed key and the later
+ones hold about as many keys as are listed, so the size follows the list and the logarithm of the corpus.  It is checked: a list
+that needs a level of more than `max_filter_bytes` is refused.  The distinct keys of the corpus are written once and read by
+each level.  Words of a level are joined on executors into pieces of 32 kB before they reach the driver.
 
 Cases: a null URL, or one without "://", has empty host and path and no possible keys, so no rule.  An empty table gives an
 empty result.  Repeated rows are judged each.  Rules given twice count once; the same key with two verdicts is refused.
@@ -51,6 +52,10 @@ def _positions(key: F.Column, level: int, hashes: int, bits: int) -> list[F.Colu
     return [F.pmod(F.xxhash64(key, F.lit(level * 64 + i)), F.lit(bits)) for i in range(hashes)]
 
 
+#: 64-bit words in a piece of a level.
+PIECE = 4096
+
+
 class Level:
     def __init__(self, keys: DataFrame, count: int, rate: float, level: int, most_bytes: int):
         self.level, self.hashes = level, max(1, round(-math.log2(rate)))
@@ -59,16 +64,21 @@ class Level:
             raise OverflowError(f"a level of {self.bits // 8} bytes is over the limit of {most_bytes}")
         at = F.explode(F.array(*_positions(F.col("key"), level, self.hashes, self.bits)))
         words = keys.select(at.alias("b")).groupBy(F.floor(F.col("b") / 64).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("v"))
-        self.words = [0] * (self.bits // 64)
-        for r in words.collect():  # at most bits / 64 rows, checked above
-            self.words[r.w] = r.v
+        entries = F.map_from_entries(F.collect_list(F.struct((F.col("w") % PIECE).cast("int").alias("w"), "v")))
+        every = F.transform(F.sequence(F.lit(0), F.lit(PIECE - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.col("m")[i], F.lit(0).cast("long"))), 16, "0"))
+        pieces = words.groupBy(F.floor(F.col("w") / PIECE).alias("p")).agg(entries.alias("m")).select("p", F.unhex(F.array_join(every, "")).alias("data"))
+        data = bytearray(8 * PIECE * math.ceil(self.bits / 64 / PIECE))
+        for r in pieces.collect():  # most_bytes in all, checked above
+            data[8 * PIECE * r.p : 8 * PIECE * (r.p + 1)] = r.data
+        self.data = bytes(data[: self.bits // 8])
 
     def passes(self, key: F.Column) -> F.Column:
-        words = F.array(*[F.lit(w).cast("long") for w in self.words])
-        out = F.lit(True)
+        out, data = F.lit(True), F.lit(self.data)
         for p in _positions(key, self.level, self.hashes, self.bits):
-            word = F.get(words, F.floor(p / 64).cast("int"))
-            out = out & (F.call_function("shiftright", word, (p % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
+            # words are written high byte first
+            byte = F.floor(p / 64) * 8 + 7 - F.floor((p % 64) / 8)
+            value = F.ascii(F.decode(F.substring(data, (byte + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+            out = out & (F.call_function("shiftright", value, (p % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
         return out
 
 
@@ -77,10 +87,10 @@ class Cascade:
         self.levels = levels
 
     @classmethod
-    def build(cls, listed: DataFrame, universe: DataFrame, most_bytes: int = 1 << 20, most_levels: int = 40) -> Cascade:
-        """listed, universe: tables of a column `key`.  Builds until a level passes nothing wrongly."""
+    def build(cls, listed: DataFrame, universe: DataFrame, most_bytes: int = 1 << 23, most_levels: int = 40) -> Cascade:
+        """listed, universe: tables of a column `key`, the universe's distinct.  Builds until a level passes nothing wrongly."""
         listed = listed.select("key").distinct()
-        wrong = universe.select("key").distinct().join(listed, "key", "left_anti")
+        wrong = universe.select("key").join(listed, "key", "left_anti")
         n = listed.count()
         if n == 0:
             return cls([])
@@ -102,7 +112,7 @@ class Cascade:
         return out
 
 
-def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", default: str = "allow", max_filter_bytes: int = 1 << 20) -> DataFrame:
+def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", default: str = "allow", max_filter_bytes: int = 1 << 23) -> DataFrame:
     """Adds host, path, rule and verdict.  rules: (verdict, host, path); the longest rule that fits wins."""
     spark = df.sparkSession
     verdict_of: dict[str, str] = {}
@@ -114,15 +124,15 @@ def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", de
         return out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     lengths = sorted({len(path) for _, _, path in rules})
     keys = possible_keys(lengths)
-    listed = spark.createDataFrame(sorted(verdict_of.items()), "key string, verdict string")
+    rows = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("verdict")) for k, v in sorted(verdict_of.items())])
+    listed = spark.range(1).select(F.inline(rows))
     # rows with the same keys repeat their judgement, so the universe is taken from distinct (host, path starts)
     starts = with_host_path(df.select(url), url).select("host", F.substring("path", 1, max(lengths)).alias("path")).distinct()
-    universe = starts.select(F.explode(keys).alias("key"))
+    scratch = common.Scratch(spark)
+    universe = scratch.table(starts.select(F.explode(keys).alias("key")).distinct(), "keys")
     verdicts = sorted(set(verdict_of.values()))
-    try:
-        cascades = {v: Cascade.build(listed.filter(F.col("verdict") == v), universe, max_filter_bytes) for v in verdicts}
-    except OverflowError:
-        return _by_join(out, listed, keys, default)
+    cascades = {v: Cascade.build(listed.filter(F.col("verdict") == v), universe, max_filter_bytes) for v in verdicts}
+    scratch.drop(universe)
     hit = F.get(F.filter(F.col("__keys"), lambda k: _any([c.has(k) for c in cascades.values()])), F.lit(0))
     out = out.withColumn("__keys", keys).withColumn("rule", hit).drop("__keys")
     verdict = F.lit(default)
@@ -138,13 +148,6 @@ def _any(xs: list[F.Column]) -> F.Column:
     return out
 
 
-def _by_join(df: DataFrame, listed: DataFrame, keys: F.Column, default: str) -> DataFrame:
-    """For lists too long for the plan: the distinct keys of the corpus are joined with the list, then back."""
-    spots = df.select("host", "path").distinct()
-    best = spots.select("host", "path", F.explode(keys).alias("key")).join(listed, "key").groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), F.length("key")).alias("__hit"))
-    return df.join(best, ["host", "path"], "left").withColumns({"rule": F.col("__hit.key"), "verdict": F.coalesce("__hit.verdict", F.lit(default))}).drop("__hit")
-
-
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
