@@ -15,7 +15,9 @@ one).  Deciding that takes the order of suffixes up to `length` bytes only, and
  4. Repeats meet their blocks again and become spans.
 
 Buckets and order within them follow a 64-bit fingerprint of the prefix, not the letters: only ties and first places matter
-here.  Fingerprints of samples may collide without harm; those of step 3 hold 64 bits beside the bucket number.
+here.  Fingerprints of samples may collide without harm, as samples only thin out what is compared.  Those of step 3 are not
+trusted: every place that is said to repeat is compared with the place it repeats, byte for byte, in long stretches; places
+whose strings differ are sorted again by another fingerprint until none is left, so the result is exact.
 
 Scale: a suffix never travels with its text.  Samples are 6/31 of the places at about 6 bytes, later suffixes are those near
 repeats at about 9 bytes.  A block sends each fingerprint once (twice for samples), so a string that fills a third of the corpus adds one
@@ -27,6 +29,7 @@ repeated row is a copy of the first.  An empty table gives an empty result.  Oth
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -62,16 +65,24 @@ def modulus(length: int) -> int:
     return max(3, length * 31 // 100)
 
 
-_LETTERS = np.random.default_rng(20240501).integers(1 << 62, 1 << 63, 256, dtype=np.uint64) | U64(1)
 _BASE = 0x9E3779B97F4A7C15
 
 
-def window_hashes(text: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+@functools.cache
+def letters(seed: int) -> tuple[np.ndarray, int]:
+    """Random values of the 256 bytes and an odd base; a family of fingerprints, one for each seed."""
+    rng = np.random.default_rng(20240501 + seed)
+    values = rng.integers(1 << 62, 1 << 63, 256, dtype=np.uint64) | U64(1)
+    return values, _BASE if not seed else int(rng.integers(1 << 62, 1 << 63, dtype=np.uint64)) | 1
+
+
+def window_hashes(text: np.ndarray, width: int, at: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
     """64-bit fingerprints of the width-byte strings that start at each place (or at the places `at`)."""
     n = len(text) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    cur, size, base = _LETTERS[text], 1, _BASE
+    values, base = letters(seed)
+    cur, size = values[text], 1
     out, done = None, 0
     rest = width
     while rest:
@@ -88,6 +99,15 @@ def window_hashes(text: np.ndarray, width: int, at: np.ndarray | None = None) ->
     return mix(out)
 
 
+def same_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings at a and b are equal, byte for byte."""
+    window = np.lib.stride_tricks.sliding_window_view(text, length)
+    out = np.ones(len(a), bool)
+    for i in range(0, len(a), 20_000):
+        out[i : i + 20_000] = (window[a[i : i + 20_000]] == window[b[i : i + 20_000]]).all(1)
+    return out
+
+
 def put_places(x: np.ndarray) -> bytes:
     """Rising places as differences, byte planes apart, compressed."""
     import pyarrow as pa
@@ -287,8 +307,11 @@ def zones(length: int, v: int):
     return run
 
 
-def suffixes(rows: DataFrame, length: int, buckets: int, rounds: int, turn: int) -> DataFrame:
-    """The suffixes of the buckets whose turn it is, by bucket, with 64 bits of fingerprint."""
+def suffixes(rows: DataFrame, length: int, buckets: int, rounds: int, turn: int, seed: int = 0, bits: int = 64) -> DataFrame:
+    """The suffixes of the buckets whose turn it is, by bucket, with so many bits of fingerprint.
+
+    A suffix whose string an earlier one of the block holds, byte for byte, is known to repeat and stays at home.
+    """
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
@@ -296,23 +319,140 @@ def suffixes(rows: DataFrame, length: int, buckets: int, rounds: int, turn: int)
                 text, start, size = np.frombuffer(data, np.uint8), np.array(start, np.int64), np.array(size, np.int64)
                 inside = np.cumsum(size + length - 1) - (size + length - 1)
                 k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                h = window_hashes(text, length)[np.repeat(inside, size) + k]
+                spot = np.repeat(inside, size) + k
+                h = window_hashes(text, length, None, seed)[spot] >> U64(64 - bits)
                 at = np.repeat(start, size) + k
                 bucket = ((mix(h + U64(_BASE)) >> U64(24)) % U64(buckets)).astype(np.int64)
                 if rounds > 1:
                     mine = bucket % rounds == turn
-                    h, at, bucket = h[mine], at[mine], bucket[mine]
+                    h, at, bucket, spot = h[mine], at[mine], bucket[mine], spot[mine]
                 order = np.argsort(h, kind="stable")
                 x = h[order]
                 again = np.zeros(len(x), bool)
                 again[1:] = x[1:] == x[:-1]
-                later = np.zeros(len(x), bool)
-                later[order[again]] = True
-                yield ship(block, h[~later], at[~later], bucket[~later], "<u8", at[later], buckets)
+                first = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(x))))]
+                later = order[again]
+                known = np.zeros(len(x), bool)
+                known[later[same_bytes(text, spot[later], spot[first[again]], length)]] = True
+                yield ship(block, h[~known], at[~known], bucket[~known], "<u8", at[known], buckets)
 
     return rows.mapInArrow(run, ROW)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    import pyarrow as pa
+
+    return pa.compress(x.tobytes(), "zstd", asbytes=True)
+
+
+def claims(table):
+    """Of each run of equal fingerprints in a bucket, all but the first with that one's block and place: (block, places, ref_blocks,
+    ref_places); places that are known to repeat have no reference."""
+    import pyarrow as pa
+
+    table = table.sort_by("block")
+    block, marks, places = (table.column(c).to_pylist() for c in ("block", "marks", "places"))
+    known = [(b, p) for b, m, p in zip(block, marks, places, strict=True) if m is None]
+    rows = [(b, np.frombuffer(m, np.uint64), get_places(p)) for b, m, p in zip(block, marks, places, strict=True) if m is not None]
+    mark = np.concatenate([np.zeros(0, np.uint64), *[m for _, m, _ in rows]])
+    place = np.concatenate([np.zeros(0, np.int64), *[p for _, _, p in rows]])
+    of = np.repeat(np.array([b for b, _, _ in rows], np.int64), [len(p) for _, _, p in rows])
+    order = np.argsort(mark, kind="stable")
+    x = mark[order]
+    again = np.zeros(len(x), bool)
+    again[1:] = x[1:] == x[:-1]
+    first = np.empty(len(x), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(x))))]
+    repeats = np.zeros(len(x), bool)
+    repeats[order[again]] = True
+    out, at = [(b, p, None, None) for b, p in known], 0
+    for b, m, p in rows:
+        mine = at + np.flatnonzero(repeats[at : at + len(m)])
+        at += len(m)
+        if len(mine):
+            out.append((b, put_places(place[mine]), squeezed(of[first[mine]]), squeezed(place[first[mine]].astype("<u4"))))
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("block", "places", "ref_blocks", "ref_places"), zip(*out, strict=True) if out else ((), (), (), ()), kinds, strict=True)})
+
+
+def diagonals(table):
+    """A block's claims as stretches: the n strings from `at` on are said to equal those from `start` on in the block `ref`."""
+    import pyarrow as pa
+
+    at, ref, start = [], [], []
+    for p, b, q in zip(*[table.column(c).to_pylist() for c in ("places", "ref_blocks", "ref_places")], strict=True):
+        at.append(get_places(p))
+        n = len(at[-1])
+        ref.append(np.frombuffer(pa.decompress(b, 8 * n, "zstd", asbytes=True), np.int64))
+        start.append(np.frombuffer(pa.decompress(q, 4 * n, "zstd", asbytes=True), "<u4").astype(np.int64))
+    at, ref, start = np.concatenate(at), np.concatenate(ref), np.concatenate(start)
+    order = np.argsort(at, kind="stable")
+    at, ref, start = at[order], ref[order], start[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) != 1) | (np.diff(ref) != 0) | (np.diff(start) != 1)
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(at)))
+    block = table.column("block")[0].as_py()
+    return pa.table({"block": pa.array([block] * len(first), pa.int64()), "at": pa.array(at[first], pa.int64()), "ref": pa.array(ref[first], pa.int64()), "start": pa.array(start[first], pa.int64()), "n": pa.array(n, pa.int64())})
+
+
+def differing(length: int):
+    """Of stretches whose bytes differ somewhere, the places whose strings do: (block, places)."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            out = []
+            for block, at, x, y in zip(*[b.column(c).to_pylist() for c in ("block", "at", "own", "bytes")], strict=True):
+                wrong = np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)
+                bad = np.convolve(wrong, np.ones(length, np.int64), "valid") > 0
+                out.append((block, put_places(at + np.flatnonzero(bad))))
+            blocks_, places = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks_, pa.int64()), pa.array(places, pa.binary())], ["block", "places"])
+
+    return run
+
+
+def without(table):
+    """A block's places but for those of its rows marked as taken out."""
+    import pyarrow as pa
+
+    rows = list(zip(table.column("places").to_pylist(), table.column("out").to_pylist(), strict=True))
+    kept, gone = (np.concatenate([np.zeros(0, np.int64), *[get_places(p) for p, o in rows if o == k]]) for k in (False, True))
+    return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int64()), "places": pa.array([put_places(np.setdiff1d(kept, gone))], pa.binary())})
+
+
+def verified(packed: DataFrame, found: DataFrame, length: int, scratch: common.Scratch) -> DataFrame:
+    """The places of found whose string differs from the one they are said to repeat: (block, places).  Bytes are compared, in long
+    stretches, by two joins with the blocks."""
+    asked = found.filter("ref_blocks is not null").groupBy("block").applyInArrow(diagonals, "block long, at long, ref long, start long, n long")
+    text = packed.select(F.col("block").alias("_b"), "text")
+    there = lambda start: F.substring("text", (F.col(start) + 1).cast("int"), (F.col("n") + length - 1).cast("int"))
+    said = scratch.table(asked.join(text.hint("merge"), F.col("ref") == F.col("_b")).select("block", "at", "n", there("start").alias("bytes")), "said")
+    wrong = said.join(text.hint("merge"), F.col("block") == F.col("_b")).select("block", "at", there("at").alias("own"), "bytes").filter("own <> bytes")
+    out = scratch.table(wrong.mapInArrow(differing(length), "block long, places binary"), "differing")
+    scratch.drop(said)
+    return out
+
+
+def exactly(length: int):
+    """The stretches of a block's places given, with their text."""
+
+    def run(r: dict, at: np.ndarray) -> Iterator:
+        import pyarrow as pa
+
+        at = np.unique(at)
+        if not len(at):
+            return
+        first = np.flatnonzero(np.append(True, np.diff(at) != 1))
+        start, size = at[first], np.diff(np.append(first, len(at)))
+        text = b"".join(r["text"][a : a + n + length - 1] for a, n in zip(start.tolist(), size.tolist(), strict=True))
+        yield pa.RecordBatch.from_pylist([{"block": r["block"], "start": start.tolist(), "size": size.tolist(), "text": text}], pa.schema([("block", pa.int64()), ("start", pa.list_(pa.int64())), ("size", pa.list_(pa.int64())), ("text", pa.binary())]))
+
+    return run
+
+
 OUT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, row long"
 
 
@@ -347,9 +487,10 @@ def cut(length: int, with_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: bool = False, id_column: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: bool = False, verify: bool = True, bits: int = 64, id_column: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256), a row a document; with_text adds kept_text (parts of
-    characters at the cuts left out) and spans ([from, to) pairs in bytes), row a column of integers that names rows."""
+    characters at the cuts left out) and spans ([from, to) pairs in bytes), row a column of integers that names rows.
+    verify compares the bytes of strings that share a fingerprint (its first kind has so many bits); without it these decide."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
     packed = blocks(docs, length, scratch, id_column, text, row)
@@ -364,10 +505,26 @@ def dedup(docs: DataFrame, length: int = 100, share: float = 0.9, with_text: boo
     rounds = max(1, math.ceil(n * 9.5 / max(1.0, share * total)))
     buckets = rounds * max(common.shuffle_partitions(spark), math.ceil(n / rounds / 1e6))
     found = None
+    kinds = "block long, places binary, ref_blocks binary, ref_places binary"
     for turn in range(rounds):  # one set of suffix buckets at a time
-        now = scratch.table(suffixes(left, length, buckets, rounds, turn).groupBy("bucket").applyInArrow(settle("<u8", False), "block long, places binary"), "repeats")
+        now = scratch.table(suffixes(left, length, buckets, rounds, turn, 0, bits).groupBy("bucket").applyInArrow(claims, kinds), "repeats")
         found = now if found is None else found.unionByName(now)
     scratch.drop(left)
+    settled, seed = None, 0
+    while verify:
+        wrong = verified(packed, found, length, scratch)
+        if wrong.isEmpty():
+            break
+        # strings that share a fingerprint and differ: these places are sorted again, by another fingerprint
+        both = found.select("block", "places", F.lit(False).alias("out")).unionByName(wrong.withColumn("out", F.lit(True)))
+        good = scratch.table(both.groupBy("block").applyInArrow(without, "block long, places binary"), "settled")
+        settled, seed = good if settled is None else settled.unionByName(good), seed + 1
+        left = scratch.table(meet(packed, wrong, exactly(length), "block long, start array<long>, size array<long>, text binary"), "open")
+        found = scratch.table(suffixes(left, length, buckets, 1, 0, seed).groupBy("bucket").applyInArrow(claims, kinds), "repeats")
+        scratch.drop(left, wrong)
+    found = found.select("block", "places")
+    if settled is not None:
+        found = found.unionByName(settled)
     schema = OUT + (", kept_text string, spans array<array<long>>" if with_text else "")
     out = meet(packed, found, cut(length, with_text), schema).withColumnRenamed("id", id_column)
     return out.drop("row") if row is None else out.withColumnRenamed("row", row)

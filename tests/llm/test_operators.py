@@ -68,6 +68,15 @@ def test_repeats_in_rounds_and_empty(spark, docs):
     assert kept[1].spans == [] and kept[1].kept_text == texts()[0][1] and kept[2].spans
 
 
+@pytest.mark.parametrize("bits", [1, 8])
+def test_repeats_with_colliding_fingerprints(spark, docs, bits):
+    """First fingerprints of a few bits, so that their runs mix different strings: bytes decide."""
+    got = sorted((tuple(r) for r in suffix_dedup.dedup(docs, 20, bits=bits).collect()), key=str)
+    assert got == brute_repeats(texts(), 20)
+    hashed = sorted((tuple(r) for r in suffix_dedup.dedup(docs, 20, bits=bits, verify=False).collect()), key=str)
+    assert hashed != got  # the bits do mix strings here
+
+
 @pytest.mark.parametrize("v", [7, 31, 48])
 def test_difference_cover(v):
     d = suffix_dedup.difference_cover(v)
