@@ -396,20 +396,61 @@ def diagonals(table):
     return pa.table({"block": pa.array([block] * len(first), pa.int64()), "at": pa.array(at[first], pa.int64()), "ref": pa.array(ref[first], pa.int64()), "start": pa.array(start[first], pa.int64()), "n": pa.array(n, pa.int64())})
 
 
+def beside(rows: DataFrame, asked: DataFrame, run, schema: str) -> DataFrame:
+    """run(text of the block, what is asked of it, a batch at a time) -> rows, where asked names blocks in `key`.
+
+    A block's text comes before what is asked of it, so only the text is held.
+    """
+    text = rows.select(F.col("block").alias("key"), F.lit(0).alias("_kind"), "text")
+    both = text.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    both = both.repartition(common.shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key", "_kind")
+
+    def stream(batches: Iterator) -> Iterator:
+        held: bytes = b""
+        for b in batches:
+            kind = b.column("_kind").to_numpy()
+            for a, z in stretches(kind):
+                if kind[a] == 0:
+                    held = b.column("text")[z - 1].as_py()
+                    continue
+                key, some = b.column("key").slice(a, z - a).to_numpy(), b.slice(a, z - a)
+                yield run(held, int(key[0]), some)
+
+    return both.mapInArrow(stream, schema)
+
+
+def stretches(kind: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of equal values."""
+    cuts = np.flatnonzero(np.diff(kind)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(kind)], strict=True)) if len(kind) else []
+
+
+def fetched(length: int):
+    """(key, at, bytes): the bytes that each stretch is said to repeat, addressed to its own block."""
+
+    def run(text: bytes, key: int, b):
+        import pyarrow as pa
+
+        start, n = b.column("start").to_numpy(), b.column("n").to_numpy()
+        cut = [text[s : s + k + length - 1] for s, k in zip(start.tolist(), n.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([b.column("block"), b.column("at"), pa.array(cut, pa.binary())], ["key", "at", "bytes"])
+
+    return run
+
+
 def differing(length: int):
-    """Of stretches whose bytes differ somewhere, the places whose strings do: (block, places)."""
+    """(block, places) of strings that differ from the bytes they are said to equal."""
 
-    def run(batches: Iterator) -> Iterator:
+    def run(text: bytes, key: int, b):
         import pyarrow as pa
 
-        for b in batches:
-            out = []
-            for block, at, x, y in zip(*[b.column(c).to_pylist() for c in ("block", "at", "own", "bytes")], strict=True):
-                wrong = np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)
-                bad = np.convolve(wrong, np.ones(length, np.int64), "valid") > 0
-                out.append((block, put_places(at + np.flatnonzero(bad))))
-            blocks_, places = zip(*out, strict=True) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks_, pa.int64()), pa.array(places, pa.binary())], ["block", "places"])
+        out = []
+        for at, said in zip(b.column("at").to_pylist(), b.column("bytes").to_pylist(), strict=True):
+            own = text[at : at + len(said)]
+            if own != said:
+                wrong = np.frombuffer(own, np.uint8) != np.frombuffer(said, np.uint8)
+                out.append(put_places(at + np.flatnonzero(np.convolve(wrong, np.ones(length, np.int64), "valid") > 0)))
+        return pa.RecordBatch.from_arrays([pa.array([key] * len(out), pa.int64()), pa.array(out, pa.binary())], ["block", "places"])
 
     return run
 
@@ -424,14 +465,13 @@ def without(table):
 
 
 def verified(packed: DataFrame, found: DataFrame, length: int, scratch: common.Scratch) -> DataFrame:
-    """The places of found whose string differs from the one they are said to repeat: (block, places).  Bytes are compared, in long
-    stretches, by two joins with the blocks."""
+    """The places of found whose string differs from the one they are said to repeat: (block, places).
+
+    Bytes are compared in long stretches: each is cut from the block it is said to repeat and sent to its own block.
+    """
     asked = found.filter("ref_blocks is not null").groupBy("block").applyInArrow(diagonals, "block long, at long, ref long, start long, n long")
-    text = packed.select(F.col("block").alias("_b"), "text")
-    there = lambda start: F.substring("text", (F.col(start) + 1).cast("int"), (F.col("n") + length - 1).cast("int"))
-    said = scratch.table(asked.join(text.hint("merge"), F.col("ref") == F.col("_b")).select("block", "at", "n", there("start").alias("bytes")), "said")
-    wrong = said.join(text.hint("merge"), F.col("block") == F.col("_b")).select("block", "at", there("at").alias("own"), "bytes").filter("own <> bytes")
-    out = scratch.table(wrong.mapInArrow(differing(length), "block long, places binary"), "differing")
+    said = scratch.table(beside(packed, asked.withColumnRenamed("ref", "key"), fetched(length), "key long, at long, bytes binary"), "said")
+    out = scratch.table(beside(packed, said, differing(length), "block long, places binary"), "differing")
     scratch.drop(said)
     return out
 
