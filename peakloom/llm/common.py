@@ -41,10 +41,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder.  They cut lineage and outlive lost executors; drop() frees one early, and the
-    end of a releasing() block frees those made inside."""
+    """Tables written to the shared folder.  They cut lineage and outlive lost executors; drop() frees one early."""
 
-    #: For each releasing() block that is open, the paths written inside.
+    #: For each recording() block that is open, where the paths written inside are noted.
     inside: list[list[str]] = []
 
     def __init__(self, spark: SparkSession):
@@ -74,14 +73,13 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def releasing(spark: SparkSession):
-    """Deletes the scratch tables made inside at its end; what was made of them has to be written by then, outside Scratch."""
-    Scratch.inside.append([])
+def recording(paths: list[str]):
+    """Notes the scratch tables made inside, for whoever deletes them once what was made of them is written."""
+    Scratch.inside.append(paths)
     try:
         yield
     finally:
-        for path in Scratch.inside.pop():
-            delete(spark, path)
+        Scratch.inside.pop()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
