@@ -6,6 +6,9 @@ Each stage takes the rows its predecessor kept and all but the last return the c
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,28 @@ from peakloom.llm import bpe, common, mixing, ngram_join, suffix_dedup, toxicity
 SHINGLE_WORDS, SIMILARITY, REPEAT_BYTES = 5, 80, 100
 
 
+#: Scratch tables of the stage that ran last.
+_last: list[str] = []
+
+
+def stage(f: Callable) -> Callable:
+    """Before a stage runs, the scratch tables of the stage before go, as its rows are written by then; they stay if docs, unlike
+    what a stage is given here, still reads one of them."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles() if _last else []
+        if not any(path in file for file in read for path in _last):
+            for path in _last:
+                common.delete(spark, path)
+            _last.clear()
+        with common.recording(_last):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose score is below the threshold.  The model learns from the labelled rows outside the held-out third."""
     scored = toxicity.score(docs, toxicity.fit(spark, sf_dir), keep=tuple(docs.columns))
@@ -26,6 +51,7 @@ def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return common.Scratch(spark).table(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
 
+@stage
 def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of the n-gram Jaccard join: the one with the smallest id (null ids last; rows of one
     id by their texts' digests).  Rows without words are in no group and stay.
@@ -40,6 +66,7 @@ def one_of_each_group_stays(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
+@stage
 def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every byte that a string of REPEAT_BYTES covers which also starts earlier; parts of characters at the cuts go as well.
 
@@ -55,6 +82,7 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return out.filter(~changed | (F.regexp_count("text", F.lit(mixing.WORD)) > 0)).select(*docs.columns)
 
 
+@stage
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: rows as often as they are taken, those of better texts first."""
     rows = numbered(spark, docs)
@@ -63,6 +91,7 @@ def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.join(times, "__row").select(*docs.columns)
 
 
+@stage
 def texts_become_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the text decoded from them, a row for each row of the mix."""
     import public_tokenizers as P
@@ -85,11 +114,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage; the others' rows are written to the shared folder, and what they needed for it goes after each."""
     docs = common.documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
+    for name, function in STAGES[:-1]:
         path = common.scratch_path(spark, name.replace(" ", "-"))
-        with common.releasing(spark):
-            rows = stage(spark, docs, sf_dir)
-            with common.settings(spark, common.CLEAN_SHUFFLES, common.ARROW_BYTES):
-                rows.write.option("compression", "zstd").parquet(path)
+        rows = function(spark, docs, sf_dir)
+        with common.settings(spark, common.CLEAN_SHUFFLES, common.ARROW_BYTES):
+            rows.write.option("compression", "zstd").parquet(path)
         docs = spark.read.schema(rows.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
