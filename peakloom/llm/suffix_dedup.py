@@ -42,6 +42,8 @@ from . import common
 from .common import U64, mix
 
 BLOCK = 2 << 20
+#: Stretches asked of a block in one chunk.
+ASKED = 256
 ROW = "bucket int, block long, marks binary, places binary"
 
 
@@ -397,13 +399,18 @@ def diagonals(table):
 
 
 def beside(rows: DataFrame, asked: DataFrame, run, schema: str) -> DataFrame:
-    """run(text of the block, what is asked of it, a batch at a time) -> rows, where asked names blocks in `key`.
+    """run(text of the block, what is asked of it, a batch at a time) -> rows, where asked (written) names blocks in `key`.
 
-    A block's text comes before what is asked of it, so only the text is held.
+    A block's text comes before what is asked of it, so only the text is held.  A block of which much is asked (the first to hold
+    a passage that many share) is several chunks, each with the text.
     """
-    text = rows.select(F.col("block").alias("key"), F.lit(0).alias("_kind"), "text")
-    both = text.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    both = both.repartition(common.shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key", "_kind")
+    hot = asked.groupBy("key").agg(F.ceil(F.count("*") / ASKED).alias("_chunks")).filter("_chunks > 1")
+    last = F.coalesce("_chunks", F.lit(1)) - 1
+    text = rows.select(F.col("block").alias("key"), "text").join(hot, "key", "left")
+    text = text.select("key", F.lit(0).alias("_kind"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_chunk"), "text")
+    dealt = asked.join(hot, "key", "left").withColumns({"_kind": F.lit(1), "_chunk": F.pmod(F.xxhash64(*asked.columns), last + 1)}).drop("_chunks")
+    both = text.unionByName(dealt, allowMissingColumns=True)
+    both = both.repartition(common.shuffle_partitions(rows.sparkSession), "key", "_chunk").sortWithinPartitions("key", "_chunk", "_kind")
 
     def stream(batches: Iterator) -> Iterator:
         held: bytes = b""
@@ -470,9 +477,10 @@ def verified(packed: DataFrame, found: DataFrame, length: int, scratch: common.S
     Bytes are compared in long stretches: each is cut from the block it is said to repeat and sent to its own block.
     """
     asked = found.filter("ref_blocks is not null").groupBy("block").applyInArrow(diagonals, "block long, at long, ref long, start long, n long")
-    said = scratch.table(beside(packed, asked.withColumnRenamed("ref", "key"), fetched(length), "key long, at long, bytes binary"), "said")
+    asked = scratch.table(asked.withColumnRenamed("ref", "key"), "asked")
+    said = scratch.table(beside(packed, asked, fetched(length), "key long, at long, bytes binary"), "said")
     out = scratch.table(beside(packed, said, differing(length), "block long, places binary"), "differing")
-    scratch.drop(said)
+    scratch.drop(asked, said)
     return out
 
 
