@@ -419,8 +419,8 @@ query("a12_annotation_summary", f"{ANNOTATION}, x AS (SELECT gene_context, ccre_
 
 # --- sheets, checks and sinks' tables
 
-query("v13_ccre_check", f"{fx.cte('ccre')} SELECT count(*) AS records, count(*) FILTER (NOT {CANON}) AS noncanonical, count(*) FILTER (start_pos < 0 OR end_pos <= start_pos) AS bad_coordinates, 0::BIGINT AS unknown_class, true AS count_matches FROM ccre")(lambda spark, d: design.check_ccre(fx.table(spark, d, "ccre")))
-query("v14_matrix_check", f"{BASE} SELECT ((SELECT count(*) FROM regions) * 7 - count(*))::BIGINT AS missing, count(*) FILTER (n < 0) AS negative, 0::BIGINT AS fractional, count(*) FILTER (n IS NULL) AS null_cells FROM counts")(lambda spark, d: design.check_counts(matrix(spark, d), regions(spark, d), fx.samples(spark)))
+query("v13_ccre_check", f"{fx.cte('ccre')} SELECT count(*) AS records, count(*) FILTER (NOT {CANON}) AS noncanonical, count(*) FILTER (start_pos < 0 OR end_pos <= start_pos) AS bad_coordinates, count(*) FILTER (NOT regexp_full_match(ccre_class, '(PLS|pELS|dELS|DNase-H3K4me3|CA-CTCF|CA-H3K4me3|CA-TF|CTCF-only|CTCF-bound|CA|TF)([;,](PLS|pELS|dELS|DNase-H3K4me3|CA-CTCF|CA-H3K4me3|CA-TF|CTCF-only|CTCF-bound|CA|TF))*')) AS unknown_class, count(*) = (SELECT count(*) FROM customer) AS count_matches FROM ccre")(lambda spark, d: design.check_ccre(fx.table(spark, d, "ccre"), spark.read.parquet(f"{d}/customer.parquet").count()))
+query("v14_matrix_check", f"{BASE} SELECT ((SELECT count(*) FROM regions) * 7 - count(*))::BIGINT AS missing, count(*) FILTER (n < 0) AS negative, count(*) FILTER (n <> floor(n)) AS fractional, count(*) FILTER (n IS NULL) AS null_cells FROM counts")(lambda spark, d: design.check_counts(matrix(spark, d), regions(spark, d), fx.samples(spark)))
 query("v2_duplicate_rows", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")(lambda spark, d: design.duplicate_rows(spark.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]))
 query("v5_inconsistent_groups", "SELECT o_custkey, 'o_orderstatus' AS \"column\" FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1 UNION ALL SELECT o_custkey, 'o_orderpriority' FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1")(lambda spark, d: design.inconsistent_groups(spark.read.parquet(f"{d}/orders.parquet"), ["o_custkey"], ["o_orderstatus", "o_orderpriority"]))
 query("v6_orphans", "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")(lambda spark, d: design.orphans(spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("l_orderkey")).distinct(), "l_orderkey", spark.read.parquet(f"{d}/orders.parquet").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").cast("string").alias("o_orderkey")), "o_orderkey").select(F.col("l_orderkey").cast("long").alias("l_orderkey")))
