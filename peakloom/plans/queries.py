@@ -234,7 +234,12 @@ query("w7_heatmap_order", f"{BASE}, m AS (SELECT region_id, round(avg(n), 9) AS
 # --- sets
 
 query("u1_union_of_runs", f"{fx.cte('frag')} SELECT sample_key, count(*) AS n FROM (SELECT * FROM frag WHERE strand = '+' UNION ALL SELECT * FROM frag WHERE strand = '-') GROUP BY 1")(lambda spark, d: frag(spark, d).filter("strand = '+'").unionByName(frag(spark, d).filter("strand = '-'")).groupBy("sample_key").agg(F.count("*").alias("n")))
-query("u5_contigs_without_peaks", f"{fx.cte('frag', 'ccre', 'blacklist')} SELECT DISTINCT chrom FROM frag EXCEPT SELECT chrom FROM blacklist WHERE start_pos < 100000")(lambda spark, d: frag(spark, d).select("chrom").distinct().exceptAll(fx.table(spark, d, "blacklist").filter("start_pos < 100000").select("chrom").distinct()))
+# contigs that a sample has reads on and no peak, and windows of a contig with reads and no peak of any sample
+query("u5_contigs_without_peaks", f"{fx.cte('frag', 'peaks')} SELECT sample_key, chrom FROM frag EXCEPT SELECT sample_key, chrom FROM peaks")(
+    lambda spark, d: frag(spark, d).select("sample_key", "chrom").subtract(fx.table(spark, d, "peaks").select("sample_key", "chrom")))
+WINDOW = f"CAST(floor({S} / 1000) AS BIGINT)"
+query("u5_windows_without_peaks", f"{fx.cte('frag', 'peaks')} SELECT chrom, {WINDOW} AS window_no FROM frag EXCEPT SELECT chrom, {WINDOW} FROM peaks")(
+    lambda spark, d: frag(spark, d).selectExpr("chrom", f"{WINDOW} AS window_no").subtract(fx.table(spark, d, "peaks").selectExpr("chrom", f"{WINDOW} AS window_no")))
 query("u5_contigs_outside_blacklist", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag EXCEPT SELECT chrom FROM blacklist")(lambda spark, d: frag(spark, d).select("chrom").distinct().exceptAll(fx.table(spark, d, "blacklist").select("chrom").distinct()))
 query("u6_shared_contigs", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag INTERSECT SELECT chrom FROM blacklist")(lambda spark, d: frag(spark, d).select("chrom").intersect(fx.table(spark, d, "blacklist").select("chrom")))
 
@@ -344,7 +349,8 @@ SEGMENTS = 26 * 200_000.0
 query("x12_narrow_peaks")(lambda spark, d: peaks.call(peaks.scored_segments(units(spark, d, 0), SEGMENTS)))
 query("x12_broad_peaks")(lambda spark, d: peaks.call_broad(peaks.scored_segments(units(spark, d, 0), SEGMENTS)))
 query("x13_shifted_reads", f"{fx.cte('frag')} SELECT qname, chrom, greatest(0, CASE WHEN strand = '-' THEN end_pos - 75 ELSE start_pos - 75 END) AS start_pos, greatest(greatest(0, CASE WHEN strand = '-' THEN end_pos - 75 ELSE start_pos - 75 END) + 1, CASE WHEN strand = '-' THEN end_pos + 75 ELSE start_pos + 75 END) AS end_pos FROM frag")(lambda spark, d: peaks.shifted(frag(spark, d)).select("qname", "chrom", S, E))
-query("x14_zero_peak_samples", f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN (SELECT * FROM peaks WHERE chrom = 'chr1' AND start_pos < 20000) p USING (sample_key) GROUP BY 1")(lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), fx.table(spark, d, "peaks").filter(f"chrom = 'chr1' and {S} < 20000")))
+query("x14_zero_peak_samples", f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN (SELECT * FROM peaks WHERE {CANON} AND peak_type = 'broad') p USING (sample_key) GROUP BY 1")(
+    lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), called(spark, d).filter("peak_type = 'broad'")))
 query("x14_sample_peak_counts", f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN peaks USING (sample_key) GROUP BY 1")(lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), fx.table(spark, d, "peaks")))
 
 # --- quality control
