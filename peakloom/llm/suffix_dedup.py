@@ -44,6 +44,8 @@ from .common import U64, mix
 BLOCK = 2 << 20
 #: Stretches asked of a block in one chunk.
 ASKED = 256
+#: Bytes of stretches that are compressed together (one that is longer goes alone).
+PARCEL = 4 << 20
 ROW = "bucket int, block long, marks binary, places binary"
 
 
@@ -432,15 +434,34 @@ def stretches(kind: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(kind)], strict=True)) if len(kind) else []
 
 
+def parcels(block: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of one block in a sorted array, cut where another PARCEL bytes are full."""
+    full = np.cumsum(size) // PARCEL
+    cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(full) != 0)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True)) if len(block) else []
+
+
 def fetched(length: int):
-    """(key, at, bytes): the bytes that each stretch is said to repeat, addressed to its own block."""
+    """(key, at, size, bytes): the bytes that a block's stretches are said to repeat, addressed to that block.
+
+    Stretches for one block travel together, those from one place side by side, compressed: a passage that many share is asked
+    for as often, and would fill the shuffle if each answer were a row of its own.
+    """
 
     def run(text: bytes, key: int, b):
         import pyarrow as pa
 
-        start, n = b.column("start").to_numpy(), b.column("n").to_numpy()
-        cut = [text[s : s + k + length - 1] for s, k in zip(start.tolist(), n.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([b.column("block"), b.column("at"), pa.array(cut, pa.binary())], ["key", "at", "bytes"])
+        block, at, start = (b.column(c).to_numpy() for c in ("block", "at", "start"))
+        size = b.column("n").to_numpy() + length - 1
+        order = np.lexsort((start, block))
+        block, at, start, size = block[order], at[order], start[order], size[order]
+        out: dict[str, list] = {"key": [], "at": [], "size": [], "bytes": []}
+        for a, z in parcels(block, size):
+            data = b"".join(text[s : s + n] for s, n in zip(start[a:z].tolist(), size[a:z].tolist(), strict=True))
+            for c, x in zip(out, (int(block[a]), at[a:z], size[a:z], pa.compress(data, "zstd", asbytes=True)), strict=True):
+                out[c].append(x)
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in zip(out, kinds, strict=True)], list(out))
 
     return run
 
@@ -452,11 +473,13 @@ def differing(length: int):
         import pyarrow as pa
 
         out = []
-        for at, said in zip(b.column("at").to_pylist(), b.column("bytes").to_pylist(), strict=True):
-            own = text[at : at + len(said)]
-            if own != said:
-                wrong = np.frombuffer(own, np.uint8) != np.frombuffer(said, np.uint8)
-                out.append(put_places(at + np.flatnonzero(np.convolve(wrong, np.ones(length, np.int64), "valid") > 0)))
+        for ats, sizes, data in zip(*[b.column(c).to_pylist() for c in ("at", "size", "bytes")], strict=True):
+            whole, to = pa.decompress(data, sum(sizes), "zstd", asbytes=True), 0
+            for at, n in zip(ats, sizes, strict=True):
+                own, said, to = text[at : at + n], whole[to : to + n], to + n
+                if own != said:
+                    wrong = np.frombuffer(own, np.uint8) != np.frombuffer(said, np.uint8)
+                    out.append(put_places(at + np.flatnonzero(np.convolve(wrong, np.ones(length, np.int64), "valid") > 0)))
         return pa.RecordBatch.from_arrays([pa.array([key] * len(out), pa.int64()), pa.array(out, pa.binary())], ["block", "places"])
 
     return run
@@ -478,7 +501,7 @@ def verified(packed: DataFrame, found: DataFrame, length: int, scratch: common.S
     """
     asked = found.filter("ref_blocks is not null").groupBy("block").applyInArrow(diagonals, "block long, at long, ref long, start long, n long")
     asked = scratch.table(asked.withColumnRenamed("ref", "key"), "asked")
-    said = scratch.table(beside(packed, asked, fetched(length), "key long, at long, bytes binary"), "said")
+    said = scratch.table(beside(packed, asked, fetched(length), "key long, at array<long>, size array<long>, bytes binary"), "said")
     out = scratch.table(beside(packed, said, differing(length), "block long, places binary"), "differing")
     scratch.drop(asked, said)
     return out
