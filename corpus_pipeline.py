@@ -74,7 +74,12 @@ def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     space is left go.  n_chars follows the text.
     """
     rows = numbered(spark, docs)
-    cut = suffix_dedup.dedup(rows, REPEAT_BYTES, with_text=True, row="__row").filter("n_removed > 0").select("__row", F.col("kept_text").alias("__kept"))
+    made: list[str] = []
+    with common.recording(made):
+        cut = suffix_dedup.dedup(rows, REPEAT_BYTES, with_text=True, row="__row").filter("n_removed > 0")
+    cut = common.Scratch(spark).table(cut.select("__row", F.col("kept_text").alias("__kept")), "cut")
+    for path in made:  # the blocks and places of which the cut texts came
+        common.delete(spark, path)
     changed = F.col("__kept").isNotNull()
     out = rows.join(cut, "__row", "left").withColumn("text", F.coalesce("__kept", "text"))
     if "n_chars" in docs.columns:
