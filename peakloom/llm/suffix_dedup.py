@@ -42,7 +42,7 @@ from . import common
 from .common import U64, mix
 
 BLOCK = 2 << 20
-#: Stretches asked of a block in one chunk.
+#: Stretches asked of a block in one chunk, or four times the mean of all blocks if that is more.
 ASKED = 256
 #: Bytes of stretches that are compressed together (one that is longer goes alone).
 PARCEL = 4 << 20
@@ -404,9 +404,10 @@ def beside(rows: DataFrame, asked: DataFrame, run, schema: str) -> DataFrame:
     """run(text of the block, what is asked of it, a batch at a time) -> rows, where asked (written) names blocks in `key`.
 
     A block's text comes before what is asked of it, so only the text is held.  A block of which much is asked (the first to hold
-    a passage that many share) is several chunks, each with the text.
+    a passage that many share) is several chunks, each with the text: no more than a quarter of the text again in all.
     """
-    hot = asked.groupBy("key").agg(F.ceil(F.count("*") / ASKED).alias("_chunks")).filter("_chunks > 1")
+    most = max(ASKED, math.ceil(4 * asked.count() / max(1, rows.count())))
+    hot = asked.groupBy("key").agg(F.ceil(F.count("*") / most).alias("_chunks")).filter("_chunks > 1")
     last = F.coalesce("_chunks", F.lit(1)) - 1
     text = rows.select(F.col("block").alias("key"), "text").join(hot, "key", "left")
     text = text.select("key", F.lit(0).alias("_kind"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_chunk"), "text")
