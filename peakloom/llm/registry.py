@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, mixing, neighbours, ngram_join, suffix_dedup, token_files, toxicity, url_filter, warc
+from . import bpe, code_compression, embedding_dedup, mixing, neighbours, ngram_join, resampling, sharding, suffix_dedup, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
@@ -17,9 +17,20 @@ def queries() -> dict:
         "op8_warc": warc.op8_warc,
         "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_code_compression": code_compression.op11_code_compression,
+        "op12_resampling": resampling.op12_resampling,
+        "op13_sharding": sharding.op13_sharding,
         "mixing_unweighted": mixing.mixing_unweighted,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "mixing_unweighted": mixing.UNWEIGHTED_SQL, "op8_warc": warc.SQL, "op9_embedding_dedup": embedding_dedup.SQL, "op10_url_filter": url_filter.SQL}
+    return {
+        "op2_mixing": mixing.SQL,
+        "mixing_unweighted": mixing.UNWEIGHTED_SQL,
+        "op8_warc": warc.SQL,
+        "op9_embedding_dedup": embedding_dedup.SQL,
+        "op10_url_filter": url_filter.SQL,
+        "op11_code_compression": code_compression.SQL,
+        "op12_resampling": resampling.SQL,
+    }
