@@ -18,23 +18,26 @@ from peakloom.llm import bpe, common, mixing, ngram_join, suffix_dedup, toxicity
 SHINGLE_WORDS, SIMILARITY, REPEAT_BYTES = 5, 80, 100
 
 
-#: Scratch tables of the stage that ran last.
-_last: list[str] = []
+#: Where a stage's result names the scratch tables that it was made of: in the metadata of its first column, which Parquet keeps.
+MADE_OF = "scratch"
 
 
 def stage(f: Callable) -> Callable:
-    """Before a stage runs, the scratch tables of the stage before go, as its rows are written by then; they stay if docs, unlike
-    what a stage is given here, still reads one of them."""
+    """The scratch tables that docs were made of go before a stage runs, unless docs read them still: docs that were written and
+    reread don't.  A result notes its own tables in its schema, so stages of other runs, or two results open at once, don't meet."""
 
     @functools.wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        read = docs.inputFiles() if _last else []
-        if not any(path in file for file in read for path in _last):
-            for path in _last:
+        made_of = [path for field in docs.schema for path in field.metadata.get(MADE_OF, [])]
+        read = docs.inputFiles() if made_of else []
+        if not any(path in file for file in read for path in made_of):
+            for path in made_of:
                 common.delete(spark, path)
-            _last.clear()
-        with common.recording(_last):
-            return f(spark, docs, sf_dir)
+        made: list[str] = []
+        with common.recording(made):
+            out = f(spark, docs, sf_dir)
+        first, *rest = out.columns
+        return out.select(F.col(first).alias(first, metadata={MADE_OF: made}), *rest)
 
     return run_stage
 
@@ -117,12 +120,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage; the others' rows are written to the shared folder, and what they needed for it goes after each."""
-    docs = common.documents(spark, sf_dir)
+    """The result of the last stage.  The others' rows are written to the shared folder; each goes when the next is written."""
+    docs, before = common.documents(spark, sf_dir), None
     for name, function in STAGES[:-1]:
         path = common.scratch_path(spark, name.replace(" ", "-"))
         rows = function(spark, docs, sf_dir)
         with common.settings(spark, common.CLEAN_SHUFFLES, common.ARROW_BYTES):
             rows.write.option("compression", "zstd").parquet(path)
-        docs = spark.read.schema(rows.schema).parquet(path)
+        if before is not None:
+            common.delete(spark, before)
+        docs, before = spark.read.schema(rows.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

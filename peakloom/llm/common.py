@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -17,6 +18,8 @@ CLEAN_SHUFFLES = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "tr
 #: Batches that go to Python hold at most so many bytes (or a single row), so that long rows don't add up.
 ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 _local_dir: str | None = None
+#: The lists that open recording() blocks of this thread or task note paths in.
+_recording: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("recording", default=())
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -43,9 +46,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 class Scratch:
     """Tables written to the shared folder.  They cut lineage and outlive lost executors; drop() frees one early."""
 
-    #: For each recording() block that is open, where the paths written inside are noted.
-    inside: list[list[str]] = []
-
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: dict[int, str] = {}
@@ -54,8 +54,8 @@ class Scratch:
         path = scratch_path(self.spark, name)
         with settings(self.spark, CLEAN_SHUFFLES, ARROW_BYTES):
             df.write.option("compression", "zstd").parquet(path)
-        if self.inside:
-            self.inside[-1].append(path)
+        for noted in _recording.get()[-1:]:
+            noted.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch = path  # keeps the id from being reused while the table is known
@@ -75,11 +75,11 @@ def delete(spark: SparkSession, path: str) -> None:
 @contextlib.contextmanager
 def recording(paths: list[str]):
     """Notes the scratch tables made inside, for whoever deletes them once what was made of them is written."""
-    Scratch.inside.append(paths)
+    token = _recording.set((*_recording.get(), paths))
     try:
         yield
     finally:
-        Scratch.inside.pop()
+        _recording.reset(token)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -80,3 +80,18 @@ def test_empty_and_null_rows(spark):
             if some is docs and name in ("toxicity", "n-gram Jaccard join", "suffix-array dedup"):
                 assert now.count() == 4
     assert now.count() == 0 and bpe is not None
+
+
+def test_two_results_open_at_once(spark, tmp_path):
+    """A stage's result stays readable while another's is made; what it was made of goes once it is written and handed on."""
+    docs = common.documents(spark, TEST_DATA)
+    a = pipeline.one_of_each_group_stays(spark, docs.filter("doc_id % 2 = 0"), TEST_DATA)
+    b = pipeline.one_of_each_group_stays(spark, docs.filter("doc_id % 2 = 1"), TEST_DATA)
+    assert b.count() + a.count() > 100
+    made_of = a.schema[0].metadata[pipeline.MADE_OF]
+    assert made_of and not set(made_of) & set(b.schema[0].metadata[pipeline.MADE_OF])
+    a.write.parquet(str(tmp_path / "a"))
+    again = spark.read.parquet(str(tmp_path / "a"))
+    pipeline.toxic_documents_go(spark, again, TEST_DATA).count()
+    there = lambda path: spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+    assert not any(map(there, made_of)) and b.count() > 50
