@@ -18,22 +18,34 @@ def class_priority(column: str) -> Column:
     return F.coalesce(known[first], F.lit(999))
 
 
-def feature_flags(regions: DataFrame, genes: DataFrame, exons: DataFrame, up: int = 2000, down: int = 500) -> DataFrame:
-    """promoter_overlap, exon_overlap, gene_body_overlap, intron_overlap and gene_context from one join on tagged features."""
-    parts = [(iv.promoters(genes, up, down), "promoter"), (exons, "exon"), (genes, "gene")]
-    tagged = None
-    for df, tag in parts:
+#: Kinds of gene features and the flags they give.
+FEATURES = {"promoter": "promoter_overlap", "exon": "exon_overlap", "gene": "gene_body_overlap"}
+
+
+def tagged_features(genes: DataFrame, exons: DataFrame, up: int, down: int) -> DataFrame:
+    parts = {"promoter": iv.promoters(genes, up, down), "exon": exons, "gene": genes}
+    out = None
+    for tag, df in parts.items():
         df = df.select("chrom", S, E, F.lit(tag).alias("tag"))
-        tagged = df if tagged is None else tagged.unionByName(df)
-    hit = iv.overlap_join(regions.select("region_id", "chrom", S, E), tagged).groupBy("region_id").agg(*[F.max(F.col("tag") == t).alias(n) for t, n in (("promoter", "promoter_overlap"), ("exon", "exon_overlap"), ("gene", "gene_body_overlap"))])
-    out = regions.join(hit, "region_id", "left")
-    names = ["promoter_overlap", "exon_overlap", "gene_body_overlap"]
-    out = out.withColumns({n: F.coalesce(n, F.lit(False)) for n in names})
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def with_context(df: DataFrame) -> DataFrame:
+    """Adds intron_overlap and gene_context to the three flags; null flags count as false."""
+    out = df.withColumns({n: F.coalesce(n, F.lit(False)) for n in FEATURES.values()})
     out = out.withColumn("intron_overlap", F.col("gene_body_overlap") & ~F.col("exon_overlap") & ~F.col("promoter_overlap"))
     context = F.when(F.col("promoter_overlap"), "promoter").when(F.col("exon_overlap"), "exon").when(F.col("intron_overlap"), "intron").when(F.col("gene_body_overlap"), "other_gene_body").otherwise("distal_intergenic")
     return out.withColumn("gene_context", context)
 
 
+def feature_flags(regions: DataFrame, genes: DataFrame, exons: DataFrame, up: int = 2000, down: int = 500) -> DataFrame:
+    """promoter_overlap, exon_overlap, gene_body_overlap, intron_overlap and gene_context from one join on tagged features."""
+    pairs = iv.overlap_join(regions.select("region_id", "chrom", S, E), tagged_features(genes, exons, up, down))
+    hit = pairs.groupBy("region_id").agg(*[F.max(F.col("tag") == t).alias(n) for t, n in FEATURES.items()])
+    return with_context(regions.join(hit, "region_id", "left"))
+
+
 def joined(values: Column) -> Column:
     """Distinct values, sorted and joined by ';' (blank and null ones left out); null if none."""
     kept = F.array_sort(F.filter(F.collect_set(values), lambda x: x != ""))
@@ -61,10 +73,19 @@ def nearest_tss(regions: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def annotate(regions: DataFrame, genes: DataFrame, exons: DataFrame, ccre: DataFrame, up: int = 2000, down: int = 500, source: str | None = None) -> DataFrame:
-    """The full annotation table of a region universe."""
-    hits = ccre_hits(regions, ccre)
-    every = hits.groupBy("region_id").agg(joined(F.col("ccre_id")).alias("ccre_all_ids"), joined(F.col("ccre_class")).alias("ccre_all_classes"))
-    out = feature_flags(regions, genes, exons, up, down).join(nearest_tss(regions, genes).drop("edge_distance"), "region_id", "left").join(primary_ccre(hits), "region_id", "left").join(every, "region_id", "left")
+    """The full annotation table of a region universe: one join on bins with gene features and regulatory elements together, one
+    aggregation of its pairs by region, and the nearest TSS.  regions are read more than once, so give a written table."""
+    none = F.lit(None).cast("string")
+    elements = ccre.select("chrom", S, E, F.lit("element").alias("tag"), "ccre_id", "ccre_class")
+    features = tagged_features(genes, exons, up, down).withColumns({"ccre_id": none, "ccre_class": none})
+    pairs = iv.overlap_join(regions.select("region_id", "chrom", S, E), features.unionByName(elements))
+    # widest overlap, then class priority, then id
+    best = F.struct((-iv.overlap_width(S, E, "r_start", "r_end")).alias("width"), class_priority("ccre_class").alias("priority"), "ccre_id", "ccre_class")
+    first = F.min(F.when(F.col("tag") == "element", best))
+    flags = [F.max(F.col("tag") == t).alias(n) for t, n in FEATURES.items()]
+    found = pairs.groupBy("region_id").agg(*flags, first.alias("_first"), joined(F.col("ccre_id")).alias("ccre_all_ids"), joined(F.col("ccre_class")).alias("ccre_all_classes"))
+    primary = {"ccre_primary_id": F.col("_first.ccre_id"), "ccre_primary_class": F.col("_first.ccre_class")}
+    out = with_context(regions.join(found.withColumns(primary).drop("_first"), "region_id", "left")).join(nearest_tss(regions, genes).drop("edge_distance"), "region_id", "left")
     return out.withColumns({"promoter_definition": F.lit(f"TSS-{up}/+{down}bp"), "ccre_overlap": F.col("ccre_primary_id").isNotNull(), "enhancer_like": F.coalesce(F.col("ccre_all_classes").rlike("(^|;)(pELS|dELS)(;|$)"), F.lit(False)), "ccre_source": F.lit(source)})
 
 

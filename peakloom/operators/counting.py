@@ -6,19 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import intervals as iv
+from . import selection
 
 S, E = iv.S, iv.E
 
 
-def overlap_counts(units: DataFrame, regions: DataFrame, bin_width: int = 2000) -> DataFrame:
+def overlap_counts(units: DataFrame, regions: DataFrame, bin_width: int = 2000, salt: bool | None = None) -> DataFrame:
     """(region_id, sample_key, n): a unit counts in every region it overlaps."""
-    pairs = iv.overlap_join(units.select("sample_key", "chrom", S, E), regions.select("region_id", "chrom", S, E), bin_width=bin_width)
+    pairs = iv.overlap_join(units.select("sample_key", "chrom", S, E), regions.select("region_id", "chrom", S, E), bin_width=bin_width, salt=salt)
     return pairs.groupBy("region_id", "sample_key").agg(F.count("*").alias("n"))
 
 
-def union_counts(mates: DataFrame, regions: DataFrame, bin_width: int = 2000) -> DataFrame:
+def union_counts(mates: DataFrame, regions: DataFrame, bin_width: int = 2000, salt: bool | None = None) -> DataFrame:
     """A read or pair counts only if its aligned ranges overlap exactly one region."""
-    pairs = iv.overlap_join(mates.select("sample_key", "qname", "chrom", S, E), regions.select("region_id", "chrom", S, E), bin_width=bin_width)
+    pairs = iv.overlap_join(mates.select("sample_key", "qname", "chrom", S, E), regions.select("region_id", "chrom", S, E), bin_width=bin_width, salt=salt)
     per = pairs.groupBy("sample_key", "qname").agg(F.min("region_id").alias("region_id"), F.max("region_id").alias("_max")).filter("region_id = _max")
     return per.groupBy("region_id", "sample_key").agg(F.count("*").alias("n"))
 
@@ -36,11 +37,13 @@ def nonzero_regions(counts: DataFrame) -> DataFrame:
 
 
 def poscounts_factors(counts: DataFrame) -> DataFrame:
-    """Median ratios to a geometric mean over positive counts, scaled to geometric mean 1."""
+    """Median ratios to a geometric mean over positive counts, scaled to geometric mean 1.  The medians are selected in rounds, so
+    this runs when called and its result is a table of a row a sample."""
     n = F.lit(counts.select("sample_key").distinct().count())
     pos = counts.filter("n > 0").withColumn("l", F.ln("n"))
     lg = pos.groupBy("region_id").agg((F.sum("l") / n).alias("lg"))
-    raw = pos.join(lg, "region_id").groupBy("sample_key").agg(F.exp(F.percentile(F.col("l") - F.col("lg"), F.lit(0.5))).alias("f"))
+    ratios = pos.join(lg, "region_id").select("sample_key", (F.col("l") - F.col("lg")).alias("r"))
+    raw = selection.quantiles(ratios, ["sample_key"], "r", [0.5]).select("sample_key", F.exp("q0").alias("f"))
     return raw.withColumn("size_factor", F.col("f") / F.exp(F.avg(F.ln("f")).over(Window.partitionBy(F.lit(1))))).drop("f")  # a row a sample
 
 
@@ -83,13 +86,13 @@ def snapped(units: DataFrame, width: int) -> DataFrame:
     return units.withColumns({S: F.floor(F.col(S) / width) * width, E: (F.floor((F.col(E) - 1) / width) + 1) * width})
 
 
-def coverage(units: DataFrame, width: int = 10, tile: int = iv.TILE, sizes: DataFrame | None = None) -> DataFrame:
-    """Units over each bin, equal neighbours as one: (sample_key, chrom, start_pos, end_pos, depth).  No bin is exploded.
+def coverage(units: DataFrame, width: int = 10, tile: int = iv.TILE, sizes: DataFrame | None = None, by: tuple[str, ...] = ("sample_key",)) -> DataFrame:
+    """Units over each bin, equal neighbours as one: (by, chrom, start_pos, end_pos, depth).  No bin is exploded.
 
     With sizes (chrom, size), the last bin ends at the chromosome's end.
     """
     tile = max(width, tile // width * width)
-    keys = ["sample_key", "chrom"]
+    keys = [*by, "chrom"]
     out = iv.same_depth(iv.depth_segments(snapped(units, width).select(*keys, S, E), keys, tile), keys, "depth", tile)
     if sizes is None:
         return out
@@ -105,11 +108,75 @@ def cpm_scales(units: DataFrame) -> DataFrame:
     return units.groupBy("sample_key").agg(F.count("*").alias("signal_count")).withColumn("scale", 1e6 / F.col("signal_count"))
 
 
+def cpm_record(units: DataFrame, layout: str = "PE", genome: str = "hg38", bin_size: int = 10) -> DataFrame:
+    """A row a sample that says how its CPM track was made: what is counted, how many, which contigs, and the files."""
+    contigs = F.array_join(F.array_sort(F.collect_set("chrom")), ",")  # contigs are few
+    out = units.groupBy("sample_key").agg(F.count("*").alias("normalization_count"), contigs.alias("canonical_contigs"))
+    fixed = {"genome": genome, "layout": layout, "signal_unit": "fragments" if layout == "PE" else "reads", "normalization": "CPM"}
+    out = out.withColumns({k: F.lit(v) for k, v in fixed.items()} | {"bin_size": F.lit(bin_size).cast("long"), "sample": F.col("sample_key")})
+    files = {"bigwig_file": F.concat("sample_key", F.lit("_CPM.bw")), "bedgraph_file": F.concat("sample_key", F.lit("_CPM.bedGraph"))}
+    return out.withColumns(files).select("sample", *fixed, "normalization_count", "bin_size", "canonical_contigs", *files)
+
+
 def tracks(cov: DataFrame, scale_table: DataFrame) -> DataFrame:
     """Every track family as one table: coverage x (sample_key, family, scale).  The scale table is a row a sample and family."""
     return cov.join(F.broadcast(scale_table), "sample_key").select("family", "sample_key", "chrom", S, E, (F.col("depth") * F.col("scale")).alias("score"))
 
 
+#: Track families and the set of units that each covers.  Fixed values.
+FAMILIES = {
+    "CPM": "stringent",
+    "DESeq2Consensus": "stringent",
+    "DESeq2RobustCPM_Permissive": "permissive",
+    "DESeq2RobustCPM_Intermediate": "intermediate",
+    "DESeq2RobustCPM_Stringent": "stringent",
+    "SpikeInDM6_Stringent": "stringent",
+    "dm6_StringentRaw": "spike",
+    "dm6_StringentCPM": "spike",
+    "Merged_CPM": "merged",
+}
+
+
+def family_scales(sets: dict[str, DataFrame], scale_tables: dict[str, DataFrame], spike_target: float = 1e6, ratios: DataFrame | None = None) -> DataFrame:
+    """(unit_set, family, sample_key, scale) of every family that the sets and tables allow; a row a sample and family.
+
+    sets: units by name (stringent, permissive, intermediate, spike, merged); scale_tables: scales() of a policy's own counts by
+    the policy's name; ratios: (sample_key, ratio) of samples with a spike-in.  CPM scales are a million over the set's units.
+    """
+    tables = []
+
+    def add(family: str, table: DataFrame, scale: Column) -> None:
+        tables.append(table.select(F.lit(FAMILIES[family]).alias("unit_set"), F.lit(family).alias("family"), "sample_key", scale.cast("double").alias("scale")))
+
+    for family, name in (("CPM", "stringent"), ("dm6_StringentCPM", "spike"), ("Merged_CPM", "merged")):
+        if name in sets:
+            add(family, cpm_scales(sets[name]), F.col("scale"))
+    if "spike" in sets:
+        n = sets["spike"].groupBy("sample_key").agg(F.count("*").alias("n"))
+        add("dm6_StringentRaw", n, F.lit(1.0))
+        if ratios is not None:
+            add("SpikeInDM6_Stringent", n.join(ratios, "sample_key"), spike_scale(F.lit(spike_target), F.col("ratio"), F.col("n")))
+    for name, table in scale_tables.items():
+        add(f"DESeq2RobustCPM_{name.capitalize()}", table, F.col("robust_cpm_scale"))
+        if name == "stringent":
+            add("DESeq2Consensus", table, F.col("deseq2_consensus_scale"))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def track_families(sets: dict[str, DataFrame], scale_table: DataFrame, width: int = 10) -> DataFrame:
+    """All families as one table (family, sample_key, chrom, start_pos, end_pos, score): the sets are swept together, each once
+    however many families cover it, and meet the scales by a join with a row a sample and family."""
+    units = None
+    for name, df in sets.items():
+        tagged = df.select(F.lit(name).alias("unit_set"), "sample_key", "chrom", S, E)
+        units = tagged if units is None else units.unionByName(tagged)
+    cov = coverage(units, width, by=("unit_set", "sample_key"))
+    return cov.join(F.broadcast(scale_table), ["unit_set", "sample_key"]).select("family", "sample_key", "chrom", S, E, (F.col("depth") * F.col("scale")).alias("score"))
+
+
 def rpkm(units: DataFrame, width: int = 100_000) -> DataFrame:
     total = units.groupBy("sample_key").agg(F.count("*").alias("total"))
     return bin_counts(units, width).join(F.broadcast(total), "sample_key").withColumn("score", F.col("n") * 1e9 / (F.col("total") * width)).drop("total")

@@ -119,9 +119,10 @@ def mixed_cohorts(df: DataFrame, by: list[str], columns: tuple[str, ...] = ("lay
 
 
 def both_peak_types(sheet: DataFrame) -> DataFrame:
-    """Biological samples that ask for less than both peak types."""
-    per = sheet.filter(~is_control()).groupBy("sample_id", "replicate").agg(F.max(F.col("macs2_mode").isin("narrow", "both")).alias("n"), F.max(F.col("macs2_mode").isin("broad", "both")).alias("b"))
-    return per.filter("not (n and b)").select("sample_id", "replicate")
+    """Biological samples (no controls) whose first row by `row` doesn't ask for both peak types; later rows of a sample don't
+    count.  Ids and modes are read without blanks around them and modes in any case."""
+    own = sheet.filter(~is_control()).select(clean("sample_id").alias("sample_id"), clean("replicate").alias("replicate"), F.struct("row", F.lower(clean("macs2_mode")).alias("mode")).alias("_first"))
+    return own.groupBy("sample_id", "replicate").agg(F.min("_first").alias("_first")).filter("_first.mode <> 'both'").select("sample_id", "replicate")
 
 
 def resolve_controls(sheet: DataFrame, controls: DataFrame, any_replicate: bool = True) -> DataFrame:

@@ -94,11 +94,48 @@ def overlap_width(s1: str, e1: str, s2: str, e2: str) -> Column:
     return F.greatest(F.least(F.col(e1), F.col(e2)) - F.greatest(F.col(s1), F.col(s2)), F.lit(0))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_width: int = 2000, coarse: int = 64) -> DataFrame:
+#: From this estimated size of the left side on, joins look for hot bins.
+SALT_FROM = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimiser's estimate of a table's size; 0 where it can't be asked."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return 0
+
+
+def hot_keys(df: DataFrame, by: list[str], tasks: int) -> DataFrame:
+    """(by, _pieces): keys that hold more than 1 / (4 * tasks) of all rows, so 4 * tasks keys at most, and into how many pieces of
+    that size each is to be cut.  All rows are counted, with the partial sums of an aggregation; a sample would not say the same
+    for both sides of a join when a task runs again."""
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    total = df.agg(F.count("*").alias("_all"))
+    piece = F.col("_all") / (4 * tasks)
+    return counts.crossJoin(F.broadcast(total)).filter(F.col("_n") > piece).select(*by, F.ceil(F.col("_n") / piece).alias("_pieces"))  # one row beside each
+
+
+def salted(left: DataFrame, right: DataFrame, by: list[str], tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with _salt, to join by [*by, "_salt"] instead of by: left's rows of a hot key are dealt to its pieces, right's
+    rows of it are copied to each.  Other keys have the salt 0.  Copies are rows of right times pieces, and pieces are 8 * tasks in
+    all at most."""
+    tasks = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left.select(*by), by, tasks))  # 4 * tasks rows at most
+    # equal rows of different tasks part as well; a task that runs again deals alike
+    plain = [c for c, kind in left.dtypes if "map<" not in kind]  # maps can't be hashed
+    deal = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.col("_pieces"))
+    dealt = left.join(hot, by, "left").withColumn("_salt", F.coalesce(deal, F.lit(0))).drop("_pieces")
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_pieces", F.lit(1)) - 1)
+    return dealt, right.join(hot, by, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_width: int = 2000, coarse: int = 64, salt: bool | None = None) -> DataFrame:
     """All pairs of overlapping intervals, once each; right's other columns must not clash, its interval is (r_start, r_end).
 
     Intervals over 8 bins long use bins `coarse` times wider, so a long one does not explode; each pair meets on one resolution
-    (0: both short, 1: right long, 2: left long) and in the bin of the later start.
+    (0: both short, 1: right long, 2: left long) and in the bin of the later start.  salt: whether hot bins of left are cut (see
+    salted()); by default if left is estimated at SALT_FROM bytes or more.
     """
     wide = bin_width * coarse
 
@@ -115,21 +152,28 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("ch
     right = right.withColumnsRenamed({S: "r_start", E: "r_end"})
     a = spread(left, S, E, [(0, bin_width), (1, wide)], [(2, wide)])
     b = spread(right, "r_start", "r_end", [(0, bin_width), (2, wide)], [(1, wide), (2, wide)])
-    both = a.join(b, [*keys, "_level", "_bin"])
+    by = [*keys, "_level", "_bin"]
+    if salt or (salt is None and estimated_bytes(left) >= SALT_FROM):
+        a, b = salted(a, b, by)
+        both = a.join(b, [*by, "_salt"]).drop("_salt")
+    else:
+        both = a.join(b, by)
     width = F.when(F.col("_level") == 0, bin_width).otherwise(wide)
     meet = F.floor(F.greatest(F.col(S), F.col("r_start")) / width)
     return both.filter((F.col(S) < F.col("r_end")) & (F.col("r_start") < F.col(E)) & (F.col("_bin") == meet)).drop("_level", "_bin")
 
 
-def with_flag(left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys: tuple[str, ...] = ("chrom",), width: int = 2000, coarse: int = 64) -> DataFrame:
-    """Adds whether a row of left overlaps any interval of right; ids tell left's rows apart.
+def with_flag(left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys: tuple[str, ...] = ("chrom",), width: int = 2000, coarse: int = 64, salt: bool | None = None) -> DataFrame:
+    """Adds whether a row of left overlaps any interval of right; ids tell left's rows apart.  salt: as in overlap_join().
 
     Right is merged, and each bin lists the merged intervals that reach it or the bin after it: a row no longer than a bin finds
     all it needs in the bin of its start, so left is neither exploded nor joined back, and a small right side is broadcast by its
-    size.  Longer rows use bins `coarse` times wider; those longer still (rare) take the join on bins.
+    size.  Longer rows use bins `coarse` times wider; those longer still (rare) take the join on bins.  The longest row, asked for
+    when this is called, says which of these are planned.
     """
     merged = merge(right.select(*keys, S, E), list(keys))
-    levels = [(0, width), (1, width * coarse)]
+    longest = left.agg(F.max(F.col(E) - F.col(S))).first()[0] or 0
+    levels = [(i, width * coarse**i) for i in range(2 if longest > width else 1)]
 
     def bins(number: int, w: int) -> Column:
         near = F.sequence(F.floor(F.col(S) / w) - 1, F.floor((F.col(E) - 1) / w))
@@ -139,10 +183,18 @@ def with_flag(left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys
     lists = merged.select(*keys, F.explode(spread).alias("_x"), F.struct(F.col(S).alias("s"), F.col(E).alias("e")).alias("_i"))
     lists = lists.groupBy(*keys, F.col("_x._level").alias("_level"), F.col("_x._bin").alias("_bin")).agg(F.collect_list("_i").alias("_list"))
     span = F.col(E) - F.col(S)
-    level = F.when(span <= width, 0).when(span <= width * coarse, 1)
+    level = F.when(span <= width, 0).otherwise(1)
     short = left.withColumns({"_level": level, "_bin": F.when(level == 0, F.floor(F.col(S) / width)).otherwise(F.floor(F.col(S) / (width * coarse)))})
-    found = short.filter(F.col("_level").isNotNull()).join(lists, [*keys, "_level", "_bin"], "left")
+    by = [*keys, "_level", "_bin"]
+    if longest > width * coarse:
+        short = short.filter(span <= width * coarse)
+    if salt or (salt is None and estimated_bytes(left) >= SALT_FROM):
+        short, lists = salted(short, lists, by)
+        by = [*by, "_salt"]
+    found = short.join(lists, by, "left")
     found = found.withColumn(flag, F.coalesce(F.exists("_list", lambda i: (i["s"] < F.col(E)) & (i["e"] > F.col(S))), F.lit(False)))
+    if longest <= width * coarse:
+        return found.select(*left.columns, flag)
     long = left.filter(span > width * coarse)
     hit = overlap_join(long.select(*dict.fromkeys([*ids, *keys, S, E])), merged, keys, width).select(*ids).distinct().withColumn(flag, F.lit(True))
     rest = long.join(hit, ids, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
@@ -168,11 +220,15 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, position: str,
     both = t.unionByName(p).withColumn("_tile", F.floor(F.col("_at") / tile))
     tiles = both.groupBy(key, "_tile").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     over = Window.partitionBy(key).orderBy("_tile")  # a row a tile
-    carried = tiles.select(key, "_tile", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    earlier, later = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
+    carried = tiles.select(key, "_tile", F.last("_last", ignorenulls=True).over(earlier).alias("_before"), F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    # what tiles before and after have stands as a row at a tile's begin and end
+    row = lambda at, kind, t: F.struct((at * tile).alias("_at"), F.lit(kind).alias("_kind"), F.col(t).alias("_t"))
+    ends = carried.select(key, "_tile", F.inline(F.array(row(F.col("_tile"), -1, "_before"), row(F.col("_tile") + 1, 2, "_after"))))
+    both = both.unionByName(ends.filter("_t is not null"), allowMissingColumns=True)
     inside = Window.partitionBy(key, "_tile").orderBy("_at", "_kind")
     # targets at the start itself count as before, so what follows lies strictly after it
     x = both.withColumns({"_b": F.last("_t", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_t", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))}).filter("_kind = 1")
-    x = x.join(carried, [key, "_tile"]).withColumns({"_b": F.coalesce("_b", "_before"), "_a": F.coalesce("_a", "_after")})
     gap_b = F.when(F.col("_b").isNotNull(), F.col(S) - F.col(f"_b.{position}"))
     gap_a = F.when(F.col("_a").isNotNull(), F.greatest(F.lit(0), F.col(f"_a.{position}") - (F.col(E) - 1)))
     take_b = F.col("_b").isNotNull() & (F.col("_a").isNull() | (gap_b <= gap_a))

@@ -47,22 +47,66 @@ def poisson_tail(df: DataFrame, n: str = "depth", rate: str = "lam") -> DataFram
     return df.withColumn("score", score(F.col(n).cast("long"), F.round(rate, 3)))
 
 
-def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None) -> DataFrame:
-    """Pileup segments of a sample with lambda (the most of genome mean, local mean and, if given, control) and q-values in -log10.
+def paired_segments(treated: DataFrame, control: DataFrame, keys: list[str], tile: int = iv.TILE) -> DataFrame:
+    """Segments between neighbouring boundaries of either side with depth and control_depth, where depth is above 0.
 
-    Benjamini-Hochberg weighs a score by the base pairs that have it.
+    One sweep: both sides' boundaries are summed by position inside tiles, so the pileups meet without a join of segments."""
+
+    def events(df: DataFrame, own: int, other: int) -> DataFrame:
+        step = lambda c, sign: F.struct(F.col(c).alias("pos"), F.lit(sign * own).cast("long").alias("d"), F.lit(sign * other).cast("long").alias("c"))
+        return iv.cut_at_tiles(df.select(*keys, S, E), tile).select(*keys, "_tile", F.explode(F.array(step(S, 1), step(E, -1))).alias("x")).select(*keys, "_tile", "x.*")
+
+    sums = events(treated, 1, 0).unionByName(events(control, 0, 1)).groupBy(*keys, "_tile", "pos").agg(F.sum("d").alias("d"), F.sum("c").alias("c"))
+    by = Window.partitionBy(*keys, "_tile").orderBy("pos")
+    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
+    run = sums.withColumns({"depth": F.sum("d").over(so_far), "control_depth": F.sum("c").over(so_far), E: F.lead("pos").over(by)})
+    return run.filter(F.col("depth") > 0).select(*keys, F.col("pos").alias(S), E, "depth", "control_depth")
+
+
+def control_units(units: DataFrame, controls: DataFrame, key: str = "sample_key") -> DataFrame:
+    """Units of the control of each sample under that sample's key.  controls: (sample_key, control_key), a row a sample."""
+    pairs = controls.filter("control_key is not null").select(F.col(key).alias("_treated"), F.col("control_key").alias(key))
+    return units.join(F.broadcast(pairs), key).withColumn(key, F.col("_treated")).drop("_treated")
+
+
+def rates(units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None, small: int = 1_000) -> DataFrame:
+    """Pileup segments (depth, control_depth) of a sample with lam, the rate that a depth is held against.
+
+    It is the most of the sample's mean over the genome and of local means.  With a control (units under the sample's key, see
+    control_units()), the local means are the control's: its depth there and its means in windows of `small` and `local` bp, all
+    times the ratio of the two numbers of units.  Samples without control units take their own mean in windows of `local` bp.
     """
-    pile = iv.depth_segments(units.select("sample_key", "chrom", S, E), ["sample_key", "chrom"])
-    mean = units.groupBy("sample_key").agg((F.sum(F.col(E) - F.col(S)) / F.lit(float(genome_size))).alias("genome_mean"))
+    by = ["sample_key", "chrom"]
+    mean = units.groupBy("sample_key").agg((F.sum(F.col(E) - F.col(S)) / F.lit(float(genome_size))).alias("genome_mean"), F.count("*").alias("_n"))
+
+    def background(df: DataFrame, width: int, name: str) -> DataFrame:
+        bins = iv.cut_at_tiles(df.select(*by, S, E), width)
+        return bins.groupBy(*by, F.col("_tile").alias(f"_{name}_bin")).agg((F.sum(F.col(E) - F.col(S)) / F.lit(float(width))).alias(name))
+
+    def near(seg: DataFrame, df: DataFrame, width: int, name: str) -> DataFrame:
+        at = F.floor((F.col(S) + F.col(E)) / 2 / width)
+        return seg.withColumn(f"_{name}_bin", at).join(background(df, width, name), [*by, f"_{name}_bin"], "left").drop(f"_{name}_bin")
+
+    none = F.lit(0.0)
+    if control is None:
+        pile = iv.depth_segments(units.select(*by, S, E), by).withColumn("control_depth", F.lit(None).cast("long"))
+        seg = near(pile, units, local, "_own").join(F.broadcast(mean), "sample_key")  # a row a sample
+        return seg.withColumn("lam", F.greatest("genome_mean", F.coalesce("_own", none))).drop("_own", "_n", "genome_mean")
+    number = control.groupBy("sample_key").agg(F.count("*").alias("_m"))
+    mean = mean.join(number, "sample_key", "left").withColumn("_ratio", F.col("_n") / F.col("_m")).drop("_n", "_m")
+    seg = paired_segments(units, control, by).join(F.broadcast(mean), "sample_key")  # a row a sample
+    seg = near(near(near(seg, control, small, "_small"), control, local, "_large"), units, local, "_own")
+    scaled = F.col("_ratio") * F.greatest(F.col("control_depth").cast("double"), F.coalesce("_small", none), F.coalesce("_large", none))
+    lam = F.greatest("genome_mean", F.when(F.col("_ratio").isNotNull(), scaled).otherwise(F.coalesce("_own", none)))
+    return seg.withColumn("lam", lam).drop("_small", "_large", "_own", "_ratio", "genome_mean")
+
 
-    def background(df: DataFrame) -> DataFrame:
-        bins = iv.cut_at_tiles(df.select("sample_key", "chrom", S, E), local)
-        return bins.groupBy("sample_key", "chrom", F.col("_tile").alias("_bin")).agg((F.sum(F.col(E) - F.col(S)) / F.lit(float(local))).alias("local"))
+def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None) -> DataFrame:
+    """rates() with score, -log10 of the Poisson tail, and q-values in -log10.
 
-    seg = pile.withColumn("_bin", F.floor((F.col(S) + F.col(E)) / 2 / local))
-    seg = seg.join(background(units if control is None else control), ["sample_key", "chrom", "_bin"], "left").join(F.broadcast(mean), "sample_key")
-    seg = seg.withColumn("lam", F.greatest("genome_mean", F.coalesce("local", F.lit(0.0))))
-    scored = poisson_tail(seg)
+    Benjamini-Hochberg weighs a score by the base pairs that have it.
+    """
+    scored = poisson_tail(rates(units, genome_size, local, control))
     hist = scored.groupBy("sample_key", F.round("score", 3).alias("_sc")).agg(F.sum(F.col(E) - F.col(S)).alias("_bp"))
     down, all_ = Window.partitionBy("sample_key").orderBy(F.col("_sc").desc()), Window.partitionBy("sample_key")
     raw = F.col("_sc") + F.log10(F.sum("_bp").over(down)) - F.log10(F.greatest(F.sum("_bp").over(all_).cast("double"), F.lit(float(genome_size))))
@@ -104,8 +148,9 @@ def with_zero_peaks(samples: DataFrame, peaks: DataFrame, allow_zero: bool = Tru
     return n.withColumn("n_peaks", F.coalesce("n_peaks", zero).cast("long"))
 
 
-def differential_by_recount(mates: DataFrame, peaks: DataFrame, depth: DataFrame, conditions: dict[str, str], order: list[str], half: int = 100) -> DataFrame:
-    """Consensus of all samples, summit windows, recount of eligible samples, library-size factors, the shared model."""
+def differential_by_recount(mates: DataFrame, peaks: DataFrame, depth: DataFrame, conditions: dict[str, str], order: list[str], half: int = 100, blocks: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Consensus of all samples, summit windows, recount of eligible samples, library-size factors, the shared model
+    `~ [block +] condition`; stats.report() makes the report of it."""
     from . import counting
 
     regions = iv.consensus(peaks, ["chrom"], "sample_key")
@@ -114,7 +159,7 @@ def differential_by_recount(mates: DataFrame, peaks: DataFrame, depth: DataFrame
     counts = counting.union_counts(mates, fixed)
     sizes = {r.sample_key: float(r.n) for r in mates.groupBy("sample_key").agg(F.count_distinct("qname").alias("n")).collect()}  # a row a sample
     mean = sum(sizes[s] for s in conditions) / len(conditions)
-    return stats.nb_fit(counts, {s: sizes[s] / mean for s in conditions}, conditions, order)
+    return stats.nb_fit(counts, {s: sizes[s] / mean for s in conditions}, conditions, order, blocks)
 
 
 def mismatched_plan(plan: DataFrame, results: DataFrame, key: str = "comparison_id") -> DataFrame:

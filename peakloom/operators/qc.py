@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import counting, reads
+from . import counting, reads, selection
 from . import intervals as iv
 
 S, E = iv.S, iv.E
@@ -32,7 +32,13 @@ def reads_per_mb(df: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def peak_stats(peaks: DataFrame) -> DataFrame:
-    return peaks.groupBy("sample_key", "peak_type").agg(F.count("*").alias("n_peaks"), F.percentile(F.col(E) - F.col(S), F.lit(0.5)).alias("median_width"), F.greatest(F.max("signal"), F.lit(0.0)).alias("max_signal"))
+    """(sample_key, peak_type, n_peaks, median_width, max_signal); the medians are selected in rounds when this is called."""
+    by = ["sample_key", "peak_type"]
+    widths = selection.quantiles(peaks.select(*by, (F.col(E) - F.col(S)).alias("width")), by, "width", [0.5])
+    sums = peaks.groupBy(*by).agg(F.count("*").alias("n_peaks"), F.greatest(F.max("signal"), F.lit(0.0)).alias("max_signal"))
+    same = sums["sample_key"].eqNullSafe(widths["sample_key"]) & sums["peak_type"].eqNullSafe(widths["peak_type"])
+    joined = sums.join(F.broadcast(widths), same, "left")  # a row a sample and type
+    return joined.select(sums["sample_key"], sums["peak_type"], "n_peaks", F.col("q0").alias("median_width"), "max_signal")
 
 
 def frip(records: DataFrame, peaks: DataFrame, ids: list[str]) -> DataFrame:
@@ -211,11 +217,26 @@ def contig_report(df: DataFrame, genome: str = "hg38") -> DataFrame:
     return df.groupBy("sample_key", "chrom").agg(F.count("*").alias("n")).withColumn("kept", reads.is_canonical(genome))
 
 
-def library_summary(units: DataFrame, counts: DataFrame, factors: DataFrame) -> DataFrame:
+def library_summary(units: DataFrame, counts: DataFrame, factors: DataFrame, eligible: DataFrame | None = None) -> DataFrame:
+    """sample_key, canonical_signal, assigned, size_factor and assigned_fraction; with eligible (sample_key) also whether the
+    sample is in the differential model."""
     total = units.groupBy("sample_key").agg(F.count("*").alias("canonical_signal"))
     assigned = counts.groupBy("sample_key").agg(F.sum("n").alias("assigned"))
     out = total.join(assigned, "sample_key", "left").join(factors.select("sample_key", "size_factor"), "sample_key", "left")
-    return out.withColumn("assigned_fraction", F.col("assigned") / F.col("canonical_signal"))
+    out = out.withColumn("assigned_fraction", F.col("assigned") / F.col("canonical_signal"))
+    if eligible is None:
+        return out
+    known = eligible.select("sample_key").distinct().withColumn("_in", F.lit(True))
+    return out.join(known, "sample_key", "left").withColumn("differential_model_eligible", F.coalesce("_in", F.lit(False))).drop("_in")
+
+
+def dashboard(tables: list[DataFrame]) -> DataFrame:
+    """All metrics of a sample in one row: tables with a row a sample side by side; a sample that any table names has a row, and
+    null where a table lacks it."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.join(t, "sample_key", "full")  # a row a sample
+    return out
 
 
 def wide(metrics: DataFrame, names: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -117,8 +118,32 @@ def filtering_policies(df: DataFrame, canonical: Column, dup: Column) -> DataFra
     return kept.join(table, (F.col("mapq") >= F.col("min_mapq")) & ~(F.col("drop_dups") & F.col("_dup"))).drop("_dup", "drop_dups", "min_mapq")
 
 
+#: Letters that have no ASCII base letter, as transliteration writes them.  Fixed values.
+LETTERS = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Þ": "TH", "þ": "th", "Ł": "L", "ł": "l", "ı": "i"}
+
+
+def base_letters() -> dict[str, str]:
+    """ASCII letters of the Latin letters that are one with marks, by their compatibility decomposition without marks."""
+    out = {}
+    for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if len(plain) == 1 and plain.isascii() and plain.isalpha():
+            out[c] = plain
+    return out
+
+
+def ascii_letters(value: Column) -> Column:
+    """Latin letters without their marks, loose marks dropped, and LETTERS spelled out; what has no such form stays."""
+    table = base_letters()
+    out = F.translate(F.regexp_replace(value, r"\p{Mn}+", ""), "".join(table), "".join(table.values()))
+    for letter, text in LETTERS.items():
+        out = F.replace(out, F.lit(letter), F.lit(text))
+    return out
+
+
 def safe_token(value: Column) -> Column:
-    token = F.regexp_replace(value, r"[^A-Za-z0-9._-]+", "_")
+    """ASCII letters, digits, dots, hyphens and underscores, 60 at most; `condition` if none is left."""
+    token = F.regexp_replace(ascii_letters(value), r"[^A-Za-z0-9._-]+", "_")
     token = F.regexp_replace(token, r"^_+|_+$", "")
     return F.when(token == "", "condition").otherwise(F.substring(token, 1, 60))
 

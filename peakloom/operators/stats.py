@@ -4,22 +4,29 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import selection
 
-def sample_pairs(values: DataFrame, row: str = "region_id", value: str = "n") -> DataFrame:
-    """For each pair of samples (a < b) the sums over rows that correlations and distances need; rows hold every sample."""
+
+def sample_pairs(values: DataFrame, row: str = "region_id", value: str = "n", skip_zeros: bool = False) -> DataFrame:
+    """For each pair of samples (a < b) the sums over rows that correlations and distances need; rows hold every sample.
+
+    skip_zeros: rows that are zero in all samples don't count."""
     lists = values.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("sample_key", F.col(value).cast("double").alias("x")))).alias("v"))  # a sample each
+    if skip_zeros:
+        lists = lists.filter(F.exists("v", lambda s: s["x"] != 0))
     a = lists.select(F.posexplode("v").alias("i", "p"), "v").select("p", F.explode(F.slice(F.col("v"), F.col("i") + 2, F.size("v"))).alias("q"))
     x, y = F.col("p.x"), F.col("q.x")
     return a.groupBy(F.col("p.sample_key").alias("a"), F.col("q.sample_key").alias("b")).agg(F.count("*").alias("m"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd"))
 
 
-def pearson(values: DataFrame, row: str = "region_id", value: str = "n") -> DataFrame:
-    p = sample_pairs(values, row, value)
+def pearson(values: DataFrame, row: str = "region_id", value: str = "n", skip_zeros: bool = False) -> DataFrame:
+    p = sample_pairs(values, row, value, skip_zeros)
     m = F.col("m")
     den = F.sqrt((m * F.col("sxx") - F.col("sx") ** 2) * (m * F.col("syy") - F.col("sy") ** 2))
     return p.select("a", "b", F.when(den > 0, (m * F.col("sxy") - F.col("sx") * F.col("sy")) / den).alias("r"))
@@ -37,7 +44,10 @@ def average_ranks(values: DataFrame, value: str = "n", by: str = "sample_key") -
     return values.join(ranks, [by, value])
 
 
-def spearman(values: DataFrame, row: str = "region_id", value: str = "n") -> DataFrame:
+def spearman(values: DataFrame, row: str = "region_id", value: str = "n", skip_zeros: bool = False) -> DataFrame:
+    if skip_zeros:
+        some = values.groupBy(row).agg(F.max(F.col(value) != 0).alias("_some")).filter("_some").select(row)
+        values = values.join(some, row, "left_semi")
     return pearson(average_ranks(values, value), row, "rank")
 
 
@@ -94,8 +104,59 @@ def _erfc(x: np.ndarray) -> np.ndarray:
     return np.fromiter(map(math.erfc, x.ravel()), float, x.size).reshape(x.shape)
 
 
-def full_rank(design: np.ndarray) -> bool:
-    return np.linalg.matrix_rank(design) == design.shape[1]
+@dataclass(frozen=True)
+class Design:
+    """A model matrix: a row a sample, columns named `(intercept)` and `term:level`; the first level of a term is its baseline."""
+
+    samples: list[str]
+    columns: list[str]
+    x: np.ndarray
+    levels: dict[str, list[str]]
+
+    def contrast(self, term: str, numerator: str, reference: str) -> np.ndarray:
+        """The vector of coefficients whose sum is the log ratio of two levels of a term."""
+        out = np.zeros(len(self.columns))
+        for level, sign in ((numerator, 1), (reference, -1)):
+            if level not in self.levels[term]:
+                raise ValueError(f"{term} {level} is not in the model")
+            if level != self.levels[term][0]:
+                out[self.columns.index(f"{term}:{level}")] += sign
+        return out
+
+    def aliased(self) -> list[str]:
+        """Columns that are combinations of columns before them."""
+        out, kept = [], []
+        for i, name in enumerate(self.columns):
+            if np.linalg.matrix_rank(self.x[:, [*kept, i]]) <= len(kept):
+                out.append(name)
+            else:
+                kept.append(i)
+        return out
+
+
+def design(samples: list[str], terms: dict[str, dict[str, str]], orders: dict[str, list[str]] | None = None) -> Design:
+    """The matrix `~ term + term`, treatment coded.  terms: for each factor, blocks first, its level for every sample; a factor's
+    levels are those of the samples, in the given order or sorted.  Terms that earlier ones determine are an error that names them.
+    """
+    columns, parts, levels = ["(intercept)"], [np.ones(len(samples))], {}
+    for term, of in terms.items():
+        if missing := [s for s in samples if of.get(s) is None]:
+            raise ValueError(f"no {term} for {missing}")
+        seen = {of[s] for s in samples}
+        levels[term] = [v for v in (orders or {}).get(term, sorted(seen)) if v in seen]
+        if lost := seen - set(levels[term]):
+            raise ValueError(f"the order of {term} lacks {sorted(lost)}")
+        for level in levels[term][1:]:
+            columns.append(f"{term}:{level}")
+            parts.append(np.array([of[s] == level for s in samples], float))
+    out = Design(samples, columns, np.stack(parts, 1), levels)
+    if names := out.aliased():
+        raise ValueError(f"the design is not of full rank: {', '.join(names)} follow from the terms before")
+    return out
+
+
+def full_rank(x: np.ndarray) -> bool:
+    return np.linalg.matrix_rank(x) == x.shape[1]
 
 
 def _irls(k: np.ndarray, x: np.ndarray, offset: np.ndarray, alpha: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,16 +200,15 @@ def _rows(b, names: list[str]) -> np.ndarray:
     return b.column("k").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(names))
 
 
-def _gene_dispersions(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> tuple[DataFrame, list[str], np.ndarray, np.ndarray]:
-    """(region_id, k, base_mean, disp), kept, with the samples, the design and the offsets that were used."""
-    names = sorted(conditions, key=lambda s: (order.index(conditions[s]), s))
-    x = np.zeros((len(names), len(order)))
-    x[:, 0] = 1
-    for i, s in enumerate(names):
-        if order.index(conditions[s]):
-            x[i, order.index(conditions[s])] = 1
-    if not full_rank(x):
-        raise ValueError("the design is not of full rank")
+def model(conditions: dict[str, str], order: list[str], blocks: dict[str, dict[str, str]] | None = None) -> Design:
+    """`~ [block +] condition` over the samples of `conditions`, ordered by condition and name."""
+    samples = sorted(conditions, key=lambda s: (order.index(conditions[s]), s))
+    return design(samples, {**(blocks or {}), "condition": conditions}, {"condition": order})
+
+
+def _gene_dispersions(counts: DataFrame, factors: dict[str, float], of: Design) -> tuple[DataFrame, np.ndarray]:
+    """(region_id, k, base_mean, disp), kept, with the offsets that were used."""
+    names, x = of.samples, of.x
     offset = np.log(np.array([factors[s] for s in names]))
     wide = counts.filter(F.col("sample_key").isin(names)).groupBy("region_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_key", "n"))).alias("m"))
     wide = wide.select("region_id", F.array(*[F.coalesce(F.col("m")[s], F.lit(0)).cast("double") for s in names]).alias("k")).filter(F.exists("k", lambda v: v > 0))
@@ -166,7 +226,7 @@ def _gene_dispersions(counts: DataFrame, factors: dict[str, float], conditions:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base), pa.array(best)], ["region_id", "k", "base_mean", "disp"])
 
     gene = wide.mapInArrow(genewise, f"region_id {counts.schema['region_id'].dataType.simpleString()}, k array<double>, base_mean double, disp double").persist()
-    return gene, names, x, offset
+    return gene, offset
 
 
 def _trend(gene: DataFrame) -> tuple[float, float, DataFrame]:
@@ -181,30 +241,47 @@ def _trend(gene: DataFrame) -> tuple[float, float, DataFrame]:
     return a0, slope, t
 
 
-def dispersion_trend(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> tuple[float, float]:
+def dispersion_trend(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str], blocks: dict[str, dict[str, str]] | None = None) -> tuple[float, float]:
     """(a0, a1) of the dispersion trend a1 / mean + a0 that nb_fit() takes for the same arguments."""
-    gene, *_ = _gene_dispersions(counts, factors, conditions, order)
+    gene, _ = _gene_dispersions(counts, factors, model(conditions, order, blocks))
     a0, slope, _ = _trend(gene)
     gene.unpersist()
     return a0, slope
 
 
-def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str]) -> DataFrame:
-    """One model `~ condition` over the samples of `conditions`; a row a region and contrast.
+#: What a tested region has besides its id and contrast.
+TESTED = "base_mean double, log2_fc double, lfc_se double, stat double, pvalue double"
+
 
-    Counts (region_id, sample_key, n) become one array a region (samples are few), regions are fitted in Arrow batches.  Gene-wise
-    dispersions maximise the Cox-Reid likelihood on a grid; their trend a1 / mean + a0 comes from two Spark aggregates; the final
-    dispersion shrinks to the trend by a log-normal prior.  Wald tests for every pair (later condition over earlier one).
+def nb_comparisons(counts: DataFrame, factors: dict[str, float], of: Design, comparisons: dict[str, tuple[str, str]], term: str = "condition") -> DataFrame:
+    """One model over the samples of a design; a row a region and comparison, or a row with only `error` where one failed.
+
+    comparisons: id to (numerator, reference) levels of the term.  Counts (region_id, sample_key, n) become one array a region
+    (samples are few), regions are fitted in Arrow batches.  Gene-wise dispersions maximise the Cox-Reid likelihood on a grid;
+    their trend a1 / mean + a0 comes from two Spark aggregates; the final dispersion shrinks to the trend by a log-normal prior.
+    Wald tests follow for every comparison.
+
+    Comparisons are isolated: one that names a level without samples, or whose test of a batch raises or has no finite standard
+    error, gives rows of its own with region_id null and the message in `error`, and the others go on.
     """
-    gene, names, x, offset = _gene_dispersions(counts, factors, conditions, order)
+    spark, names, x = counts.sparkSession, of.samples, of.x
+    vectors, broken = {}, []
+    for key, (numerator, reference) in comparisons.items():
+        try:
+            vectors[key] = of.contrast(term, numerator, reference)
+        except ValueError as e:
+            broken.append((key, str(e)))
+    gene, offset = _gene_dispersions(counts, factors, of)
     a0, slope, t = _trend(gene)
-    spread = t.agg(F.percentile(F.abs(F.ln("disp") - F.ln(F.lit(a0) + F.lit(slope) * F.col("u"))), F.lit(0.5)).alias("s")).first().s
-    prior = max(0.25, (1.4826 * (spread or 1.0)) ** 2 - 2.0 / max(1, len(names) - len(order)))
-    pairs = [(i, j) for i in range(len(order)) for j in range(i + 1, len(order))]
+    away = t.select(F.abs(F.ln("disp") - F.ln(F.lit(a0) + F.lit(slope) * F.col("u"))).alias("d"))
+    spread = next((r["q0"] for r in selection.quantiles(away, [], "d", [0.5]).collect()), None)
+    prior = max(0.25, (1.4826 * (spread or 1.0)) ** 2 - 2.0 / max(1, len(names) - x.shape[1]))
+    ids = counts.schema["region_id"].dataType
 
-    def test(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        columns = ["region_id", "contrast", "base_mean", "log2_fc", "lfc_se", "stat", "pvalue", "error"]
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
@@ -214,23 +291,57 @@ def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, s
                 post = _likelihood(k, mu, GRID, x) - (np.log(GRID)[None, :] - np.log(trend)[:, None]) ** 2 / (2 * prior)
                 alpha = GRID[post.argmax(1)]
                 beta, cov, _ = _irls(k, x, offset, alpha)
-                for i, j in pairs:
-                    c = np.zeros(len(order))
-                    c[j] = 1
-                    if i:
-                        c[i] = -1
-                    lfc, se = beta @ c, np.sqrt(np.maximum(np.einsum("i,rij,j->r", c, cov, c), 1e-300))
-                    z = lfc / se
-                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f"{order[j]}|{order[i]}"] * len(k)), pa.array(base), pa.array(lfc / math.log(2)), pa.array(se / math.log(2)), pa.array(z), pa.array(_erfc(np.abs(z) / math.sqrt(2)))], ["region_id", "contrast", "base_mean", "log2_fc", "lfc_se", "stat", "pvalue"])
-
-    kind = counts.schema["region_id"].dataType.simpleString()
-    return gene.mapInArrow(test, f"region_id {kind}, contrast string, base_mean double, log2_fc double, lfc_se double, stat double, pvalue double")
+                for key, c in vectors.items():
+                    try:
+                        made = [pa.array(v) for v in wald(beta, cov, c)]
+                        first, error, n = b.column(0), pa.nulls(len(k), pa.string()), len(k)
+                        made.insert(0, pa.array(base))
+                    except (ValueError, np.linalg.LinAlgError) as e:
+                        first, error, n = pa.nulls(1, b.column(0).type), pa.array([str(e)]), 1
+                        made = [pa.nulls(1, pa.float64())] * 5
+                    yield pa.RecordBatch.from_arrays([first, pa.array([key] * n, pa.string()), *made, error], columns)
+
+    out = gene.mapInArrow(run, f"region_id {ids.simpleString()}, contrast string, {TESTED}, error string")
+    if not broken:
+        return out
+    lost = spark.createDataFrame(broken, "contrast string, error string")  # a row a comparison at most
+    return out.unionByName(lost.select(*[F.col(f.name) if f.name in lost.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema]))
+
+
+def wald(beta: np.ndarray, cov: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+    """log2 fold change, its standard error, the statistic and the two-sided p-value of a contrast for all rows."""
+    lfc, var = beta @ c, np.einsum("i,rij,j->r", c, cov, c)
+    if not np.isfinite(var).all() or (var <= 0).any():
+        raise ValueError("a standard error is not finite and above 0")
+    se = np.sqrt(var)
+    z = lfc / se
+    return [lfc / math.log(2), se / math.log(2), z, _erfc(np.abs(z) / math.sqrt(2))]
+
+
+def completed(tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(results, failures) of nb_comparisons(): the rows of comparisons of which no batch failed, and (contrast, message)."""
+    failures = tested.filter(F.col("error").isNotNull()).groupBy("contrast").agg(F.min("error").alias("message"))
+    good = tested.filter(F.col("error").isNull()).join(F.broadcast(failures.select("contrast")), "contrast", "left_anti")  # a row a comparison
+    return good.drop("error"), failures
+
+
+def nb_fit(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str], blocks: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """nb_comparisons() of `~ [block +] condition` for every pair of conditions (later over earlier); contrast is `later|earlier`.
+
+    A pair that fails fails the job, as nothing here tells who reads the result; see completed() for the other way."""
+    of = model(conditions, order, blocks)
+    if lost := [c for c in order if c not in of.levels["condition"]]:
+        raise ValueError(f"conditions without samples: {lost}")
+    pairs = {f"{b}|{a}": (b, a) for i, a in enumerate(order) for b in order[i + 1 :]}
+    out = nb_comparisons(counts, factors, of, pairs)
+    stop = F.raise_error(F.concat_ws(": ", "contrast", "error")).cast("string")
+    return out.withColumn("contrast", F.when(F.col("error").isNotNull(), stop).otherwise(F.col("contrast"))).drop("error")
 
 
 def independent_filter(df: DataFrame, alpha: float, steps: int = 50) -> tuple[DataFrame, float]:
     """padj after the mean threshold that gives most rejections (the first within one residual SD of the most)."""
     grid = [i / steps * 0.95 for i in range(steps)]
-    cuts = df.agg(F.percentile("base_mean", F.array(*[F.lit(g) for g in grid])).alias("q")).first().q or [0.0]
+    cuts = next((list(r) for r in selection.quantiles(df, [], "base_mean", grid).collect()), [0.0])
     found = []
     sub = df.select("pvalue", "base_mean").filter("pvalue is not null")
     # rejections at every threshold in one pass: BH per threshold over a histogram of -log10 p
@@ -255,5 +366,25 @@ def vst(n: Column, a0: float, a1: float) -> Column:
     return F.log2((1 + a1 + 2 * a0 * n + 2 * F.sqrt(a0 * n * (1 + a1 + a0 * n))) / (4 * a0))
 
 
+def report(results: DataFrame, alpha: float = 0.05, min_lfc: float = 0.0, by: str = "contrast") -> DataFrame:
+    """The results that a report shows: padj (Benjamini-Hochberg inside each contrast) at most alpha and |log2 fold change| at
+    least min_lfc, with direction."""
+    names = [r[0] for r in results.select(by).distinct().collect()]  # a row a contrast
+    out = results.limit(0).withColumn("padj", F.lit(None).cast("double"))
+    for name in sorted(names):
+        out = out.unionByName(bh(results.filter(F.col(by) == name)))
+    numerator, reference = F.split(by, r"\|")[0], F.split(by, r"\|")[1]
+    higher = F.when(F.col("log2_fc") > 0, F.concat(F.lit("higher_in_"), numerator)).when(F.col("log2_fc") < 0, F.concat(F.lit("higher_in_"), reference)).otherwise("unchanged")
+    return out.filter(significant(alpha, min_lfc)).withColumn("direction", higher)
+
+
+def ma_table(results: DataFrame, alpha: float = 0.05, limit: float = 5.0) -> DataFrame:
+    """Rows of an MA plot: mean of normalised counts, log2 fold change cut to the plot's limits (beyond tells which were), and
+    whether padj is at most alpha.  Regions with mean 0 or without fold change have no point."""
+    lfc = F.col("log2_fc")
+    points = results.filter((F.col("base_mean") > 0) & lfc.isNotNull())
+    return points.withColumns({"log10_mean": F.log10("base_mean"), "shown_lfc": F.greatest(F.least(lfc, F.lit(limit)), F.lit(-limit)), "beyond": F.when(lfc > limit, "above").when(lfc < -limit, "below"), "significant": F.coalesce(F.col("padj") <= alpha, F.lit(False))})
+
+
 def volcano(df: DataFrame) -> DataFrame:
     return df.withColumn("neg_log10_p", -F.log10(F.greatest("pvalue", F.lit(2.2250738585072014e-308))))

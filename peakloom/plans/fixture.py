@@ -5,6 +5,12 @@ The expressions are integer arithmetic that Spark and DuckDB evaluate alike, so
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +75,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{source}.parquet").selectExpr(*columns)
 
 
+_local: str | None = None
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, or below a local folder that goes with the process, for a local master only."""
+    global _local
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if not shared and _local is None:
+        _local = tempfile.mkdtemp(prefix="peakloom-")
+        atexit.register(shutil.rmtree, _local, ignore_errors=True)
+    return os.path.join(shared or _local, f"{name}-{uuid.uuid4().hex}")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table, for results that several parts of a query read: planned and made once, and its size is known."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exons(genes: DataFrame) -> DataFrame:
     third, sixth = F.floor((F.col("end_pos") - F.col("start_pos")) / 3), F.floor((F.col("end_pos") - F.col("start_pos")) / 6)
     e = genes.withColumn("i", F.explode(F.array(*[F.lit(x).cast("long") for x in range(3)])))

@@ -50,13 +50,12 @@ def sheet(spark: SparkSession, d: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
-    return iv.region_ids(iv.consensus(called(spark, d), ["chrom"], "sample_key"))
+    return fx.kept(iv.region_ids(iv.consensus(called(spark, d), ["chrom"], "sample_key")), "regions")
 
 
 def matrix(spark: SparkSession, d: str) -> DataFrame:
     r = regions(spark, d)
-    # read several times by factors and scales, so kept; blocks that are lost are made again
-    return counting.complete(counting.overlap_counts(units(spark, d), r), r, fx.samples(spark)).persist()
+    return fx.kept(counting.complete(counting.overlap_counts(units(spark, d), r), r, fx.samples(spark)), "counts")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
@@ -161,6 +160,10 @@ def prefilter(spark, d):
 
 query("j1_region_counts", f"{BASE} SELECT region_id, sample_key, n FROM cnt")(lambda spark, d: counting.overlap_counts(units(spark, d), regions(spark, d)))
 query("j2_union_counts", f"{BASE}, m AS (SELECT sample_key, qname, chrom, start_pos, start_pos + least(50, tlen) AS end_pos FROM units UNION ALL SELECT sample_key, qname, chrom, end_pos - least(50, tlen), end_pos FROM units), h AS (SELECT DISTINCT sample_key, qname, region_id FROM m JOIN regions r ON m.chrom = r.chrom AND m.start_pos < r.end_pos AND r.start_pos < m.end_pos), o AS (SELECT sample_key, qname, min(region_id) AS region_id FROM h GROUP BY 1, 2 HAVING count(*) = 1) SELECT region_id, sample_key, count(*) AS n FROM o GROUP BY 1, 2")(lambda spark, d: counting.union_counts(reads.mates(units(spark, d)), regions(spark, d)))
+# the same joins with hot bins cut, whatever the size
+query("j1_salted_counts", SQL["j1_region_counts"])(lambda spark, d: counting.overlap_counts(units(spark, d), regions(spark, d), salt=True))
+query("j2_salted_union_counts", SQL["j2_union_counts"])(
+    lambda spark, d: counting.union_counts(reads.mates(units(spark, d)), regions(spark, d), salt=True))
 query("j3_frip", f"{fx.cte('frag', 'peaks')}, f AS (SELECT * FROM frag WHERE (flag & 4) = 0) SELECT sample_key, count(*) AS mapped, count(*) FILTER (hit) AS in_peaks, round(count(*) FILTER (hit) / count(*), 4) AS frip FROM (SELECT f.*, EXISTS (SELECT 1 FROM peaks p WHERE p.sample_key = f.sample_key AND p.chrom = f.chrom AND p.start_pos < f.end_pos AND f.start_pos < p.end_pos) AS hit FROM f) GROUP BY 1")(lambda spark, d: qc.frip(frag(spark, d).filter(F.col("flag").bitwiseAND(F.lit(4)) == 0), fx.table(spark, d, "peaks"), ["qname"]))
 query("j4_blacklist_removal", f"{fx.cte('peaks', 'blacklist')} SELECT peak_no, chrom, start_pos, end_pos FROM peaks p WHERE NOT EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = p.chrom AND b.start_pos < p.end_pos AND p.start_pos < b.end_pos)")(lambda spark, d: iv.with_any(fx.table(spark, d, "peaks"), fx.table(spark, d, "blacklist"), ["peak_no"], anti=True).select("peak_no", "chrom", S, E))
 TSS = "t AS (SELECT gene_id, gene_name, chrom, strand, CASE WHEN strand = '-' THEN end_pos - 1 ELSE start_pos END AS tss FROM genes)"
@@ -316,20 +319,41 @@ def pca(spark, d):
 
 
 def fitted(spark, d):
+    return stats.nb_fit(*model_counts(spark, d))
+
+
+query("x1_differential_model")(fitted)
+
+
+def replicate_blocks() -> dict[str, dict[str, str]]:
+    """Replicates of a number as one block: the design `~ replicate + condition`."""
+    return {"replicate": {k: k[-1] for k in fx.KEYS}}
+
+
+def model_counts(spark, d) -> tuple[DataFrame, dict[str, float], dict[str, str], list[str]]:
+    """Counts and size factors of the samples of model_conditions(), the conditions and their order."""
     used, order = model_conditions()
     r = regions(spark, d)
-    c = counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used)).persist()
-    factors = {x.sample_key: x.size_factor for x in counting.poscounts_factors(c).collect()}  # a row a sample
-    return stats.nb_fit(c, factors, used, order)
+    c = fx.kept(counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used)), "counts")
+    return c, {x.sample_key: x.size_factor for x in counting.poscounts_factors(c).collect()}, used, order  # a row a sample
 
 
-query("x1_differential_model")(fitted)
+@query("x1_blocked_model")
+def blocked(spark, d):
+    return stats.nb_fit(*model_counts(spark, d), replicate_blocks())
+
+
+@query("x11_ma_table")
+def ma_table(spark, d):
+    table = fx.kept(blocked(spark, d), "fitted")
+    parts = [stats.bh(table.filter(F.col("contrast") == name)) for name in ("prolif|stem", "Day4|stem", "Day4|prolif")]
+    return stats.ma_table(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @query("x3_differential_results")
 def differential(spark, d):
     out = None
-    table = fitted(spark, d).persist()
+    table = fx.kept(fitted(spark, d), "fitted")
     for name in ("prolif|stem", "Day4|stem", "Day4|prolif"):
         part, _ = stats.independent_filter(table.filter(F.col("contrast") == name), 0.05)
         num, ref = name.split("|")
@@ -338,15 +362,69 @@ def differential(spark, d):
     return out
 
 
-@query("x5_recount_model")
-def recount(spark, d):
-    order = ["stem", "prolif", "Day4"]
-    used = {k: c for k, c in zip(fx.KEYS, fx.CONDITIONS, strict=True) if c in order}
-    return peaks.differential_by_recount(reads.mates(units(spark, d)), called(spark, d), iv.depth_segments(units(spark, d), ["chrom"]), used, order)
+def recounted(spark, d, blocks=None):
+    used, order = model_conditions()
+    depth = iv.depth_segments(units(spark, d), ["chrom"])
+    return peaks.differential_by_recount(reads.mates(units(spark, d)), called(spark, d), depth, used, order, blocks=blocks)
+
+
+query("x5_recount_model")(recounted)
+query("x5_blocked_report")(lambda spark, d: stats.report(fx.kept(recounted(spark, d, replicate_blocks()), "recounted"), 0.05, 0.5))
 
 
 SEGMENTS = 26 * 200_000.0
 query("x12_narrow_peaks")(lambda spark, d: peaks.call(peaks.scored_segments(units(spark, d, 0), SEGMENTS)))
+CONTROL = "solo_bioR1"
+
+
+def controlled(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Units of all samples but the control, and the control's under each sample's key."""
+    u = units(spark, d, 0)
+    pairs = fx.samples(spark).filter(F.col("sample_key") != CONTROL).select("sample_key", F.lit(CONTROL).alias("control_key"))
+    return u.filter(F.col("sample_key") != CONTROL), peaks.control_units(u, pairs)
+
+
+def score_sql(depth: str, lam: str) -> str:
+    """-log10 of the Poisson tail up to 7, from the terms below the depth."""
+    below = f"list_sum(list_transform(range({depth}), lambda i: exp(i * ln({lam}) - {lam} - lgamma(i + 1))))"
+    return f"round(least(7.0, -log10(greatest(1e-7, 1 - {below}))), 4)"
+
+
+def window_sql(source: str, width: int) -> str:
+    """Mean depth of windows that a table's units touch."""
+    return (
+        f"(SELECT sample_key, chrom, bin, sum(least(end_pos, (bin + 1) * {width}) - greatest(start_pos, bin * {width})) / {width}.0::DOUBLE AS mean FROM (SELECT *, unnest(range("
+        f"CAST(floor(start_pos / {width}) AS BIGINT), CAST(floor((end_pos - 1) / {width}) AS BIGINT) + 1)) AS bin FROM {source}) GROUP BY 1, 2, 3)"
+    )
+
+
+CONTROLLED = (
+    f"{fx.cte('frag')}, u AS (SELECT sample_key, chrom, start_pos, end_pos FROM frag WHERE {KEEP}), t AS (SELECT * FROM u WHERE sample_key <> '{CONTROL}'),"
+    f" k AS (SELECT DISTINCT sample_key FROM t), c AS (SELECT k.sample_key, chrom, start_pos, end_pos FROM u, k WHERE u.sample_key = '{CONTROL}'),"
+    " ev AS (SELECT sample_key, chrom, pos, sum(a) AS a, sum(b) AS b FROM (SELECT sample_key, chrom, start_pos AS pos, 1 AS a, 0 AS b FROM t UNION ALL SELECT sample_key, chrom, end_pos, -1, 0 FROM t"
+    " UNION ALL SELECT sample_key, chrom, start_pos, 0, 1 FROM c UNION ALL SELECT sample_key, chrom, end_pos, 0, -1 FROM c) GROUP BY 1, 2, 3),"
+    " sg AS (SELECT sample_key, chrom, pos AS start_pos, lead(pos) OVER w AS end_pos, (sum(a) OVER w)::BIGINT AS depth, (sum(b) OVER w)::BIGINT AS control_depth FROM ev WINDOW w AS (PARTITION BY sample_key, chrom ORDER BY pos)),"
+    f" ra AS (SELECT sample_key, x.n / (SELECT count(*) FROM u WHERE sample_key = '{CONTROL}') AS ratio, x.bases / 5200000.0::DOUBLE AS mean FROM (SELECT sample_key, count(*) AS n, sum(end_pos - start_pos) AS bases FROM t GROUP BY 1) x),"
+    f" w1 AS {window_sql('c', 1000)}, w2 AS {window_sql('c', 10000)}, la AS (SELECT sg.*, round(greatest(ra.mean, ratio * greatest(control_depth, coalesce(w1.mean, 0), coalesce(w2.mean, 0))), 6) AS lam"
+    " FROM sg JOIN ra USING (sample_key) LEFT JOIN w1 ON w1.sample_key = sg.sample_key AND w1.chrom = sg.chrom AND w1.bin = CAST(floor((start_pos + end_pos) / 2 / 1000) AS BIGINT)"
+    " LEFT JOIN w2 ON w2.sample_key = sg.sample_key AND w2.chrom = sg.chrom AND w2.bin = CAST(floor((start_pos + end_pos) / 2 / 10000) AS BIGINT) WHERE depth > 0)"
+)
+
+
+@query("x12_control_scores", f"{CONTROLLED} SELECT sample_key, chrom, start_pos, end_pos, depth, control_depth, lam, {score_sql('depth', 'round(lam, 3)')} AS score FROM la")
+def control_scores(spark, d):
+    treated, control = controlled(spark, d)
+    scored = peaks.poisson_tail(peaks.rates(treated, SEGMENTS, control=control).withColumn("lam", F.round("lam", 6)))
+    return scored.select("sample_key", "chrom", S, E, "depth", "control_depth", "lam", F.round(F.least("score", F.lit(7.0)), 4).alias("score"))
+
+
+@query("x12_control_peaks")
+def control_peaks(spark, d):
+    treated, control = controlled(spark, d)
+    return peaks.call(peaks.scored_segments(treated, SEGMENTS, control=control))
+
+
+query("x12_single_end_peaks")(lambda spark, d: peaks.call(peaks.scored_segments(peaks.shifted(frag(spark, d).filter(reads.policy("stringent", "SE", 0) & reads.is_canonical())), SEGMENTS)))
 query("x12_broad_peaks")(lambda spark, d: peaks.call_broad(peaks.scored_segments(units(spark, d, 0), SEGMENTS)))
 query("x13_shifted_reads", f"{fx.cte('frag')} SELECT qname, chrom, greatest(0, CASE WHEN strand = '-' THEN end_pos - 75 ELSE start_pos - 75 END) AS start_pos, greatest(greatest(0, CASE WHEN strand = '-' THEN end_pos - 75 ELSE start_pos - 75 END) + 1, CASE WHEN strand = '-' THEN end_pos + 75 ELSE start_pos + 75 END) AS end_pos FROM frag")(lambda spark, d: peaks.shifted(frag(spark, d)).select("qname", "chrom", S, E))
 query("x14_zero_peak_samples", f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN (SELECT * FROM peaks WHERE {CANON} AND peak_type = 'broad') p USING (sample_key) GROUP BY 1")(

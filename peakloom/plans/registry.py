@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as q
-from . import sheet_queries  # its queries join those of q
+from . import file_queries, sheet_queries  # their queries join those of q
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,4 +21,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(q.SQL)
 
 
-__all__ = ["entry", "oracle_sql", "queries", "sheet_queries"]
+__all__ = ["entry", "file_queries", "oracle_sql", "queries", "sheet_queries"]

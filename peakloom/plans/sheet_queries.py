@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +38,7 @@ query("v4_sheet_violations", f"{SHEET}, {CLEAN} " + " UNION ALL ".join(f"SELECT
 query("v3_repeated_keys", f"{SHEET}, {CLEAN} SELECT row, first_row FROM (SELECT row, min(row) OVER (PARTITION BY sid, rep, tech) AS first_row FROM c) WHERE row > first_row")(lambda spark, d: design.repeated_keys(sheet(spark, d)))
 query("v2_duplicate_runs", f"{SHEET} SELECT {', '.join(c for c in design.CORE if c not in ('output_prefix', 'sample_id'))}, count(*) AS n FROM sheet GROUP BY ALL HAVING count(*) > 1")(lambda spark, d: design.duplicate_rows(sheet(spark, d), [c for c in design.CORE if c not in ("output_prefix", "sample_id")]))
 query("v7_mixed_cohorts", f"{SHEET}, {CLEAN} SELECT factor, 'layout' AS \"column\", array_to_string(list_sort(list(DISTINCT layout)), ',') AS found FROM c GROUP BY 1 HAVING count(DISTINCT layout) > 1 UNION ALL SELECT factor, 'genome', array_to_string(list_sort(list(DISTINCT genome)), ',') FROM c GROUP BY 1 HAVING count(DISTINCT genome) > 1")(lambda spark, d: design.mixed_cohorts(sheet(spark, d), ["factor"]))
-query("v10_missing_peak_types", f"{SHEET}, {CLEAN} SELECT sample_id, replicate FROM c WHERE NOT control GROUP BY 1, 2 HAVING NOT (bool_or(mode IN ('narrow', 'both')) AND bool_or(mode IN ('broad', 'both')))")(lambda spark, d: design.both_peak_types(sheet(spark, d)))
+query("v10_missing_peak_types", f"{SHEET}, {CLEAN} SELECT sid AS sample_id, rep AS replicate FROM (SELECT *, row_number() OVER (PARTITION BY sid, rep ORDER BY row) AS k FROM c WHERE NOT control) WHERE k = 1 AND trim(mode) <> 'both'")(lambda spark, d: design.both_peak_types(sheet(spark, d)))
 query("v11_too_few_samples", f"{SHEET}, {CLEAN} SELECT factor, condition, count(DISTINCT sid || '_bioR' || rep) FILTER (NOT control) AS samples, 30::BIGINT AS required FROM c GROUP BY 1, 2 HAVING samples < 30")(lambda spark, d: design.too_few_samples(sheet(spark, d), 30, ["factor", "condition"]))
 query("v5_sheet_groups", f"{SHEET} " + " UNION ALL ".join(f"SELECT sample_id, replicate, '{c}' AS \"column\" FROM sheet GROUP BY 1, 2 HAVING count(DISTINCT {c}) > 1" for c in ("layout", "genome", "assay", "factor")))(lambda spark, d: design.inconsistent_groups(sheet(spark, d), ["sample_id", "replicate"], ["layout", "genome", "assay", "factor"]))
 query("v6_unknown_controls", f"{SHEET}, {CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c)")(lambda spark, d: design.orphans(sheet(spark, d), "control_id", sheet(spark, d).select(F.trim("sample_id").alias("known")), "known").select("row", "control_id"))
@@ -85,12 +81,18 @@ query("f11_dropped_samples", f"{POOLED}, {INPUTS} SELECT f.sid || '_bioR' || f.r
 query("a10_condition_order", f"{fx.cte('samples')}, {q.fx.cte('peaks').removeprefix('WITH ')}, e AS (SELECT condition, count(DISTINCT p.sample_key) AS replicates, min(sheet_order) AS o FROM peaks p JOIN samples USING (sample_key) GROUP BY 1) SELECT condition, replicates, row_number() OVER (ORDER BY condition <> 'Day4', CASE condition WHEN 'solo' THEN 0 WHEN 'prolif' THEN 1 ELSE 9 END, o) AS ord FROM e")(
     lambda spark, d: design.condition_order(design.eligibility(q.sheet(spark, d)), ("solo", "prolif"), "Day4").select("condition", "replicates", F.col("ord").cast("long").alias("ord")))
 PLAN = [("001_prolif_vs_stem", "prolif", "stem"), ("002_Day4_vs_stem", "Day4", "stem"), ("003_Day4_vs_prolif", "Day4", "prolif")]
-RESULTS = f"res AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN '{PLAN[0][0]}' WHEN 1 THEN '{PLAN[1][0]}' END AS comparison_id, ((o_orderkey * 7919) % 10007 + 1) / 10008.0::DOUBLE AS padj, (o_custkey % 9 - 4) / 2.0::DOUBLE AS log2_fc FROM orders WHERE o_orderkey % 3 < 2)"
+#: Comparisons that orders are read as results of: two planned ones and one that is not planned.
+RESULT_IDS = [PLAN[0][0], PLAN[1][0], "009_extra"]
+RESULTS = (
+    f"res AS (SELECT {RESULT_IDS}[(o_orderkey % 3 + 1)::INT] AS comparison_id, ((o_orderkey * 7919) % 10007 + 1) / 10008.0::DOUBLE AS padj,"
+    " (o_custkey % 9 - 4) / 2.0::DOUBLE AS log2_fc FROM orders)"
+)
 
 
 def results(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet").filter("o_orderkey % 3 < 2")
-    return o.select(F.when(F.col("o_orderkey") % 3 == 0, PLAN[0][0]).otherwise(PLAN[1][0]).alias("comparison_id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("padj"), ((F.col("o_custkey") % 9 - 4) / F.lit(2.0)).alias("log2_fc"))
+    key = F.element_at(F.array(*[F.lit(x) for x in RESULT_IDS]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    return o.select(key.alias("comparison_id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("padj"), ((F.col("o_custkey") % 9 - 4) / F.lit(2.0)).alias("log2_fc"))
 
 
 SIG = "padj <= 0.05 AND abs(log2_fc) >= 1"
@@ -107,7 +109,32 @@ def comparison_status(spark, d):
     return out.withColumns({c: F.col(c).cast("double") for c in ("tested_sites", "significant_sites", "higher_in_numerator", "higher_in_reference")})
 
 
-query("x5b_contrast_manifest", f"WITH {RESULTS} SELECT comparison_id, 'planned only' AS side FROM (VALUES ('{PLAN[2][0]}')) t(comparison_id) WHERE comparison_id NOT IN (SELECT comparison_id FROM res)")(lambda spark, d: peaks.mismatched_plan(design.comparison_plan(design.condition_order(design.eligibility(q.sheet(spark, d)))), results(spark, d)))
+@query("x5b_contrast_manifest", f"WITH {RESULTS}, pl(comparison_id) AS (VALUES {', '.join(f'({p[0]!r})' for p in PLAN)}) SELECT comparison_id, 'planned only' AS side FROM pl WHERE comparison_id NOT IN (SELECT comparison_id FROM res) UNION ALL SELECT DISTINCT comparison_id, 'result only' FROM res WHERE comparison_id NOT IN (SELECT comparison_id FROM pl)")
+def contrast_manifest(spark, d):
+    plan = design.comparison_plan(design.condition_order(design.eligibility(q.sheet(spark, d))))
+    return peaks.mismatched_plan(plan, results(spark, d))
+
+
+ISOLATED = (
+    f"{fx.cte('samples')}, {fx.cte('peaks').removeprefix('WITH ')}, e AS (SELECT condition, count(DISTINCT p.sample_key) AS n, min(sheet_order) AS o FROM peaks p JOIN samples USING (sample_key) GROUP BY 1),"
+    " w AS (SELECT *, row_number() OVER (ORDER BY o) AS i FROM e), pl AS (SELECT lpad((row_number() OVER (ORDER BY a.i, b.i))::VARCHAR, 3, '0') || '_' || b.condition || '_vs_' || a.condition AS comparison_id,"
+    " b.condition AS numerator, a.condition AS reference, b.n AS numerator_replicates, a.n AS reference_replicates FROM w a JOIN w b ON a.i < b.i)"
+)
+
+
+@query("x4_isolated_comparisons", f"{ISOLATED} SELECT *, CASE WHEN least(numerator_replicates, reference_replicates) < 2 THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN numerator_replicates < 2 THEN 'condition ' || numerator || ' is not in the model' WHEN reference_replicates < 2 THEN 'condition ' || reference || ' is not in the model' ELSE '' END AS message FROM pl")
+def isolated_comparisons(spark, d):
+    """All pairs are planned, with the condition of one sample too, which the model leaves out: its comparisons fail, those of the
+    others are fitted."""
+    conditions = design.eligibility(q.sheet(spark, d))
+    plan = design.comparison_plan(design.condition_order(conditions.withColumn("eligible", F.lit(True))))
+    counts, factors, used, order = q.model_counts(spark, d)
+    pairs = {r.comparison_id: (r.numerator, r.reference) for r in plan.collect()}  # a row a pair of conditions
+    fitted, failures = stats.completed(stats.nb_comparisons(counts, factors, stats.model(used, order), pairs))
+    table = stats.bh(fitted).select(F.col("contrast").alias("comparison_id"), "log2_fc", "padj")
+    out = design.comparison_status(plan, conditions, table, failures.withColumnRenamed("contrast", "comparison_id"), "model", "narrow", 0, 0.05, 1.0)
+    return out.select("comparison_id", "numerator", "reference", "numerator_replicates", "reference_replicates", "status", "message")
+
 
 # --- regions
 
@@ -187,16 +214,8 @@ query("q14_trimmed_reads", f"{fx.cte('reads')}, a AS (SELECT *, CASE WHEN right(
 # --- text files: written from the tables, read by the library's readers
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or a local one for a local master only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return os.path.join(shared or tempfile.mkdtemp(prefix="peakloom-"), f"{name}-{uuid.uuid4().hex}")
-
-
 def written(spark: SparkSession, lines: DataFrame, name: str, partition: str | None = None) -> str:
-    path = folder(spark, name)
+    path = fx.folder(spark, name)
     (lines.write if partition is None else lines.write.partitionBy(partition)).text(path)
     return path
 
@@ -207,7 +226,7 @@ def tabbed(*columns: str) -> F.Column:
 
 @query("s1_samplesheet", f"{SHEET} SELECT count(*) AS rows, count(DISTINCT sample_id) AS samples, count(*) FILTER (layout = 'PE') AS paired, count(*) FILTER (fastq_2 <> '') AS with_mate FROM sheet")
 def read_sheet(spark, d):
-    path = folder(spark, "sheet")
+    path = fx.folder(spark, "sheet")
     sheet(spark, d).drop("row").coalesce(1).write.option("header", True).option("quoteAll", True).csv(path)
     s = readers.samplesheet(spark, path)
     return s.agg(F.count_distinct("row").alias("rows"), F.count_distinct("sample_id").alias("samples"), F.count_if(F.col("layout") == "PE").alias("paired"), F.count_if(F.col("fastq_2") != "").alias("with_mate"))
@@ -233,16 +252,29 @@ def read_peaks(spark, d):
 query("s5_bedgraph", f"{fx.cte('frag')}, {q.UNITS}, {q.COVER} SELECT chrom, start_pos, end_pos, depth::DOUBLE AS score FROM cov")(lambda spark, d: readers.bedgraph(spark, written(spark, counting.coverage(q.units(spark, d)).select(tabbed("chrom", S, E, "depth")), "bedgraph")))
 
 
-@query("s6_gtf_tss", f"{fx.cte('genes')} SELECT chrom, CASE WHEN strand = '-' THEN end_pos - 1 ELSE start_pos END AS tss, strand, min(gene_name) AS name FROM genes GROUP BY 1, 2, 3")
+@query("s6_gtf_tss", f"{fx.cte('genes')} SELECT chrom, CASE WHEN strand = '-' THEN end_pos - 1 ELSE start_pos END AS tss, strand, arg_min(gene_name, gene_id) AS name FROM genes GROUP BY 1, 2, 3")
 def read_gtf(spark, d):
-    g = fx.table(spark, d, "genes").withColumns({"first": F.col(S) + 1, "x": F.lit("x"), "kind": F.lit("gene"), "dot": F.lit("."), "a": F.format_string('gene_id "%s"; gene_name "%s";', F.col("gene_id"), F.col("gene_name"))})
-    return readers.tss_bed(readers.gtf(spark, written(spark, g.select(tabbed("chrom", "x", "kind", "first", E, "dot", "strand", "dot", "a")), "gtf")))
+    """Each gene stands twice in the file, the second time under a smaller name: the name first seen counts."""
+    g = fx.table(spark, d, "genes").withColumns({"first": F.col(S) + 1, "x": F.lit("x"), "kind": F.lit("gene"), "dot": F.lit(".")})
+    g = g.withColumn("name", F.explode(F.array("gene_name", F.concat(F.lit("A"), "gene_name")))).withColumn("a", F.format_string('gene_id "%s"; gene_name "%s";', F.col("gene_id"), F.col("name")))
+    lines = g.orderBy("gene_id", F.col("name").desc()).select(tabbed("chrom", "x", "kind", "first", E, "dot", "strand", "dot", "a"))
+    return readers.tss_bed(readers.gtf(spark, written(spark, lines, "gtf")))
 
 
 @query("s7_ccre", f"{fx.cte('ccre')} SELECT chrom, start_pos, end_pos, ccre_id, CASE WHEN ccre_class = 'PLS' THEN 'PLS;CTCF-bound' ELSE ccre_class END AS ccre_class FROM ccre WHERE {q.CANON}")
 def read_ccre(spark, d):
-    c = fx.table(spark, d, "ccre").withColumns({"other": F.lit("x"), "label": F.when(F.col("ccre_class") == "PLS", "PLS,CTCF-bound").otherwise(F.col("ccre_class"))})
-    return readers.ccre(spark, written(spark, c.select(tabbed("chrom", S, E, "ccre_id", "other", "label")), "ccre"), reads.is_canonical())
+    return readers.ccre(spark, written(spark, ccre_lines(spark, d).select(tabbed("chrom", S, E, "ccre_id", "other", "label")), "ccre"), reads.is_canonical())
+
+
+def ccre_lines(spark, d):
+    return fx.table(spark, d, "ccre").withColumns({"other": F.lit("x"), "label": F.when(F.col("ccre_class") == "PLS", "PLS,CTCF-bound").otherwise(F.col("ccre_class"))})
+
+
+@query("s7_numbered_ccre", f"{fx.cte('ccre')} SELECT chrom, start_pos, end_pos, 'ccre_' || row_number() OVER (ORDER BY CAST(substr(ccre_id, 3) AS BIGINT)) AS ccre_id FROM ccre WHERE {q.CANON}")
+def read_numbered_ccre(spark, d):
+    """Elements without ids get their number among the kept rows of the file."""
+    lines = ccre_lines(spark, d).orderBy(F.substring("ccre_id", 3, 20).cast("long")).withColumn("ccre_id", F.lit(""))
+    return readers.ccre(spark, written(spark, lines.select(tabbed("chrom", S, E, "ccre_id", "other", "label")), "ccre"), reads.is_canonical()).drop("ccre_class")
 
 
 query("s8_chrom_sizes", f"{fx.cte('frag')} SELECT chrom, max(end_pos) AS size FROM frag GROUP BY 1")(lambda spark, d: readers.chrom_sizes(spark, written(spark, q.frag(spark, d).groupBy("chrom").agg(F.max(E).alias("size")).select(tabbed("chrom", "size")), "sizes")))
@@ -250,16 +282,23 @@ query("s8_chrom_sizes", f"{fx.cte('frag')} SELECT chrom, max(end_pos) AS size FR
 
 @query("s9_count_matrix", f"{q.BASE} SELECT chrom, start_pos, end_pos, sample_key, n FROM counts JOIN regions USING (region_id)")
 def read_matrix(spark, d):
-    path = folder(spark, "matrix")
+    path = fx.folder(spark, "matrix")
     writers.tsv(writers.wide_matrix(q.matrix(spark, d), q.regions(spark, d), fx.KEYS).drop("region_id"), path)
     return readers.count_matrix(spark, path, fx.KEYS)
 
 
 @query("s10_keyed_table", f"{q.BASE}, {q.FACTORS} SELECT sample_key AS key, round(size_factor, 6) AS value FROM sf")
 def read_factors(spark, d):
-    path = folder(spark, "factors")
+    path = fx.folder(spark, "factors")
     writers.tsv(counting.poscounts_factors(q.matrix(spark, d)).select(F.col("sample_key").alias("key"), F.round("size_factor", 6).alias("size_factor")), path)
     return readers.keyed_value(spark, path, "size_factor")
 
 
-query("s13_fastq", f"{fx.cte('reads')} SELECT read_id, 1::INT AS mate, seq, qual FROM reads")(lambda spark, d: readers.fastq(spark, written(spark, fq(spark, d).select(F.concat_ws("\n", F.concat(F.lit("@"), "read_id", F.lit(" x")), "seq", F.lit("+"), "qual").alias("value")), "fastq")))
+def fastq_folder(spark, d) -> str:
+    lines = F.concat_ws("\n", F.concat(F.lit("@"), "read_id", F.lit(" x")), "seq", F.lit("+"), "qual").alias("value")
+    return written(spark, fq(spark, d).select(lines), "fastq")
+
+
+READS = f"{fx.cte('reads')} SELECT read_id, 1::INT AS mate, seq, qual FROM reads"
+query("s13_fastq", READS)(lambda spark, d: readers.fastq(spark, fastq_folder(spark, d)))
+query("s13_fastq_ranges", READS)(lambda spark, d: readers.fastq(spark, fastq_folder(spark, d), split_bytes=64 << 10))

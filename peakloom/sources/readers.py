@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .fastq_source import FastqSource
+
 #: Regulatory class names in the order they are tried.  Fixed values.
 CLASSES = ["PLS", "pELS", "dELS", "DNase-H3K4me3", "CA-CTCF", "CA-H3K4me3", "CA-TF", "CTCF-only", "CTCF-bound", "CA", "TF"]
 #: Parts of metric names that are kept from nested metrics.  Fixed values.
@@ -17,6 +17,24 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with _place, which orders them by file path, then as they stand in the file, however files are split: the block that
+    a split begins at, then the line's number in the task, which rises inside a block."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), place.alias("_place"))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Adds _no, from 1 in the order of _place: the row's number in its block and the rows of the blocks before.  Only the table
+    of a row a block is sorted in one task."""
+    by = {"_file": F.col("_place.file"), "_block": F.col("_place.block")}
+    df = df.withColumns(by)
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    before = counts.select(*by, (F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_place.line"))
+    return df.withColumn("_inside", inside).join(before, ["_file", "_block"]).withColumn("_no", F.col("_before") + F.col("_inside")).drop("_file", "_block", "_before", "_inside")
+
+
 def _fields(df: DataFrame, sep: str = "\t") -> DataFrame:
     return df.withColumn("f", F.split("value", sep))
 
@@ -67,31 +85,33 @@ def peaks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bedgraph(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, start_pos, end_pos and score, after the columns that folders name (family=.../sample_key=...)."""
     f = _fields(_lines(spark, path).filter(~F.col("value").rlike("^(#|track)")), r"\s+").filter(F.size("f") >= 4)
     c = lambda i: F.col("f")[i]
-    return f.select(c(0).alias("chrom"), c(1).cast("long").alias("start_pos"), c(2).cast("long").alias("end_pos"), c(3).cast("double").alias("score"))
+    folders = [x for x in f.columns if x not in ("value", "f")]
+    return f.select(*folders, c(0).alias("chrom"), c(1).cast("long").alias("start_pos"), c(2).cast("long").alias("end_pos"), c(3).cast("double").alias("score"))
 
 
 def gtf(spark: SparkSession, path: str) -> DataFrame:
-    """Nine columns with an attribute map (first value of a repeated key); positions half-open and 0-based."""
-    f = _fields(_lines(spark, path).filter(~F.col("value").startswith("#"))).filter(F.size("f") == 9)
+    """Nine columns with an attribute map (first value of a repeated key); positions half-open and 0-based; _place orders rows as
+    they stand in the files."""
+    f = _fields(_placed_lines(spark, path).filter(~F.col("value").startswith("#"))).filter(F.size("f") == 9)
     c = lambda i: F.col("f")[i]
     pairs = F.transform(F.split(c(8), ";"), lambda a: F.struct(F.regexp_extract(F.trim(a), r"^(\S+)", 1).alias("k"), F.regexp_replace(F.regexp_replace(F.trim(a), r"^\S+\s*", ""), '^"|"$', "").alias("v")))
     pairs = F.filter(pairs, lambda p: p["k"] != "")
     first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == i + 1)
-    return f.select(c(0).alias("chrom"), c(1).alias("source"), c(2).alias("feature"), (c(3).cast("long") - 1).alias("start_pos"), c(4).cast("long").alias("end_pos"), c(6).alias("strand"), F.map_from_entries(first).alias("attributes"))
+    return f.select(c(0).alias("chrom"), c(1).alias("source"), c(2).alias("feature"), (c(3).cast("long") - 1).alias("start_pos"), c(4).cast("long").alias("end_pos"), c(6).alias("strand"), F.map_from_entries(first).alias("attributes"), "_place")
 
 
 def tss_bed(features: DataFrame) -> DataFrame:
-    """Unique TSSs of transcript rows, or of gene rows if there are none; the name of the first by file order is not kept across
-    splits, so ties take the smallest name."""
+    """Unique TSSs of transcript rows, or of gene rows if there are none, each with the name of its first row by _place."""
     wanted = "transcript" if not features.filter("feature = 'transcript'").isEmpty() else "gene"
     x = features.filter((F.col("feature") == wanted) & F.col("strand").isin("+", "-"))
     at = F.when(F.col("strand") == "+", F.col("start_pos")).otherwise(F.col("end_pos") - 1)
     a = lambda k: F.nullif(F.col("attributes")[k], F.lit(""))
     x = x.withColumn("tss", at)
     name = F.coalesce(a("gene_name"), a("transcript_id"), a("gene_id"), F.concat_ws("_", F.lit("TSS"), "chrom", (F.col("tss") + 1).cast("string"), "strand"))
-    return x.groupBy("chrom", "tss", "strand").agg(F.min(F.regexp_replace(name, r"\s+", "_")).alias("name"))
+    return x.groupBy("chrom", "tss", "strand").agg(F.min_by(F.regexp_replace(name, r"\s+", "_"), "_place").alias("name"))
 
 
 def class_tokens(raw: Column) -> Column:
@@ -111,7 +131,7 @@ def ccre(spark: SparkSession, path: str, canonical: Column | None = None) -> Dat
     """Lenient: rows with bad coordinates (or, given a test, off the canonical contigs) go; a missing id becomes ccre_<n>, n the
     number of the kept row by file order; the class column is the one, from the fourth on, in which most rows hold a class name
     (the first of several)."""
-    f = _fields(_lines(spark, path))
+    f = _fields(_placed_lines(spark, path))
     s, e = F.get("f", F.lit(1)).try_cast("long"), F.get("f", F.lit(2)).try_cast("long")
     f = f.withColumns({"chrom": F.col("f")[0], "start_pos": s, "end_pos": e}).filter("start_pos >= 0 and end_pos > start_pos")
     if canonical is not None:
@@ -119,12 +139,7 @@ def ccre(spark: SparkSession, path: str, canonical: Column | None = None) -> Dat
     hits = f.select(F.posexplode("f").alias("at", "cell")).filter((F.col("at") >= 3) & (F.size(class_tokens(F.col("cell"))) > 0))
     best = hits.groupBy("at").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "at").first()  # a row a column of the file
     raw = F.lit(None).cast("string") if best is None else F.get("f", F.lit(best["at"]))
-    # the place of a kept row is its place in its partition and the kept rows of the partitions before
-    f = f.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    counts = f.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")  # a row a split of the file
-    n = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_before")
-    f = f.join(F.broadcast(before), "_part").withColumn("_no", n)
+    f = _numbered(f)
     name = F.coalesce(F.nullif(F.trim(F.get("f", F.lit(3))), F.lit("")), F.concat(F.lit("ccre_"), F.col("_no").cast("string")))
     return f.select("chrom", "start_pos", "end_pos", name.alias("ccre_id"), normal_class(raw).alias("ccre_class"))
 
@@ -165,61 +180,58 @@ def duplication_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metrics_json(spark: SparkSession, path: str) -> DataFrame:
-    """Scalars of nested JSON as (file, path, value); lists are descended into their objects only; some names are kept."""
-
-    def flatten(x: object, at: str = "") -> Iterator[tuple[str, str]]:
-        if isinstance(x, dict):
-            for k, v in x.items():
-                yield from flatten(v, f"{at}.{k}" if at else k)
-        elif isinstance(x, list):
-            for i, v in enumerate(x):
-                if isinstance(v, dict):
-                    yield from flatten(v, f"{at}[{i}]")
-        elif x is not None:
-            yield at, str(x)
-
-    def run(frames: Iterator) -> Iterator:
-        import json
+    """Scalars of nested JSON files as (file, path, value); some names are kept.
 
-        import pandas as pd
-
-        for f in frames:
-            rows = [(p, k, v) for p, t in zip(f["file"], f["value"], strict=True) for k, v in flatten(json.loads(t))]
-            yield pd.DataFrame(rows, columns=["file", "path", "value"])
-
-    out = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value").mapInPandas(run, "file string, path string, value string")
-    return out.filter(F.regexp_replace(F.lower("path"), "[^a-z0-9]+", "_").rlike("|".join(METRIC_TOKENS)))
-
-
-def fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
-    """(read_id, mate, seq, qual) from records of four lines.
-
-    Parallelism is by file: a gzip file is one split.  A plain file that Spark would split inside a record is an error, not a loss;
-    compress it or raise spark.sql.files.maxPartitionBytes.
+    Objects are opened level by level as VARIANT: `a.b` for a member, `a[i]` for an object in a list; a list's scalars and lists
+    are left out.  As many rounds as the deepest file has levels.
     """
-
-    def run(frames: Iterator) -> Iterator:
-        import pandas as pd
-
-        held: list[str] = []
-        for f in frames:
-            held += f["value"].tolist()
-            n = len(held) // 4 * 4
-            head, seq, plus, qual = held[:n:4], held[1:n:4], held[2:n:4], held[3:n:4]
-            held = held[n:]
-            if any(not h.startswith("@") or not p.startswith("+") or len(s) != len(q) for h, s, p, q in zip(head, seq, plus, qual, strict=True)):
-                raise ValueError("not a whole FASTQ record at a split's start: compress the file or use larger splits")
-            yield pd.DataFrame({"read_id": [h[1:].split()[0] if h[1:].split() else "" for h in head], "seq": seq, "qual": qual})
-        if held:
-            raise ValueError("a FASTQ record is cut off at a split's end: compress the file or use larger splits")
-
-    rows = _lines(spark, path).mapInPandas(run, "read_id string, seq string, qual string")
+    level = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit("").alias("path"), F.parse_json("value").alias("v"))
+    found = None
+    while True:
+        opened = "SELECT file, path, t.pos, t.key, t.value AS v, schema_of_variant(t.value) AS kind, schema_of_variant(level.v) LIKE 'ARRAY%' AS listed"
+        below = spark.sql(f"{opened} FROM {{level}} AS level, LATERAL variant_explode(level.v) AS t", level=level)
+        name = F.when(F.col("listed"), F.format_string("%s[%d]", "path", "pos")).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))
+        inner = F.col("kind").startswith("OBJECT") | (F.col("kind").startswith("ARRAY") & ~F.col("listed"))
+        below = below.select("file", name.alias("path"), "v", inner.alias("inner"), "kind", "listed")
+        scalars = below.filter(~F.col("inner") & ~F.col("listed") & ~F.col("kind").startswith("ARRAY") & (F.col("kind") != "VOID")).select("file", "path", F.col("v").cast("string").alias("value"))
+        found = scalars if found is None else found.unionByName(scalars)
+        level = below.filter("inner").select("file", "path", "v")
+        if level.isEmpty():
+            break
+    return found.filter(F.regexp_replace(F.lower("path"), "[^a-z0-9]+", "_").rlike("|".join(METRIC_TOKENS)))
+
+
+def fastq(spark: SparkSession, path: str, mate: int = 1, split_bytes: int | None = None) -> DataFrame:
+    """(read_id, mate, seq, qual) from records of four lines, by ranges of split_bytes (spark.sql.files.maxPartitionBytes)."""
+    spark.dataSource.register(FastqSource)
+    split = split_bytes or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    rows = spark.read.format("fastq").option("splitBytes", split).load(path)
     return rows.select("read_id", F.lit(mate).alias("mate"), "seq", "qual")
 
 
 def discover(spark: SparkSession, folders: list[str], pattern: str = "differential_accessibility_comparisons.tsv", required: tuple[str, ...] = ()) -> DataFrame:
-    """All tables of that name under the folders, with source_table; blanks are NA.  A required column that is missing is an error."""
-    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("sep", "\t").option("header", True).csv(folders)
-    if missing := [c for c in required if c not in df.columns]:
-        raise ValueError(f"columns not in the tables: {missing}")
-    return df.select(*[F.coalesce(F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")), F.lit("NA")).alias(c) for c in df.columns], F.col("_metadata.file_path").alias("source_table"))
+    """All tables of that name under the folders, with source_table; blanks are NA.
+
+    Each table is read by its own header, so columns may stand in any order, and the result has the columns of all of them (NA
+    where a table lacks one).  A required column that a table lacks is an error that names the table.  Cells are matched to names
+    row by row beside the file's header line, one plan for any number of tables; headers are short and few.
+    """
+    at = F.col("_metadata.file_path")
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folders)
+    lines = text.select(F.regexp_replace("value", "\r$", "").alias("value"), at.alias("source_table"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    # the header is the first line of the file's first block: ids rise with a partition's lines
+    first = lines.filter("_block = 0").groupBy("source_table").agg(F.min_by("value", "_line").alias("_header"), F.min("_line").alias("_head"))
+    headers = {r["source_table"]: r["_header"].split("\t") for r in first.collect()}  # a row a table
+    for table, names in headers.items():
+        names = [n.strip() for n in names]
+        if missing := [c for c in required if c not in names]:
+            raise ValueError(f"columns not in {table}: {missing}")
+        if len(set(names)) < len(names):
+            raise ValueError(f"a column of {table} is named twice")
+    columns = list(dict.fromkeys(n.strip() for names in headers.values() for n in names))
+    rows = lines.join(F.broadcast(first), "source_table").filter((F.col("_line") != F.col("_head")) & (F.trim("value") != ""))
+    names = F.transform(F.split("_header", "\t"), F.trim)
+    cells = F.split("value", "\t")
+    cell = F.map_from_arrays(names, F.transform(names, lambda _, i: F.get(cells, i)))
+    blank = lambda c: F.coalesce(F.nullif(F.trim(F.col("_cells")[c]), F.lit("")), F.lit("NA"))
+    return rows.withColumn("_cells", cell).select(*[blank(c).alias(c) for c in columns], "source_table")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,8 +23,24 @@ def wide_matrix(counts: DataFrame, regions: DataFrame, keys: list[str], value: s
     return regions.select("region_id", "chrom", "start_pos", "end_pos").join(counts.groupBy("region_id").pivot("sample_key", keys).agg(F.first(value)), "region_id")
 
 
-def bedgraph(tracks: DataFrame, path: str) -> None:
-    tracks.repartition("family", "sample_key", "chrom").sortWithinPartitions("family", "sample_key", "chrom", "start_pos").write.partitionBy("family", "sample_key").option("sep", "\t").csv(path, mode="overwrite")
+def bedgraph(tracks: DataFrame, path: str, parts: int | None = None) -> DataFrame:
+    """Sorted tracks in folders family=.../sample_key=..., and the manifest of their files.
+
+    Rows are range-partitioned by family, sample, chromosome and start, so a long track is several files and no task holds a
+    chromosome; files of a folder hold consecutive ranges in the order of their names, and joined in that order they are one
+    sorted bedGraph.  The manifest has for each file its rows and its first and last place.
+    """
+    spark = tracks.sparkSession
+    order = ["family", "sample_key", "chrom", "start_pos"]
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = tracks.select(*order, "end_pos", "score").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows.write.partitionBy("family", "sample_key").option("sep", "\t").csv(path, mode="overwrite")
+    back = spark.read.option("sep", "\t").schema("chrom string, start_pos long, end_pos long, score double, family string, sample_key string").csv(path)
+    place, end = F.struct("chrom", "start_pos"), F.struct("chrom", "end_pos")
+    by = back.groupBy("family", "sample_key", F.col("_metadata.file_name").alias("file"))
+    found = by.agg(F.count("*").alias("rows"), F.min(place).alias("f"), F.max(end).alias("l"))
+    part = F.row_number().over(Window.partitionBy("family", "sample_key").orderBy("file"))  # a row a file
+    return found.select("family", "sample_key", part.alias("part"), "file", "rows", F.col("f.chrom").alias("first_chrom"), F.col("f.start_pos").alias("first_start"), F.col("l.chrom").alias("last_chrom"), F.col("l.end_pos").alias("last_end"))
 
 
 def bed(df: DataFrame, path: str, name: str | None = None) -> None:
@@ -56,8 +72,14 @@ def differential_html(summary: DataFrame, columns: list[str]) -> str:
     return f"<html><body><p>{t.analysis_rows} rows, {t.completed} completed, {t.significant_calls} significant calls</p><table><tr>{head}</tr>{rows}</table></body></html>"
 
 
+def row_checksum(*columns: str) -> Column:
+    """Order-free checksum of a table's rows: their number and the sum of the first 60 bits of their MD5."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in columns])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(bits), F.lit(0)).cast("string")), 256)
+
+
 def provenance(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     """(field, value) rows of parameters with a checksum of the input's rows."""
-    spark = df.sparkSession
-    total = df.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).cast("string")), 256).alias("value")).select(F.lit("input_checksum").alias("field"), "value")
-    return spark.createDataFrame(sorted(fields.items()), "field string, value string").unionByName(total)
+    total = df.agg(row_checksum(*df.columns).alias("value")).select(F.lit("input_checksum").alias("field"), "value")
+    return df.sparkSession.createDataFrame(sorted(fields.items()), "field string, value string").unionByName(total)
