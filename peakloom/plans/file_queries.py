@@ -158,7 +158,11 @@ def whole_dashboard(spark, d):
     return qc.dashboard([periodicity, q.QUERIES["q1_qc_summary"](spark, d), qc.tss_enrichment(q.tss_profile(spark, d)), q.QUERIES["q6_short_mono_ratio"](spark, d)])
 
 
-@query("f15_transliterated_words", r"SELECT DISTINCT w AS word, CASE WHEN t = '' THEN 'condition' ELSE substr(t, 1, 60) END AS token FROM (SELECT w, regexp_replace(regexp_replace(strip_accents(replace(replace(replace(w, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')), '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS t FROM (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents))")
+@query("f15_transliterated_words",
+    r"SELECT DISTINCT w AS word, CASE WHEN t = '' THEN 'condition' ELSE substr(t, 1, 60) END AS token FROM (SELECT w, "
+    r"regexp_replace(regexp_replace(strip_accents(replace(replace(replace(w, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae')), '[^A-Za-z0-9._-]+', '_', 'g'), "
+    r"'^_+|_+$', '', 'g') AS t FROM (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents))"
+)
 def transliterated_words(spark, d):
     words = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word")).distinct()
     return words.withColumn("token", reads.safe_token(F.col("word")))
@@ -174,7 +178,10 @@ def sorted_tracks(spark, d):
     return readers.bedgraph(spark, path)
 
 
-@query("k4_track_manifest", f"SELECT family, sample_key, count(*) AS rows, min(chrom) AS first_chrom, max(chrom) AS last_chrom, true AS in_order FROM ({q.SQL['n2_cpm_track']}) GROUP BY 1, 2")
+@query("k4_track_manifest",
+    "SELECT family, sample_key, count(*) AS rows, min(chrom) AS first_chrom, max(chrom) AS last_chrom, true AS in_order FROM "
+    f"({q.SQL['n2_cpm_track']}) GROUP BY 1, 2"
+)
 def track_manifest(spark, d):
     """The manifest by track: files in the order of their parts hold consecutive places."""
     m = writers.bedgraph(q.QUERIES["n2_cpm_track"](spark, d), fx.folder(spark, "bedgraph"), 12)
@@ -199,7 +206,10 @@ def bed_round_trip(spark, d):
     return readers.bed(spark, path)
 
 
-@query("k7_differential_totals", f"WITH {sq.RESULTS}, s AS (SELECT {sq.SUMS} FROM res GROUP BY 1) SELECT count(*) AS analysis_rows, count(*) FILTER (comparison_id <> '{sq.RESULT_IDS[2]}') AS completed, sum(significant_sites) FILTER (comparison_id <> '{sq.RESULT_IDS[2]}')::BIGINT AS significant_calls FROM s")
+@query("k7_differential_totals",
+    f"WITH {sq.RESULTS}, s AS (SELECT {sq.SUMS} FROM res GROUP BY 1) SELECT count(*) AS analysis_rows, count(*) FILTER (comparison_id <> "
+    f"'{sq.RESULT_IDS[2]}') AS completed, sum(significant_sites) FILTER (comparison_id <> '{sq.RESULT_IDS[2]}')::BIGINT AS significant_calls FROM s"
+)
 def differential_totals(spark, d):
     """Totals of the summary of all comparisons, of which the unplanned one counts as failed."""
     s = q.QUERIES["a11_comparison_summary"](spark, d)
@@ -207,7 +217,11 @@ def differential_totals(spark, d):
     return writers.differential_totals(s.withColumns({"status": status, "significant_sites": F.col("significant_sites").cast("string")}))
 
 
-@query("k10_provenance", f"{fx.cte('peaks')}, x AS (SELECT concat_ws('|', sample_key, chrom, start_pos::VARCHAR, end_pos::VARCHAR) AS t FROM peaks) SELECT 'formula' AS field, 'count' AS value UNION ALL SELECT 'version', '1' UNION ALL SELECT 'input_checksum', sha256(concat_ws(':', count(*)::VARCHAR, coalesce(sum(('0x' || substr(md5(t), 1, 15))::BIGINT::HUGEINT), 0)::VARCHAR)) FROM x")
+@query("k10_provenance",
+    f"{fx.cte('peaks')}, x AS (SELECT concat_ws('|', sample_key, chrom, start_pos::VARCHAR, end_pos::VARCHAR) AS t FROM peaks) SELECT 'formula' AS "
+    "field, 'count' AS value UNION ALL SELECT 'version', '1' UNION ALL SELECT 'input_checksum', sha256(concat_ws(':', count(*)::VARCHAR, "
+    "coalesce(sum(('0x' || substr(md5(t), 1, 15))::BIGINT::HUGEINT), 0)::VARCHAR)) FROM x"
+)
 def provenance(spark, d):
     return writers.provenance(fx.table(spark, d, "peaks").select("sample_key", "chrom", S, E), {"version": "1", "formula": "count"})
 
@@ -244,7 +258,10 @@ def metrics_files(spark, d):
     return readers.metrics_json(spark, path).select(F.regexp_extract("file", "sample_key=([^/]*)/", 1).alias("sample_key"), "path", "value")
 
 
-@query("u4_discovered_summaries", f"WITH {sq.RESULTS}, s AS (SELECT {sq.SUMS} FROM res GROUP BY 1) SELECT comparison_id, tested_sites::VARCHAR AS tested_sites, 'NA' AS note, 'a' AS source FROM s UNION ALL SELECT comparison_id, significant_sites::VARCHAR, 'x', 'b' FROM s")
+@query("u4_discovered_summaries",
+    f"WITH {sq.RESULTS}, s AS (SELECT {sq.SUMS} FROM res GROUP BY 1) SELECT comparison_id, tested_sites::VARCHAR AS tested_sites, 'NA' AS note, "
+    "'a' AS source FROM s UNION ALL SELECT comparison_id, significant_sites::VARCHAR, 'x', 'b' FROM s"
+)
 def discovered_summaries(spark, d):
     """Summaries of two modules with their columns in another order, and one that only the second has."""
     s, root = q.QUERIES["a11_comparison_summary"](spark, d), fx.folder(spark, "summaries")

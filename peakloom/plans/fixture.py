@@ -19,7 +19,10 @@ KEYS = [f"{c}_bioR{1 + CONDITIONS[:i].count(c)}" for i, c in enumerate(CONDITION
 
 
 def chrom(k: str) -> str:
-    return f"CASE WHEN {k} % 26 < 22 THEN concat('chr', CAST({k} % 26 + 1 AS STRING)) WHEN {k} % 26 = 22 THEN 'chrX' WHEN {k} % 26 = 23 THEN 'chrY' WHEN {k} % 26 = 24 THEN 'chrM' ELSE 'chrUn_A' END"
+    return (
+        f"CASE WHEN {k} % 26 < 22 THEN concat('chr', CAST({k} % 26 + 1 AS STRING)) WHEN {k} % 26 = 22 THEN 'chrX' WHEN {k} % 26 = 23 THEN 'chrY' "
+        f"WHEN {k} % 26 = 24 THEN 'chrM' ELSE 'chrUn_A' END"
+    )
 
 
 def sample_key(n: str) -> str:
@@ -32,9 +35,15 @@ _MAPQ = "((CAST(floor(l_tax * 100 + 0.5) AS BIGINT) * 5) % 43)"
 TABLES: dict[str, tuple[str, list[str]]] = {
     "frag": ("lineitem", [
         f"{sample_key('l_suppkey')} AS sample_key",
-        "concat_ws(':', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING), CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING), CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS STRING)) AS qname",
+        (
+            "concat_ws(':', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING), "
+            "CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING), CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS STRING)) AS qname"
+        ),
         f"{chrom('l_partkey')} AS chrom", f"{_START} AS start_pos", f"{_START} + {_TLEN} AS end_pos", f"{_TLEN} AS tlen", f"{_MAPQ} AS mapq",
-        "CASE WHEN l_linestatus = 'O' THEN 99 ELSE 83 END + CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1024 ELSE 0 END + CASE WHEN l_linenumber = 7 THEN 256 ELSE 0 END AS flag",
+        (
+            "CASE WHEN l_linestatus = 'O' THEN 99 ELSE 83 END + CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1024 ELSE 0 END + CASE WHEN "
+            "l_linenumber = 7 THEN 256 ELSE 0 END AS flag"
+        ),
         "CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand", "(l_orderkey % 5 = 0) AS has_xs", "CAST(floor(l_extendedprice) AS BIGINT) AS quality",
         "(l_partkey % 13 = 0) AS is_spike"]),
     "peaks": ("orders", [
@@ -46,7 +55,10 @@ TABLES: dict[str, tuple[str, list[str]]] = {
         "(p_partkey * 1000) % 200000 + 300 + 200 * CAST(p_size AS BIGINT) AS end_pos", "CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand"]),
     "ccre": ("customer", [
         "concat('cc', CAST(c_custkey AS STRING)) AS ccre_id", f"{chrom('(c_custkey * 7)')} AS chrom", "(c_custkey * 911) % 200000 AS start_pos", "(c_custkey * 911) % 200000 + 150 + c_custkey % 200 AS end_pos",
-        "CASE c_mktsegment WHEN 'BUILDING' THEN 'PLS' WHEN 'AUTOMOBILE' THEN 'pELS' WHEN 'MACHINERY' THEN 'dELS' WHEN 'HOUSEHOLD' THEN 'CA-CTCF' ELSE 'CA' END AS ccre_class"]),
+        (
+            "CASE c_mktsegment WHEN 'BUILDING' THEN 'PLS' WHEN 'AUTOMOBILE' THEN 'pELS' WHEN 'MACHINERY' THEN 'dELS' WHEN 'HOUSEHOLD' THEN "
+            "'CA-CTCF' ELSE 'CA' END AS ccre_class"
+        )]),
     # a sheet of runs: mostly in order, with rows that break each rule
     "sheet": ("customer", [
         "CAST(c_custkey AS BIGINT) AS row", "concat(' S', CAST(c_custkey % 997 AS STRING)) AS sample_id", "CAST(c_custkey % 3 + 1 AS STRING) AS replicate",
@@ -60,12 +72,21 @@ TABLES: dict[str, tuple[str, list[str]]] = {
         "CASE c_custkey % 4 WHEN 0 THEN 'narrow' WHEN 1 THEN 'Broad' WHEN 2 THEN 'both' ELSE 'none' END AS macs2_mode",
         "'x.bed' AS blacklist", "concat('p', CAST(c_custkey AS STRING)) AS output_prefix",
         "CASE WHEN c_custkey % 6 = 0 THEN 'dm6' WHEN c_custkey % 307 = 0 THEN 'dm3' ELSE NULL END AS spikein_genome",
-        "CASE WHEN c_custkey % 30 = 0 THEN 'nan' WHEN c_custkey % 6 = 0 THEN '0.5' WHEN c_custkey % 311 = 0 THEN '1' ELSE '' END AS spikein_to_host_ratio",
+        (
+            "CASE WHEN c_custkey % 30 = 0 THEN 'nan' WHEN c_custkey % 6 = 0 THEN '0.5' WHEN c_custkey % 311 = 0 THEN '1' ELSE '' END AS "
+            "spikein_to_host_ratio"
+        ),
         "CASE WHEN c_custkey % 42 = 0 THEN 'pre_tagmentation' WHEN c_custkey % 6 = 0 THEN ' Pre_tagmentation_nuclei' ELSE '' END AS spikein_stage"]),
     "reads": ("lineitem", [
         f"{sample_key('l_orderkey')} AS sample_key", "CAST(l_orderkey AS STRING) AS read_id", "CAST(l_linenumber AS INT) AS mate",
-        f"substr('{'ACGTTGCAAGCTTACGNACGGATCGGCATTAGCCATCTGTCTCTTATACACATCTGGATTACA' * 2}', CAST(1 + l_orderkey % 55 AS INT), CAST(16 + l_linenumber * 5 AS INT)) AS seq",
-        "concat(repeat('I', CAST(11 + l_linenumber * 5 AS INT)), CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 2 = 1 THEN '#####' ELSE 'IIIII' END) AS qual"]),
+        (
+            f"substr('{'ACGTTGCAAGCTTACGNACGGATCGGCATTAGCCATCTGTCTCTTATACACATCTGGATTACA' * 2}', CAST(1 + l_orderkey % 55 AS INT), CAST(16 + "
+            "l_linenumber * 5 AS INT)) AS seq"
+        ),
+        (
+            "concat(repeat('I', CAST(11 + l_linenumber * 5 AS INT)), CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 2 = 1 THEN '#####' ELSE 'IIIII' "
+            "END) AS qual"
+        )]),
     "blacklist": ("supplier", [f"{chrom('(s_suppkey * 3)')} AS chrom", "(s_suppkey * 1777) % 200000 AS start_pos", "(s_suppkey * 1777) % 200000 + 500 AS end_pos"]),
 }
 
@@ -115,7 +136,11 @@ def cte(*names: str) -> str:
             rows = ", ".join(f"({i}, '{k}', '{c}', {int(k[-1])})" for i, (k, c) in enumerate(zip(KEYS, CONDITIONS, strict=True)))
             out.append(f"samples(sheet_order, sample_key, condition, replicate) AS (VALUES {rows})")
         elif n == "exons":
-            out.append("exons AS (SELECT gene_id, chrom, start_pos + i * CAST(floor((end_pos - start_pos) / 3) AS BIGINT) AS start_pos, start_pos + i * CAST(floor((end_pos - start_pos) / 3) AS BIGINT) + greatest(CAST(floor((end_pos - start_pos) / 6) AS BIGINT), 1) AS end_pos FROM genes, (VALUES (0), (1), (2)) t(i))")
+            out.append(
+                "exons AS (SELECT gene_id, chrom, start_pos + i * CAST(floor((end_pos - start_pos) / 3) AS BIGINT) AS start_pos, start_pos + i * "
+                "CAST(floor((end_pos - start_pos) / 3) AS BIGINT) + greatest(CAST(floor((end_pos - start_pos) / 6) AS BIGINT), 1) AS end_pos FROM "
+                "genes, (VALUES (0), (1), (2)) t(i))"
+            )
         else:
             source, columns = TABLES[n]
             out.append(f"{n} AS (SELECT {', '.join(columns)} FROM {source})")
