@@ -24,7 +24,6 @@ empty table gives an empty result.  Other columns pass through; the added ones r
 from __future__ import annotations
 
 import heapq
-import json
 from bisect import bisect_right
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,11 +35,6 @@ SHARDS, OVERHEAD = 40, 16
 LEAST = -(1 << 63)
 
 
-def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A small table of the driver's, as one JSON literal."""
-    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("x")).select("x.*")
-
-
 def draws(rows: DataFrame, total: int, wanted: int) -> DataFrame:
     """(_key, n): n draws of a row, size / total * wanted on average."""
     x = F.col("size") * F.lit(wanted / max(total, 1))
@@ -68,7 +62,7 @@ def with_range(rows: DataFrame, starts: list[tuple[int, int]]) -> DataFrame:
         at = bisect_right(keys, low) - 1
         inside = range(at + 1, bisect_right(keys, low + (1 << 64 - bits) - 1))
         cells.append({"_cell": c, "at": at, "cuts": starts[at][1], "inside": [{"k": starts[i][0], "n": starts[i][1]} for i in inside]})
-    table = literal_table(rows.sparkSession, cells, "_cell: bigint, at: int, cuts: bigint, inside: array<struct<k: bigint, n: bigint>>")
+    table = common.literal_table(rows.sparkSession, cells, "_cell: bigint, at: int, cuts: bigint, inside: array<struct<k: bigint, n: bigint>>")
     hit = F.filter("inside", lambda s: s["k"] <= F.col("_key"))
     found = rows.withColumn("_cell", F.shiftright("_key", 64 - bits)).join(F.broadcast(table), "_cell").withColumn("_hit", hit)
     found = found.withColumn("_unit", F.col("at") + F.size("_hit")).withColumn("_cuts", F.coalesce(F.try_element_at("_hit", F.lit(-1))["n"], F.col("cuts")))
@@ -129,7 +123,7 @@ def shard(df: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text:
     piece = F.pmod(F.xxhash64("_id", "_row"), "_cuts")
     ranged = scratch.table(with_range(rows, starts).withColumn("_piece", piece), "ranged")
     sums = ranged.groupBy("_unit", "_piece", "_cuts").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()  # a row a piece
-    places = literal_table(spark, dealt([tuple(r) for r in sums], shards), "_unit: int, _piece: bigint, shard: int, first: bigint")
+    places = common.literal_table(spark, dealt([tuple(r) for r in sums], shards), "_unit: int, _piece: bigint, shard: int, first: bigint")
     inside = F.row_number().over(Window.partitionBy("_unit", "_piece").orderBy("_key", "_id", "_row")) - 1
     out = ranged.withColumn("_inside", inside).join(F.broadcast(places), ["_unit", "_piece"])
     return out.select("_rest.*", "size", "text_crc32", "shard", (F.col("first") + F.col("_inside")).cast("long").alias("slot"))

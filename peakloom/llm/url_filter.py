@@ -8,9 +8,11 @@ on until a level passes nothing wrongly.  A key is listed exactly if the first l
 last level passes it and is odd).  So membership over the universe is exact, and the test needs no join.
 
 Scale: a level is one binary literal in the plan.  Level 1 takes log2(universe / listed) * 1.44 bits a listed key and the later
-ones hold about as many keys as are listed, so the size follows the list and the logarithm of the corpus.  It is checked: a list
-that needs a level of more than `max_filter_bytes` is refused.  The distinct keys of the corpus are written once and read by
-each level.  Words of a level are joined on executors into pieces of 32 kB before they reach the driver.
+ones hold about as many keys as are listed, so the size follows the list and the logarithm of the corpus.  Where a level would
+pass `max_filter_bytes`, the keys are dealt by a hash to slices with a cascade each, so no list is too long; only the driver's
+memory bounds their sum.  The list is a table of any size and is itself no part of the plan.  The distinct keys of the corpus
+are written once and read by each level.  Words of a level are joined on executors into pieces of 32 kB before they reach the
+driver.  A row's keys are tested once, for the rule and its verdict together.
 
 Cases: a null URL, or one without "://", has empty host and path and no possible keys, so no rule.  An empty table gives an
 empty result.  Repeated rows are judged each.  Rules given twice count once; the same key with two verdicts is refused.
@@ -87,19 +89,17 @@ class Cascade:
         self.levels = levels
 
     @classmethod
-    def build(cls, listed: DataFrame, universe: DataFrame, most_bytes: int = 1 << 23, most_levels: int = 40) -> Cascade:
+    def build(cls, listed: DataFrame, universe: DataFrame, most_bytes: int = 1 << 23) -> Cascade:
         """listed, universe: tables of a column `key`, the universe's distinct.  Builds until a level passes nothing wrongly."""
         listed = listed.select("key").distinct()
         wrong = universe.select("key").join(listed, "key", "left_anti")
         n = listed.count()
         if n == 0:
             return cls([])
-        rate = min(0.5, n * math.sqrt(0.5) / max(1, wrong.count()))
+        rate = first_rate(n, wrong.count())
         levels: list[Level] = []
         encode, others = listed, wrong
-        while n:
-            if len(levels) == most_levels:
-                raise RuntimeError("the cascade does not end: more keys than 64-bit hashes can tell apart")
+        while n:  # each level passes about half of the others, so their number falls by powers
             levels.append(Level(encode, n, rate, len(levels), most_bytes))
             encode, others, rate = others.filter(levels[-1].passes(F.col("key"))), encode, 0.5
             n = encode.count()
@@ -112,40 +112,68 @@ class Cascade:
         return out
 
 
-def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", default: str = "allow", max_filter_bytes: int = 1 << 23) -> DataFrame:
-    """Adds host, path, rule and verdict.  rules: (verdict, host, path); the longest rule that fits wins."""
+def first_rate(listed: int, others: int) -> float:
+    return min(0.5, listed * math.sqrt(0.5) / max(1, others))
+
+
+class Sliced:
+    """Cascades over slices of the keys, as many as keep each level below most_bytes."""
+
+    def __init__(self, slices: list[Cascade]):
+        self.slices = slices
+
+    @classmethod
+    def build(cls, listed: DataFrame, universe: DataFrame, most_bytes: int = 1 << 23) -> Sliced:
+        n, others = listed.count(), universe.count()
+        bits = n * -math.log(first_rate(max(n, 1), others)) / math.log(2) ** 2
+        slices = max(1, math.ceil(bits / 8 / most_bytes))
+        while True:
+            try:
+                return cls([Cascade.build(listed.filter(cls.slice(slices) == i), universe.filter(cls.slice(slices) == i), most_bytes) for i in range(slices)])
+            except OverflowError:  # a slice holds more than its share
+                slices *= 2
+
+    @staticmethod
+    def slice(slices: int, key: F.Column | None = None) -> F.Column:
+        return F.pmod(F.xxhash64(F.col("key") if key is None else key, F.lit(-1)), F.lit(slices))
+
+    def has(self, key: F.Column) -> F.Column:
+        out, at = self.slices[-1].has(key), self.slice(len(self.slices), key)
+        for i in range(len(self.slices) - 2, -1, -1):
+            out = F.when(at == i, self.slices[i].has(key)).otherwise(out)
+        return out
+
+
+def judge(df: DataFrame, rules: DataFrame | list[tuple[str, str, str]], url: str = "url", default: str = "allow", max_filter_bytes: int = 1 << 23) -> DataFrame:
+    """Adds host, path, rule and verdict.  rules: rows (verdict, host, path), few different verdicts; the longest that fits wins."""
     spark = df.sparkSession
-    verdict_of: dict[str, str] = {}
-    for verdict, host, path in rules:
-        if verdict_of.setdefault(host + path, verdict) != verdict:
-            raise ValueError(f"two verdicts for {host + path}")
+    scratch = common.Scratch(spark)
+    if isinstance(rules, list):
+        rules = common.literal_table(spark, [{"verdict": v, "host": h, "path": p} for v, h, p in rules], "verdict: string, host: string, path: string")
+    listed = scratch.table(rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("length"), "verdict").distinct(), "rules")
+    if clash := listed.groupBy("key").agg(F.count_distinct("verdict").alias("n")).filter("n > 1").first():
+        raise ValueError(f"two verdicts for {clash['key']}")
+    lengths = sorted(r["length"] for r in listed.select("length").distinct().collect())  # a row a length of path
     out = with_host_path(df, url)
-    if not rules:
+    if not lengths:
         return out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    lengths = sorted({len(path) for _, _, path in rules})
     keys = possible_keys(lengths)
-    rows = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("verdict")) for k, v in sorted(verdict_of.items())])
-    listed = spark.range(1).select(F.inline(rows))
     # rows with the same keys repeat their judgement, so the universe is taken from distinct (host, path starts)
     starts = with_host_path(df.select(url), url).select("host", F.substring("path", 1, max(lengths)).alias("path")).distinct()
-    scratch = common.Scratch(spark)
     universe = scratch.table(starts.select(F.explode(keys).alias("key")).distinct(), "keys")
-    verdicts = sorted(set(verdict_of.values()))
-    cascades = {v: Cascade.build(listed.filter(F.col("verdict") == v), universe, max_filter_bytes) for v in verdicts}
-    scratch.drop(universe)
-    hit = F.get(F.filter(F.col("__keys"), lambda k: _any([c.has(k) for c in cascades.values()])), F.lit(0))
-    out = out.withColumn("__keys", keys).withColumn("rule", hit).drop("__keys")
-    verdict = F.lit(default)
-    for v in verdicts:
-        verdict = F.when(F.col("rule").isNotNull() & cascades[v].has(F.col("rule")), F.lit(v)).otherwise(verdict)
-    return out.withColumn("verdict", verdict)
-
-
-def _any(xs: list[F.Column]) -> F.Column:
-    out = xs[0]
-    for x in xs[1:]:
-        out = out | x
-    return out
+    verdicts = sorted(r["verdict"] for r in listed.select("verdict").distinct().collect())
+    cascades = [Sliced.build(listed.filter(F.col("verdict") == v), universe, max_filter_bytes) for v in verdicts]
+    scratch.drop(universe, listed)
+
+    def judged(key: F.Column) -> F.Column:
+        verdict = F.lit(None).cast("string")
+        for v, c in zip(verdicts, cascades, strict=True):
+            verdict = F.when(c.has(key), F.lit(v)).otherwise(verdict)
+        return F.struct(key.alias("rule"), verdict.alias("verdict"))
+
+    hit = F.get(F.filter(F.transform(keys, judged), lambda x: x["verdict"].isNotNull()), F.lit(0))
+    out = out.withColumn("__hit", hit)
+    return out.withColumns({"rule": F.col("__hit.rule"), "verdict": F.coalesce("__hit.verdict", F.lit(default))}).drop("__hit")
 
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]

@@ -425,8 +425,8 @@ def test_url_filter(spark):
         return (max(fits)[1], max(fits)[2]) if fits else (None, "allow")
 
     assert got == {i: brute(u) for i, u in enumerate(urls)}
-    with pytest.raises(OverflowError):
-        url_filter.judge(df, url_filter.RULES, max_filter_bytes=0)
+    with pytest.raises(ValueError, match="two verdicts"):
+        url_filter.judge(df, [*url_filter.RULES, ("allow", "net", "/")])
     assert url_filter.judge(df.limit(0), url_filter.RULES).count() == 0 and url_filter.judge(df, []).count() == len(urls) * 2
 
 
@@ -438,6 +438,14 @@ def test_a_long_list_takes_several_pieces(spark, monkeypatch):
     assert got == {i: f"h{i}.org/" if i % 7 == 0 else None for i in range(3000)}
 
 
+def test_lists_beyond_the_limit_are_sliced(spark):
+    """Rules as a table; levels of 64 bytes at most, so the keys take several cascades, and the result is the same."""
+    df = spark.range(4000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.h"), "id", F.lit(".org/x")).alias("url"))
+    rules = spark.range(0, 4000, 5).select(F.when(F.col("id") % 3 == 0, "block").otherwise("allow").alias("verdict"), F.concat(F.lit("h"), "id", F.lit(".org")).alias("host"), F.when(F.col("id") % 2 == 0, "/").otherwise("/x").alias("path"))
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(df, rules, default="none", max_filter_bytes=64).collect()}
+    assert got == {i: (f"h{i}.org/{'x' * (i % 2)}", "allow" if i % 3 else "block") if i % 5 == 0 else (None, "none") for i in range(4000)}
+
+
 def test_cascade_is_exact(spark):
     listed = spark.range(0, 300).select(F.concat(F.lit("k"), "id").alias("key"))
     universe = spark.range(0, 6000).select(F.concat(F.lit("k"), "id").alias("key"))
