@@ -28,7 +28,7 @@ def mito_percent(df: DataFrame) -> DataFrame:
 
 
 def reads_per_mb(df: DataFrame, sizes: DataFrame) -> DataFrame:
-    return df.groupBy("sample_key", "chrom").agg(F.count("*").alias("n")).join(F.broadcast(sizes), "chrom").select("sample_key", "chrom", "n", (F.col("n") / F.col("size") * 1e6).alias("per_mb"))
+    return df.groupBy("sample_key", "chrom").agg(F.count("*").alias("n")).join(sizes, "chrom").select("sample_key", "chrom", "n", (F.col("n") / F.col("size") * 1e6).alias("per_mb"))
 
 
 def peak_stats(peaks: DataFrame) -> DataFrame:
@@ -165,11 +165,16 @@ def profile(matrix: DataFrame) -> DataFrame:
     return matrix.groupBy("sample_key", "bin").agg(F.sum("value").alias("s")).join(F.broadcast(n), "sample_key").select("sample_key", "bin", (F.col("s") / F.col("regions")).alias("mean"))
 
 
-def heatmap_order(matrix: DataFrame) -> DataFrame:
-    """Regions by mean signal, strongest first, with their global rank."""
+def heatmap_order(matrix: DataFrame, prefix: int = 8) -> DataFrame:
+    """Regions by mean signal, strongest first and then by id, with their global rank.
+
+    Regions of one power of two of signal (cut finer by 16) whose ids begin alike are ranked together, so the many without signal
+    are as well dealt as the others; ids of region_ids() share their first 8 letters with 999 others."""
     means = matrix.groupBy("region_id").agg(F.round(F.avg("value"), 9).alias("mean_signal"))
-    # regions of one power of two of signal (cut finer by 16) are ranked together
-    return iv.number(means, [-F.col("mean_signal"), F.col("region_id")], [-F.floor(16 * F.log2(F.col("mean_signal") + 1e-9))])
+    order = [-F.col("mean_signal"), F.col("region_id")]
+    # between equal buckets of signal the order is not by id alone, so only those of equal signal are cut by the id's beginning
+    alike = F.when(F.col("mean_signal") == 0, F.substring(F.col("region_id").cast("string"), 1, prefix)).otherwise("")
+    return iv.number(means, order, [-F.floor(16 * F.log2(F.col("mean_signal") + 1e-9)), alike])
 
 
 def summary(stats: DataFrame) -> DataFrame:

@@ -272,3 +272,27 @@ def discovered_summaries(spark, d):
         writers.tsv(table.coalesce(1), f"{root}/{folder}/{name}")  # a row a comparison
     out = readers.discover(spark, [root], "*.csv", ("comparison_id", "tested_sites"))
     return out.select("comparison_id", "tested_sites", "note", F.regexp_extract("source_table", f"/([ab])/{name}/", 1).alias("source"))
+
+
+# --- rules that find something in these tables
+
+query("v5_sample_metadata", f"{sq.SHEET} " + " UNION ALL ".join(f"SELECT sample_id, '{c}' AS \"column\" FROM sheet GROUP BY 1 HAVING count(DISTINCT {c}) > 1" for c in design.GROUP))(
+    lambda spark, d: design.inconsistent_groups(sq.sheet(spark, d), ["sample_id"], design.GROUP)
+)
+query("v6_controls_that_are_none", f"{sq.SHEET}, {sq.CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c WHERE control)")(
+    lambda spark, d: design.orphans(sq.sheet(spark, d), "control_id", sq.sheet(spark, d).filter(design.is_control()).select(F.trim("sample_id").alias("known")), "known").select("row", "control_id")
+)
+query("f5_single_end_units", f"{fx.cte('frag')} SELECT sample_key, count(*) AS units, sum(end_pos - start_pos)::BIGINT AS bases FROM frag WHERE (flag & 3844) = 0 GROUP BY 1")(
+    lambda spark, d: reads.signal_units(q.frag(spark, d).filter(reads.flags_pass(*reads.POLICIES["stringent", "SE"])), "SE").groupBy("sample_key").agg(F.count("*").alias("units"), F.sum(F.col(E) - F.col(S)).alias("bases"))
+)
+
+
+@query("s10_required_keys",
+    f"{q.BASE}, {q.FACTORS} SELECT sample_key AS key, round(size_factor, 6) AS value FROM sf WHERE sample_key IN (SELECT sample_key FROM peaks "
+    "WHERE peak_type = 'broad')"
+)
+def required_keys(spark, d):
+    path = fx.folder(spark, "factors")
+    writers.tsv(counting.poscounts_factors(q.matrix(spark, d)).select(F.col("sample_key").alias("key"), F.round("size_factor", 6).alias("size_factor")), path)
+    wanted = fx.table(spark, d, "peaks").filter("peak_type = 'broad'").select(F.col("sample_key").alias("key"))
+    return readers.keyed_value(spark, path, "size_factor", wanted)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotate, counting, design, peaks, qc, reads, stats
 from ..operators import intervals as iv
-from ..sources import writers
+from ..sources import readers, writers
 from . import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 S, E = iv.S, iv.E
 CANON = fx.canonical_sql()
+CLASS_NAMES = "|".join(readers.CLASSES)
 KEEP = f"(flag & 2) = 2 AND (flag & 3852) = 0 AND {CANON}"
 STRINGENT = f"{KEEP} AND mapq >= 30"
 
@@ -786,7 +787,7 @@ query("a12_annotation_summary",
 query("v13_ccre_check",
     f"{fx.cte('ccre')} SELECT count(*) AS records, count(*) FILTER (NOT {CANON}) AS noncanonical, count(*) FILTER (start_pos < 0 OR end_pos <= "
     "start_pos) AS bad_coordinates, count(*) FILTER (NOT regexp_full_match(ccre_class, "
-    "'(PLS|pELS|dELS|DNase-H3K4me3|CA-CTCF|CA-H3K4me3|CA-TF|CTCF-only|CTCF-bound|CA|TF)([;,](PLS|pELS|dELS|DNase-H3K4me3|CA-CTCF|CA-H3K4me3|CA-TF|CTCF-only|CTCF-bound|CA|TF))*')) "
+    f"'({CLASS_NAMES})([;,]({CLASS_NAMES}))*')) "
     "AS unknown_class, count(*) = (SELECT count(*) FROM customer) AS count_matches FROM ccre"
 )(lambda spark, d: design.check_ccre(fx.table(spark, d, "ccre"), spark.read.parquet(f"{d}/customer.parquet").count()))
 query("v14_matrix_check",

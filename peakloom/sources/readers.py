@@ -161,13 +161,19 @@ def count_matrix(spark: SparkSession, path: str, samples: list[str]) -> DataFram
     return long.withColumn("n", F.when(good, F.round("n").cast("long")).otherwise(F.raise_error(F.lit("a count is missing or negative")).cast("long")))
 
 
-def keyed_value(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """(key, value) from a header TSV; a value that is not a positive number is an error when read."""
+def keyed_value(spark: SparkSession, path: str, column: str, required: DataFrame | None = None) -> DataFrame:
+    """(key, value) from a header TSV; a value that is not a positive number is an error when read.  With required (key), those
+    keys alone, and one that the table lacks is an error too."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)
     if missing := [c for c in ("key", column) if c not in df.columns]:
         raise ValueError(f"columns not in the table: {missing}")
+    stop = lambda text: F.raise_error(F.concat(F.lit(text), "key")).cast("double")
     v = F.col(column).try_cast("double")
-    return df.select("key", F.when(v > 0, v).otherwise(F.raise_error(F.concat(F.lit("not a positive number for "), "key")).cast("double")).alias("value"))
+    out = df.select("key", F.when(v > 0, v).otherwise(stop("not a positive number for ")).alias("value"))
+    if required is None:
+        return out
+    found = required.select("key").distinct().join(out.withColumn("_there", F.lit(True)), "key", "left")
+    return found.select("key", F.when(F.col("_there"), F.col("value")).otherwise(stop("no value for ")).alias("value"))
 
 
 def duplication_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import TEST_DATA
-from peakloom.operators import counting, design, peaks, selection, stats
+from peakloom.operators import counting, design, peaks, qc, reads, selection, stats
 from peakloom.operators import intervals as iv
 from peakloom.plans import fixture, registry
 from peakloom.sources import fastq_source, readers
@@ -195,16 +195,13 @@ def test_designs():
         stats.design(list(of), {"donor": {}, "condition": of})
 
 
-def test_failing_comparisons_leave_the_others_alone(spark, monkeypatch):
+def test_failing_comparisons_leave_the_others_alone(spark):
     rng = np.random.default_rng(3)
     names = [f"{c}{i}" for c in "abc" for i in (1, 2, 3)]
     rows = [(f"r{i}", s, int(negative_binomial(rng, 200.0 * (4 if s[0] == "b" and i < 20 else 1)))) for i in range(120) for s in names]
     of = stats.model({s: s[0] for s in names}, ["a", "b", "c"])
     plan = {"1": ("b", "a"), "2": ("c", "a"), "3": ("ghost", "a")}
 
-    class Fragile(np.ndarray):
-        pass
-
     tested = stats.nb_comparisons(spark.createDataFrame(rows, COUNTS), dict.fromkeys(names, 1.0), of, plan)
     results, failures = stats.completed(tested)
     assert {r.contrast: r.n for r in results.groupBy("contrast").agg(F.count("*").alias("n")).collect()} == {"1": 120, "2": 120}
@@ -250,3 +247,20 @@ def test_paired_segments(spark):
     depth = lambda rows, k, p: sum(s <= p < e for key, s, e in rows if key == k)
     covered = {(k, p): (d, c) for k, s, e, d, c in got for p in range(s, e)}
     assert covered == {(k, p): (depth(a, k, p), depth(b, k, p)) for k in "xyz" for p in range(50) if depth(a, k, p)}
+
+
+def test_required_keys_and_heatmap_order(spark, tmp_path):
+    (tmp_path / "f.tsv").write_text("key\tsize_factor\na\t0.5\nb\t2\n")
+    ask = lambda *keys: readers.keyed_value(spark, str(tmp_path / "f.tsv"), "size_factor", spark.createDataFrame([(k,) for k in keys], "key string"))
+    assert {r.key: r.value for r in ask("a").collect()} == {"a": 0.5}
+    with pytest.raises(Exception, match="no value for c"):
+        ask("a", "c").collect()
+    rows = [(f"peak_{i:06d}", "s", float(i % 7 if i % 3 else 0)) for i in range(3000)]
+    ranked = qc.heatmap_order(spark.createDataFrame(rows, "region_id string, sample_key string, value double")).collect()
+    assert [r.region_id for r in sorted(ranked, key=lambda r: r["rank"])] == [k for k, _, _ in sorted(rows, key=lambda r: (-r[2], r[0]))]
+
+
+def test_transliteration(spark):
+    words = {"Straße": "Strasse", "déjà vu": "deja_vu", "Ærø": "AEro", "naïve-Ñandú_1.2": "naive-Nandu_1.2", "Łódź": "Lodz", "e\u0301": "e", "日本": "condition", "_x_": "x", "ß" * 40: "ss" * 30}
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert {r.w: r.t for r in df.select("w", reads.safe_token(F.col("w")).alias("t")).collect()} == words
