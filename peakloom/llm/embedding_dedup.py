@@ -170,3 +170,19 @@ r AS (SELECT vec_id AS a, vec_id AS c FROM u UNION SELECT p.a, r.c FROM p JOIN r
 c AS (SELECT a, min(c) AS component_id FROM r GROUP BY a)
 SELECT u.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, u.vec_id = component_id AS kept FROM u JOIN c ON c.a = u.vec_id LEFT JOIN n ON n.a = u.vec_id
 """
+
+
+#: Steps by which embedding_near_copies moves a vector: the first two link, as do the last two, the first and the last mostly don't.
+STEPS = (0, 2, 5)
+
+
+def embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """links() over each vector of `embeddings` and two moved copies of it, so that there are links, copies' chains included."""
+    e = common.documents(spark, sf_dir, "embeddings").withColumn("k", F.explode(F.array(*[F.lit(k) for k in STEPS])))
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + F.col("k") * 0.018 * (i % 3 - 1))
+    return links(e.select((F.col("vec_id") * 10 + F.col("k")).alias("vec_id"), moved.alias("embedding"), "label"), 0.93)
+
+
+_MOVED = f"""(SELECT vec_id * 10 + k AS vec_id, label, list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE + k * 0.018::DOUBLE * ((i - 1) % 3 - 1)) AS embedding
+  FROM embeddings, (VALUES {", ".join(f"({k})" for k in STEPS)}) t(k))"""
+NEAR_COPIES_SQL = SQL.replace("FROM embeddings)", f"FROM {_MOVED})")

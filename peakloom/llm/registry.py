@@ -21,6 +21,7 @@ def queries() -> dict:
         "op12_resampling": resampling.op12_resampling,
         "op13_sharding": sharding.op13_sharding,
         "mixing_unweighted": mixing.mixing_unweighted,
+        "embedding_near_copies": embedding_dedup.embedding_near_copies,
     }
 
 
@@ -30,6 +31,7 @@ def oracle_sql() -> dict[str, str]:
         "mixing_unweighted": mixing.UNWEIGHTED_SQL,
         "op8_warc": warc.SQL,
         "op9_embedding_dedup": embedding_dedup.SQL,
+        "embedding_near_copies": embedding_dedup.NEAR_COPIES_SQL,
         "op10_url_filter": url_filter.SQL,
         "op11_code_compression": code_compression.SQL,
         "op12_resampling": resampling.SQL,

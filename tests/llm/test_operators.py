@@ -34,7 +34,7 @@ def docs(spark):
     return spark.createDataFrame([(i, t, "s", 7, "clash") for i, t in texts()], DOC)
 
 
-@pytest.mark.parametrize("name", ["op2_mixing", "op8_warc", "op9_embedding_dedup", "op10_url_filter"])
+@pytest.mark.parametrize("name", ["op2_mixing", "op8_warc", "op9_embedding_dedup", "embedding_near_copies", "op10_url_filter"])
 def test_matches_duckdb(spark, duck, name):
     assert same(registry.queries()[name](spark, TEST_DATA), duck.execute(registry.oracle_sql()[name]))
 
