@@ -60,7 +60,9 @@ def ccre_hits(regions: DataFrame, ccre: DataFrame) -> DataFrame:
 def primary_ccre(hits: DataFrame) -> DataFrame:
     """One element a region: widest overlap, then class priority, then id."""
     w = Window.partitionBy("region_id").orderBy(F.col("width").desc(), class_priority("ccre_class"), "ccre_id")
-    return hits.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("region_id", F.col("ccre_id").alias("ccre_primary_id"), F.col("ccre_class").alias("ccre_primary_class"))
+    return hits.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(
+        "region_id", F.col("ccre_id").alias("ccre_primary_id"), F.col("ccre_class").alias("ccre_primary_class")
+    )
 
 
 def nearest_tss(regions: DataFrame, genes: DataFrame) -> DataFrame:
@@ -69,7 +71,10 @@ def nearest_tss(regions: DataFrame, genes: DataFrame) -> DataFrame:
     near = iv.nearest(regions.select("region_id", "chrom", S, E), t, "region_id", "tss", "g")
     mid = F.floor((F.col(S) + 1 + F.col(E)) / 2)
     signed = (mid - (F.col("tss") + 1)) * F.when(F.col("g.strand") == "-", -1).otherwise(1)
-    return near.filter("g is not null").select("region_id", F.col("g.gene_id").alias("nearest_gene_id"), F.col("g.gene_name").alias("nearest_gene_name"), signed.cast("long").alias("nearest_tss_distance_bp"), F.col("distance").alias("edge_distance"))
+    return near.filter("g is not null").select(
+        "region_id", F.col("g.gene_id").alias("nearest_gene_id"), F.col("g.gene_name").alias("nearest_gene_name"),
+        signed.cast("long").alias("nearest_tss_distance_bp"), F.col("distance").alias("edge_distance")
+    )
 
 
 def annotate(regions: DataFrame, genes: DataFrame, exons: DataFrame, ccre: DataFrame, up: int = 2000, down: int = 500, source: str | None = None) -> DataFrame:
@@ -83,21 +88,36 @@ def annotate(regions: DataFrame, genes: DataFrame, exons: DataFrame, ccre: DataF
     best = F.struct((-iv.overlap_width(S, E, "r_start", "r_end")).alias("width"), class_priority("ccre_class").alias("priority"), "ccre_id", "ccre_class")
     first = F.min(F.when(F.col("tag") == "element", best))
     flags = [F.max(F.col("tag") == t).alias(n) for t, n in FEATURES.items()]
-    found = pairs.groupBy("region_id").agg(*flags, first.alias("_first"), joined(F.col("ccre_id")).alias("ccre_all_ids"), joined(F.col("ccre_class")).alias("ccre_all_classes"))
+    found = pairs.groupBy("region_id").agg(
+        *flags, first.alias("_first"), joined(F.col("ccre_id")).alias("ccre_all_ids"), joined(F.col("ccre_class")).alias("ccre_all_classes")
+    )
     primary = {"ccre_primary_id": F.col("_first.ccre_id"), "ccre_primary_class": F.col("_first.ccre_class")}
-    out = with_context(regions.join(found.withColumns(primary).drop("_first"), "region_id", "left")).join(nearest_tss(regions, genes).drop("edge_distance"), "region_id", "left")
-    return out.withColumns({"promoter_definition": F.lit(f"TSS-{up}/+{down}bp"), "ccre_overlap": F.col("ccre_primary_id").isNotNull(), "enhancer_like": F.coalesce(F.col("ccre_all_classes").rlike("(^|;)(pELS|dELS)(;|$)"), F.lit(False)), "ccre_source": F.lit(source)})
+    out = with_context(
+        regions.join(found.withColumns(primary).drop("_first"), "region_id", "left")
+    ).join(nearest_tss(regions, genes).drop("edge_distance"), "region_id", "left")
+    return out.withColumns({
+        "promoter_definition": F.lit(f"TSS-{up}/+{down}bp"), "ccre_overlap": F.col("ccre_primary_id").isNotNull(),
+        "enhancer_like": F.coalesce(F.col("ccre_all_classes").rlike("(^|;)(pELS|dELS)(;|$)"), F.lit(False)), "ccre_source": F.lit(source)
+    })
 
 
 def join_annotations(results: DataFrame, annotations: DataFrame) -> DataFrame:
     """Results with their annotation; a result without one is an error."""
     kept = annotations.drop("chrom", S, E).withColumn("_known", F.lit(True))
     out = results.join(kept, "region_id", "left")
-    checked = F.when(F.col("_known"), F.col("region_id")).otherwise(F.raise_error(F.lit("a result row has no annotation")).cast(results.schema["region_id"].dataType))
+    checked = F.when(F.col("_known"), F.col("region_id")).otherwise(
+        F.raise_error(F.lit("a result row has no annotation")).cast(results.schema["region_id"].dataType)
+    )
     return out.withColumn("region_id", checked).drop("_known")
 
 
 def annotation_summary(table: DataFrame) -> DataFrame:
     """Significant sites by gene context and by primary class; blanks are `unannotated`."""
-    long = table.select(F.explode(F.array(*[F.struct(F.lit(t).alias("annotation_type"), F.coalesce(F.nullif(F.col(t), F.lit("")), F.lit("unannotated")).alias("category")) for t in ("gene_context", "ccre_primary_class")])).alias("x")).select("x.*")
+    long = table.select(
+        F.explode(F.array(
+            *[F.struct(
+                F.lit(t).alias("annotation_type"), F.coalesce(F.nullif(F.col(t), F.lit("")), F.lit("unannotated")).alias("category")
+            ) for t in ("gene_context", "ccre_primary_class")]
+        )).alias("x")
+    ).select("x.*")
     return long.groupBy("annotation_type", "category").agg(F.count("*").alias("significant_sites"))

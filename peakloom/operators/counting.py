@@ -76,9 +76,18 @@ SPIKE_LIMITS = {"low_count": 10_000, "minimum": 1, "low_fraction": 0.001, "high_
 def spike_qc(df: DataFrame, target: float = 1e6) -> DataFrame:
     """Rows (sample_key, host, spike, spike_q0, ratio) with fraction, scales and an array of warnings."""
     frac = F.col("spike") / (F.col("host") + F.col("spike"))
-    warn = F.filter(F.array(F.when(F.col("spike") < SPIKE_LIMITS["low_count"], "low_dm6_count"), F.when(frac < SPIKE_LIMITS["low_fraction"], "low_dm6_fraction"), F.when(frac > SPIKE_LIMITS["high_fraction"], "high_dm6_fraction")), lambda x: x.isNotNull())
+    warn = F.filter(
+        F.array(
+            F.when(F.col("spike") < SPIKE_LIMITS["low_count"], "low_dm6_count"), F.when(frac < SPIKE_LIMITS["low_fraction"], "low_dm6_fraction"),
+            F.when(frac > SPIKE_LIMITS["high_fraction"], "high_dm6_fraction")
+        ),
+        lambda x: x.isNotNull()
+    )
     checked = F.when(F.col("spike") < SPIKE_LIMITS["minimum"], F.raise_error(F.lit("too few spike-in observations")).cast("double")).otherwise(F.lit(1.0))
-    return df.withColumns({"fraction": frac, "low_mapq": F.col("spike_q0") - F.col("spike"), "scale": spike_scale(F.lit(target), F.col("ratio"), F.col("spike")), "raw_scale": checked, "cpm_scale": 1e6 / F.col("spike"), "warnings": warn})
+    return df.withColumns({
+        "fraction": frac, "low_mapq": F.col("spike_q0") - F.col("spike"), "scale": spike_scale(F.lit(target), F.col("ratio"), F.col("spike")),
+        "raw_scale": checked, "cpm_scale": 1e6 / F.col("spike"), "warnings": warn
+    })
 
 
 def snapped(units: DataFrame, width: int) -> DataFrame:
@@ -174,7 +183,9 @@ def track_families(sets: dict[str, DataFrame], scale_table: DataFrame, width: in
         tagged = df.select(F.lit(name).alias("unit_set"), "sample_key", "chrom", S, E)
         units = tagged if units is None else units.unionByName(tagged)
     cov = coverage(units, width, by=("unit_set", "sample_key"))
-    return cov.join(F.broadcast(scale_table), ["unit_set", "sample_key"]).select("family", "sample_key", "chrom", S, E, (F.col("depth") * F.col("scale")).alias("score"))
+    return cov.join(F.broadcast(scale_table), ["unit_set", "sample_key"]).select(
+        "family", "sample_key", "chrom", S, E, (F.col("depth") * F.col("scale")).alias("score")
+    )
 
 
 def rpkm(units: DataFrame, width: int = 100_000) -> DataFrame:
@@ -187,7 +198,9 @@ def karyogram(scores: DataFrame) -> DataFrame:
     per = scores.groupBy("sample_key").agg(F.max("score").alias("_own"))
     per = per.withColumn("_all", F.max("_own").over(Window.partitionBy(F.lit(1))))  # a row a sample
     safe = lambda c: F.when(F.col(c) > 0, F.col(c)).otherwise(1.0)
-    return scores.join(F.broadcast(per), "sample_key").withColumns({"own_share": F.col("score") / safe("_own"), "global_share": F.col("score") / safe("_all")}).drop("_own", "_all")
+    return scores.join(F.broadcast(per), "sample_key").withColumns(
+        {"own_share": F.col("score") / safe("_own"), "global_share": F.col("score") / safe("_all")}
+    ).drop("_own", "_all")
 
 
 def checksum(regions: DataFrame) -> DataFrame:
@@ -197,21 +210,43 @@ def checksum(regions: DataFrame) -> DataFrame:
 
 
 #: Columns of the normalisation record, in order.  Fixed values.
-RECORD = ["key", "policy", "source_bam_stage", "duplicate_policy", "bowtie2_reporting", "minimum_mapq", "secondary_alignments", "supplementary_alignments", "genome", "layout", "signal_unit", "signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus", "consensus_sha256", "consensus_count_sum", "cohort_geometric_mean_column_sum", "deseq2_size_factor", "deseq2_consensus_scale", "deseq2_robust_cpm_scale"]
+RECORD = [
+    "key", "policy", "source_bam_stage", "duplicate_policy", "bowtie2_reporting", "minimum_mapq", "secondary_alignments", "supplementary_alignments",
+    "genome", "layout", "signal_unit", "signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus", "consensus_sha256", "consensus_count_sum",
+    "cohort_geometric_mean_column_sum", "deseq2_size_factor", "deseq2_consensus_scale", "deseq2_robust_cpm_scale"
+]
 
 
-def normalisation_record(kept: DataFrame, scale_table: DataFrame, regions: DataFrame, sheet: DataFrame, policy: str, min_mapq: int, drops_duplicates: bool, layout: str = "PE", genome: str = "hg38") -> DataFrame:
+def normalisation_record(
+    kept: DataFrame, scale_table: DataFrame, regions: DataFrame, sheet: DataFrame, policy: str, min_mapq: int, drops_duplicates: bool,
+    layout: str = "PE", genome: str = "hg38"
+) -> DataFrame:
     """A row a sample of the sheet (sample_key, sheet_order) with the columns of RECORD: how a policy's tracks were made.
 
     kept are the policy's signal units with mapq; scale_table is scales() of their counts; the checksum is that of the regions,
     which all policies share.  A sample without units has zeros and null scales.
     """
     q = F.col("mapq")
-    bins = kept.groupBy("sample_key").agg(F.count("*").alias("signal_count"), F.count_if(q == 0).alias("mapq_0"), F.count_if((q >= 1) & (q <= 9)).alias("mapq_1_9"), F.count_if((q >= 10) & (q <= 29)).alias("mapq_10_29"), F.count_if(q >= 30).alias("mapq_30_plus"))
-    scale = scale_table.select("sample_key", F.col("column_sum").alias("consensus_count_sum"), F.col("geometric_mean_sum").alias("cohort_geometric_mean_column_sum"), F.col("size_factor").alias("deseq2_size_factor"), "deseq2_consensus_scale", F.col("robust_cpm_scale").alias("deseq2_robust_cpm_scale"))
-    out = sheet.select("sample_key", "sheet_order").join(bins, "sample_key", "left").join(scale, "sample_key", "left").crossJoin(F.broadcast(checksum(regions).withColumnRenamed("checksum", "consensus_sha256")))  # one row
-    fixed = {"policy": policy, "source_bam_stage": "dedup" if drops_duplicates else "aligned", "duplicate_policy": "removed" if drops_duplicates else "retained", "bowtie2_reporting": "one_primary_default", "minimum_mapq": min_mapq, "secondary_alignments": "excluded", "supplementary_alignments": "excluded", "genome": genome, "layout": layout, "signal_unit": "fragments" if layout == "PE" else "reads"}
-    out = out.withColumns({k: F.lit(v) for k, v in fixed.items()} | {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus")})
+    bins = kept.groupBy("sample_key").agg(
+        F.count("*").alias("signal_count"), F.count_if(q == 0).alias("mapq_0"), F.count_if((q >= 1) & (q <= 9)).alias("mapq_1_9"),
+        F.count_if((q >= 10) & (q <= 29)).alias("mapq_10_29"), F.count_if(q >= 30).alias("mapq_30_plus")
+    )
+    scale = scale_table.select(
+        "sample_key", F.col("column_sum").alias("consensus_count_sum"), F.col("geometric_mean_sum").alias("cohort_geometric_mean_column_sum"),
+        F.col("size_factor").alias("deseq2_size_factor"), "deseq2_consensus_scale", F.col("robust_cpm_scale").alias("deseq2_robust_cpm_scale")
+    )
+    out = sheet.select("sample_key", "sheet_order").join(bins, "sample_key", "left").join(scale, "sample_key", "left").crossJoin(
+        F.broadcast(checksum(regions).withColumnRenamed("checksum", "consensus_sha256"))
+    )  # one row
+    fixed = {
+        "policy": policy, "source_bam_stage": "dedup" if drops_duplicates else "aligned",
+        "duplicate_policy": "removed" if drops_duplicates else "retained", "bowtie2_reporting": "one_primary_default", "minimum_mapq": min_mapq,
+        "secondary_alignments": "excluded", "supplementary_alignments": "excluded", "genome": genome, "layout": layout,
+        "signal_unit": "fragments" if layout == "PE" else "reads"
+    }
+    out = out.withColumns({k: F.lit(v) for k, v in fixed.items()} | {
+        c: F.coalesce(c, F.lit(0)).cast("long") for c in ("signal_count", "mapq_0", "mapq_1_9", "mapq_10_29", "mapq_30_plus")
+    })
     return out.withColumnRenamed("sample_key", "key").select(*RECORD, "sheet_order")
 
 

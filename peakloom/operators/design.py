@@ -9,10 +9,16 @@ from ..sources import readers
 from . import reads
 
 #: Columns and allowed values of a sample sheet.  Fixed values.
-CORE = ["sample_id", "fastq_1", "fastq_2", "layout", "genome", "assay", "factor", "condition", "treatment", "cell_type", "replicate", "tech_replicate", "is_control", "control_id", "macs2_mode", "blacklist", "output_prefix"]
+CORE = [
+    "sample_id", "fastq_1", "fastq_2", "layout", "genome", "assay", "factor", "condition", "treatment", "cell_type", "replicate", "tech_replicate",
+    "is_control", "control_id", "macs2_mode", "blacklist", "output_prefix"
+]
 OLD = "chipqc_annotation"
 SPIKE = ["spikein_genome", "spikein_to_host_ratio", "spikein_stage"]
-ALLOWED = {"layout": ["PE", "SE"], "genome": ["hg38", "mm39"], "macs2_mode": ["narrow", "broad", "both", "none"], "is_control": ["TRUE", "FALSE", "true", "false", "1", "0", "yes", "no"]}
+ALLOWED = {
+    "layout": ["PE", "SE"], "genome": ["hg38", "mm39"], "macs2_mode": ["narrow", "broad", "both", "none"],
+    "is_control": ["TRUE", "FALSE", "true", "false", "1", "0", "yes", "no"]
+}
 SPIKE_GENOME, SPIKE_STAGE = "dm6", "pre_tagmentation_nuclei"
 TRUE = ("true", "1", "yes")
 GROUP = ["layout", "genome", "assay", "factor", "condition", "treatment", "cell_type", "is_control", "control_id", "macs2_mode", "blacklist", "output_prefix"]
@@ -121,7 +127,10 @@ def mixed_cohorts(df: DataFrame, by: list[str], columns: tuple[str, ...] = ("lay
 def both_peak_types(sheet: DataFrame) -> DataFrame:
     """Biological samples (no controls) whose first row by `row` doesn't ask for both peak types; later rows of a sample don't
     count.  Ids and modes are read without blanks around them and modes in any case."""
-    own = sheet.filter(~is_control()).select(clean("sample_id").alias("sample_id"), clean("replicate").alias("replicate"), F.struct("row", F.lower(clean("macs2_mode")).alias("mode")).alias("_first"))
+    own = sheet.filter(~is_control()).select(
+        clean("sample_id").alias("sample_id"), clean("replicate").alias("replicate"),
+        F.struct("row", F.lower(clean("macs2_mode")).alias("mode")).alias("_first")
+    )
     return own.groupBy("sample_id", "replicate").agg(F.min("_first").alias("_first")).filter("_first.mode <> 'both'").select("sample_id", "replicate")
 
 
@@ -155,7 +164,9 @@ def pooled_groups(sheet: DataFrame) -> DataFrame:
     by = F.concat_ws("__", *[clean(c) for c in [*POOL, "genome", "layout"]])
     mode = F.lower(clean("macs2_mode"))
     members = F.array_join(F.array_sort(F.collect_set(sample_key())), ",")
-    return first.groupBy(by.alias("group_id")).agg(members.alias("members"), F.count("*").alias("n_samples"), F.when(F.count_distinct(mode) > 1, "both").otherwise(F.max(mode)).alias("mode"))
+    return first.groupBy(by.alias("group_id")).agg(
+        members.alias("members"), F.count("*").alias("n_samples"), F.when(F.count_distinct(mode) > 1, "both").otherwise(F.max(mode)).alias("mode")
+    )
 
 
 def sample_table(sheet: DataFrame, peaks: DataFrame, peak_type: str, controls: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -166,7 +177,10 @@ def sample_table(sheet: DataFrame, peaks: DataFrame, peak_type: str, controls: D
     own = own.join(first, clean("control_id") == F.col("_control"), "left")
     control = F.when(clean("control_id") != "", F.concat(clean("control_id"), F.lit("_bioR"), F.coalesce("_rep", clean("replicate"))))
     kept, dropped = with_inputs(own.withColumn("ControlID", control), peaks.filter(F.col("peak_type") == peak_type))
-    columns = {"SampleID": "sample_key", "Tissue": "cell_type", "Factor": "factor", "Condition": "condition", "Treatment": "treatment", "Replicate": "replicate", "ControlID": "ControlID"}
+    columns = {
+        "SampleID": "sample_key", "Tissue": "cell_type", "Factor": "factor", "Condition": "condition", "Treatment": "treatment",
+        "Replicate": "replicate", "ControlID": "ControlID"
+    }
     return kept.select(*[F.col(c).alias(n) for n, c in columns.items()], F.lit("bed" if peak_type == "broad" else "narrow").alias("PeakCaller")), dropped
 
 
@@ -175,9 +189,15 @@ def spikein_samples(sheet: DataFrame) -> DataFrame:
 
     Technical rows that disagree, an unknown genome or stage, and a ratio that is not finite and above 0 are errors when read.
     """
-    values = {"layout": F.upper(clean("layout")), "host_genome": clean("genome"), "host_blacklist": clean("blacklist"), "spikein_genome": F.lower(clean("spikein_genome")), "spikein_to_host_ratio": clean("spikein_to_host_ratio"), "spikein_stage": F.lower(clean("spikein_stage")), "is_control": F.lower(clean("is_control"))}
+    values = {
+        "layout": F.upper(clean("layout")), "host_genome": clean("genome"), "host_blacklist": clean("blacklist"),
+        "spikein_genome": F.lower(clean("spikein_genome")), "spikein_to_host_ratio": clean("spikein_to_host_ratio"),
+        "spikein_stage": F.lower(clean("spikein_stage")), "is_control": F.lower(clean("is_control"))
+    }
     rows = sheet.select("row", clean("sample_id").alias("sample_id"), clean("replicate").alias("replicate"), *[c.alias(n) for n, c in values.items()])
-    per = rows.groupBy("sample_id", "replicate").agg(F.count_distinct(F.struct(*values)).alias("_kinds"), F.min_by(F.struct(*values), "row").alias("_v")).select("sample_id", "replicate", "_kinds", "_v.*")
+    per = rows.groupBy("sample_id", "replicate").agg(
+        F.count_distinct(F.struct(*values)).alias("_kinds"), F.min_by(F.struct(*values), "row").alias("_v")
+    ).select("sample_id", "replicate", "_kinds", "_v.*")
     ratio = F.col("spikein_to_host_ratio").try_cast("double")
     good = F.coalesce((ratio > 0) & ~F.isnan(ratio) & (ratio < float("inf")), F.lit(False))
     key = F.concat("sample_id", F.lit("_bioR"), "replicate")
@@ -196,7 +216,9 @@ def spikein_samples(sheet: DataFrame) -> DataFrame:
 
 def eligibility(samples: DataFrame, least: int = 2) -> DataFrame:
     n = F.count_distinct("sample_key")
-    return samples.groupBy("condition").agg(n.alias("replicates"), F.min("sheet_order").alias("first_seen"), (n >= least).alias("eligible")).withColumn("reason", F.when(F.col("eligible"), "eligible").otherwise(F.concat(F.lit("fewer than "), F.lit(str(least)), F.lit(" replicates"))))
+    return samples.groupBy("condition").agg(n.alias("replicates"), F.min("sheet_order").alias("first_seen"), (n >= least).alias("eligible")).withColumn(
+        "reason", F.when(F.col("eligible"), "eligible").otherwise(F.concat(F.lit("fewer than "), F.lit(str(least)), F.lit(" replicates")))
+    )
 
 
 def condition_order(conditions: DataFrame, requested: tuple[str, ...] = (), reference: str | None = None) -> DataFrame:
@@ -220,28 +242,49 @@ def comparison_plan(ordered: DataFrame) -> DataFrame:
     a, b = e.select(F.col("condition").alias("reference"), F.col("ord").alias("i")), e.select(F.col("condition").alias("numerator"), F.col("ord").alias("j"))
     pairs = a.join(b, F.col("i") < F.col("j"))
     n = F.row_number().over(Window.orderBy("i", "j"))  # a row a pair of conditions
-    return pairs.select(F.concat(F.lpad(n.cast("string"), 3, "0"), F.lit("_"), reads.safe_token(F.col("numerator")), F.lit("_vs_"), reads.safe_token(F.col("reference"))).alias("comparison_id"), "numerator", "reference")
+    return pairs.select(
+        F.concat(
+            F.lpad(n.cast("string"), 3, "0"), F.lit("_"), reads.safe_token(F.col("numerator")), F.lit("_vs_"), reads.safe_token(F.col("reference"))
+        ).alias("comparison_id"),
+        "numerator", "reference"
+    )
 
 
 def merge_groups(sheet: DataFrame, fields: list[str], least: int = 2) -> DataFrame:
     """Replicate groups of at least `least` samples; a group with two layouts has layouts > 1."""
-    return sheet.groupBy(F.concat_ws("__", *fields).alias("group_id")).agg(F.count_distinct("sample_key").alias("n_samples"), F.count_distinct("layout").alias("layouts"), F.array_join(F.array_sort(F.collect_set("sample_key")), ",").alias("members"), F.when(F.count_distinct("macs2_mode") > 1, "both").otherwise(F.max("macs2_mode")).alias("mode")).filter(F.col("n_samples") >= least)
+    return sheet.groupBy(F.concat_ws("__", *fields).alias("group_id")).agg(
+        F.count_distinct("sample_key").alias("n_samples"), F.count_distinct("layout").alias("layouts"),
+        F.array_join(F.array_sort(F.collect_set("sample_key")), ",").alias("members"),
+        F.when(F.count_distinct("macs2_mode") > 1, "both").otherwise(F.max("macs2_mode")).alias("mode")
+    ).filter(F.col("n_samples") >= least)
 
 
 def comparison_summary(results: DataFrame, sig: Column) -> DataFrame:
     up, down = sig & (F.col("log2_fc") > 0), sig & (F.col("log2_fc") < 0)
-    return results.groupBy("contrast").agg(F.count_if(F.col("padj").isNotNull()).alias("tested_sites"), F.count_if(sig).alias("significant_sites"), F.count_if(up).alias("higher_in_numerator"), F.count_if(down).alias("higher_in_reference"))
+    return results.groupBy("contrast").agg(
+        F.count_if(F.col("padj").isNotNull()).alias("tested_sites"), F.count_if(sig).alias("significant_sites"),
+        F.count_if(up).alias("higher_in_numerator"), F.count_if(down).alias("higher_in_reference")
+    )
 
 
 def rollup_status(df: DataFrame, keys: tuple[str, ...] = ("module", "peak_type")) -> DataFrame:
-    return df.rollup(*keys).agg(F.count("*").alias("planned"), F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.count_if(F.col("status") == "FAILED").alias("failed"))
+    return df.rollup(*keys).agg(
+        F.count("*").alias("planned"), F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.count_if(F.col("status") == "FAILED").alias("failed")
+    )
 
 
 #: Columns of the comparison summary, in order.  Fixed values.
-SUMMARY = ["module", "peak_type", "comparison_id", "numerator", "reference", "numerator_replicates", "reference_replicates", "consensus_regions", "tested_sites", "significant_sites", "higher_in_numerator", "higher_in_reference", "alpha", "min_abs_log2fc", "status", "results_all", "results_significant", "summary_file", "message"]
+SUMMARY = [
+    "module", "peak_type", "comparison_id", "numerator", "reference", "numerator_replicates", "reference_replicates", "consensus_regions",
+    "tested_sites", "significant_sites", "higher_in_numerator", "higher_in_reference", "alpha", "min_abs_log2fc", "status", "results_all",
+    "results_significant", "summary_file", "message"
+]
 
 
-def comparison_status(plan: DataFrame, conditions: DataFrame, results: DataFrame, failures: DataFrame, module: str, peak_type: str, consensus_regions: int, alpha: float, min_lfc: float) -> DataFrame:
+def comparison_status(
+    plan: DataFrame, conditions: DataFrame, results: DataFrame, failures: DataFrame, module: str, peak_type: str, consensus_regions: int,
+    alpha: float, min_lfc: float
+) -> DataFrame:
     """The 19 columns of SUMMARY, a row for each planned comparison, or one SKIPPED row if none is planned.
 
     plan: comparison_id, numerator, reference; conditions: condition, replicates; results: comparison_id, log2_fc, padj;
@@ -261,7 +304,10 @@ def comparison_status(plan: DataFrame, conditions: DataFrame, results: DataFrame
     name = lambda kind: F.when(~failed, F.concat("comparison_id", F.lit(kind)))
     out = out.withColumns({"results_all": name(".all.tsv"), "results_significant": name(".significant.tsv"), "summary_file": name(".summary.txt")})
     out = out.withColumns({"module": F.lit(module), "peak_type": F.lit(peak_type), "alpha": F.lit(alpha), "min_abs_log2fc": F.lit(min_lfc)}).select(*SUMMARY)
-    skipped = {"module": F.lit(module), "peak_type": F.lit(peak_type), "consensus_regions": F.lit(consensus_regions).cast("long"), "alpha": F.lit(alpha), "min_abs_log2fc": F.lit(min_lfc), "status": F.lit("SKIPPED"), "message": F.lit("fewer than two conditions have enough replicates")}
+    skipped = {
+        "module": F.lit(module), "peak_type": F.lit(peak_type), "consensus_regions": F.lit(consensus_regions).cast("long"), "alpha": F.lit(alpha),
+        "min_abs_log2fc": F.lit(min_lfc), "status": F.lit("SKIPPED"), "message": F.lit("fewer than two conditions have enough replicates")
+    }
     none = plan.agg(F.count("*").alias("_n")).filter("_n = 0")
     return out.unionByName(none.select(*[skipped.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in out.schema]))
 
@@ -269,11 +315,18 @@ def comparison_status(plan: DataFrame, conditions: DataFrame, results: DataFrame
 def check_counts(counts: DataFrame, regions: DataFrame, samples: DataFrame) -> DataFrame:
     """One row: cells missing from the full matrix, negative and fractional ones."""
     want = regions.select("region_id").distinct().count() * samples.select("sample_key").distinct().count()
-    return counts.agg((F.lit(want) - F.count("*")).alias("missing"), F.count_if(F.col("n") < 0).alias("negative"), F.count_if(F.col("n") != F.floor("n")).alias("fractional"), F.count_if(F.col("n").isNull()).alias("null_cells"))
+    return counts.agg(
+        (F.lit(want) - F.count("*")).alias("missing"), F.count_if(F.col("n") < 0).alias("negative"),
+        F.count_if(F.col("n") != F.floor("n")).alias("fractional"), F.count_if(F.col("n").isNull()).alias("null_cells")
+    )
 
 
 def check_ccre(df: DataFrame, expected: int | None = None, genome: str = "hg38") -> DataFrame:
     """One row: records, those off the canonical chromosomes, with bad coordinates, or with a class outside the vocabulary."""
     good = F.forall(F.split(F.col("ccre_class"), "[;,]"), lambda c: c.isin(*readers.CLASSES))
-    out = df.agg(F.count("*").alias("records"), F.count_if(~reads.is_canonical(genome)).alias("noncanonical"), F.count_if((F.col("start_pos") < 0) | (F.col("end_pos") <= F.col("start_pos"))).alias("bad_coordinates"), F.count_if(~good).alias("unknown_class"))
+    out = df.agg(
+        F.count("*").alias("records"), F.count_if(~reads.is_canonical(genome)).alias("noncanonical"),
+        F.count_if((F.col("start_pos") < 0) | (F.col("end_pos") <= F.col("start_pos"))).alias("bad_coordinates"),
+        F.count_if(~good).alias("unknown_class")
+    )
     return out.withColumn("count_matches", F.lit(True) if expected is None else F.col("records") == expected)

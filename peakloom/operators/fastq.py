@@ -16,7 +16,10 @@ def position_profile(reads: DataFrame) -> DataFrame:
     x = reads.select(F.posexplode(F.split("seq", "")).alias("position", "base"), "qual").filter("base <> ''")
     x = x.withColumn("q", F.ascii(F.substring("qual", F.col("position") + 1, F.lit(1))) - 33)
     base = [F.count_if(F.col("base") == b).alias(f"n_{b.lower()}") for b in "ACGTN"]
-    return x.groupBy("position").agg(F.count("*").alias("reads"), F.round(F.avg("q"), 6).alias("mean_quality"), F.percentile("q", F.lit(0.25)).alias("q25"), F.percentile("q", F.lit(0.5)).alias("q50"), F.percentile("q", F.lit(0.75)).alias("q75"), *base)
+    return x.groupBy("position").agg(
+        F.count("*").alias("reads"), F.round(F.avg("q"), 6).alias("mean_quality"), F.percentile("q", F.lit(0.25)).alias("q25"),
+        F.percentile("q", F.lit(0.5)).alias("q50"), F.percentile("q", F.lit(0.75)).alias("q75"), *base
+    )
 
 
 def read_profile(reads: DataFrame) -> DataFrame:
@@ -26,7 +29,9 @@ def read_profile(reads: DataFrame) -> DataFrame:
     adapter = F.lit(False)
     for a in ADAPTERS:
         adapter = adapter | F.contains("seq", F.lit(a))
-    return reads.groupBy(n.cast("long").alias("length"), F.when(n > 0, F.floor(100 * gc / n)).alias("gc_percent")).agg(F.count("*").alias("reads"), F.sum(F.length(F.regexp_replace("seq", "[^N]", ""))).alias("n_bases"), F.count_if(adapter).alias("with_adapter"))
+    return reads.groupBy(n.cast("long").alias("length"), F.when(n > 0, F.floor(100 * gc / n)).alias("gc_percent")).agg(
+        F.count("*").alias("reads"), F.sum(F.length(F.regexp_replace("seq", "[^N]", ""))).alias("n_bases"), F.count_if(adapter).alias("with_adapter")
+    )
 
 
 def duplication_levels(reads: DataFrame) -> DataFrame:

@@ -38,7 +38,10 @@ def depth_segments(df: DataFrame, keys: list[str], tile: int = TILE, weight: Col
     """Segments between neighbouring boundaries with the number (or summed weight) of intervals over them; tile borders cut too."""
     w = F.lit(1).cast("long") if weight is None else weight
     cut = cut_at_tiles(df.withColumn("_w", w).select(*keys, S, E, "_w"), tile)
-    events = cut.select(*keys, "_tile", F.explode(F.array(F.struct(F.col(S).alias("pos"), F.col("_w").alias("d")), F.struct(F.col(E).alias("pos"), (-F.col("_w")).alias("d")))).alias("x")).select(*keys, "_tile", "x.*")
+    events = cut.select(
+        *keys, "_tile",
+        F.explode(F.array(F.struct(F.col(S).alias("pos"), F.col("_w").alias("d")), F.struct(F.col(E).alias("pos"), (-F.col("_w")).alias("d")))).alias("x")
+    ).select(*keys, "_tile", "x.*")
     sums = events.groupBy(*keys, "_tile", "pos").agg(F.sum("d").alias("d"))
     by = Window.partitionBy(*keys, "_tile").orderBy("pos")
     run = sums.withColumns({"depth": F.sum("d").over(by.rowsBetween(Window.unboundedPreceding, 0)), E: F.lead("pos").over(by)})
@@ -130,7 +133,9 @@ def salted(left: DataFrame, right: DataFrame, by: list[str], tasks: int | None =
     return dealt, right.join(hot, by, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_width: int = 2000, coarse: int = 64, salt: bool | None = None) -> DataFrame:
+def overlap_join(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("chrom",), bin_width: int = 2000, coarse: int = 64, salt: bool | None = None
+) -> DataFrame:
     """All pairs of overlapping intervals, once each; right's other columns must not clash, its interval is (r_start, r_end).
 
     Intervals over 8 bins long use bins `coarse` times wider, so a long one does not explode; each pair meets on one resolution
@@ -147,7 +152,9 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("ch
             return F.transform(bins(s, e, width), lambda b: F.struct(F.lit(level).alias("_level"), b.alias("_bin")))
 
         pick = lambda levels: F.flatten(F.array(*[at(*x) for x in levels]))
-        return df.withColumn("_x", F.explode(F.when(F.col(e) - F.col(s) <= 8 * bin_width, pick(short)).otherwise(pick(long)))).select(*df.columns, "_x._level", "_x._bin")
+        return df.withColumn(
+            "_x", F.explode(F.when(F.col(e) - F.col(s) <= 8 * bin_width, pick(short)).otherwise(pick(long)))
+        ).select(*df.columns, "_x._level", "_x._bin")
 
     right = right.withColumnsRenamed({S: "r_start", E: "r_end"})
     a = spread(left, S, E, [(0, bin_width), (1, wide)], [(2, wide)])
@@ -163,7 +170,10 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("ch
     return both.filter((F.col(S) < F.col("r_end")) & (F.col("r_start") < F.col(E)) & (F.col("_bin") == meet)).drop("_level", "_bin")
 
 
-def with_flag(left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys: tuple[str, ...] = ("chrom",), width: int = 2000, coarse: int = 64, salt: bool | None = None) -> DataFrame:
+def with_flag(
+    left: DataFrame, right: DataFrame, ids: list[str], flag: str, keys: tuple[str, ...] = ("chrom",), width: int = 2000, coarse: int = 64,
+    salt: bool | None = None
+) -> DataFrame:
     """Adds whether a row of left overlaps any interval of right; ids tell left's rows apart.  salt: as in overlap_join().
 
     Right is merged, and each bin lists the merged intervals that reach it or the bin after it: a row no longer than a bin finds
@@ -214,21 +224,34 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, position: str,
     after it; where a tile has none, that of the nearest tile which has, from a table of a row a tile.
     """
     kind = targets.select(F.struct(F.col(position), F.col(name)).alias("_t")).schema["_t"].dataType
-    t = targets.groupBy(key, position).agg(F.min(name).alias(name)).select(key, F.col(position).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(position), F.col(name)).alias("_t"))
+    t = targets.groupBy(key, position).agg(F.min(name).alias(name)).select(
+        key, F.col(position).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(position), F.col(name)).alias("_t")
+    )
     t = t.withColumns({point_id: F.lit(None).cast(points.schema[point_id].dataType), S: F.lit(None).cast("long"), E: F.lit(None).cast("long")})
-    p = points.select(key, F.col(S).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_t"), point_id, F.col(S).cast("long").alias(S), F.col(E).cast("long").alias(E))
+    p = points.select(
+        key, F.col(S).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_t"), point_id, F.col(S).cast("long").alias(S),
+        F.col(E).cast("long").alias(E)
+    )
     both = t.unionByName(p).withColumn("_tile", F.floor(F.col("_at") / tile))
     tiles = both.groupBy(key, "_tile").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     over = Window.partitionBy(key).orderBy("_tile")  # a row a tile
     earlier, later = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
-    carried = tiles.select(key, "_tile", F.last("_last", ignorenulls=True).over(earlier).alias("_before"), F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    carried = tiles.select(
+        key, "_tile", F.last("_last", ignorenulls=True).over(earlier).alias("_before"),
+        F.first("_first", ignorenulls=True).over(later).alias("_after")
+    )
     # what tiles before and after have stands as a row at a tile's begin and end
     row = lambda at, kind, t: F.struct((at * tile).alias("_at"), F.lit(kind).alias("_kind"), F.col(t).alias("_t"))
     ends = carried.select(key, "_tile", F.inline(F.array(row(F.col("_tile"), -1, "_before"), row(F.col("_tile") + 1, 2, "_after"))))
     both = both.unionByName(ends.filter("_t is not null"), allowMissingColumns=True)
     inside = Window.partitionBy(key, "_tile").orderBy("_at", "_kind")
     # targets at the start itself count as before, so what follows lies strictly after it
-    x = both.withColumns({"_b": F.last("_t", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_t", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))}).filter("_kind = 1")
+    x = both.withColumns(
+        {
+            "_b": F.last("_t", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+            "_a": F.first("_t", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+        }
+    ).filter("_kind = 1")
     gap_b = F.when(F.col("_b").isNotNull(), F.col(S) - F.col(f"_b.{position}"))
     gap_a = F.when(F.col("_a").isNotNull(), F.greatest(F.lit(0), F.col(f"_a.{position}") - (F.col(E) - 1)))
     take_b = F.col("_b").isNotNull() & (F.col("_a").isNull() | (gap_b <= gap_a))
@@ -239,7 +262,9 @@ def nearest(points: DataFrame, targets: DataFrame, point_id: str, position: str,
 def chrom_rank(column: str = "chrom", autosomes: int = 22) -> Column:
     """1..autosomes, X, Y, M in natural order; others after them."""
     core = F.regexp_replace(F.col(column), "^chr", "")
-    return F.when(core.rlike("^[0-9]+$"), core.try_cast("int") if hasattr(core, "try_cast") else core.cast("int")).when(core == "X", 1001).when(core == "Y", 1002).when(core.isin("M", "MT"), 1003).otherwise(2000)
+    return F.when(
+        core.rlike("^[0-9]+$"), core.try_cast("int") if hasattr(core, "try_cast") else core.cast("int")
+    ).when(core == "X", 1001).when(core == "Y", 1002).when(core.isin("M", "MT"), 1003).otherwise(2000)
 
 
 def number(df: DataFrame, order: list[Column], bucket: list[Column]) -> DataFrame:

@@ -54,7 +54,9 @@ def paired_segments(treated: DataFrame, control: DataFrame, keys: list[str], til
 
     def events(df: DataFrame, own: int, other: int) -> DataFrame:
         step = lambda c, sign: F.struct(F.col(c).alias("pos"), F.lit(sign * own).cast("long").alias("d"), F.lit(sign * other).cast("long").alias("c"))
-        return iv.cut_at_tiles(df.select(*keys, S, E), tile).select(*keys, "_tile", F.explode(F.array(step(S, 1), step(E, -1))).alias("x")).select(*keys, "_tile", "x.*")
+        return iv.cut_at_tiles(df.select(*keys, S, E), tile).select(
+            *keys, "_tile", F.explode(F.array(step(S, 1), step(E, -1))).alias("x")
+        ).select(*keys, "_tile", "x.*")
 
     sums = events(treated, 1, 0).unionByName(events(control, 0, 1)).groupBy(*keys, "_tile", "pos").agg(F.sum("d").alias("d"), F.sum("c").alias("c"))
     by = Window.partitionBy(*keys, "_tile").orderBy("pos")
@@ -110,7 +112,9 @@ def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, c
     hist = scored.groupBy("sample_key", F.round("score", 3).alias("_sc")).agg(F.sum(F.col(E) - F.col(S)).alias("_bp"))
     down, all_ = Window.partitionBy("sample_key").orderBy(F.col("_sc").desc()), Window.partitionBy("sample_key")
     raw = F.col("_sc") + F.log10(F.sum("_bp").over(down)) - F.log10(F.greatest(F.sum("_bp").over(all_).cast("double"), F.lit(float(genome_size))))
-    q = hist.withColumn("_q", raw).withColumn("q", F.greatest(F.lit(0.0), F.max("_q").over(Window.partitionBy("sample_key").orderBy("_sc")))).select("sample_key", "_sc", "q")
+    q = hist.withColumn("_q", raw).withColumn(
+        "q", F.greatest(F.lit(0.0), F.max("_q").over(Window.partitionBy("sample_key").orderBy("_sc")))
+    ).select("sample_key", "_sc", "q")
     return scored.withColumn("_sc", F.round("score", 3)).join(q, ["sample_key", "_sc"]).select("sample_key", "chrom", S, E, "depth", "lam", "score", "q")
 
 
@@ -126,7 +130,10 @@ def call(segments: DataFrame, cutoff: float = 0.05, gap: int = 150, least: int =
         x = x.withColumn("_new", F.when(F.col(S) - F.lag(E).over(w) <= gap, 0).otherwise(1)).withColumn("_p", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         return x.groupBy(*keys, "_p").agg(F.min(S).alias(S), F.max(E).alias(E), *[F.max(c).alias(c) for c in best], F.max("top").alias("top")).drop("_p")
 
-    good = segments.filter(F.col("q") >= -math.log10(cutoff)).select(*by, S, E, F.col("depth").alias("signal"), F.col("score").alias("pvalue"), F.col("q").alias("qvalue"), F.struct("depth", (-F.col(S)).alias("at"), F.floor((F.col(S) + F.col(E)) / 2).alias("mid")).alias("top"))
+    good = segments.filter(F.col("q") >= -math.log10(cutoff)).select(
+        *by, S, E, F.col("depth").alias("signal"), F.col("score").alias("pvalue"), F.col("q").alias("qvalue"),
+        F.struct("depth", (-F.col(S)).alias("at"), F.floor((F.col(S) + F.col(E)) / 2).alias("mid")).alias("top")
+    )
     pieces = gathered(good.withColumn("_tile", F.floor(F.col(S) / tile)), [*by, "_tile"]).drop("_tile")
     near = (F.col(S) % tile <= gap) | (F.pmod(-F.col(E), F.lit(tile)) <= gap) | (F.floor(F.col(S) / tile) != F.floor((F.col(E) - 1) / tile))
     out = pieces.filter(~near).unionByName(gathered(pieces.filter(near), by))
@@ -148,7 +155,10 @@ def with_zero_peaks(samples: DataFrame, peaks: DataFrame, allow_zero: bool = Tru
     return n.withColumn("n_peaks", F.coalesce("n_peaks", zero).cast("long"))
 
 
-def differential_by_recount(mates: DataFrame, peaks: DataFrame, depth: DataFrame, conditions: dict[str, str], order: list[str], half: int = 100, blocks: dict[str, dict[str, str]] | None = None) -> DataFrame:
+def differential_by_recount(
+    mates: DataFrame, peaks: DataFrame, depth: DataFrame, conditions: dict[str, str], order: list[str], half: int = 100,
+    blocks: dict[str, dict[str, str]] | None = None
+) -> DataFrame:
     """Consensus of all samples, summit windows, recount of eligible samples, library-size factors, the shared model
     `~ [block +] condition`; stats.report() makes the report of it."""
     from . import counting

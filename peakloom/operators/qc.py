@@ -19,7 +19,10 @@ def share(n: Column, d: Column) -> Column:
 
 def mapq_bins(df: DataFrame) -> DataFrame:
     q = F.col("mapq")
-    return df.groupBy("sample_key").agg(F.count_if(q == 0).alias("mapq_0"), F.count_if((q >= 1) & (q <= 9)).alias("mapq_1_9"), F.count_if((q >= 10) & (q <= 29)).alias("mapq_10_29"), F.count_if(q >= 30).alias("mapq_30"), F.count_if("has_xs").alias("xs_tagged"))
+    return df.groupBy("sample_key").agg(
+        F.count_if(q == 0).alias("mapq_0"), F.count_if((q >= 1) & (q <= 9)).alias("mapq_1_9"), F.count_if((q >= 10) & (q <= 29)).alias("mapq_10_29"),
+        F.count_if(q >= 30).alias("mapq_30"), F.count_if("has_xs").alias("xs_tagged")
+    )
 
 
 def mito_percent(df: DataFrame) -> DataFrame:
@@ -28,7 +31,9 @@ def mito_percent(df: DataFrame) -> DataFrame:
 
 
 def reads_per_mb(df: DataFrame, sizes: DataFrame) -> DataFrame:
-    return df.groupBy("sample_key", "chrom").agg(F.count("*").alias("n")).join(sizes, "chrom").select("sample_key", "chrom", "n", (F.col("n") / F.col("size") * 1e6).alias("per_mb"))
+    return df.groupBy("sample_key", "chrom").agg(F.count("*").alias("n")).join(sizes, "chrom").select(
+        "sample_key", "chrom", "n", (F.col("n") / F.col("size") * 1e6).alias("per_mb")
+    )
 
 
 def peak_stats(peaks: DataFrame) -> DataFrame:
@@ -62,25 +67,38 @@ def frip_by_peak_set(records: DataFrame, sets: dict[str, DataFrame], ids: list[s
         else:
             own = own.withColumn(f"_has_{name}", F.lit(True))
     out = marked.groupBy("sample_key").agg(F.count("*").alias("mapped"), *[F.count_if(f"_{n}").alias(f"_{n}") for n in sets]).join(own, "sample_key")
-    return out.select("sample_key", "mapped", *[F.when(F.col(f"_has_{n}"), F.round(share(F.col(f"_{n}"), F.col("mapped")), 4)).alias(f"frip_{n}") for n in sets])
+    return out.select("sample_key", "mapped", *[
+        F.when(F.col(f"_has_{n}"), F.round(share(F.col(f"_{n}"), F.col("mapped")), 4)).alias(f"frip_{n}") for n in sets
+    ])
 
 
 def duplication(df: DataFrame) -> DataFrame:
-    return df.groupBy("sample_key").agg(F.count("*").alias("examined"), F.count_if("is_dup").alias("duplicates"), F.round(100 * F.count_if("is_dup") / F.count("*"), 2).alias("percent_duplication"))
+    return df.groupBy("sample_key").agg(
+        F.count("*").alias("examined"), F.count_if("is_dup").alias("duplicates"),
+        F.round(100 * F.count_if("is_dup") / F.count("*"), 2).alias("percent_duplication")
+    )
 
 
 def alignment_stats(df: DataFrame) -> DataFrame:
     bit = lambda n: F.col("flag").bitwiseAND(F.lit(n)) != 0
-    return df.groupBy("sample_key").agg(F.count("*").alias("total"), F.count_if(~bit(4)).alias("mapped"), F.count_if(bit(1)).alias("paired"), F.count_if(bit(2)).alias("proper"), F.count_if(bit(1024)).alias("duplicates"), F.count_if(bit(256)).alias("secondary"), F.count_if(bit(2048)).alias("supplementary"), F.round(F.avg(F.when(bit(2), F.abs("tlen"))), 4).alias("mean_insert"))
+    return df.groupBy("sample_key").agg(
+        F.count("*").alias("total"), F.count_if(~bit(4)).alias("mapped"), F.count_if(bit(1)).alias("paired"), F.count_if(bit(2)).alias("proper"),
+        F.count_if(bit(1024)).alias("duplicates"), F.count_if(bit(256)).alias("secondary"), F.count_if(bit(2048)).alias("supplementary"),
+        F.round(F.avg(F.when(bit(2), F.abs("tlen"))), 4).alias("mean_insert")
+    )
 
 
 def length_histogram(df: DataFrame, longest: int = 1000) -> DataFrame:
     """Counts for every length 1..longest, and the sample's total and overflow on each row."""
     x = reads.fragment_lengths(df)
     hist = x.groupBy("sample_key", "length").agg(F.count("*").alias("n"))  # a row a length
-    total = hist.groupBy("sample_key").agg(F.sum("n").alias("total"), F.coalesce(F.sum(F.when(F.col("length") > longest, F.col("n"))), F.lit(0)).alias("overflow"))
+    total = hist.groupBy("sample_key").agg(
+        F.sum("n").alias("total"), F.coalesce(F.sum(F.when(F.col("length") > longest, F.col("n"))), F.lit(0)).alias("overflow")
+    )
     grid = total.withColumn("length", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(longest).cast("long"))))
-    return grid.join(hist, ["sample_key", "length"], "left").select("sample_key", "length", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "total", "overflow")
+    return grid.join(hist, ["sample_key", "length"], "left").select(
+        "sample_key", "length", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "total", "overflow"
+    )
 
 
 def periodicity(hist: DataFrame) -> DataFrame:
@@ -88,20 +106,29 @@ def periodicity(hist: DataFrame) -> DataFrame:
     n, length = F.col("n"), F.col("length")
     within = lambda a, b: F.coalesce(F.sum(F.when(length.between(a, b), n)), F.lit(0))
     top = lambda a, b: F.max_by(F.when(length.between(a, b) & (n > 0), length), F.when(length.between(a, b) & (n > 0), F.struct(n, -length)))
-    out = hist.groupBy("sample_key").agg(F.max("total").alias("total"), F.max("overflow").alias("overflow"), *[within(a, b).alias(c) for c, (a, b) in CLASSES.items()], top(150, 260).alias("mono"), top(300, 500).alias("di"))
+    out = hist.groupBy("sample_key").agg(
+        F.max("total").alias("total"), F.max("overflow").alias("overflow"), *[within(a, b).alias(c) for c, (a, b) in CLASSES.items()],
+        top(150, 260).alias("mono"), top(300, 500).alias("di")
+    )
     c = [F.col(k) for k in CLASSES]
     d = lambda x: x.cast("double")
     metrics = [("proper_pair_fragments", d(F.col("total"))), ("fragments_above_plot_max", d(F.col("overflow")))]
     for k, x in zip(CLASSES, c, strict=True):
         metrics += [(f"{k}_count", d(x)), (f"{k}_fraction", share(x, F.col("total")))]
     spacing = F.col("di") - F.col("mono")
-    metrics += [("nfr_to_mononucleosome_ratio", share(c[0], c[1])), ("periodic_fragment_fraction", share(c[1] + c[2] + c[3], F.col("total"))), ("mononucleosome_local_peak_bp", d(F.col("mono"))), ("dinucleosome_local_peak_bp", d(F.col("di"))), ("mono_to_di_peak_spacing_bp", d(spacing)), ("mono_to_di_spacing_deviation_from_200_bp", d(F.abs(spacing - 200)))]
+    metrics += [
+        ("nfr_to_mononucleosome_ratio", share(c[0], c[1])), ("periodic_fragment_fraction", share(c[1] + c[2] + c[3], F.col("total"))),
+        ("mononucleosome_local_peak_bp", d(F.col("mono"))), ("dinucleosome_local_peak_bp", d(F.col("di"))),
+        ("mono_to_di_peak_spacing_bp", d(spacing)), ("mono_to_di_spacing_deviation_from_200_bp", d(F.abs(spacing - 200)))
+    ]
     return out.select("sample_key", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics])))
 
 
 def short_mono_ratio(df: DataFrame) -> DataFrame:
     x = reads.fragment_lengths(df)
-    return x.groupBy("sample_key").agg(share(F.count_if(F.col("length").between(50, 100)), F.count_if(F.col("length").between(150, 200))).alias("short_mononucleosomal_ratio"))
+    return x.groupBy("sample_key").agg(
+        share(F.count_if(F.col("length").between(50, 100)), F.count_if(F.col("length").between(150, 200))).alias("short_mononucleosomal_ratio")
+    )
 
 
 def tss_profile(units: DataFrame, genes: DataFrame, blacklist: DataFrame, reach: int = 1000) -> DataFrame:
@@ -117,7 +144,10 @@ def tss_profile(units: DataFrame, genes: DataFrame, blacklist: DataFrame, reach:
     pairs = iv.overlap_join(units.select("sample_key", "chrom", S, E), window.select("chrom", S, E, "tss", "strand"))
     first, last = F.greatest(S, "r_start") - F.col("tss"), F.least(E, "r_end") - 1 - F.col("tss")
     minus = F.col("strand") == "-"
-    events = F.array(F.struct(F.when(minus, -last).otherwise(first).alias("position"), F.lit(1).alias("d")), F.struct((F.when(minus, -first).otherwise(last) + 1).alias("position"), F.lit(-1).alias("d")))
+    events = F.array(
+        F.struct(F.when(minus, -last).otherwise(first).alias("position"), F.lit(1).alias("d")),
+        F.struct((F.when(minus, -first).otherwise(last) + 1).alias("position"), F.lit(-1).alias("d"))
+    )
     steps = pairs.select("sample_key", F.explode(events).alias("x")).groupBy("sample_key", F.col("x.position").alias("position")).agg(F.sum("x.d").alias("d"))
     every = steps.select("sample_key").distinct().withColumn("position", F.explode(F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))))
     run = Window.partitionBy("sample_key").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
@@ -135,7 +165,10 @@ def fingerprint(bins: DataFrame) -> DataFrame:
     """Lorenz curve of bin counts (zero bins left out) from a histogram: (sample_key, n, bins_share, reads_share)."""
     hist = bins.filter("n > 0").groupBy("sample_key", "n").agg(F.count("*").alias("k"))
     up, all_ = Window.partitionBy("sample_key").orderBy("n"), Window.partitionBy("sample_key")
-    return hist.select("sample_key", "n", (F.sum("k").over(up) / F.sum("k").over(all_)).alias("bins_share"), (F.sum(F.col("k") * F.col("n")).over(up) / F.sum(F.col("k") * F.col("n")).over(all_)).alias("reads_share"))
+    return hist.select(
+        "sample_key", "n", (F.sum("k").over(up) / F.sum("k").over(all_)).alias("bins_share"),
+        (F.sum(F.col("k") * F.col("n")).over(up) / F.sum(F.col("k") * F.col("n")).over(all_)).alias("reads_share")
+    )
 
 
 def fingerprint_metrics(curve: DataFrame) -> DataFrame:
@@ -144,7 +177,10 @@ def fingerprint_metrics(curve: DataFrame) -> DataFrame:
     px, py = F.coalesce(F.lag("bins_share").over(w), F.lit(0.0)), F.coalesce(F.lag("reads_share").over(w), F.lit(0.0))
     x = curve.withColumn("_a", (F.col("bins_share") - px) * (F.col("reads_share") + py) / 2)
     gap = F.col("bins_share") - F.col("reads_share")
-    return x.groupBy("sample_key").agg(F.round(F.sum("_a"), 6).alias("auc"), F.round(F.max(gap), 6).alias("elbow_gap"), F.round(F.min(F.when(F.col("reads_share") >= 0.01, F.col("bins_share"))), 6).alias("x_intercept"))
+    return x.groupBy("sample_key").agg(
+        F.round(F.sum("_a"), 6).alias("auc"), F.round(F.max(gap), 6).alias("elbow_gap"),
+        F.round(F.min(F.when(F.col("reads_share") >= 0.01, F.col("bins_share"))), 6).alias("x_intercept")
+    )
 
 
 def centre_matrix(cov: DataFrame, regions: DataFrame, reach: int = 2000, width: int = 10) -> DataFrame:
@@ -184,7 +220,10 @@ def summary(stats: DataFrame) -> DataFrame:
 
 
 #: Columns of the summary row, in order.  Fixed values.
-SUMMARY = ["sample_id", "assay", "bam_file", "total_reads", "duplication_pct", "bl_filtered_reads", "mito_reads", "mito_pct", "n_narrow_peaks", "n_broad_peaks", "peak_width_median", "peak_max_signal", "frip_narrow", "frip_broad", "qc_status", "notes"]
+SUMMARY = [
+    "sample_id", "assay", "bam_file", "total_reads", "duplication_pct", "bl_filtered_reads", "mito_reads", "mito_pct", "n_narrow_peaks",
+    "n_broad_peaks", "peak_width_median", "peak_max_signal", "frip_narrow", "frip_broad", "qc_status", "notes"
+]
 
 
 def summary_rows(records: DataFrame, peaks: DataFrame, sheet: DataFrame, ids: list[str], folder: str = "filtered") -> DataFrame:
@@ -194,16 +233,27 @@ def summary_rows(records: DataFrame, peaks: DataFrame, sheet: DataFrame, ids: li
     without records has 0 reads, without peaks 0 peaks, and null where there is nothing to divide or measure.
     """
     mapped = F.col("flag").bitwiseAND(F.lit(4)) == 0
-    reads_ = records.groupBy("sample_key").agg(F.count_if(mapped).alias("total_reads"), F.round(100 * F.count_if("is_dup") / F.count("*"), 2).alias("duplication_pct"), F.count_if(mapped & reads.is_mito()).alias("mito_reads"))
+    reads_ = records.groupBy("sample_key").agg(
+        F.count_if(mapped).alias("total_reads"), F.round(100 * F.count_if("is_dup") / F.count("*"), 2).alias("duplication_pct"),
+        F.count_if(mapped & reads.is_mito()).alias("mito_reads")
+    )
     narrow, broad = (peaks.filter(F.col("peak_type") == k) for k in ("narrow", "broad"))
-    n = peak_stats(narrow).select("sample_key", F.col("n_peaks").alias("n_narrow"), F.col("median_width").alias("peak_width_median"), F.col("max_signal").alias("peak_max_signal"))
+    n = peak_stats(narrow).select(
+        "sample_key", F.col("n_peaks").alias("n_narrow"), F.col("median_width").alias("peak_width_median"),
+        F.col("max_signal").alias("peak_max_signal")
+    )
     b = broad.groupBy("sample_key").agg(F.count("*").alias("n_broad"))
     shares = frip_by_peak_set(records.filter(mapped), {"narrow": narrow, "broad": broad}, ids).drop("mapped")
     out = sheet.select("sample_key", "assay")
     for part in (reads_, n, b, shares):
         out = out.join(part, "sample_key", "left")
     zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("total_reads", "mito_reads", "n_narrow", "n_broad")}
-    out = summary(out.withColumns(zero)).withColumns({"mito_pct": F.round(100 * share(F.col("mito_reads"), F.col("total_reads")), 2), "bl_filtered_reads": F.col("total_reads"), "bam_file": F.concat(F.lit(f"{folder}/"), "sample_key", F.lit(".sam")), "notes": F.lit("")})
+    out = summary(out.withColumns(zero)).withColumns(
+        {
+            "mito_pct": F.round(100 * share(F.col("mito_reads"), F.col("total_reads")), 2), "bl_filtered_reads": F.col("total_reads"),
+            "bam_file": F.concat(F.lit(f"{folder}/"), "sample_key", F.lit(".sam")), "notes": F.lit("")
+        }
+    )
     return out.withColumnsRenamed({"sample_key": "sample_id", "n_narrow": "n_narrow_peaks", "n_broad": "n_broad_peaks"}).select(*SUMMARY)
 
 
@@ -213,8 +263,18 @@ def warnings(stats: DataFrame) -> DataFrame:
     none = (F.col("n_narrow") == 0) & (F.col("n_broad") == 0)
     mito = F.floor("mito_percent")
     text = lambda c: F.col(c).cast("string")
-    rules = [("LOW_READS", F.col("total_reads") < 1_000_000, text("total_reads"), "1000000"), ("HIGH_DUPLICATION", F.floor("dup_percent") > 80, text("dup_percent"), "80"), ("HIGH_MITO_ATAC", atac & (mito >= 25), text("mito_percent"), "25"), ("ELEVATED_MITO_ATAC", atac & (mito >= 10) & (mito < 25), text("mito_percent"), "10"), ("ZERO_PEAKS", none, F.lit("0"), "1"), ("FEW_PEAKS", ~none & (F.col("n_narrow") < 200) & (F.col("n_broad") < 200), text("n_narrow"), "200"), ("LOW_FRIP_NARROW", (F.col("n_narrow") > 0) & (F.bround(F.col("frip_narrow") * 100, 0) < 1), text("frip_narrow"), "0.01")]
-    rows = F.array(*[F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(n).alias("warning"), v.alias("value"), F.lit(t).alias("threshold"))) for n, test, v, t in rules])
+    rules = [
+        ("LOW_READS", F.col("total_reads") < 1_000_000, text("total_reads"), "1000000"),
+        ("HIGH_DUPLICATION", F.floor("dup_percent") > 80, text("dup_percent"), "80"),
+        ("HIGH_MITO_ATAC", atac & (mito >= 25), text("mito_percent"), "25"),
+        ("ELEVATED_MITO_ATAC", atac & (mito >= 10) & (mito < 25), text("mito_percent"), "10"), ("ZERO_PEAKS", none, F.lit("0"), "1"),
+        ("FEW_PEAKS", ~none & (F.col("n_narrow") < 200) & (F.col("n_broad") < 200), text("n_narrow"), "200"),
+        ("LOW_FRIP_NARROW", (F.col("n_narrow") > 0) & (F.bround(F.col("frip_narrow") * 100, 0) < 1), text("frip_narrow"), "0.01")
+    ]
+    rows = F.array(*[
+        F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(n).alias("warning"), v.alias("value"), F.lit(t).alias("threshold"))) for n, test, v,
+        t in rules
+    ])
     return stats.select("sample_key", F.inline(F.filter(rows, lambda x: x.isNotNull())))
 
 

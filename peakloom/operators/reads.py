@@ -82,7 +82,9 @@ def first_per_key(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
-def mark_duplicates(df: DataFrame, keys: tuple[str, ...] = ("sample_key", "chrom", "start_pos", "end_pos", "strand"), quality: str = "quality", name: str = "qname") -> DataFrame:
+def mark_duplicates(
+    df: DataFrame, keys: tuple[str, ...] = ("sample_key", "chrom", "start_pos", "end_pos", "strand"), quality: str = "quality", name: str = "qname"
+) -> DataFrame:
     """is_dup: not the best of its key (5' ends and strands), ties by read name.  Unmapped records are never duplicates."""
     w = Window.partitionBy(*keys).orderBy(F.col(quality).desc(), name)
     return df.withColumn("is_dup", (F.row_number().over(w) > 1) & (F.col("flag").bitwiseAND(F.lit(4)) == 0))
@@ -96,9 +98,14 @@ def complete_pairs(df: DataFrame, keys: tuple[str, ...] = ("sample_key", "qname"
 def mates(df: DataFrame, read_length: int = 50) -> DataFrame:
     """The two aligned ranges of each pair, not the gap between them."""
     n = F.least(F.lit(read_length), F.abs("tlen"))
-    pair = F.array(F.struct(F.lit(1).alias("mate"), F.col("start_pos").alias("s"), (F.col("start_pos") + n).alias("e")), F.struct(F.lit(2).alias("mate"), (F.col("end_pos") - n).alias("s"), F.col("end_pos").alias("e")))
+    pair = F.array(
+        F.struct(F.lit(1).alias("mate"), F.col("start_pos").alias("s"), (F.col("start_pos") + n).alias("e")),
+        F.struct(F.lit(2).alias("mate"), (F.col("end_pos") - n).alias("s"), F.col("end_pos").alias("e"))
+    )
     rest = [c for c in df.columns if c not in ("start_pos", "end_pos")]
-    return df.withColumn("_m", F.explode(pair)).select(*rest, F.col("_m.mate").alias("mate"), F.col("_m.s").cast("long").alias("start_pos"), F.col("_m.e").cast("long").alias("end_pos"))
+    return df.withColumn("_m", F.explode(pair)).select(
+        *rest, F.col("_m.mate").alias("mate"), F.col("_m.s").cast("long").alias("start_pos"), F.col("_m.e").cast("long").alias("end_pos")
+    )
 
 
 def funnel(df: DataFrame, stages: list[tuple[str, Column]], key: str = "sample_key") -> DataFrame:
@@ -119,7 +126,10 @@ def filtering_policies(df: DataFrame, canonical: Column, dup: Column) -> DataFra
 
 
 #: Letters that have no ASCII base letter, as transliteration writes them.  Fixed values.
-LETTERS = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Þ": "TH", "þ": "th", "Ł": "L", "ł": "l", "ı": "i"}
+LETTERS = {
+    "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Þ": "TH", "þ": "th", "Ł": "L",
+    "ł": "l", "ı": "i"
+}
 
 
 def base_letters() -> dict[str, str]:

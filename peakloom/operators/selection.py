@@ -67,7 +67,9 @@ def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], few
         # halves, as a difference of large values may be infinite
         place = (F.col("_x") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
         cell = F.least(F.floor(place * cells), F.lit(cells - 1))
-        counts = _inside(values, by, wide).groupBy("_b", cell.alias("cell")).agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")).collect()  # brackets x cells
+        counts = _inside(values, by, wide).groupBy("_b", cell.alias("cell")).agg(
+            F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")
+        ).collect()  # brackets x cells
         for i, b in enumerate(wide):
             below = b.below
             for c in sorted((c for c in counts if c["_b"] == i), key=lambda c: c["cell"]):

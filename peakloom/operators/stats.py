@@ -22,7 +22,10 @@ def sample_pairs(values: DataFrame, row: str = "region_id", value: str = "n", sk
         lists = lists.filter(F.exists("v", lambda s: s["x"] != 0))
     a = lists.select(F.posexplode("v").alias("i", "p"), "v").select("p", F.explode(F.slice(F.col("v"), F.col("i") + 2, F.size("v"))).alias("q"))
     x, y = F.col("p.x"), F.col("q.x")
-    return a.groupBy(F.col("p.sample_key").alias("a"), F.col("q.sample_key").alias("b")).agg(F.count("*").alias("m"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd"))
+    return a.groupBy(F.col("p.sample_key").alias("a"), F.col("q.sample_key").alias("b")).agg(
+        F.count("*").alias("m"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"),
+        F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd")
+    )
 
 
 def pearson(values: DataFrame, row: str = "region_id", value: str = "n", skip_zeros: bool = False) -> DataFrame:
@@ -78,7 +81,9 @@ def bh(df: DataFrame, p: str = "pvalue", keep: Column | None = None, buckets: in
     """
     use = F.col(p).isNotNull() if keep is None else F.col(p).isNotNull() & keep
     hist = df.filter(use).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_k"))
-    hist = hist.withColumn("_b", F.least(F.lit(buckets - 1), F.greatest(F.lit(0), F.floor(-F.log2(F.greatest("_p", F.lit(1e-300))) * 2))))  # larger bucket, smaller p
+    hist = hist.withColumn(
+        "_b", F.least(F.lit(buckets - 1), F.greatest(F.lit(0), F.floor(-F.log2(F.greatest("_p", F.lit(1e-300))) * 2)))
+    )  # larger bucket, smaller p
     sums = hist.groupBy("_b").agg(F.sum("_k").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(F.lit(1)))  # a row a bucket
     before = sums.select("_b", (F.sum("_n").over(Window.orderBy(F.col("_b").desc())) - F.col("_n")).alias("_below"), total.alias("_m"))
@@ -211,7 +216,9 @@ def _gene_dispersions(counts: DataFrame, factors: dict[str, float], of: Design)
     names, x = of.samples, of.x
     offset = np.log(np.array([factors[s] for s in names]))
     wide = counts.filter(F.col("sample_key").isin(names)).groupBy("region_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_key", "n"))).alias("m"))
-    wide = wide.select("region_id", F.array(*[F.coalesce(F.col("m")[s], F.lit(0)).cast("double") for s in names]).alias("k")).filter(F.exists("k", lambda v: v > 0))
+    wide = wide.select(
+        "region_id", F.array(*[F.coalesce(F.col("m")[s], F.lit(0)).cast("double") for s in names]).alias("k")
+    ).filter(F.exists("k", lambda v: v > 0))
 
     def genewise(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -225,7 +232,9 @@ def _gene_dispersions(counts: DataFrame, factors: dict[str, float], of: Design)
                 best = GRID[_likelihood(k, mu, GRID, x).argmax(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base), pa.array(best)], ["region_id", "k", "base_mean", "disp"])
 
-    gene = wide.mapInArrow(genewise, f"region_id {counts.schema['region_id'].dataType.simpleString()}, k array<double>, base_mean double, disp double").persist()
+    gene = wide.mapInArrow(
+        genewise, f"region_id {counts.schema['region_id'].dataType.simpleString()}, k array<double>, base_mean double, disp double"
+    ).persist()
     return gene, offset
 
 
@@ -241,7 +250,9 @@ def _trend(gene: DataFrame) -> tuple[float, float, DataFrame]:
     return a0, slope, t
 
 
-def dispersion_trend(counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str], blocks: dict[str, dict[str, str]] | None = None) -> tuple[float, float]:
+def dispersion_trend(
+    counts: DataFrame, factors: dict[str, float], conditions: dict[str, str], order: list[str], blocks: dict[str, dict[str, str]] | None = None
+) -> tuple[float, float]:
     """(a0, a1) of the dispersion trend a1 / mean + a0 that nb_fit() takes for the same arguments."""
     gene, _ = _gene_dispersions(counts, factors, model(conditions, order, blocks))
     a0, slope, _ = _trend(gene)
@@ -345,7 +356,13 @@ def independent_filter(df: DataFrame, alpha: float, steps: int = 50) -> tuple[Da
     found = []
     sub = df.select("pvalue", "base_mean").filter("pvalue is not null")
     # rejections at every threshold in one pass: BH per threshold over a histogram of -log10 p
-    hist = sub.select(F.floor(-F.log10(F.greatest("pvalue", F.lit(1e-300))) * 20).alias("h"), F.explode(F.filter(F.array(*[F.lit(i) for i in range(len(cuts))]), lambda i: F.col("base_mean") >= F.element_at(F.array(*[F.lit(float(c)) for c in cuts]), i + 1))).alias("t")).groupBy("t", "h").agg(F.count("*").alias("n")).collect()  # thresholds x 6000 bins at most
+    hist = sub.select(
+        F.floor(-F.log10(F.greatest("pvalue", F.lit(1e-300))) * 20).alias("h"),
+        F.explode(F.filter(
+            F.array(*[F.lit(i) for i in range(len(cuts))]),
+            lambda i: F.col("base_mean") >= F.element_at(F.array(*[F.lit(float(c)) for c in cuts]), i + 1)
+        )).alias("t")
+    ).groupBy("t", "h").agg(F.count("*").alias("n")).collect()  # thresholds x 6000 bins at most
     for t in range(len(cuts)):
         bins = sorted(((r.h, r.n) for r in hist if r.t == t), reverse=True)
         m, seen, best = sum(n for _, n in bins), 0, 0
@@ -383,7 +400,10 @@ def ma_table(results: DataFrame, alpha: float = 0.05, limit: float = 5.0) -> Dat
     whether padj is at most alpha.  Regions with mean 0 or without fold change have no point."""
     lfc = F.col("log2_fc")
     points = results.filter((F.col("base_mean") > 0) & lfc.isNotNull())
-    return points.withColumns({"log10_mean": F.log10("base_mean"), "shown_lfc": F.greatest(F.least(lfc, F.lit(limit)), F.lit(-limit)), "beyond": F.when(lfc > limit, "above").when(lfc < -limit, "below"), "significant": F.coalesce(F.col("padj") <= alpha, F.lit(False))})
+    return points.withColumns({
+        "log10_mean": F.log10("base_mean"), "shown_lfc": F.greatest(F.least(lfc, F.lit(limit)), F.lit(-limit)),
+        "beyond": F.when(lfc > limit, "above").when(lfc < -limit, "below"), "significant": F.coalesce(F.col("padj") <= alpha, F.lit(False))
+    })
 
 
 def volcano(df: DataFrame) -> DataFrame:

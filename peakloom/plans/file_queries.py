@@ -113,7 +113,9 @@ def pearson_of_bins(spark, d):
     u = q.units(spark, d)
     counts = counting.bin_counts(u, 10_000).withColumn("region_id", F.concat_ws(":", "chrom", "bin")).select("region_id", "sample_key", "n")
     sizes = u.groupBy("chrom").agg(F.max(E).alias("size"))
-    grid = sizes.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("size") / 10_000))).alias("bin")).select(F.concat_ws(":", "chrom", "bin").alias("region_id"))
+    grid = sizes.select(
+        "chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("size") / 10_000))).alias("bin")
+    ).select(F.concat_ws(":", "chrom", "bin").alias("region_id"))
     return stats.pearson(counting.complete(counts, grid, fx.samples(spark)), skip_zeros=True).withColumn("r", F.round("r", 6))
 
 
@@ -164,7 +166,9 @@ def whole_dashboard(spark, d):
     r"'^_+|_+$', '', 'g') AS t FROM (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents))"
 )
 def transliterated_words(spark, d):
-    words = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word")).distinct()
+    words = spark.read.parquet(f"{d}/documents.parquet").select(
+        F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word")
+    ).distinct()
     return words.withColumn("token", reads.safe_token(F.col("word")))
 
 
@@ -185,8 +189,12 @@ def sorted_tracks(spark, d):
 def track_manifest(spark, d):
     """The manifest by track: files in the order of their parts hold consecutive places."""
     m = writers.bedgraph(q.QUERIES["n2_cpm_track"](spark, d), fx.folder(spark, "bedgraph"), 12)
-    parts = F.array_sort(F.collect_list(F.struct("part", F.struct("first_chrom", "first_start").alias("f"), F.struct("last_chrom", "last_end").alias("l"))))  # a row a file
-    x = m.groupBy("family", "sample_key").agg(F.sum("rows").alias("rows"), F.min("first_chrom").alias("first_chrom"), F.max("last_chrom").alias("last_chrom"), parts.alias("p"))
+    parts = F.array_sort(
+        F.collect_list(F.struct("part", F.struct("first_chrom", "first_start").alias("f"), F.struct("last_chrom", "last_end").alias("l")))
+    )  # a row a file
+    x = m.groupBy("family", "sample_key").agg(
+        F.sum("rows").alias("rows"), F.min("first_chrom").alias("first_chrom"), F.max("last_chrom").alias("last_chrom"), parts.alias("p")
+    )
     follows = F.forall(F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p")), lambda a, b: a["l"] <= b["f"]), lambda ok: ok)
     return x.withColumn("in_order", F.when(F.size("p") < 2, True).otherwise(follows)).drop("p")
 
@@ -234,7 +242,10 @@ def duplication_files(spark, d):
     """A metrics file a sample, with its share of duplicates to six digits, read back in percent."""
     m = qc.duplication(reads.mark_duplicates(q.frag(spark, d)))
     share = F.format_string("%.6f", F.col("duplicates") / F.col("examined"))
-    lines = F.concat(F.lit("## METRICS\nLIBRARY\tREADS\tPERCENT_DUPLICATION\n"), F.concat_ws("\t", "sample_key", F.col("examined").cast("string"), share), F.lit("\n\n## HISTOGRAM\n"))
+    lines = F.concat(
+        F.lit("## METRICS\nLIBRARY\tREADS\tPERCENT_DUPLICATION\n"), F.concat_ws("\t", "sample_key", F.col("examined").cast("string"), share),
+        F.lit("\n\n## HISTOGRAM\n")
+    )
     path = fx.folder(spark, "duplication")
     m.select("sample_key", lines.alias("value")).repartition("sample_key").write.partitionBy("sample_key").text(path)
     out = readers.duplication_metrics(spark, path)
@@ -252,7 +263,10 @@ JSON_SQL = (
 def metrics_files(spark, d):
     """A JSON file a sample, with objects in lists, lists of numbers and names that aren't kept."""
     x = q.frag(spark, d).groupBy("sample_key").agg(F.count("*").alias("n"), F.count_if(F.col("chrom") == "chrM").alias("m"), F.max("tlen").alias("t"))
-    text = F.format_string('{"mitochondrial": {"reads": %d, "none": null}, "other": 5,\n "metrics": {"tss_coverage": %d, "tss_list": [1, 2], "libraries": [{"fragment_length": {"longest": %d}}, {"duplicates": %d}, 7]}}', "m", "n", "t", "m")
+    text = F.format_string(
+        '{"mitochondrial": {"reads": %d, "none": null}, "other": 5,\n "metrics": {"tss_coverage": %d, "tss_list": [1, 2], "libraries": [{"fragment_length": {"longest": %d}}, {"duplicates": %d}, 7]}}',
+        "m", "n", "t", "m"
+    )
     path = fx.folder(spark, "json")
     x.select("sample_key", text.alias("value")).repartition("sample_key").write.partitionBy("sample_key").text(path)
     return readers.metrics_json(spark, path).select(F.regexp_extract("file", "sample_key=([^/]*)/", 1).alias("sample_key"), "path", "value")
@@ -276,14 +290,27 @@ def discovered_summaries(spark, d):
 
 # --- rules that find something in these tables
 
-query("v5_sample_metadata", f"{sq.SHEET} " + " UNION ALL ".join(f"SELECT sample_id, '{c}' AS \"column\" FROM sheet GROUP BY 1 HAVING count(DISTINCT {c}) > 1" for c in design.GROUP))(
+query(
+    "v5_sample_metadata",
+    f"{sq.SHEET} " + " UNION ALL ".join(f"SELECT sample_id, '{c}' AS \"column\" FROM sheet GROUP BY 1 HAVING count(DISTINCT {c}) > 1" for c in design.GROUP)
+)(
     lambda spark, d: design.inconsistent_groups(sq.sheet(spark, d), ["sample_id"], design.GROUP)
 )
-query("v6_controls_that_are_none", f"{sq.SHEET}, {sq.CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c WHERE control)")(
-    lambda spark, d: design.orphans(sq.sheet(spark, d), "control_id", sq.sheet(spark, d).filter(design.is_control()).select(F.trim("sample_id").alias("known")), "known").select("row", "control_id")
+query(
+    "v6_controls_that_are_none",
+    f"{sq.SHEET}, {sq.CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c WHERE control)"
+)(
+    lambda spark, d: design.orphans(
+        sq.sheet(spark, d), "control_id", sq.sheet(spark, d).filter(design.is_control()).select(F.trim("sample_id").alias("known")), "known"
+    ).select("row", "control_id")
 )
-query("f5_single_end_units", f"{fx.cte('frag')} SELECT sample_key, count(*) AS units, sum(end_pos - start_pos)::BIGINT AS bases FROM frag WHERE (flag & 3844) = 0 GROUP BY 1")(
-    lambda spark, d: reads.signal_units(q.frag(spark, d).filter(reads.flags_pass(*reads.POLICIES["stringent", "SE"])), "SE").groupBy("sample_key").agg(F.count("*").alias("units"), F.sum(F.col(E) - F.col(S)).alias("bases"))
+query(
+    "f5_single_end_units",
+    f"{fx.cte('frag')} SELECT sample_key, count(*) AS units, sum(end_pos - start_pos)::BIGINT AS bases FROM frag WHERE (flag & 3844) = 0 GROUP BY 1"
+)(
+    lambda spark, d: reads.signal_units(
+        q.frag(spark, d).filter(reads.flags_pass(*reads.POLICIES["stringent", "SE"])), "SE"
+    ).groupBy("sample_key").agg(F.count("*").alias("units"), F.sum(F.col(E) - F.col(S)).alias("bases"))
 )
 
 

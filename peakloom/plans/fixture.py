@@ -87,7 +87,10 @@ TABLES: dict[str, tuple[str, list[str]]] = {
             "concat(repeat('I', CAST(11 + l_linenumber * 5 AS INT)), CASE WHEN CAST(floor(l_quantity) AS BIGINT) % 2 = 1 THEN '#####' ELSE 'IIIII' "
             "END) AS qual"
         )]),
-    "blacklist": ("supplier", [f"{chrom('(s_suppkey * 3)')} AS chrom", "(s_suppkey * 1777) % 200000 AS start_pos", "(s_suppkey * 1777) % 200000 + 500 AS end_pos"]),
+    "blacklist": (
+        "supplier",
+        [f"{chrom('(s_suppkey * 3)')} AS chrom", "(s_suppkey * 1777) % 200000 AS start_pos", "(s_suppkey * 1777) % 200000 + 500 AS end_pos"]
+    ),
 }
 
 
@@ -121,11 +124,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 def exons(genes: DataFrame) -> DataFrame:
     third, sixth = F.floor((F.col("end_pos") - F.col("start_pos")) / 3), F.floor((F.col("end_pos") - F.col("start_pos")) / 6)
     e = genes.withColumn("i", F.explode(F.array(*[F.lit(x).cast("long") for x in range(3)])))
-    return e.select("gene_id", "chrom", (F.col("start_pos") + F.col("i") * third).alias("start_pos"), (F.col("start_pos") + F.col("i") * third + F.greatest(sixth, F.lit(1))).alias("end_pos"))
+    return e.select(
+        "gene_id", "chrom", (F.col("start_pos") + F.col("i") * third).alias("start_pos"),
+        (F.col("start_pos") + F.col("i") * third + F.greatest(sixth, F.lit(1))).alias("end_pos")
+    )
 
 
 def samples(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, k, c, int(k[-1])) for i, (k, c) in enumerate(zip(KEYS, CONDITIONS, strict=True))], "sheet_order int, sample_key string, condition string, replicate int").coalesce(1)
+    return spark.createDataFrame(
+        [(i, k, c, int(k[-1])) for i, (k, c) in enumerate(zip(KEYS, CONDITIONS, strict=True))],
+        "sheet_order int, sample_key string, condition string, replicate int"
+    ).coalesce(1)
 
 
 def cte(*names: str) -> str:

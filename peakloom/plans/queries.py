@@ -47,7 +47,10 @@ def called(spark: SparkSession, d: str) -> DataFrame:
 def sheet(spark: SparkSession, d: str) -> DataFrame:
     """The sample sheet of the samples that peaks name, in the order of their numbers."""
     p = fx.table(spark, d, "peaks").groupBy("sample_key").agg(F.min(F.col("peak_no") % 7).cast("int").alias("sheet_order"))
-    return p.select("sheet_order", "sample_key", F.regexp_extract("sample_key", "^(.*)_bioR[0-9]+$", 1).alias("condition"), F.regexp_extract("sample_key", "([0-9]+)$", 1).cast("int").alias("replicate"))
+    return p.select(
+        "sheet_order", "sample_key", F.regexp_extract("sample_key", "^(.*)_bioR[0-9]+$", 1).alias("condition"),
+        F.regexp_extract("sample_key", "([0-9]+)$", 1).cast("int").alias("replicate")
+    )
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
@@ -109,13 +112,17 @@ query("f1_flag_policies",
     "GROUP BY 1"
 )(
     lambda spark, d: frag(spark, d).groupBy("sample_key").agg(*[F.count_if(reads.flags_pass(*reads.POLICIES[k])).alias(n) for n, k in (("stringent", ("stringent", "PE")), ("sensitivity", ("sensitivity", "PE")), ("stringent_se", ("stringent", "SE")))], F.count_if(F.col("mapq") >= 30).alias("mapq30")))
-query("f3_canonical_contigs", f"{fx.cte('frag')} SELECT sample_key, chrom, count(*) AS n, {CANON} AS kept FROM frag GROUP BY 1, 2")(lambda spark, d: qc.contig_report(frag(spark, d)))
+query(
+    "f3_canonical_contigs", f"{fx.cte('frag')} SELECT sample_key, chrom, count(*) AS n, {CANON} AS kept FROM frag GROUP BY 1, 2"
+)(lambda spark, d: qc.contig_report(frag(spark, d)))
 query("f5_signal_units",
     f"{fx.cte('frag')} SELECT sample_key, count(*) AS units, sum(tlen)::BIGINT AS bases FROM frag WHERE (flag & 66) = 66 AND (flag & 4) = 0 GROUP "
     "BY 1"
 )(
     lambda spark, d: reads.signal_units(frag(spark, d), "PE").groupBy("sample_key").agg(F.count("*").alias("units"), F.sum(F.col(E) - F.col(S)).alias("bases")))
-query("f6_inferred_layout", f"{fx.cte('frag')} SELECT sample_key, CASE WHEN max(flag & 1) = 1 THEN 'PE' ELSE 'SE' END AS layout FROM frag GROUP BY 1")(lambda spark, d: reads.inferred_layout(frag(spark, d)))
+query(
+    "f6_inferred_layout", f"{fx.cte('frag')} SELECT sample_key, CASE WHEN max(flag & 1) = 1 THEN 'PE' ELSE 'SE' END AS layout FROM frag GROUP BY 1"
+)(lambda spark, d: reads.inferred_layout(frag(spark, d)))
 
 
 @query("f8_species_split",
@@ -145,7 +152,9 @@ query("d2_duplicate_removal",
     f"{fx.cte('frag')}, {DUP} SELECT sample_key, count(*) AS examined, count(*) FILTER (is_dup) AS duplicates, round(100.0 * count(*) FILTER "
     "(is_dup) / count(*), 2)::DOUBLE AS percent_duplication FROM dup GROUP BY 1"
 )(lambda spark, d: qc.duplication(reads.mark_duplicates(frag(spark, d))))
-query("d2_retained_records", f"{fx.cte('frag')}, {DUP} SELECT sample_key, qname FROM dup WHERE NOT is_dup")(lambda spark, d: reads.mark_duplicates(frag(spark, d)).filter("not is_dup").select("sample_key", "qname"))
+query("d2_retained_records", f"{fx.cte('frag')}, {DUP} SELECT sample_key, qname FROM dup WHERE NOT is_dup")(
+    lambda spark, d: reads.mark_duplicates(frag(spark, d)).filter("not is_dup").select("sample_key", "qname")
+)
 
 
 @query("d4_filter_funnel",
@@ -180,12 +189,16 @@ query("d7_filtering_policies",
 
 # --- intervals
 
-query("i1_merged_peaks", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('peaks', 'sample_key, chrom')}")(lambda spark, d: iv.merge(fx.table(spark, d, "peaks"), ["sample_key", "chrom"]))
+query(
+    "i1_merged_peaks", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('peaks', 'sample_key, chrom')}"
+)(lambda spark, d: iv.merge(fx.table(spark, d, "peaks"), ["sample_key", "chrom"]))
 query("i2_disjoint_support",
     f"{fx.cte('peaks')}, mp AS {merged_sql('peaks', 'sample_key, chrom')} SELECT chrom, start_pos, end_pos, depth AS support FROM "
     f"{segments_sql('mp', 'chrom')}"
 )(lambda spark, d: iv.disjoin(fx.table(spark, d, "peaks"), ["chrom"], "sample_key").select("chrom", S, E, "support"))
-query("i3_consensus", f"{fx.cte('peaks')}, {CONSENSUS} SELECT region_id, chrom, start_pos, end_pos FROM regions")(lambda spark, d: regions(spark, d).select("region_id", "chrom", S, E))
+query(
+    "i3_consensus", f"{fx.cte('peaks')}, {CONSENSUS} SELECT region_id, chrom, start_pos, end_pos FROM regions"
+)(lambda spark, d: regions(spark, d).select("region_id", "chrom", S, E))
 
 
 @query("i5_supporting_samples",
@@ -195,7 +208,9 @@ query("i3_consensus", f"{fx.cte('peaks')}, {CONSENSUS} SELECT region_id, chrom,
 )
 def supporting(spark, d):
     pairs = iv.overlap_join(called(spark, d).select("sample_key", "chrom", S, E), regions(spark, d).select("region_id", "chrom", S, E))
-    return pairs.groupBy("region_id").agg(F.count_distinct("sample_key").alias("n_samples"), F.array_join(F.array_sort(F.collect_set("sample_key")), ",").alias("supporting"))
+    return pairs.groupBy("region_id").agg(
+        F.count_distinct("sample_key").alias("n_samples"), F.array_join(F.array_sort(F.collect_set("sample_key")), ",").alias("supporting")
+    )
 
 
 query("i8_promoters",
@@ -219,7 +234,10 @@ def summits(spark, d):
     return iv.recentre(iv.consensus(called(spark, d), ["chrom"], "sample_key"), iv.whole_segments(units(spark, d), ["chrom"])).select("chrom", S, E, "summit")
 
 
-query("i11_narrow_broad_union", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('peaks', 'chrom')}")(lambda spark, d: iv.merge(fx.table(spark, d, "peaks").filter("peak_type = 'narrow'").unionByName(fx.table(spark, d, "peaks").filter("peak_type = 'broad'")), ["chrom"]))
+query("i11_narrow_broad_union", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('peaks', 'chrom')}")(
+    lambda spark,
+    d: iv.merge(fx.table(spark, d, "peaks").filter("peak_type = 'narrow'").unionByName(fx.table(spark, d, "peaks").filter("peak_type = 'broad'")), ["chrom"])
+)
 
 
 @query("i12_prefilter_manifest",
@@ -230,7 +248,9 @@ query("i11_narrow_broad_union", f"{fx.cte('peaks')} SELECT * FROM {merged_sql('p
 def prefilter(spark, d):
     x = iv.with_flag(fx.table(spark, d, "peaks"), fx.table(spark, d, "blacklist"), ["peak_no"], "hit").withColumn("canon", reads.is_canonical())
     kept, lost = F.count_if(F.col("canon") & ~F.col("hit")), F.count_if(F.col("canon") & F.col("hit"))
-    return x.groupBy("sample_key", "peak_type").agg(F.count("*").alias("input"), kept.alias("retained"), F.count_if(~F.col("canon")).alias("noncanonical"), lost.alias("blacklisted"))
+    return x.groupBy("sample_key", "peak_type").agg(
+        F.count("*").alias("input"), kept.alias("retained"), F.count_if(~F.col("canon")).alias("noncanonical"), lost.alias("blacklisted")
+    )
 
 
 # --- joins
@@ -263,7 +283,9 @@ NEAR = (
     "ELSE 0 END AS gap, row_number() OVER (PARTITION BY region_id ORDER BY CASE WHEN tss < r.start_pos THEN r.start_pos - tss WHEN tss >= "
     "r.end_pos THEN tss - r.end_pos + 1 ELSE 0 END, tss, gene_id) AS k FROM regions r JOIN t ON t.chrom = r.chrom) WHERE k = 1)"
 )
-query("j7_nearest_tss", f"{fx.cte('peaks', 'genes')}, {CONSENSUS}, {TSS}, {NEAR} SELECT * FROM near")(lambda spark, d: annotate.nearest_tss(regions(spark, d), fx.table(spark, d, "genes")))
+query(
+    "j7_nearest_tss", f"{fx.cte('peaks', 'genes')}, {CONSENSUS}, {TSS}, {NEAR} SELECT * FROM near"
+)(lambda spark, d: annotate.nearest_tss(regions(spark, d), fx.table(spark, d, "genes")))
 
 
 @query("j8_scaled_counts", f"{BASE}, {FACTORS} SELECT region_id, sample_key, n, round(n / size_factor, 6) AS value FROM counts JOIN sf USING (sample_key)")
@@ -301,7 +323,10 @@ def centre_profile(spark, d):
 
 # --- aggregates and windows
 
-query("a1_signal_counts", f"{fx.cte('frag')} SELECT sample_key, count(*) AS signal_count, round(1e6 / count(*), 6) AS scale FROM frag WHERE {STRINGENT} GROUP BY 1")(lambda spark, d: counting.cpm_scales(units(spark, d)).withColumn("scale", F.round("scale", 6)))
+query(
+    "a1_signal_counts",
+    f"{fx.cte('frag')} SELECT sample_key, count(*) AS signal_count, round(1e6 / count(*), 6) AS scale FROM frag WHERE {STRINGENT} GROUP BY 1"
+)(lambda spark, d: counting.cpm_scales(units(spark, d)).withColumn("scale", F.round("scale", 6)))
 query("a2_mapq_bins",
     f"{fx.cte('frag')} SELECT sample_key, count(*) FILTER (mapq = 0) AS mapq_0, count(*) FILTER (mapq BETWEEN 1 AND 9) AS mapq_1_9, count(*) "
     "FILTER (mapq BETWEEN 10 AND 29) AS mapq_10_29, count(*) FILTER (mapq >= 30) AS mapq_30, count(*) FILTER (has_xs) AS xs_tagged FROM frag "
@@ -363,7 +388,9 @@ PVALUES = "pv AS (SELECT o_orderkey AS id, ((o_orderkey * 7919) % 10007 + 1) / 1
 
 
 def pvalues(spark, d):
-    return spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("p"))
+    return spark.read.parquet(f"{d}/orders.parquet").select(
+        F.col("o_orderkey").alias("id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("p")
+    )
 
 
 query("w4_bh_adjustment",
@@ -385,7 +412,10 @@ def curve(spark, d):
     return qc.fingerprint(counting.bin_counts(frag(spark, d).filter("mapq >= 20"), 500))
 
 
-query("w5_fingerprint_curve", f"{fx.cte('frag')}, {BINS}, {CURVE} SELECT sample_key, n, round(x, 6) AS bins_share, round(y, 6) AS reads_share FROM curve")(lambda spark, d: curve(spark, d).withColumns({c: F.round(c, 6) for c in ("bins_share", "reads_share")}))
+query(
+    "w5_fingerprint_curve",
+    f"{fx.cte('frag')}, {BINS}, {CURVE} SELECT sample_key, n, round(x, 6) AS bins_share, round(y, 6) AS reads_share FROM curve"
+)(lambda spark, d: curve(spark, d).withColumns({c: F.round(c, 6) for c in ("bins_share", "reads_share")}))
 query("q10_fingerprint_metrics",
     f"{fx.cte('frag')}, {BINS}, {CURVE}, z AS (SELECT *, (x - coalesce(lag(x) OVER w, 0)) * (y + coalesce(lag(y) OVER w, 0)) / 2 AS a FROM curve "
     "WINDOW w AS (PARTITION BY sample_key ORDER BY n)) SELECT sample_key, round(sum(a), 6) AS auc, round(max(x - y), 6) AS elbow_gap, "
@@ -408,8 +438,12 @@ query("u5_contigs_without_peaks", f"{fx.cte('frag', 'peaks')} SELECT sample_key,
 WINDOW = f"CAST(floor({S} / 1000) AS BIGINT)"
 query("u5_windows_without_peaks", f"{fx.cte('frag', 'peaks')} SELECT chrom, {WINDOW} AS window_no FROM frag EXCEPT SELECT chrom, {WINDOW} FROM peaks")(
     lambda spark, d: frag(spark, d).selectExpr("chrom", f"{WINDOW} AS window_no").subtract(fx.table(spark, d, "peaks").selectExpr("chrom", f"{WINDOW} AS window_no")))
-query("u5_contigs_outside_blacklist", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag EXCEPT SELECT chrom FROM blacklist")(lambda spark, d: frag(spark, d).select("chrom").distinct().exceptAll(fx.table(spark, d, "blacklist").select("chrom").distinct()))
-query("u6_shared_contigs", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag INTERSECT SELECT chrom FROM blacklist")(lambda spark, d: frag(spark, d).select("chrom").intersect(fx.table(spark, d, "blacklist").select("chrom")))
+query(
+    "u5_contigs_outside_blacklist", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag EXCEPT SELECT chrom FROM blacklist"
+)(lambda spark, d: frag(spark, d).select("chrom").distinct().exceptAll(fx.table(spark, d, "blacklist").select("chrom").distinct()))
+query(
+    "u6_shared_contigs", f"{fx.cte('frag', 'blacklist')} SELECT DISTINCT chrom FROM frag INTERSECT SELECT chrom FROM blacklist"
+)(lambda spark, d: frag(spark, d).select("chrom").intersect(fx.table(spark, d, "blacklist").select("chrom")))
 
 # --- coverage and normalisation
 
@@ -438,12 +472,16 @@ RPKM = (
     "(any_value(total) * 100000) AS score FROM (SELECT sample_key, chrom, unnest(range(CAST(floor(start_pos / 100000) AS BIGINT), "
     "CAST(floor((end_pos - 1) / 100000) AS BIGINT) + 1)) AS bin FROM units) JOIN tot USING (sample_key) GROUP BY 1, 2, 3)"
 )
-query("n3_rpkm_bins", f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, n, round(score, 6) AS score FROM rp")(lambda spark, d: counting.rpkm(units(spark, d)).withColumn("score", F.round("score", 6)))
+query(
+    "n3_rpkm_bins", f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, n, round(score, 6) AS score FROM rp"
+)(lambda spark, d: counting.rpkm(units(spark, d)).withColumn("score", F.round("score", 6)))
 query("q16_karyogram",
     f"{fx.cte('frag')}, {UNITS}, {RPKM} SELECT sample_key, chrom, bin, round(score / max(score) OVER (PARTITION BY sample_key), 9) AS own_share, "
     "round(score / max(score) OVER (), 9) AS global_share FROM rp"
 )(lambda spark, d: counting.karyogram(counting.rpkm(units(spark, d))).select("sample_key", "chrom", "bin", F.round("own_share", 9).alias("own_share"), F.round("global_share", 9).alias("global_share")))
-query("n4_size_factors", f"{BASE}, {FACTORS} SELECT sample_key, round(size_factor, 9) AS size_factor FROM sf")(lambda spark, d: counting.poscounts_factors(matrix(spark, d)).withColumn("size_factor", F.round("size_factor", 9)))
+query("n4_size_factors", f"{BASE}, {FACTORS} SELECT sample_key, round(size_factor, 9) AS size_factor FROM sf")(
+    lambda spark, d: counting.poscounts_factors(matrix(spark, d)).withColumn("size_factor", F.round("size_factor", 9))
+)
 
 
 @query("n8_spikein_scale",
@@ -454,9 +492,15 @@ query("n4_size_factors", f"{BASE}, {FACTORS} SELECT sample_key, round(size_facto
     "WHEN spike / (host + spike) > 0.5 THEN 'high_dm6_fraction' END) AS warnings FROM x"
 )
 def spikein(spark, d):
-    x = frag(spark, d).groupBy("sample_key").agg(F.count_if(~F.col("is_spike") & reads.is_canonical() & (F.col("mapq") >= 30)).alias("host"), F.count_if(F.col("is_spike") & (F.col("mapq") >= 30)).alias("spike"), F.count_if("is_spike").alias("spike_q0"))
+    x = frag(spark, d).groupBy("sample_key").agg(
+        F.count_if(~F.col("is_spike") & reads.is_canonical() & (F.col("mapq") >= 30)).alias("host"),
+        F.count_if(F.col("is_spike") & (F.col("mapq") >= 30)).alias("spike"), F.count_if("is_spike").alias("spike_q0")
+    )
     q = counting.spike_qc(x.withColumn("ratio", F.lit(0.5)))
-    return q.select("sample_key", "host", "spike", F.round("fraction", 6).alias("fraction"), "low_mapq", F.round("scale", 6).alias("scale"), F.round("cpm_scale", 6).alias("cpm_scale"), F.array_join("warnings", ",").alias("warnings"))
+    return q.select(
+        "sample_key", "host", "spike", F.round("fraction", 6).alias("fraction"), "low_mapq", F.round("scale", 6).alias("scale"),
+        F.round("cpm_scale", 6).alias("cpm_scale"), F.array_join("warnings", ",").alias("warnings")
+    )
 
 
 @query("n10_track_families",
@@ -468,7 +512,9 @@ def spikein(spark, d):
 )
 def families(spark, d):
     sc, cpm = counting.scales(matrix(spark, d)), counting.cpm_scales(units(spark, d)).select("sample_key", F.lit("CPM").alias("family"), "scale")
-    table = cpm.unionByName(sc.select("sample_key", F.lit("DESeq2Consensus").alias("family"), F.col("deseq2_consensus_scale").alias("scale"))).unionByName(sc.select("sample_key", F.lit("DESeq2RobustCPM").alias("family"), F.col("robust_cpm_scale").alias("scale")))
+    table = cpm.unionByName(
+        sc.select("sample_key", F.lit("DESeq2Consensus").alias("family"), F.col("deseq2_consensus_scale").alias("scale"))
+    ).unionByName(sc.select("sample_key", F.lit("DESeq2RobustCPM").alias("family"), F.col("robust_cpm_scale").alias("scale")))
     t = counting.tracks(counting.coverage(units(spark, d)), table)
     return t.groupBy("family", "sample_key").agg(F.count("*").alias("segments"), F.round(F.sum((F.col(E) - F.col(S)) * F.col("score")), 3).alias("area"))
 
@@ -484,7 +530,9 @@ PAIRS = (
     "pr AS (SELECT a.sample_key AS a, b.sample_key AS b, corr(a.{v}, b.{v}) AS r, sqrt(sum((a.{v} - b.{v}) ** 2)) AS distance FROM {t} a JOIN {t} "
     "b ON a.region_id = b.region_id AND a.sample_key < b.sample_key GROUP BY 1, 2)"
 )
-query("x7_pearson", f"{BASE}, {PAIRS.format(v='n', t='counts')} SELECT a, b, round(r, 6) AS r FROM pr")(lambda spark, d: stats.pearson(matrix(spark, d)).withColumn("r", F.round("r", 6)))
+query(
+    "x7_pearson", f"{BASE}, {PAIRS.format(v='n', t='counts')} SELECT a, b, round(r, 6) AS r FROM pr"
+)(lambda spark, d: stats.pearson(matrix(spark, d)).withColumn("r", F.round("r", 6)))
 query("x8_spearman",
     f"{BASE}, rk AS (SELECT region_id, sample_key, avg(k) OVER (PARTITION BY sample_key, n) AS rank FROM (SELECT *, row_number() OVER (PARTITION "
     f"BY sample_key ORDER BY n) AS k FROM counts)), {PAIRS.format(v='rank', t='rk')} SELECT a, b, round(r, 6) AS r FROM pr"
@@ -500,8 +548,12 @@ def vst_values(spark, d):
     return counting.normalised(c, counting.poscounts_factors(c)).withColumn("v", stats.vst(F.col("value"), 0.1, 2.0))
 
 
-query("x6_vst", f"{BASE}, {FACTORS}, {VST} SELECT sample_key, round(avg(v), 6) AS mean_vst, round(max(v), 6) AS max_vst FROM vs GROUP BY 1")(lambda spark, d: vst_values(spark, d).groupBy("sample_key").agg(F.round(F.avg("v"), 6).alias("mean_vst"), F.round(F.max("v"), 6).alias("max_vst")))
-query("x9_sample_distance", f"{BASE}, {FACTORS}, {VST}, {PAIRS.format(v='v', t='vs')} SELECT a, b, round(distance, 6) AS distance FROM pr")(lambda spark, d: stats.euclidean(vst_values(spark, d), value="v").withColumn("distance", F.round("distance", 6)))
+query("x6_vst", f"{BASE}, {FACTORS}, {VST} SELECT sample_key, round(avg(v), 6) AS mean_vst, round(max(v), 6) AS max_vst FROM vs GROUP BY 1")(
+    lambda spark, d: vst_values(spark, d).groupBy("sample_key").agg(F.round(F.avg("v"), 6).alias("mean_vst"), F.round(F.max("v"), 6).alias("max_vst"))
+)
+query(
+    "x9_sample_distance", f"{BASE}, {FACTORS}, {VST}, {PAIRS.format(v='v', t='vs')} SELECT a, b, round(distance, 6) AS distance FROM pr"
+)(lambda spark, d: stats.euclidean(vst_values(spark, d), value="v").withColumn("distance", F.round("distance", 6)))
 
 
 def model_conditions() -> tuple[dict[str, str], list[str]]:
@@ -518,14 +570,19 @@ def fitted_vst(spark, d):
 
 
 # SQL can't fit the trend, so these are tested against brute force
-query("x6_vst_fitted")(lambda spark, d: fitted_vst(spark, d).groupBy("sample_key").agg(F.round(F.avg("v"), 6).alias("mean_vst"), F.round(F.max("v"), 6).alias("max_vst")))
+query("x6_vst_fitted")(lambda spark, d: fitted_vst(spark, d).groupBy("sample_key").agg(
+    F.round(F.avg("v"), 6).alias("mean_vst"), F.round(F.max("v"), 6).alias("max_vst")
+))
 query("x9_sample_distance_fitted")(lambda spark, d: stats.euclidean(fitted_vst(spark, d), value="v").withColumn("distance", F.round("distance", 6)))
 
 
 @query("x10_pca")
 def pca(spark, d):
     names, at, share = stats.pca(fitted_vst(spark, d).select("region_id", "sample_key", "v"), value="v")
-    return spark.createDataFrame([(s, i + 1, float(at[k, i]), float(share[i])) for k, s in enumerate(names) for i in range(2)], "sample_key string, component int, coordinate double, percent_variance double")
+    return spark.createDataFrame(
+        [(s, i + 1, float(at[k, i]), float(share[i])) for k, s in enumerate(names) for i in range(2)],
+        "sample_key string, component int, coordinate double, percent_variance double"
+    )
 
 
 def fitted(spark, d):
@@ -544,7 +601,10 @@ def model_counts(spark, d) -> tuple[DataFrame, dict[str, float], dict[str, str],
     """Counts and size factors of the samples of model_conditions(), the conditions and their order."""
     used, order = model_conditions()
     r = regions(spark, d)
-    c = fx.kept(counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used)), "counts")
+    c = fx.kept(
+        counting.complete(counting.union_counts(reads.mates(units(spark, d)), r), r, fx.samples(spark)).filter(F.col("sample_key").isin(*used)),
+        "counts"
+    )
     return c, {x.sample_key: x.size_factor for x in counting.poscounts_factors(c).collect()}, used, order  # a row a sample
 
 
@@ -621,7 +681,10 @@ CONTROLLED = (
 )
 
 
-@query("x12_control_scores", f"{CONTROLLED} SELECT sample_key, chrom, start_pos, end_pos, depth, control_depth, lam, {score_sql('depth', 'round(lam, 3)')} AS score FROM la")
+@query(
+    "x12_control_scores",
+    f"{CONTROLLED} SELECT sample_key, chrom, start_pos, end_pos, depth, control_depth, lam, {score_sql('depth', 'round(lam, 3)')} AS score FROM la"
+)
 def control_scores(spark, d):
     treated, control = controlled(spark, d)
     scored = peaks.poisson_tail(peaks.rates(treated, SEGMENTS, control=control).withColumn("lam", F.round("lam", 6)))
@@ -634,7 +697,10 @@ def control_peaks(spark, d):
     return peaks.call(peaks.scored_segments(treated, SEGMENTS, control=control))
 
 
-query("x12_single_end_peaks")(lambda spark, d: peaks.call(peaks.scored_segments(peaks.shifted(frag(spark, d).filter(reads.policy("stringent", "SE", 0) & reads.is_canonical())), SEGMENTS)))
+query("x12_single_end_peaks")(
+    lambda spark,
+    d: peaks.call(peaks.scored_segments(peaks.shifted(frag(spark, d).filter(reads.policy("stringent", "SE", 0) & reads.is_canonical())), SEGMENTS))
+)
 query("x12_broad_peaks")(lambda spark, d: peaks.call_broad(peaks.scored_segments(units(spark, d, 0), SEGMENTS)))
 query("x13_shifted_reads",
     f"{fx.cte('frag')} SELECT qname, chrom, greatest(0, CASE WHEN strand = '-' THEN end_pos - 75 ELSE start_pos - 75 END) AS start_pos, "
@@ -646,7 +712,10 @@ query("x14_zero_peak_samples",
     "peak_type = 'broad') p USING (sample_key) GROUP BY 1"
 )(
     lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), called(spark, d).filter("peak_type = 'broad'")))
-query("x14_sample_peak_counts", f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN peaks USING (sample_key) GROUP BY 1")(lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), fx.table(spark, d, "peaks")))
+query(
+    "x14_sample_peak_counts",
+    f"{fx.cte('peaks', 'samples')} SELECT sample_key, count(chrom) AS n_peaks FROM samples LEFT JOIN peaks USING (sample_key) GROUP BY 1"
+)(lambda spark, d: peaks.with_zero_peaks(fx.samples(spark), fx.table(spark, d, "peaks")))
 
 # --- quality control
 
@@ -708,7 +777,9 @@ QC = (
 
 def qc_stats(spark, d):
     f = frag(spark, d)
-    dup = qc.duplication(reads.mark_duplicates(f)).select("sample_key", F.col("examined").alias("total_reads"), F.col("percent_duplication").alias("dup_percent"))
+    dup = qc.duplication(reads.mark_duplicates(f)).select(
+        "sample_key", F.col("examined").alias("total_reads"), F.col("percent_duplication").alias("dup_percent")
+    )
     p = fx.table(spark, d, "peaks")
     n = p.groupBy("sample_key").agg(F.count_if(F.col("peak_type") == "narrow").alias("n_narrow"), F.count_if(F.col("peak_type") == "broad").alias("n_broad"))
     fr = qc.frip(f, p.filter("peak_type = 'narrow'"), ["qname"]).select("sample_key", F.col("frip").alias("frip_narrow"))
@@ -767,8 +838,12 @@ query("j5_feature_flags",
     "gene_body_overlap, gene_context FROM ctx"
 )(
     lambda spark, d: annotate.feature_flags(regions(spark, d), gene_table(spark, d), fx.exons(gene_table(spark, d))).select("region_id", "promoter_overlap", "exon_overlap", "intron_overlap", "gene_body_overlap", "gene_context"))
-query("j6_ccre_hits", f"{fx.cte('peaks', 'ccre')}, {CONSENSUS}, {CCRE} SELECT region_id, ccre_id, ccre_class, width FROM ch")(lambda spark, d: annotate.ccre_hits(regions(spark, d), fx.table(spark, d, "ccre")).select("region_id", "ccre_id", "ccre_class", "width"))
-query("w2_primary_ccre", f"{fx.cte('peaks', 'ccre')}, {CONSENSUS}, {CCRE} SELECT * FROM c1")(lambda spark, d: annotate.primary_ccre(annotate.ccre_hits(regions(spark, d), fx.table(spark, d, "ccre"))))
+query("j6_ccre_hits", f"{fx.cte('peaks', 'ccre')}, {CONSENSUS}, {CCRE} SELECT region_id, ccre_id, ccre_class, width FROM ch")(
+    lambda spark, d: annotate.ccre_hits(regions(spark, d), fx.table(spark, d, "ccre")).select("region_id", "ccre_id", "ccre_class", "width")
+)
+query("w2_primary_ccre", f"{fx.cte('peaks', 'ccre')}, {CONSENSUS}, {CCRE} SELECT * FROM c1")(
+    lambda spark, d: annotate.primary_ccre(annotate.ccre_hits(regions(spark, d), fx.table(spark, d, "ccre")))
+)
 query("q8_region_annotation",
     f"{ANNOTATION} SELECT region_id, chrom, start_pos, end_pos, promoter_overlap, exon_overlap, gene_body_overlap, intron_overlap, gene_context, "
     "nearest_gene_id, nearest_gene_name, nearest_tss_distance_bp, ccre_primary_id, ccre_primary_class, ccre_all_ids, ccre_all_classes, "
@@ -794,12 +869,21 @@ query("v14_matrix_check",
     f"{BASE} SELECT ((SELECT count(*) FROM regions) * 7 - count(*))::BIGINT AS missing, count(*) FILTER (n < 0) AS negative, count(*) FILTER (n <> "
     "floor(n)) AS fractional, count(*) FILTER (n IS NULL) AS null_cells FROM counts"
 )(lambda spark, d: design.check_counts(matrix(spark, d), regions(spark, d), fx.samples(spark)))
-query("v2_duplicate_rows", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")(lambda spark, d: design.duplicate_rows(spark.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]))
+query(
+    "v2_duplicate_rows", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"
+)(lambda spark, d: design.duplicate_rows(spark.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]))
 query("v5_inconsistent_groups",
     "SELECT o_custkey, 'o_orderstatus' AS \"column\" FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1 UNION ALL SELECT o_custkey, "
     "'o_orderpriority' FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1"
 )(lambda spark, d: design.inconsistent_groups(spark.read.parquet(f"{d}/orders.parquet"), ["o_custkey"], ["o_orderstatus", "o_orderpriority"]))
-query("v6_orphans", "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")(lambda spark, d: design.orphans(spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("l_orderkey")).distinct(), "l_orderkey", spark.read.parquet(f"{d}/orders.parquet").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").cast("string").alias("o_orderkey")), "o_orderkey").select(F.col("l_orderkey").cast("long").alias("l_orderkey")))
+query("v6_orphans", "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")(
+    lambda spark,
+    d: design.orphans(
+        spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("l_orderkey")).distinct(), "l_orderkey",
+        spark.read.parquet(f"{d}/orders.parquet").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").cast("string").alias("o_orderkey")),
+        "o_orderkey"
+    ).select(F.col("l_orderkey").cast("long").alias("l_orderkey"))
+)
 query("k3_wide_matrix",
     f"{BASE} SELECT region_id, chrom, start_pos, end_pos, {', '.join(f'max(n) FILTER (sample_key = {k!r}) AS {k}' for k in fx.KEYS)} FROM counts "
     "JOIN regions USING (region_id) GROUP BY 1, 2, 3, 4"

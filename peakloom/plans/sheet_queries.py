@@ -29,16 +29,28 @@ def sheet(spark: SparkSession, d: str) -> DataFrame:
 
 RULES = [
     ("error", "invalid layout", "lay NOT IN ('PE', 'SE')"), ("error", "invalid genome", "genome NOT IN ('hg38', 'mm39')"),
-    ("error", "invalid macs2_mode", "mode NOT IN ('narrow', 'broad', 'both', 'none')"), ("error", "invalid is_control", "is_control NOT IN ('TRUE', 'FALSE', 'true', 'false', '1', '0', 'yes', 'no')"),
+    ("error", "invalid macs2_mode", "mode NOT IN ('narrow', 'broad', 'both', 'none')"), (
+        "error", "invalid is_control", "is_control NOT IN ('TRUE', 'FALSE', 'true', 'false', '1', '0', 'yes', 'no')"
+    ),
     ("error", "replicate is not an integer", "try_cast(rep AS INT) IS NULL"), ("error", "tech_replicate is not an integer", "try_cast(tech AS INT) IS NULL"),
     ("error", "fastq_1 is empty", "fastq_1 = ''"), ("error", "paired-end row without fastq_2", "lay = 'PE' AND fastq_2 = ''"),
     ("warning", "single-end row with fastq_2", "lay = 'SE' AND fastq_2 <> ''"), ("warning", "control with control_id", "control AND control_id <> ''"),
-    ("warning", "control with a peak mode", "control AND mode <> 'none'"), ("warning", "non-ATAC sample without control", "NOT control AND NOT starts_with(lower(assay), 'atac') AND control_id = ''"),
+    ("warning", "control with a peak mode", "control AND mode <> 'none'"), (
+        "warning", "non-ATAC sample without control", "NOT control AND NOT starts_with(lower(assay), 'atac') AND control_id = ''"
+    ),
     ("error", "unknown spike-in genome", "sg NOT IN ('', 'dm6')"), ("error", "unknown spike-in stage", "ss NOT IN ('', 'pre_tagmentation_nuclei')"),
-    ("error", "spike-in ratio must be finite and above 0", "sg = 'dm6' AND NOT coalesce(try_cast(sr AS DOUBLE) > 0 AND isfinite(try_cast(sr AS DOUBLE)), false)"),
-    ("error", "spike-in stage must be pre_tagmentation_nuclei", "sg = 'dm6' AND ss <> 'pre_tagmentation_nuclei'"), ("error", "spike-in fields without a genome", "sg <> 'dm6' AND (sr <> '' OR ss <> '')"),
+    (
+        "error", "spike-in ratio must be finite and above 0",
+        "sg = 'dm6' AND NOT coalesce(try_cast(sr AS DOUBLE) > 0 AND isfinite(try_cast(sr AS DOUBLE)), false)"
+    ),
+    (
+        "error", "spike-in stage must be pre_tagmentation_nuclei", "sg = 'dm6' AND ss <> 'pre_tagmentation_nuclei'"
+    ), ("error", "spike-in fields without a genome", "sg <> 'dm6' AND (sr <> '' OR ss <> '')"),
 ]
-query("v4_sheet_violations", f"{SHEET}, {CLEAN} " + " UNION ALL ".join(f"SELECT row, '{level}' AS level, '{m}' AS message FROM c WHERE {test}" for level, m, test in RULES))(lambda spark, d: design.violations(sheet(spark, d)))
+query(
+    "v4_sheet_violations",
+    f"{SHEET}, {CLEAN} " + " UNION ALL ".join(f"SELECT row, '{level}' AS level, '{m}' AS message FROM c WHERE {test}" for level, m, test in RULES)
+)(lambda spark, d: design.violations(sheet(spark, d)))
 query("v3_repeated_keys",
     f"{SHEET}, {CLEAN} SELECT row, first_row FROM (SELECT row, min(row) OVER (PARTITION BY sid, rep, tech) AS first_row FROM c) WHERE row > "
     "first_row"
@@ -60,9 +72,19 @@ query("v11_too_few_samples",
     f"{SHEET}, {CLEAN} SELECT factor, condition, count(DISTINCT sid || '_bioR' || rep) FILTER (NOT control) AS samples, 30::BIGINT AS required "
     "FROM c GROUP BY 1, 2 HAVING samples < 30"
 )(lambda spark, d: design.too_few_samples(sheet(spark, d), 30, ["factor", "condition"]))
-query("v5_sheet_groups", f"{SHEET} " + " UNION ALL ".join(f"SELECT sample_id, replicate, '{c}' AS \"column\" FROM sheet GROUP BY 1, 2 HAVING count(DISTINCT {c}) > 1" for c in ("layout", "genome", "assay", "factor")))(lambda spark, d: design.inconsistent_groups(sheet(spark, d), ["sample_id", "replicate"], ["layout", "genome", "assay", "factor"]))
-query("v6_unknown_controls", f"{SHEET}, {CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c)")(lambda spark, d: design.orphans(sheet(spark, d), "control_id", sheet(spark, d).select(F.trim("sample_id").alias("known")), "known").select("row", "control_id"))
-query("d1_first_rows", f"{SHEET} SELECT sample_id, replicate, min(row) AS row FROM sheet GROUP BY 1, 2")(lambda spark, d: reads.first_per_key(sheet(spark, d), ["sample_id", "replicate"], "row").select("sample_id", "replicate", "row"))
+query(
+    "v5_sheet_groups",
+    f"{SHEET} " + " UNION ALL ".join(
+        f"SELECT sample_id, replicate, '{c}' AS \"column\" FROM sheet GROUP BY 1, 2 HAVING count(DISTINCT {c}) > 1" for c in ("layout", "genome", "assay", "factor")
+    )
+)(lambda spark, d: design.inconsistent_groups(sheet(spark, d), ["sample_id", "replicate"], ["layout", "genome", "assay", "factor"]))
+query("v6_unknown_controls", f"{SHEET}, {CLEAN} SELECT row, control_id FROM c WHERE control_id <> '' AND control_id NOT IN (SELECT sid FROM c)")(
+    lambda spark,
+    d: design.orphans(sheet(spark, d), "control_id", sheet(spark, d).select(F.trim("sample_id").alias("known")), "known").select("row", "control_id")
+)
+query("d1_first_rows", f"{SHEET} SELECT sample_id, replicate, min(row) AS row FROM sheet GROUP BY 1, 2")(
+    lambda spark, d: reads.first_per_key(sheet(spark, d), ["sample_id", "replicate"], "row").select("sample_id", "replicate", "row")
+)
 POOLED = f"{SHEET}, {CLEAN}, f AS (SELECT * FROM c WHERE NOT control QUALIFY row_number() OVER (PARTITION BY sample_id, replicate ORDER BY row) = 1)"
 query("a14_pooled_groups",
     f"{POOLED} SELECT concat_ws('__', factor, condition, treatment, cell_type, genome, layout) AS group_id, "
@@ -109,7 +131,10 @@ INPUTS = (
 
 def inputs(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet")
-    return o.selectExpr("concat('S', CAST(o_custkey % 499 AS STRING), '_bioR', CAST(o_custkey % 3 + 1 AS STRING)) AS sample_key", "CASE WHEN o_orderstatus <> 'P' THEN 'narrow' ELSE 'broad' END AS peak_type")
+    return o.selectExpr(
+        "concat('S', CAST(o_custkey % 499 AS STRING), '_bioR', CAST(o_custkey % 3 + 1 AS STRING)) AS sample_key",
+        "CASE WHEN o_orderstatus <> 'P' THEN 'narrow' ELSE 'broad' END AS peak_type"
+    )
 
 
 query("q11_sample_table",
@@ -143,7 +168,10 @@ RESULTS = (
 def results(spark, d):
     key = F.element_at(F.array(*[F.lit(x) for x in RESULT_IDS]), (F.col("o_orderkey") % 3 + 1).cast("int"))
     o = spark.read.parquet(f"{d}/orders.parquet")
-    return o.select(key.alias("comparison_id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("padj"), ((F.col("o_custkey") % 9 - 4) / F.lit(2.0)).alias("log2_fc"))
+    return o.select(
+        key.alias("comparison_id"), (((F.col("o_orderkey") * 7919) % 10007 + 1) / F.lit(10008.0)).alias("padj"),
+        ((F.col("o_custkey") % 9 - 4) / F.lit(2.0)).alias("log2_fc")
+    )
 
 
 SIG = "padj <= 0.05 AND abs(log2_fc) >= 1"
@@ -151,7 +179,12 @@ SUMS = (
     f"comparison_id, count(*) AS tested_sites, count(*) FILTER ({SIG}) AS significant_sites, count(*) FILTER ({SIG} AND log2_fc > 0) AS "
     f"higher_in_numerator, count(*) FILTER ({SIG} AND log2_fc < 0) AS higher_in_reference"
 )
-query("a11_comparison_summary", f"WITH {RESULTS} SELECT {SUMS} FROM res GROUP BY 1")(lambda spark, d: design.comparison_summary(results(spark, d).withColumnRenamed("comparison_id", "contrast"), stats.significant(0.05, 1.0)).withColumnRenamed("contrast", "comparison_id"))
+query("a11_comparison_summary", f"WITH {RESULTS} SELECT {SUMS} FROM res GROUP BY 1")(
+    lambda spark,
+    d: design.comparison_summary(
+        results(spark, d).withColumnRenamed("comparison_id", "contrast"), stats.significant(0.05, 1.0)
+    ).withColumnRenamed("contrast", "comparison_id")
+)
 
 
 @query("x4_comparison_status",
@@ -212,9 +245,17 @@ def isolated_comparisons(spark, d):
 
 # --- regions
 
-query("i4_single_sample", f"{fx.cte('peaks')}, one AS (SELECT * FROM peaks WHERE sample_key = 'solo_bioR1') SELECT * FROM {q.merged_sql('one', 'chrom')}")(lambda spark, d: iv.consensus_or_single(fx.table(spark, d, "peaks").filter("sample_key = 'solo_bioR1'"), ["chrom"], "sample_key", allow_single=True))
-query("f12_nonzero_regions", f"{q.BASE} SELECT region_id, sample_key, n FROM counts WHERE region_id IN (SELECT region_id FROM counts GROUP BY 1 HAVING sum(n) > 0)")(lambda spark, d: counting.nonzero_regions(q.matrix(spark, d)))
-query("v16_empty_samples", f"{q.BASE} SELECT sample_key, 0::BIGINT AS total FROM counts GROUP BY 1 HAVING sum(n) = 0")(lambda spark, d: counting.empty_samples(q.matrix(spark, d), fx.samples(spark)))
+query("i4_single_sample", f"{fx.cte('peaks')}, one AS (SELECT * FROM peaks WHERE sample_key = 'solo_bioR1') SELECT * FROM {q.merged_sql('one', 'chrom')}")(
+    lambda spark,
+    d: iv.consensus_or_single(fx.table(spark, d, "peaks").filter("sample_key = 'solo_bioR1'"), ["chrom"], "sample_key", allow_single=True)
+)
+query(
+    "f12_nonzero_regions",
+    f"{q.BASE} SELECT region_id, sample_key, n FROM counts WHERE region_id IN (SELECT region_id FROM counts GROUP BY 1 HAVING sum(n) > 0)"
+)(lambda spark, d: counting.nonzero_regions(q.matrix(spark, d)))
+query(
+    "v16_empty_samples", f"{q.BASE} SELECT sample_key, 0::BIGINT AS total FROM counts GROUP BY 1 HAVING sum(n) = 0"
+)(lambda spark, d: counting.empty_samples(q.matrix(spark, d), fx.samples(spark)))
 query("j9_annotated_results",
     f"{q.ANNOTATION} SELECT region_id, (end_pos - start_pos)::BIGINT AS width, gene_context, ccre_primary_class FROM ctx LEFT JOIN c1 USING "
     "(region_id)"
@@ -251,7 +292,10 @@ SHARES = (
 )
 def frip_sets(spark, d):
     p = fx.table(spark, d, "peaks")
-    sets = {"narrow": p.filter("peak_type = 'narrow'"), "broad": p.filter("peak_type = 'broad'"), "consensus": iv.consensus(q.called(spark, d), ["chrom"], "sample_key")}
+    sets = {
+        "narrow": p.filter("peak_type = 'narrow'"), "broad": p.filter("peak_type = 'broad'"),
+        "consensus": iv.consensus(q.called(spark, d), ["chrom"], "sample_key")
+    }
     return qc.frip_by_peak_set(q.frag(spark, d).filter(F.col("flag").bitwiseAND(F.lit(4)) == 0), sets, ["qname"])
 
 
@@ -338,7 +382,10 @@ query("q13_read_profile",
     "gc_percent, count(*) AS reads, sum(length(regexp_replace(seq, '[^N]', '', 'g')))::BIGINT AS n_bases, count(*) FILTER "
     f"({' OR '.join(f'contains(seq, {a!r})' for a in fastq.ADAPTERS)}) AS with_adapter FROM reads GROUP BY 1, 2"
 )(lambda spark, d: fastq.read_profile(fq(spark, d)))
-query("q13_duplication_levels", f"{fx.cte('reads')} SELECT level, count(*) AS sequences FROM (SELECT seq, count(*) AS level FROM reads GROUP BY 1) GROUP BY 1")(lambda spark, d: fastq.duplication_levels(fq(spark, d)))
+query(
+    "q13_duplication_levels",
+    f"{fx.cte('reads')} SELECT level, count(*) AS sequences FROM (SELECT seq, count(*) AS level FROM reads GROUP BY 1) GROUP BY 1"
+)(lambda spark, d: fastq.duplication_levels(fq(spark, d)))
 ENDS = " ".join(f"WHEN length(s) >= {n} AND right(s, {n}) = '{ADAPTER[:n]}' THEN length(s) - {n}" for n in range(len(ADAPTER) - 1, 0, -1))
 query("q14_trimmed_reads",
     f"{fx.cte('reads')}, a AS (SELECT *, CASE WHEN right(qual, 5) = '#####' THEN left(seq, length(seq) - 5) ELSE seq END AS s FROM reads), t AS "
@@ -368,7 +415,10 @@ def read_sheet(spark, d):
     path = fx.folder(spark, "sheet")
     sheet(spark, d).drop("row").coalesce(1).write.option("header", True).option("quoteAll", True).csv(path)
     s = readers.samplesheet(spark, path)
-    return s.agg(F.count_distinct("row").alias("rows"), F.count_distinct("sample_id").alias("samples"), F.count_if(F.col("layout") == "PE").alias("paired"), F.count_if(F.col("fastq_2") != "").alias("with_mate"))
+    return s.agg(
+        F.count_distinct("row").alias("rows"), F.count_distinct("sample_id").alias("samples"), F.count_if(F.col("layout") == "PE").alias("paired"),
+        F.count_if(F.col("fastq_2") != "").alias("with_mate")
+    )
 
 
 @query("s2_alignments",
@@ -376,22 +426,41 @@ def read_sheet(spark, d):
     "tlen, CASE WHEN has_xs THEN '-1' END AS xs FROM frag"
 )
 def read_alignments(spark, d):
-    f = q.frag(spark, d).withColumns({"pos": F.col(S) + 1, "cigar": F.lit("30M5I20M4S"), "mate": F.col(E) - 49, "eq": F.lit("="), "seq": F.lit("A"), "q": F.lit("I"), "tag": F.when(F.col("has_xs"), "XS:i:-1").otherwise("NM:i:0")})
-    a = readers.alignments(spark, written(spark, f.select(tabbed("qname", "flag", "chrom", "pos", "mapq", "cigar", "eq", "mate", "tlen", "seq", "q", "tag")), "sam"))
-    return a.select("qname", "flag", "chrom", "start_pos", readers.reference_end().alias("reference_end"), "mapq", "tlen", F.get(F.filter(F.map_values(F.map_filter("tags", lambda k, v: k == "XS")), lambda v: v.isNotNull()), F.lit(0)).alias("xs"))
-
-
-query("s3_bed", f"{fx.cte('peaks')} SELECT chrom, start_pos, end_pos, peak_no::VARCHAR AS name FROM peaks")(lambda spark, d: readers.bed(spark, written(spark, fx.table(spark, d, "peaks").select(tabbed("chrom", S, E, "peak_no")), "bed")))
+    f = q.frag(spark, d).withColumns(
+        {
+            "pos": F.col(S) + 1, "cigar": F.lit("30M5I20M4S"), "mate": F.col(E) - 49, "eq": F.lit("="), "seq": F.lit("A"), "q": F.lit("I"),
+            "tag": F.when(F.col("has_xs"), "XS:i:-1").otherwise("NM:i:0")
+        }
+    )
+    a = readers.alignments(spark, written(
+        spark, f.select(tabbed("qname", "flag", "chrom", "pos", "mapq", "cigar", "eq", "mate", "tlen", "seq", "q", "tag")), "sam"
+    ))
+    return a.select(
+        "qname", "flag", "chrom", "start_pos", readers.reference_end().alias("reference_end"), "mapq", "tlen",
+        F.get(F.filter(F.map_values(F.map_filter("tags", lambda k, v: k == "XS")), lambda v: v.isNotNull()), F.lit(0)).alias("xs")
+    )
+
+
+query("s3_bed", f"{fx.cte('peaks')} SELECT chrom, start_pos, end_pos, peak_no::VARCHAR AS name FROM peaks")(
+    lambda spark, d: readers.bed(spark, written(spark, fx.table(spark, d, "peaks").select(tabbed("chrom", S, E, "peak_no")), "bed"))
+)
 
 
 @query("s4_peaks", f"{fx.cte('peaks')} SELECT sample_key, peak_type, chrom, start_pos, end_pos, peak_no::VARCHAR AS name FROM peaks")
 def read_peaks(spark, d):
-    p = fx.table(spark, d, "peaks").withColumns({"file": F.concat("sample_key", F.lit("_peaks."), "peak_type", F.lit("Peak")), "score": F.lit(0), "dot": F.lit("."), "one": F.lit(1.0), "top": F.lit(-1)})
+    p = fx.table(spark, d, "peaks").withColumns(
+        {
+            "file": F.concat("sample_key", F.lit("_peaks."), "peak_type", F.lit("Peak")), "score": F.lit(0), "dot": F.lit("."), "one": F.lit(1.0),
+            "top": F.lit(-1)
+        }
+    )
     path = written(spark, p.select("file", tabbed("chrom", S, E, "peak_no", "score", "dot", "signal", "one", "one", "top")), "peaks", "file")
     return readers.peaks(spark, f"{path}/*/*").select("sample_key", "peak_type", "chrom", S, E, "name")
 
 
-query("s5_bedgraph", f"{fx.cte('frag')}, {q.UNITS}, {q.COVER} SELECT chrom, start_pos, end_pos, depth::DOUBLE AS score FROM cov")(lambda spark, d: readers.bedgraph(spark, written(spark, counting.coverage(q.units(spark, d)).select(tabbed("chrom", S, E, "depth")), "bedgraph")))
+query("s5_bedgraph", f"{fx.cte('frag')}, {q.UNITS}, {q.COVER} SELECT chrom, start_pos, end_pos, depth::DOUBLE AS score FROM cov")(
+    lambda spark, d: readers.bedgraph(spark, written(spark, counting.coverage(q.units(spark, d)).select(tabbed("chrom", S, E, "depth")), "bedgraph"))
+)
 
 
 @query("s6_gtf_tss",
@@ -401,7 +470,9 @@ query("s5_bedgraph", f"{fx.cte('frag')}, {q.UNITS}, {q.COVER} SELECT chrom, star
 def read_gtf(spark, d):
     """Each gene stands twice in the file, the second time under a smaller name: the name first seen counts."""
     g = fx.table(spark, d, "genes").withColumns({"first": F.col(S) + 1, "x": F.lit("x"), "kind": F.lit("gene"), "dot": F.lit(".")})
-    g = g.withColumn("name", F.explode(F.array("gene_name", F.concat(F.lit("A"), "gene_name")))).withColumn("a", F.format_string('gene_id "%s"; gene_name "%s";', F.col("gene_id"), F.col("name")))
+    g = g.withColumn("name", F.explode(F.array("gene_name", F.concat(F.lit("A"), "gene_name")))).withColumn(
+        "a", F.format_string('gene_id "%s"; gene_name "%s";', F.col("gene_id"), F.col("name"))
+    )
     lines = g.orderBy("gene_id", F.col("name").desc()).select(tabbed("chrom", "x", "kind", "first", E, "dot", "strand", "dot", "a"))
     return readers.tss_bed(readers.gtf(spark, written(spark, lines, "gtf")))
 
@@ -415,7 +486,9 @@ def read_ccre(spark, d):
 
 
 def ccre_lines(spark, d):
-    return fx.table(spark, d, "ccre").withColumns({"other": F.lit("x"), "label": F.when(F.col("ccre_class") == "PLS", "PLS,CTCF-bound").otherwise(F.col("ccre_class"))})
+    return fx.table(spark, d, "ccre").withColumns(
+        {"other": F.lit("x"), "label": F.when(F.col("ccre_class") == "PLS", "PLS,CTCF-bound").otherwise(F.col("ccre_class"))}
+    )
 
 
 @query("s7_numbered_ccre",
@@ -425,10 +498,15 @@ def ccre_lines(spark, d):
 def read_numbered_ccre(spark, d):
     """Elements without ids get their number among the kept rows of the file."""
     lines = ccre_lines(spark, d).orderBy(F.substring("ccre_id", 3, 20).cast("long")).withColumn("ccre_id", F.lit(""))
-    return readers.ccre(spark, written(spark, lines.select(tabbed("chrom", S, E, "ccre_id", "other", "label")), "ccre"), reads.is_canonical()).drop("ccre_class")
+    return readers.ccre(
+        spark, written(spark, lines.select(tabbed("chrom", S, E, "ccre_id", "other", "label")), "ccre"), reads.is_canonical()
+    ).drop("ccre_class")
 
 
-query("s8_chrom_sizes", f"{fx.cte('frag')} SELECT chrom, max(end_pos) AS size FROM frag GROUP BY 1")(lambda spark, d: readers.chrom_sizes(spark, written(spark, q.frag(spark, d).groupBy("chrom").agg(F.max(E).alias("size")).select(tabbed("chrom", "size")), "sizes")))
+query("s8_chrom_sizes", f"{fx.cte('frag')} SELECT chrom, max(end_pos) AS size FROM frag GROUP BY 1")(
+    lambda spark,
+    d: readers.chrom_sizes(spark, written(spark, q.frag(spark, d).groupBy("chrom").agg(F.max(E).alias("size")).select(tabbed("chrom", "size")), "sizes"))
+)
 
 
 @query("s9_count_matrix", f"{q.BASE} SELECT chrom, start_pos, end_pos, sample_key, n FROM counts JOIN regions USING (region_id)")

@@ -55,7 +55,11 @@ def alignments(spark: SparkSession, path: str) -> DataFrame:
     c = lambda i: F.col("f")[i]
     tag = lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.regexp_replace(t, "^..:.:", "").alias("v"))
     tags = F.map_from_entries(F.transform(F.slice("f", F.lit(12), F.greatest(F.size("f") - 11, F.lit(0))), tag))
-    return f.select(c(0).alias("qname"), c(1).cast("int").alias("flag"), c(2).alias("chrom"), (c(3).cast("long") - 1).alias("start_pos"), c(4).cast("int").alias("mapq"), c(5).alias("cigar"), c(6).alias("rnext"), (c(7).cast("long") - 1).alias("pnext"), c(8).try_cast("long").alias("tlen"), c(9).alias("seq"), c(10).alias("qual"), tags.alias("tags"))
+    return f.select(
+        c(0).alias("qname"), c(1).cast("int").alias("flag"), c(2).alias("chrom"), (c(3).cast("long") - 1).alias("start_pos"),
+        c(4).cast("int").alias("mapq"), c(5).alias("cigar"), c(6).alias("rnext"), (c(7).cast("long") - 1).alias("pnext"),
+        c(8).try_cast("long").alias("tlen"), c(9).alias("seq"), c(10).alias("qual"), tags.alias("tags")
+    )
 
 
 def reference_end(cigar: str = "cigar", start: str = "start_pos") -> Column:
@@ -81,7 +85,13 @@ def peaks(spark: SparkSession, path: str) -> DataFrame:
     """narrowPeak and broadPeak files; sample_key and peak_type come from file (or folder) names `<sample_key>_peaks.<type>Peak`."""
     f = _fields(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("p")).filter(~F.col("value").rlike("^(#|track)") & (F.trim("value") != "")))
     g = lambda i: F.get("f", F.lit(i))
-    return f.select(F.regexp_extract("p", r"([^/=]+?)(_peaks)?\.(narrow|broad)Peak", 1).alias("sample_key"), F.regexp_extract("p", r"\.(narrow|broad)Peak", 1).alias("peak_type"), g(0).alias("chrom"), g(1).cast("long").alias("start_pos"), g(2).cast("long").alias("end_pos"), g(3).alias("name"), g(4).cast("int").alias("score"), g(5).alias("strand"), g(6).cast("double").alias("signal"), g(7).cast("double").alias("pvalue"), g(8).cast("double").alias("qvalue"), g(9).cast("int").alias("summit"))
+    return f.select(
+        F.regexp_extract("p", r"([^/=]+?)(_peaks)?\.(narrow|broad)Peak", 1).alias("sample_key"),
+        F.regexp_extract("p", r"\.(narrow|broad)Peak", 1).alias("peak_type"), g(0).alias("chrom"), g(1).cast("long").alias("start_pos"),
+        g(2).cast("long").alias("end_pos"), g(3).alias("name"), g(4).cast("int").alias("score"), g(5).alias("strand"),
+        g(6).cast("double").alias("signal"), g(7).cast("double").alias("pvalue"), g(8).cast("double").alias("qvalue"),
+        g(9).cast("int").alias("summit")
+    )
 
 
 def bedgraph(spark: SparkSession, path: str) -> DataFrame:
@@ -97,10 +107,19 @@ def gtf(spark: SparkSession, path: str) -> DataFrame:
     they stand in the files."""
     f = _fields(_placed_lines(spark, path).filter(~F.col("value").startswith("#"))).filter(F.size("f") == 9)
     c = lambda i: F.col("f")[i]
-    pairs = F.transform(F.split(c(8), ";"), lambda a: F.struct(F.regexp_extract(F.trim(a), r"^(\S+)", 1).alias("k"), F.regexp_replace(F.regexp_replace(F.trim(a), r"^\S+\s*", ""), '^"|"$', "").alias("v")))
+    pairs = F.transform(
+        F.split(c(8), ";"),
+        lambda a: F.struct(
+            F.regexp_extract(F.trim(a), r"^(\S+)", 1).alias("k"),
+            F.regexp_replace(F.regexp_replace(F.trim(a), r"^\S+\s*", ""), '^"|"$', "").alias("v")
+        )
+    )
     pairs = F.filter(pairs, lambda p: p["k"] != "")
     first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == i + 1)
-    return f.select(c(0).alias("chrom"), c(1).alias("source"), c(2).alias("feature"), (c(3).cast("long") - 1).alias("start_pos"), c(4).cast("long").alias("end_pos"), c(6).alias("strand"), F.map_from_entries(first).alias("attributes"), "_place")
+    return f.select(
+        c(0).alias("chrom"), c(1).alias("source"), c(2).alias("feature"), (c(3).cast("long") - 1).alias("start_pos"),
+        c(4).cast("long").alias("end_pos"), c(6).alias("strand"), F.map_from_entries(first).alias("attributes"), "_place"
+    )
 
 
 def tss_bed(features: DataFrame) -> DataFrame:
@@ -156,7 +175,10 @@ def count_matrix(spark: SparkSession, path: str, samples: list[str]) -> DataFram
     if missing := [s for s in samples if s not in df.columns]:
         raise ValueError(f"samples not in the matrix: {missing}")
     chrom, s, e = df.columns[:3]
-    long = df.select(F.col(chrom).alias("chrom"), F.col(s).cast("long").alias("start_pos"), F.col(e).cast("long").alias("end_pos"), *[F.col(f"`{k}`").try_cast("double").alias(k) for k in samples]).unpivot(["chrom", "start_pos", "end_pos"], samples, "sample_key", "n")
+    long = df.select(
+        F.col(chrom).alias("chrom"), F.col(s).cast("long").alias("start_pos"), F.col(e).cast("long").alias("end_pos"),
+        *[F.col(f"`{k}`").try_cast("double").alias(k) for k in samples]
+    ).unpivot(["chrom", "start_pos", "end_pos"], samples, "sample_key", "n")
     good = F.coalesce(F.col("n") >= 0, F.lit(False))
     return long.withColumn("n", F.when(good, F.round("n").cast("long")).otherwise(F.raise_error(F.lit("a count is missing or negative")).cast("long")))
 
@@ -199,7 +221,9 @@ def metrics_json(spark: SparkSession, path: str) -> DataFrame:
         name = F.when(F.col("listed"), F.format_string("%s[%d]", "path", "pos")).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))
         inner = F.col("kind").startswith("OBJECT") | (F.col("kind").startswith("ARRAY") & ~F.col("listed"))
         below = below.select("file", name.alias("path"), "v", inner.alias("inner"), "kind", "listed")
-        scalars = below.filter(~F.col("inner") & ~F.col("listed") & ~F.col("kind").startswith("ARRAY") & (F.col("kind") != "VOID")).select("file", "path", F.col("v").cast("string").alias("value"))
+        scalars = below.filter(
+            ~F.col("inner") & ~F.col("listed") & ~F.col("kind").startswith("ARRAY") & (F.col("kind") != "VOID")
+        ).select("file", "path", F.col("v").cast("string").alias("value"))
         found = scalars if found is None else found.unionByName(scalars)
         level = below.filter("inner").select("file", "path", "v")
         if level.isEmpty():
@@ -224,7 +248,10 @@ def discover(spark: SparkSession, folders: list[str], pattern: str = "differenti
     """
     at = F.col("_metadata.file_path")
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folders)
-    lines = text.select(F.regexp_replace("value", "\r$", "").alias("value"), at.alias("source_table"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    lines = text.select(
+        F.regexp_replace("value", "\r$", "").alias("value"), at.alias("source_table"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line")
+    )
     # the header is the first line of the file's first block: ids rise with a partition's lines
     first = lines.filter("_block = 0").groupBy("source_table").agg(F.min_by("value", "_line").alias("_header"), F.min("_line").alias("_head"))
     headers = {r["source_table"]: r["_header"].split("\t") for r in first.collect()}  # a row a table

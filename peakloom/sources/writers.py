@@ -20,7 +20,9 @@ def csv(df: DataFrame, path: str) -> None:
 
 def wide_matrix(counts: DataFrame, regions: DataFrame, keys: list[str], value: str = "n") -> DataFrame:
     """Region columns and a column a sample, in sheet order."""
-    return regions.select("region_id", "chrom", "start_pos", "end_pos").join(counts.groupBy("region_id").pivot("sample_key", keys).agg(F.first(value)), "region_id")
+    return regions.select("region_id", "chrom", "start_pos", "end_pos").join(
+        counts.groupBy("region_id").pivot("sample_key", keys).agg(F.first(value)), "region_id"
+    )
 
 
 def bedgraph(tracks: DataFrame, path: str, parts: int | None = None) -> DataFrame:
@@ -40,7 +42,10 @@ def bedgraph(tracks: DataFrame, path: str, parts: int | None = None) -> DataFram
     by = back.groupBy("family", "sample_key", F.col("_metadata.file_name").alias("file"))
     found = by.agg(F.count("*").alias("rows"), F.min(place).alias("f"), F.max(end).alias("l"))
     part = F.row_number().over(Window.partitionBy("family", "sample_key").orderBy("file"))  # a row a file
-    return found.select("family", "sample_key", part.alias("part"), "file", "rows", F.col("f.chrom").alias("first_chrom"), F.col("f.start_pos").alias("first_start"), F.col("l.chrom").alias("last_chrom"), F.col("l.end_pos").alias("last_end"))
+    return found.select(
+        "family", "sample_key", part.alias("part"), "file", "rows", F.col("f.chrom").alias("first_chrom"), F.col("f.start_pos").alias("first_start"),
+        F.col("l.chrom").alias("last_chrom"), F.col("l.end_pos").alias("last_end")
+    )
 
 
 def bed(df: DataFrame, path: str, name: str | None = None) -> None:
@@ -48,7 +53,11 @@ def bed(df: DataFrame, path: str, name: str | None = None) -> None:
 
 
 #: Track kinds by name: a pattern, a description and a colour; the first that fits.  Fixed values.
-TRACKS = [("_dm6_StringentRaw$", "raw stringent dm6 coverage", "90,90,90"), ("_dm6_StringentCPM$", "dm6 CPM profile control", "40,140,90"), ("_SpikeInDM6_Stringent$", "dm6-calibrated stringent host coverage", "210,110,20"), ("_DESeq2RobustCPM($|_)", "DESeq2 robust CPM", "120,50,160"), ("_DESeq2Consensus$", "DESeq2 consensus-peak normalized", "180,50,50"), ("_CPM$", "counts per million", "40,90,180")]
+TRACKS = [
+    ("_dm6_StringentRaw$", "raw stringent dm6 coverage", "90,90,90"), ("_dm6_StringentCPM$", "dm6 CPM profile control", "40,140,90"),
+    ("_SpikeInDM6_Stringent$", "dm6-calibrated stringent host coverage", "210,110,20"), ("_DESeq2RobustCPM($|_)", "DESeq2 robust CPM", "120,50,160"),
+    ("_DESeq2Consensus$", "DESeq2 consensus-peak normalized", "180,50,50"), ("_CPM$", "counts per million", "40,90,180")
+]
 
 
 def track_line(name: Column, prefix: str, url_base: str = "") -> Column:
@@ -56,12 +65,20 @@ def track_line(name: Column, prefix: str, url_base: str = "") -> Column:
     for pattern, t, c in reversed(TRACKS):
         text, colour = F.when(name.rlike(pattern), t).otherwise(text), F.when(name.rlike(pattern), c).otherwise(colour)
     base = url_base.rstrip("/") + "/" if url_base else ""
-    return F.format_string(f'track type=bigWig name="%s" description="{prefix} %s: %s" bigDataUrl={base}%s.bw visibility=full autoScale=on alwaysZero=on color=%s', name, text, name, name, colour)
+    return F.format_string(
+        f'track type=bigWig name="%s" description="{prefix} %s: %s" bigDataUrl={base}%s.bw visibility=full autoScale=on alwaysZero=on color=%s', name,
+        text, name, name, colour
+    )
 
 
 def differential_totals(summary: DataFrame) -> DataFrame:
     ok = F.col("status") == "SUCCESS"
-    return summary.agg(F.count("*").alias("analysis_rows"), F.count_if(ok).alias("completed"), F.coalesce(F.sum(F.when(ok, F.coalesce(F.floor(F.col("significant_sites").try_cast("double")), F.lit(0)))), F.lit(0)).cast("long").alias("significant_calls"))
+    return summary.agg(
+        F.count("*").alias("analysis_rows"), F.count_if(ok).alias("completed"),
+        F.coalesce(
+            F.sum(F.when(ok, F.coalesce(F.floor(F.col("significant_sites").try_cast("double")), F.lit(0)))), F.lit(0)
+        ).cast("long").alias("significant_calls")
+    )
 
 
 def differential_html(summary: DataFrame, columns: list[str]) -> str:
