@@ -10,9 +10,11 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CONDITIONS = ["stem", "stem", "prolif", "prolif", "Day4", "Day4", "solo"]
 KEYS = [f"{c}_bioR{1 + CONDITIONS[:i].count(c)}" for i, c in enumerate(CONDITIONS)]
@@ -121,6 +123,30 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Folder and schema of the tables that shared() wrote in this application, by name and by what they were made of.
+_shared: dict[tuple, tuple[str, StructType]] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, sources: tuple[str, ...], build: Callable[[], DataFrame]) -> DataFrame:
+    """A written table that several queries of an application read, made by the first that asks.
+
+    It is made again if a source's files are others than they were (by path, length and time), or if its folder is gone."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def files(path: str) -> tuple:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)) if fs.exists(p) else ()
+
+    key = (spark.sparkContext.applicationId, name, *(files(f"{sf_dir}/{t}.parquet") for t in sources))
+    if key not in _shared or not files(_shared[key][0]):
+        df, path = build(), folder(spark, name)
+        df.write.parquet(path)
+        _shared[key] = path, df.schema
+    path, schema = _shared[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def exons(genes: DataFrame) -> DataFrame:
     third, sixth = F.floor((F.col("end_pos") - F.col("start_pos")) / 3), F.floor((F.col("end_pos") - F.col("start_pos")) / 6)
     e = genes.withColumn("i", F.explode(F.array(*[F.lit(x).cast("long") for x in range(3)])))
