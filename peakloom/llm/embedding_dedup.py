@@ -177,10 +177,13 @@ STEPS = (0, 2, 5)
 
 
 def embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """links() over each vector of `embeddings` and two moved copies of it, so that there are links, copies' chains included."""
+    """links() over each vector of `embeddings` and two moved copies of it, so that there are links, copies' chains included.
+
+    All copies move along one direction, so a plane that parts one pair parts many; the tables are as many as a miss of 1e-9 asks.
+    """
     e = common.documents(spark, sf_dir, "embeddings").withColumn("k", F.explode(F.array(*[F.lit(k) for k in STEPS])))
     moved = F.transform("embedding", lambda x, i: x.cast("double") + F.col("k") * 0.018 * (i % 3 - 1))
-    return links(e.select((F.col("vec_id") * 10 + F.col("k")).alias("vec_id"), moved.alias("embedding"), "label"), 0.93)
+    return links(e.select((F.col("vec_id") * 10 + F.col("k")).alias("vec_id"), moved.alias("embedding"), "label"), 0.93, miss=1e-9)
 
 
 _MOVED = f"""(SELECT vec_id * 10 + k AS vec_id, label, list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE + k * 0.018::DOUBLE * ((i - 1) % 3 - 1)) AS embedding
