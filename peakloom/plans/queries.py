@@ -53,9 +53,13 @@ def sheet(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def made_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Consensus regions with ids; numbering reads its rows twice, so they are written first."""
+    return iv.region_ids(fx.kept(iv.consensus(called(spark, d), ["chrom"], "sample_key"), "consensus"))
+
+
 def regions(spark: SparkSession, d: str) -> DataFrame:
-    # numbering reads its rows twice
-    return fx.shared(spark, d, "regions", ("orders",), lambda: iv.region_ids(fx.kept(iv.consensus(called(spark, d), ["chrom"], "sample_key"), "consensus")))
+    return fx.shared(spark, d, "regions", ("orders",), lambda: made_regions(spark, d))
 
 
 def matrix(spark: SparkSession, d: str) -> DataFrame:
@@ -199,7 +203,7 @@ query("i2_disjoint_support",
 )(lambda spark, d: iv.disjoin(fx.table(spark, d, "peaks"), ["chrom"], "sample_key").select("chrom", S, E, "support"))
 query(
     "i3_consensus", f"{fx.cte('peaks')}, {CONSENSUS} SELECT region_id, chrom, start_pos, end_pos FROM regions"
-)(lambda spark, d: regions(spark, d).select("region_id", "chrom", S, E))
+)(lambda spark, d: made_regions(spark, d).select("region_id", "chrom", S, E))
 
 
 @query("i5_supporting_samples",
