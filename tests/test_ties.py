@@ -9,7 +9,7 @@ from conftest import TABLES, TEST_DATA, same
 from peakloom.plans import registry
 
 CHECKED = [
-    "i11_narrow_broad_union", "i1_merged_peaks", "i2_disjoint_support", "i3_consensus", "i4_single_sample",
+    "i11_narrow_broad_union", "i1_merged_peaks", "i2_disjoint_support", "i3_consensus", "i4_single_sample", "j6_ccre_hits",
 ]
 
 
