@@ -11,6 +11,7 @@ from peakloom.plans import registry
 CHECKED = [
     "i11_narrow_broad_union", "i1_merged_peaks", "i2_disjoint_support", "i3_consensus", "i4_single_sample", "j6_ccre_hits",
     "j7_nearest_tss", "j9_annotated_results", "k3_wide_matrix", "k5_bed_round_trip", "n11_consensus_checksum", "q8_region_annotation",
+    "s9_count_matrix",
 ]
 
 
