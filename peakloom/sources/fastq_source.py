@@ -7,6 +7,9 @@ range's last record is read to its end, beyond the range, so no record is cut an
 
 Memory is a chunk and a record, whatever the size of the file.  A compressed file (by its name) is one range.  Files are opened
 by pyarrow under the path's scheme, on the executors; the driver only lists them.
+
+Up to TASKS ranges are a task each.  More are dealt to tasks in stretches of neighbours, to TASKS tasks or as many as hold
+taskBytes each, so that tasks grow with the bytes and not with the number of ranges.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SCHEMA = "read_id string, seq string, qual string"
 COMPRESSED = (".gz", ".bgz", ".bz2", ".zst", ".lz4")
 CHUNK = 1 << 20
+TASKS = 512
+TAIL = 4096
+"""Bytes read with a short range for the end of its last record."""
 
 
 @dataclass
@@ -30,6 +36,21 @@ class Range(InputPartition):
     """One past the last byte; None for a compressed file, read as a whole."""
 
 
+@dataclass
+class Stretch(InputPartition):
+    """A task's part: bytes of files in order, each to be read in ranges of `split` bytes."""
+
+    parts: list[Range]
+    split: int
+
+    def ranges(self) -> Iterator[Range]:
+        for p in self.parts:
+            if p.end is None:
+                yield p
+            else:
+                yield from (Range(p.path, at, min(at + self.split, p.end)) for at in range(p.first, p.end, self.split))
+
+
 class FastqSource(DataSource):
     """spark.read.format("fastq").option("splitBytes", n).load(path): a file, a folder of files, or several joined by commas."""
 
@@ -41,29 +62,44 @@ class FastqSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> FastqReader:
-        return FastqReader(self.options["path"].split(","), int(self.options.get("splitBytes", 128 << 20)))
+        split = int(self.options.get("splitBytes", 128 << 20))
+        return FastqReader(self.options["path"].split(","), split, int(self.options.get("taskBytes", 128 << 20)))
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str], split: int):
-        self.paths, self.split = paths, max(1, split)
-
-    def partitions(self) -> list[Range]:
-        out = []
-        for path in self.paths:
-            for name, size in files(path):
-                if name.endswith(COMPRESSED):
-                    out.append(Range(name, 0, None))
-                else:
-                    out += [Range(name, at, min(at + self.split, size)) for at in range(0, size, self.split)]
-        return out or [Range("", 0, 0)]
-
-    def read(self, partition: Range) -> Iterator:
+    def __init__(self, paths: list[str], split: int, task_bytes: int = 128 << 20):
+        self.paths, self.split, self.task_bytes = paths, max(1, split), task_bytes
+
+    def partitions(self) -> list[Stretch]:
+        found = [(name, size, name.endswith(COMPRESSED)) for path in self.paths for name, size in files(path)]
+        number = sum(1 if whole else -(-size // self.split) for _, size, whole in found)
+        tasks = max(1, TASKS, -(-sum(size for _, size, _ in found) // max(1, self.task_bytes)))
+        step = -(-number // tasks) * self.split  # bytes of a task, in whole ranges
+        out, left = [], 0
+        for name, size, whole in found:
+            if whole:
+                out.append(Stretch([Range(name, 0, None)], self.split))
+                left = 0
+                continue
+            at = 0
+            while at < size:
+                if left <= 0:
+                    out.append(Stretch([], self.split))
+                    left = step
+                end = min(size, at + left)
+                out[-1].parts.append(Range(name, at, end))
+                left -= -(-(end - at) // self.split) * self.split
+                at = end
+        return out or [Stretch([], self.split)]
+
+    def read(self, partition: Stretch) -> Iterator:
+        for part in partition.ranges():
+            yield from self.batches(part)
+
+    def batches(self, part: Range) -> Iterator:
         import pyarrow as pa
 
-        if not partition.path:
-            return
-        for head, seq, qual in records(partition):
+        for head, seq, qual in records(part):
             columns = [pa.array(x, pa.binary()).cast(pa.string()) for x in ([(h.split(None, 1) or [b""])[0] for h in head], seq, qual)]
             yield pa.RecordBatch.from_arrays(columns, ["read_id", "seq", "qual"])
 
@@ -102,10 +138,11 @@ def records(part: Range) -> Iterator[tuple[list[bytes], list[bytes], list[bytes]
         stream = where.open_input_file(inner)
         at = max(0, part.first - 1)  # a line that begins at the range's first byte follows a line end
         stream.seek(at)
+    chunk = CHUNK if part.end is None else min(CHUNK, part.end - at + TAIL)
     with stream:
         rest, synced, ended = b"", part.first == 0, False
         if not synced:
-            while (cut := rest.find(b"\n")) < 0 and (more := stream.read(CHUNK)):
+            while (cut := rest.find(b"\n")) < 0 and (more := stream.read(chunk)):
                 rest += more
             if cut < 0:
                 return
@@ -113,7 +150,7 @@ def records(part: Range) -> Iterator[tuple[list[bytes], list[bytes], list[bytes]
         if part.end is not None and at >= part.end:
             return
         while not ended:
-            more = stream.read(CHUNK)
+            more = stream.read(chunk)
             ended = not more
             buffer = rest + more
             if ended and buffer and not buffer.endswith(b"\n"):

@@ -232,10 +232,11 @@ def metrics_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str, mate: int = 1, split_bytes: int | None = None) -> DataFrame:
-    """(read_id, mate, seq, qual) from records of four lines, by ranges of split_bytes (spark.sql.files.maxPartitionBytes)."""
+    """(read_id, mate, seq, qual) from records of four lines, by ranges of split_bytes (spark.sql.files.maxPartitionBytes).  Many
+    short ranges share a task, of spark.sql.files.maxPartitionBytes at most."""
     spark.dataSource.register(FastqSource)
-    split = split_bytes or spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    rows = spark.read.format("fastq").option("splitBytes", split).load(path)
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    rows = spark.read.format("fastq").option("splitBytes", split_bytes or most).option("taskBytes", most).load(path)
     return rows.select("read_id", F.lit(mate).alias("mate"), "seq", "qual")
 
 
