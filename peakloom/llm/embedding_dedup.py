@@ -12,7 +12,9 @@ Equal vectors of a label are one row with a count before anything is compared, h
 other and have the same other links.
 
 Scale: a row is sent once a table and cell pair, so a bucket of m vectors sends about m * m / cell rows.  Buckets are kept
-near `cell` by the number of planes, which follows the number of rows (see planes_for).
+below `cell` by the number of planes, which follows the number of rows of the largest label (see planes_for): labels part the
+rows already, and each plane more asks for more tables.  A row takes its vector and the signatures of the tables before, packed;
+it is sent once to its block, as only buckets of several cells are looked up, in a broadcast table of a row each.
 
 Cases: null vectors, zero vectors and those with null or non-finite components, and rows with a null label, link with
 nothing and are kept.  Vectors of different lengths never link.  Repeated ids with equal rows are copies; with
@@ -42,8 +44,12 @@ def tables_for(planes: int, cosine: float, miss: float) -> int:
     return max(1, math.ceil(math.log(miss) / math.log(1 - p)))
 
 
+def packed_kind(planes: int) -> np.dtype:
+    return np.dtype(np.int16 if planes < 16 else np.int32 if planes < 32 else np.int64)
+
+
 def signatures(df: DataFrame, tables: int, planes: int, seed: int) -> DataFrame:
-    """(rep, label, embedding) plus `sigs`, an array of a signature for each table."""
+    """(rep, label, embedding) plus `sigs`, an array of a signature for each table, and `packed`, the same as bytes."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -60,13 +66,15 @@ def signatures(df: DataFrame, tables: int, planes: int, seed: int) -> DataFrame:
                     m = vectors.unit(vectors.matrix(b.column("embedding").take(pa.array(at))))
                     signs = (m @ normals[n] > 0).reshape(len(at), tables, planes)
                     sigs[at] = (signs * (1 << np.arange(planes, dtype=np.int64))).sum(2)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(np.arange(0, sigs.size + 1, tables, dtype=np.int32)), pa.array(sigs.ravel()))], [*b.schema.names, "sigs"])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sigs.size + 1, tables, dtype=np.int32)), pa.array(sigs.ravel()))
+                packed = pa.array([row.tobytes() for row in sigs.astype(packed_kind(planes))], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, lists, packed], [*b.schema.names, "sigs", "packed"])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{kind}, sigs array<long>")
+    return df.mapInArrow(run, f"{kind}, sigs array<long>, packed binary")
 
 
-def block_links(cosine: float, tables: int):
+def block_links(cosine: float, planes: int):
     """For one block of a table's bucket: counts of links (weighted by copies) and a spanning forest."""
 
     def run(table):
@@ -77,7 +85,7 @@ def block_links(cosine: float, tables: int):
         table = table.combine_chunks()
         cell = table.column("cell").to_numpy()
         rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-        sigs = np.stack(table.column("sigs").to_numpy(zero_copy_only=False)).reshape(len(rep), tables)
+        sigs = np.frombuffer(b"".join(table.column("packed").to_pylist()), packed_kind(planes)).reshape(len(rep), t)  # of earlier tables
         v = vectors.unit(np.stack(table.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64))
         left = np.flatnonzero(cell == i)
         right = left if i == j else np.flatnonzero(cell == j)
@@ -91,23 +99,25 @@ def block_links(cosine: float, tables: int):
             return x
 
         edges: list[tuple[int, int]] = []
-        for at in range(0, len(left), 512):
-            some = left[at : at + 512]
+        step = max(1, (1 << 21) // max(1, len(right)))
+        for at in range(0, len(left), step):
+            some = left[at : at + step]
             link = v[some] @ v[right].T >= cosine
             if i == j:
                 link &= some[:, None] != right[None, :]
+            x, y = np.nonzero(link)
+            x, y = some[x], right[y]
             for s in range(t):  # pairs that have met in an earlier table
-                if link.any():
-                    link &= sigs[some, s][:, None] != sigs[right, s][None, :]
-            counts[some] += (link * copies[right][None, :]).sum(1)
+                new = sigs[x, s] != sigs[y, s]
+                x, y = x[new], y[new]
+            np.add.at(counts, x, copies[y])
             if i != j:
-                counts[right] += (link * copies[some][:, None]).sum(0)
-            for x in np.flatnonzero(link.any(1)).tolist():
-                for y in right[link[x]].tolist():
-                    a, b = root(int(some[x])), root(y)
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
-                        edges.append((int(rep[some[x]]), int(rep[y])))
+                np.add.at(counts, y, copies[x])
+            for one, two in zip(x.tolist(), y.tolist(), strict=True):
+                a, b = root(one), root(two)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    edges.append((int(rep[one]), int(rep[two])))
         has = np.flatnonzero(counts)
         n = len(edges)
         return pa.table({"a": pa.array([*rep[has].tolist(), *[x for x, _ in edges]], pa.int64()), "b": pa.array([*[None] * len(has), *[y for _, y in edges]], pa.int64()), "n": pa.array([*counts[has].tolist(), *[0] * n], pa.int64())})
@@ -115,7 +125,7 @@ def block_links(cosine: float, tables: int):
     return run
 
 
-def links(df: DataFrame, cosine: float = 0.93, miss: float = 1e-4, cell: int = 2048, seed: int = 5, id_column: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
+def links(df: DataFrame, cosine: float = 0.93, miss: float = 1e-4, cell: int = 8192, seed: int = 5, id_column: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept), a row a vector."""
     spark = df.sparkSession
     scratch = common.Scratch(spark)
@@ -127,21 +137,24 @@ def links(df: DataFrame, cosine: float = 0.93, miss: float = 1e-4, cell: int = 2
     # one row for equal vectors, under the smallest of their ids
     reps = ids.filter("ok").groupBy("same").agg(F.count("*").alias("copies"), F.min("vec_id").alias("rep"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     reps = scratch.table(reps, "classes")
-    planes = planes_for(reps.count())
+    largest = reps.groupBy("label", F.size("embedding")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    planes = planes_for(largest)
     tables = tables_for(planes, cosine, miss)
     signed = scratch.table(signatures(reps.select("rep", "label", "embedding", "copies"), tables, planes, seed), "signed")
     signed = signed.withColumn("dim", F.size("embedding"))
     member = signed.select("*", F.posexplode("sigs").alias("t", "sig"))
     key = ["t", "label", "dim", "sig"]
     sizes = signed.select("label", "dim", F.posexplode("sigs").alias("t", "sig")).groupBy(*key).agg(F.ceil(F.count("*") / cell).alias("cells"))
-    # buckets of one cell need no table of sizes; larger ones get theirs by an equi-join (AQE splits a hot bucket)
-    member = member.join(sizes, key).withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")))
+    # a row a bucket of several cells, so rows * tables / cell at most: broadcast, vectors are not moved for it
+    member = member.join(F.broadcast(sizes.filter("cells > 1")), key, "left").withColumn("cells", F.coalesce("cells", F.lit(1).cast("long")))
+    member = member.withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")))
+    earlier = F.substring("packed", F.lit(1), F.col("t") * packed_kind(planes).itemsize).alias("packed")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))
-    member = member.select("rep", "label", "dim", "embedding", "copies", "sigs", "t", "sig", "cell", other.alias("other"))
+    member = member.select("rep", "label", "dim", "embedding", "copies", earlier, "t", "sig", "cell", other.alias("other"))
     member = member.select("*", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"))
     # dealt by block, or all blocks of a hot bucket would stay in the task that the join left them in
     member = member.repartition(common.shuffle_partitions(spark), *key, "i", "j")
-    found = scratch.table(member.groupBy(*key, "i", "j").applyInArrow(block_links(cosine, tables), "a long, b long, n long"), "links")
+    found = scratch.table(member.groupBy(*key, "i", "j").applyInArrow(block_links(cosine, planes), "a long, b long, n long"), "links")
     counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     comps = common.components(found.filter("b is not null").select("a", "b"), scratch)
     known = reps.select("rep", "same", "copies").join(counts, "rep", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")

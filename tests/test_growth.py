@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from peakloom.llm import embedding_dedup
 from peakloom.sources import fastq_source
 
 
@@ -18,3 +19,12 @@ def test_short_fastq_ranges_share_tasks(monkeypatch, tmp_path):
     assert len(ranges) > 600 and all(r.end - r.first <= 64 for r in ranges)
     assert sum(b.num_rows for p in parts for b in reader.read(p)) == 3003
     assert len(fastq_source.FastqReader([str(tmp_path)], 64, task_bytes=1000).partitions()) > 40
+
+
+def test_planes_follow_the_largest_label(spark, monkeypatch):
+    """Labels part the rows already, so more labels ask for no more planes, and with them for no more tables."""
+    asked, own = [], embedding_dedup.planes_for
+    monkeypatch.setattr(embedding_dedup, "planes_for", lambda rows, *a: asked.append(rows) or own(rows, *a))
+    rows = [(i, [float(i % 7 + 1), float(i)], i % 10) for i in range(50)]
+    assert embedding_dedup.links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.93).count() == 50
+    assert asked == [5]
