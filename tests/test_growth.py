@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from peakloom.llm import embedding_dedup
+from peakloom.operators import counting
 from peakloom.sources import fastq_source
 
+U = "start_pos long, end_pos long, mapq int, is_dup boolean"
+
 
 def test_short_fastq_ranges_share_tasks(monkeypatch, tmp_path):
     """Many short ranges are a bounded number of tasks, each byte is in one, and no range reads far beyond its end."""
@@ -28,3 +31,13 @@ def test_planes_follow_the_largest_label(spark, monkeypatch):
     rows = [(i, [float(i % 7 + 1), float(i)], i % 10) for i in range(50)]
     assert embedding_dedup.links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.93).count() == 50
     assert asked == [5]
+
+
+def test_policies_share_one_join(spark):
+    """Counts by policy from one join are those of a join for each policy."""
+    units = spark.createDataFrame([("a", "chr1", i * 7, i * 7 + 40, i % 50, i % 3 == 0) for i in range(200)], f"sample_key string, chrom string, {U}")
+    regions = spark.createDataFrame([(f"r{i}", "chr1", i * 90, i * 90 + 100) for i in range(12)], "region_id string, chrom string, start_pos long, end_pos long")
+    joined = counting.policy_counts(units, regions, {"all": (0, False), "good": (30, True)})
+    for name, rule in (("all", "true"), ("good", "mapq >= 30 and not is_dup")):
+        expected = counting.overlap_counts(units.filter(rule), regions)
+        assert sorted(map(tuple, counting.of_policy(joined, name).collect())) == sorted(map(tuple, expected.collect()))
