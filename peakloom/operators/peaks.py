@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -103,12 +104,16 @@ def rates(units: DataFrame, genome_size: float, local: int = 10_000, control: Da
     return seg.withColumn("lam", lam).drop("_small", "_large", "_own", "_ratio", "genome_mean")
 
 
-def scored_segments(units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None) -> DataFrame:
+def scored_segments(
+    units: DataFrame, genome_size: float, local: int = 10_000, control: DataFrame | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """rates() with score, -log10 of the Poisson tail, and q-values in -log10.
 
-    Benjamini-Hochberg weighs a score by the base pairs that have it.
+    Benjamini-Hochberg weighs a score by the base pairs that have it.  keep(df, name) may write the scores, which are read twice.
     """
     scored = poisson_tail(rates(units, genome_size, local, control))
+    if keep is not None:
+        scored = keep(scored, "scored")
     hist = scored.groupBy("sample_key", F.round("score", 3).alias("_sc")).agg(F.sum(F.col(E) - F.col(S)).alias("_bp"))
     down, all_ = Window.partitionBy("sample_key").orderBy(F.col("_sc").desc()), Window.partitionBy("sample_key")
     raw = F.col("_sc") + F.log10(F.sum("_bp").over(down)) - F.log10(F.greatest(F.sum("_bp").over(all_).cast("double"), F.lit(float(genome_size))))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from peakloom.llm import embedding_dedup
-from peakloom.operators import counting
+from peakloom.operators import counting, peaks
 from peakloom.sources import fastq_source
 
 U = "start_pos long, end_pos long, mapq int, is_dup boolean"
@@ -41,3 +41,12 @@ def test_policies_share_one_join(spark):
     for name, rule in (("all", "true"), ("good", "mapq >= 30 and not is_dup")):
         expected = counting.overlap_counts(units.filter(rule), regions)
         assert sorted(map(tuple, counting.of_policy(joined, name).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_scores_are_kept_once(spark):
+    """Scores, which are read twice, are handed to keep() once, and peaks are the same with it."""
+    units = spark.createDataFrame([("a", "chr1", 5000 + i % 40, 5200 + i % 60, 0, False) for i in range(300)], f"sample_key string, chrom string, {U}")
+    asked = []
+    kept = peaks.scored_segments(units, 1e6, keep=lambda df, name: asked.append(name) or df.localCheckpoint())
+    assert asked == ["scored"] and kept.count() > 0
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, peaks.scored_segments(units, 1e6).collect()))
