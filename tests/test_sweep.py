@@ -63,7 +63,7 @@ def swept(repeated):
     }
 
 
-CHECKED = ["i1_merged_peaks"]
+CHECKED = ["i1_merged_peaks", "i2_disjoint_support"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
