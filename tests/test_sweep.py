@@ -63,7 +63,7 @@ def swept(repeated):
     }
 
 
-CHECKED = ["i1_merged_peaks", "i2_disjoint_support"]
+CHECKED = ["i1_merged_peaks", "i2_disjoint_support", "i3_consensus"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
