@@ -63,7 +63,7 @@ def swept(repeated):
     }
 
 
-CHECKED = ["i1_merged_peaks", "i2_disjoint_support", "i3_consensus"]
+CHECKED = ["i1_merged_peaks", "i2_disjoint_support", "i3_consensus", "i4_single_sample"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
