@@ -71,6 +71,24 @@ def hits(t):
     ]
 
 
+def closest(t, region):
+    """Smallest distance, then position, then id: (distance, position, id, name, strand), or None."""
+    _, chrom, start, end = region
+    tss = [(e - 1 if strand == "-" else s, i, name, strand) for c, s, e, i, name, strand in t.genes if c == chrom]
+    return min(((max(start - p, p - end + 1, 0), p, i, name, strand) for p, i, name, strand in tss), default=None)
+
+
+@expects("j7_nearest_tss")
+def nearest(t):
+    out = []
+    for r in t.regions:
+        if x := closest(t, r):
+            gap, position, i, name, strand = x
+            signed = ((r[2] + 1 + r[3]) // 2 - (position + 1)) * (-1 if strand == "-" else 1)
+            out.append({"region_id": r[0], "nearest_gene_id": i, "nearest_gene_name": name, "nearest_tss_distance_bp": signed, "edge_distance": gap})
+    return out
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
