@@ -89,6 +89,27 @@ def nearest(t):
     return out
 
 
+def flags(t, region):
+    bounds = [(c, e - 501, e + 2000) if strand == "-" else (c, s - 2000, s + 501) for c, s, e, _, _, strand in t.genes]
+    promoter, exon, body = (bool(over(x, region)) for x in (bounds, t.exons, t.genes))
+    context = "promoter" if promoter else "exon" if exon else "intron" if body else "distal_intergenic"
+    return {"promoter_overlap": promoter, "exon_overlap": exon, "gene_body_overlap": body, "intron_overlap": context == "intron", "gene_context": context}
+
+
+def primary(t, region):
+    """(id, class) of the widest element, then by class, then id."""
+    rank = {k: i for i, k in enumerate(["PLS", "pELS", "dELS", "CA-CTCF", "CA"])}
+    found = [(max(s, region[2]) - min(e, region[3]), rank[k], i, k) for _, s, e, i, k in over(t.ccre, region)]
+    return min(found)[2:] if found else (None, None)
+
+
+@expects("j9_annotated_results")
+def results(t):
+    return [
+        {"region_id": r[0], "width": r[3] - r[2], "gene_context": flags(t, r)["gene_context"], "ccre_primary_class": primary(t, r)[1]} for r in t.regions
+    ]
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
