@@ -110,6 +110,17 @@ def results(t):
     ]
 
 
+def counts(t):
+    """Of each region, the units of each sample that overlap it."""
+    units = [f for f in t.frag if f[0] in CANONICAL and f[5] >= 30 and f[4] & 2 and not f[4] & 3852]
+    return [(r, Counter(u[3] for u in over(units, r))) for r in t.regions]
+
+
+@expects("k3_wide_matrix")
+def wide(t):
+    return [{"region_id": i, "chrom": c, "start_pos": s, "end_pos": e} | {k: n[k] for k in fx.KEYS} for (i, c, s, e), n in counts(t)]
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
