@@ -121,6 +121,11 @@ def wide(t):
     return [{"region_id": i, "chrom": c, "start_pos": s, "end_pos": e} | {k: n[k] for k in fx.KEYS} for (i, c, s, e), n in counts(t)]
 
 
+@expects("k5_bed_round_trip")
+def bed(t):
+    return [{"chrom": c, "start_pos": s, "end_pos": e, "name": i} for i, c, s, e in t.regions]
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
