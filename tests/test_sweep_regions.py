@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
 
@@ -126,6 +127,12 @@ def bed(t):
     return [{"chrom": c, "start_pos": s, "end_pos": e, "name": i} for i, c, s, e in t.regions]
 
 
+@expects("n11_consensus_checksum")
+def checksum(t):
+    parts = sum(int(hashlib.md5(f"{c}:{s}:{e}".encode()).hexdigest()[:15], 16) for _, c, s, e in t.regions)
+    return [{"checksum": hashlib.sha256(f"{len(t.regions)}:{parts}".encode()).hexdigest()}]
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
