@@ -133,6 +133,20 @@ def checksum(t):
     return [{"checksum": hashlib.sha256(f"{len(t.regions)}:{parts}".encode()).hexdigest()}]
 
 
+@expects("q8_region_annotation")
+def annotation(t):
+    out, near = [], {x["region_id"]: x for x in nearest(t)}
+    for r in t.regions:
+        elements, (best, kind) = over(t.ccre, r), primary(t, r)
+        ids, kinds = (sorted({x[i] for x in elements}) for i in (3, 4))
+        out.append(dict(zip(["region_id", "chrom", "start_pos", "end_pos"], r, strict=True)) | flags(t, r) | {
+            **{c: near.get(r[0], {}).get(c) for c in ("nearest_gene_id", "nearest_gene_name", "nearest_tss_distance_bp")},
+            "ccre_primary_id": best, "ccre_primary_class": kind, "ccre_all_ids": ";".join(ids) or None, "ccre_all_classes": ";".join(kinds) or None,
+            "promoter_definition": "TSS-2000/+500bp", "ccre_overlap": bool(elements), "enhancer_like": bool({"pELS", "dELS"} & set(kinds))
+        })
+    return out
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
