@@ -147,6 +147,11 @@ def annotation(t):
     return out
 
 
+@expects("s9_count_matrix")
+def long_matrix(t):
+    return [{"chrom": c, "start_pos": s, "end_pos": e, "sample_key": k, "n": n[k]} for (_, c, s, e), n in counts(t) for k in fx.KEYS]
+
+
 @pytest.mark.parametrize("name", EXPECTED)
 def test_sql_by_sweep(repeated, t, name):
     done = repeated.execute(registry.oracle_sql()[name])
